@@ -61,7 +61,7 @@ def extract_logs(spark: SparkSession, path: str, log_format: str | LogFormat | N
     if log_format in (None, "auto"):
         row = detect_format(lines).first()
         log_format = row["detected_format"] if row else DEFAULT_FORMAT
-    return to_bronze(lines, log_format)
+    return to_bronze(files.spread(lines), log_format)
 
 
 def to_silver(bronze: DataFrame) -> DataFrame:

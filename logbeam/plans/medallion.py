@@ -11,6 +11,7 @@ Row counts come from ``observe()`` on the writes -- no extra ``count()`` job.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping
 from typing import Any
 
@@ -42,14 +43,17 @@ def layer_paths(output_path: str) -> dict[str, str]:
 
 
 def write_gold(tables: Mapping[str, DataFrame], gold_path: str | None = None, jdbc_url: str | None = None,
-               jdbc_properties: Mapping[str, str] | None = None) -> dict[str, str]:
+               jdbc_properties: Mapping[str, str] | None = None, parallel: int | None = None) -> dict[str, str]:
     """K5: each table to ``{gold_path}/{name}`` and, optionally, to JDBC.
 
-    A JDBC table that fails is logged and skipped; Parquet failures raise.
-    Returns ``name -> error`` for the skipped JDBC tables.
+    The tables are independent jobs over the same Silver, so they are
+    submitted concurrently (Spark runs jobs from several threads side by
+    side) instead of queueing behind each other.  A JDBC table that fails is
+    logged and skipped; a Parquet failure raises.  Returns ``name -> error``
+    for the skipped JDBC tables.
     """
-    failures: dict[str, str] = {}
-    for name, df in tables.items():
+
+    def one(name: str, df: DataFrame) -> str | None:
         if gold_path:
             # Gold tables are small (bounded by top-k or by the group count):
             # one file each.
@@ -60,8 +64,13 @@ def write_gold(tables: Mapping[str, DataFrame], gold_path: str | None = None, jd
                 files.write_jdbc(df, jdbc_url, table, properties=jdbc_properties)
             except Exception as exc:  # noqa: BLE001 - skip and continue, by contract
                 log.warning("gold table %s not saved to JDBC: %s", name, exc)
-                failures[name] = str(exc)
-    return failures
+                return str(exc)
+        return None
+
+    with ThreadPoolExecutor(max_workers=parallel or max(1, len(tables))) as pool:
+        futures = {name: pool.submit(one, name, df) for name, df in tables.items()}
+        outcomes = {name: f.result() for name, f in futures.items()}
+    return {name: err for name, err in outcomes.items() if err is not None}
 
 
 def run_medallion(spark: SparkSession, input_path: str, output_path: str, log_format: str | None = None,

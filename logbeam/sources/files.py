@@ -28,6 +28,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a DataFrame over the cluster's cores when its scan yields
+    fewer partitions than that (one Parquet row group, one unsplittable .gz
+    text file), so the CPU-heavy regex parse runs on every core.
+
+    Large inputs already have thousands of splits and pass through
+    untouched -- no shuffle is added at scale.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 # ----------------------------------------------------------------- readers
 def read(spark: SparkSession, path: str, file_format: str, options: Mapping[str, str] | None = None,
          schema=None) -> DataFrame:

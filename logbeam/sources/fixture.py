@@ -20,7 +20,9 @@ EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select(*EVENT_COLUMNS)
+    from .files import spread
+
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select(*EVENT_COLUMNS))
 
 
 def _s(c: Column) -> Column:
