@@ -1,9 +1,9 @@
 """Log format registry (P1-P3, D3) and the column expressions that parse a line.
 
 A format is a Java regex with one capture group per output column, an
-optional timestamp format, and the column names.  Parsing is one ``select``
-of ``regexp_extract`` calls: JVM-side, whole-stage codegen, and Catalyst
-prunes the extracts a downstream query does not read.
+optional timestamp format, and the column names.  Parsing runs the regex
+once per line (``single_match``) instead of once per field, all in built-in
+JVM expressions inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -78,18 +78,60 @@ def detection_order() -> list[LogFormat]:
 
 
 def field_columns(fmt: LogFormat, value: str = "value") -> list[Column]:
-    """One ``regexp_extract`` per capture group.  A line that does not match
-    keeps its row with every field ``''`` (never NULL)."""
+    """One ``regexp_extract`` per capture group (one regex match per field).
+    A line that does not match keeps its row with every field ``''`` (never
+    NULL).  This is the reference semantics; ``to_bronze`` gets the same
+    values from a single match per line (``single_match``)."""
     line = F.col(value)
     return [F.regexp_extract(line, fmt.pattern, i).alias(c) for i, c in enumerate(fmt.columns, 1)]
 
 
-def parsed_timestamp(fmt: LogFormat, value: str = "value") -> Column:
+# A character used to join the captured groups of one match.  A line that
+# already contains it takes the per-field path, so the choice cannot change
+# results.
+FIELD_SEP = "\u0001"
+
+
+def single_match(fmt: LogFormat, value: str = "value") -> list[Column]:
+    """``_groups``: all capture groups of ONE regex match, as an array.
+
+    ``regexp_replace`` with the pattern wrapped as ``^(?s:.*?)(?:P)(?s:.*)``
+    matches once per line -- the lazy prefix tries start positions in the
+    same order as ``find()``, so the captures are those of the first match --
+    and rewrites the whole line to ``SEP g1 SEP g2 ... SEP gn``; ``split``
+    turns that into ``['', g1, ..., gn]``.  A line that does not match comes
+    back unchanged and splits into one element.  ``_has_sep`` marks lines
+    that contain the separator themselves.
+    """
+    n = len(fmt.columns)
+    wrapped = "^(?s:.*?)(?:" + fmt.pattern + ")(?s:.*)"
+    replacement = "".join(FIELD_SEP + f"${i}" for i in range(1, n + 1))
+    line = F.col(value)
+    return [
+        F.split(F.regexp_replace(line, F.lit(wrapped), F.lit(replacement)), FIELD_SEP, -1).alias("_groups"),
+        (F.instr(line, FIELD_SEP) > 0).alias("_has_sep"),
+    ]
+
+
+def fields_from_match(fmt: LogFormat, value: str = "value") -> list[Column]:
+    """Fields from ``single_match`` output, equal to ``field_columns``:
+    NULL line -> NULL, no match -> ''."""
+    n = len(fmt.columns)
+    line, groups = F.col(value), F.col("_groups")
+    return [
+        F.when(line.isNull(), F.lit(None).cast("string"))
+        .when(F.col("_has_sep"), F.regexp_extract(line, fmt.pattern, i))
+        .when(F.size(groups) == n + 1, F.get(groups, i))
+        .otherwise(F.lit(""))
+        .alias(c)
+        for i, c in enumerate(fmt.columns, 1)
+    ]
+
+
+def parsed_timestamp(fmt: LogFormat, timestamp_str: str = "timestamp_str") -> Column:
     """``try_to_timestamp``: a malformed or empty timestamp is NULL instead of
     aborting the job under ANSI mode.  The ``Z`` offset makes it an instant."""
-    idx = fmt.columns.index("timestamp_str") + 1
-    raw = F.regexp_extract(F.col(value), fmt.pattern, idx)
-    return F.try_to_timestamp(raw, F.lit(fmt.timestamp_format)).alias("parsed_timestamp")
+    return F.try_to_timestamp(F.col(timestamp_str), F.lit(fmt.timestamp_format)).alias("parsed_timestamp")
 
 
 def matches(fmt: LogFormat, value: str = "value") -> Column:

@@ -1,6 +1,6 @@
 """Bronze and Silver layers (P1-P5, E1-E6) as single projections.
 
-``to_bronze`` is one ``select``: raw line + one ``regexp_extract`` per field +
+``to_bronze`` is a projection: raw line + the fields of one regex match +
 ``try_to_timestamp``.  ``to_silver`` is one more ``select`` on top.  No
 ``withColumn`` chains (each would stack a Project node), no UDF, no shuffle:
 both layers are map-only and run at scan speed.
@@ -12,18 +12,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import enrich
-from ..functions.formats import DEFAULT_FORMAT, LogFormat, detection_order, field_columns, get_format, matches, parsed_timestamp
+from ..functions.formats import (
+    DEFAULT_FORMAT,
+    LogFormat,
+    detection_order,
+    fields_from_match,
+    get_format,
+    matches,
+    parsed_timestamp,
+    single_match,
+)
 from ..session import pin_time_zone
 from ..sources import files
 
 
 def to_bronze(lines: DataFrame, log_format: str | LogFormat = DEFAULT_FORMAT, value: str = "value") -> DataFrame:
-    """Raw ``value`` + STRING field per capture group (+ parsed_timestamp)."""
+    """Raw ``value`` + STRING field per capture group (+ parsed_timestamp).
+
+    Two stacked projections inside one codegen stage: the first runs the
+    regex once per line (``single_match``), the second slices the fields out
+    of the match (Catalyst keeps them apart because the match is used by
+    every field, so it is computed once).
+    """
     fmt = get_format(log_format)
-    cols = [F.col(value).alias("value")] + field_columns(fmt, value)
+    matched = lines.select(F.col(value).alias("value"), *single_match(fmt, "value"))
+    bronze = matched.select("value", *fields_from_match(fmt, "value"))
     if fmt.has_timestamp():
-        cols.append(parsed_timestamp(fmt, value))
-    return lines.select(*cols)
+        bronze = bronze.select("*", parsed_timestamp(fmt, "timestamp_str"))
+    return bronze
 
 
 def detect_format(lines: DataFrame, sample_size: int | None = 10, value: str = "value") -> DataFrame:

@@ -47,3 +47,29 @@ def test_custom_format(lines_df):
     assert "parsed_timestamp" not in r.asDict()
     with pytest.raises(ValueError):
         get_format("nope")
+
+
+# Lines built from pieces that exercise the patterns: separators, quotes,
+# brackets, dashes, digits, line terminators inside a line, prefixes.
+_PIECES = ["1.2.3.4", " ", "-", "[", "]", '"', "GET", "/a.png?v=2", "HTTP/1.1", "200", "99999999999",
+           "27/Jun/2025:10:00:00 +0000", "\u0001", "\r", "x y", "alice", "(", "$1", "\\"]
+
+
+@pytest.mark.parametrize("fmt_name", ["apache_common", "apache_combined", "nginx"])
+def test_single_match_equals_per_field_extract(spark, fmt_name):
+    import random
+
+    from logbeam.functions.formats import field_columns
+
+    from .conftest import SAMPLE_LINES
+
+    rnd = random.Random(11)
+    lines = list(SAMPLE_LINES) + ["", "junk", None, SAMPLE_LINES[0] + "\u0001", "pre " + SAMPLE_LINES[1],
+                                  SAMPLE_LINES[2].replace("POST", "PO\rST"), SAMPLE_LINES[3] + " trailing \"x\" \"y\""]
+    lines += ["".join(rnd.choice(_PIECES) for _ in range(rnd.randint(0, 25))) for _ in range(300)]
+    lines += [SAMPLE_LINES[rnd.randrange(6)].replace(rnd.choice(["200", "-", '"', "["]), rnd.choice(_PIECES)) for _ in range(200)]
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    fmt = get_format(fmt_name)
+    want = df.select("value", *field_columns(fmt))
+    got = to_bronze(df, fmt).select(want.columns)
+    assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
