@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import enrich
+from ..session import checkpoint_root
 from .quantile import exact_percentile
 
 TOP_N = 10
@@ -101,16 +102,22 @@ def peak_error(silver: DataFrame) -> DataFrame:
 
 def size_stats(silver: DataFrame, size_col: str = "size") -> DataFrame:
     """``total_bytes, max_bytes, min_bytes, avg_bytes, median_bytes`` on
-    the numeric size ('-' excluded).  The median is exact (see quantile.py);
-    the four other statistics are one partial/final aggregate."""
-    x = enrich.size_bytes(size_col)
-    sized = silver.select(x.alias("_size"))
+    the numeric size ('-' excluded).
+
+    The exact median needs several passes over the sizes (see quantile.py),
+    so the non-NULL sizes are first written once as a single INT column to
+    the shared checkpoint folder; the statistics and every bisection pass
+    read that column instead of recomputing the input (a regex parse when
+    Silver is built on the fly).
+    """
+    checkpoint_root(silver.sparkSession)
+    sized = silver.select(enrich.size_bytes(size_col).alias("_size")).where(F.col("_size").isNotNull()).checkpoint()
     stats = sized.agg(
         F.sum("_size").alias("total_bytes"),
         F.max("_size").alias("max_bytes"),
         F.min("_size").alias("min_bytes"),
         F.avg("_size").alias("avg_bytes"),
-        F.count("_size").alias("_n"),
+        F.count(F.lit(1)).alias("_n"),
     )
     row = stats.first()
     median = exact_percentile(sized, "_size", 0.5, stats=(row["_n"], row["min_bytes"], row["max_bytes"]))

@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+
 log = logging.getLogger(__name__)
 
 SILVER_PARTITION = "date"
@@ -33,13 +35,21 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     fewer partitions than that (one Parquet row group, one unsplittable .gz
     text file), so the CPU-heavy regex parse runs on every core.
 
+    The spread rows are checkpointed to the shared ``spark.checkpoint.dir``:
+    without that boundary Catalyst pushes downstream filters (on parsed
+    fields) below the round-robin exchange, back into the single reading
+    task, and the whole parse runs there.  The checkpoint also cuts lineage,
+    so a lost executor does not re-read the unsplittable source.
+
     Large inputs already have thousands of splits and pass through
-    untouched -- no shuffle is added at scale.
+    untouched -- no shuffle and no checkpoint at scale.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    checkpoint_root(spark)  # make sure the reliable checkpoint folder is set
+    return df.repartition(want).checkpoint(eager=True)
 
 
 # ----------------------------------------------------------------- readers
