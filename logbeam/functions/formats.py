@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..session import memo_columns
+
 
 @dataclass(frozen=True)
 class LogFormat:
@@ -92,19 +94,23 @@ def field_columns(fmt: LogFormat, value: str = "value") -> list[Column]:
 FIELD_SEP = "\u0001"
 
 
+@memo_columns
 def single_match(fmt: LogFormat, value: str = "value") -> list[Column]:
-    """``_groups``: all capture groups of ONE regex match, as an array.
-
-    ``regexp_replace`` with the pattern wrapped as ``^(?s:.*?)(?:P)(?s:.*)``
-    matches once per line -- the lazy prefix tries start positions in the
-    same order as ``find()``, so the captures are those of the first match --
-    and rewrites the whole line to ``SEP g1 SEP g2 ... SEP gn``; ``split``
-    turns that into ``['', g1, ..., gn]``.  A line that does not match comes
-    back unchanged and splits into one element.  ``_has_sep`` marks lines
-    that contain the separator themselves.
+    """``_groups`` = ``['', g1, ..., gn]`` from ONE regex match per line, and
+    ``_has_sep`` for the rare line that contains the separator itself.
+
+    ``regexp_replace`` with the pattern wrapped as
+    ``^(?:(?s:.*?)(?:P)(?s:.*)|(?s:.*))`` matches exactly once and consumes
+    the whole line: the lazy prefix tries start positions in the same order
+    as ``find()``, so the captures are those of P's first match; a line P
+    does not match falls to the second branch with every group unset (empty).
+    The replacement ``SEP g1 SEP g2 ... SEP gn`` then always splits into
+    n + 1 elements, so each field is a single array lookup -- and an
+    optimizer that inlines a field (e.g. into a pushed-down filter) copies
+    the match once, not several times.
     """
     n = len(fmt.columns)
-    wrapped = "^(?s:.*?)(?:" + fmt.pattern + ")(?s:.*)"
+    wrapped = "^(?:(?s:.*?)(?:" + fmt.pattern + ")(?s:.*)|(?s:.*))"
     replacement = "".join(FIELD_SEP + f"${i}" for i in range(1, n + 1))
     line = F.col(value)
     return [
@@ -113,17 +119,14 @@ def single_match(fmt: LogFormat, value: str = "value") -> list[Column]:
     ]
 
 
+@memo_columns
 def fields_from_match(fmt: LogFormat, value: str = "value") -> list[Column]:
-    """Fields from ``single_match`` output, equal to ``field_columns``:
-    NULL line -> NULL, no match -> ''."""
-    n = len(fmt.columns)
-    line, groups = F.col(value), F.col("_groups")
+    """Fields from ``single_match``, equal to ``field_columns``: NULL line ->
+    NULL, no match -> ''.  Lines containing the separator take one
+    ``regexp_extract`` per field."""
+    groups = F.col("_groups")
     return [
-        F.when(line.isNull(), F.lit(None).cast("string"))
-        .when(F.col("_has_sep"), F.regexp_extract(line, fmt.pattern, i))
-        .when(F.size(groups) == n + 1, F.get(groups, i))
-        .otherwise(F.lit(""))
-        .alias(c)
+        F.when(F.col("_has_sep"), F.regexp_extract(F.col(value), fmt.pattern, i)).otherwise(F.get(groups, i)).alias(c)
         for i, c in enumerate(fmt.columns, 1)
     ]
 

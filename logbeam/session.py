@@ -6,6 +6,7 @@ takes the caller's session.  ``local_session`` exists for tests and bench.
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -15,6 +16,30 @@ from pyspark.sql import SparkSession
 UTC = "UTC"
 
 
+def memo_columns(fn):
+    """Build a Column expression once per JVM and reuse it.
+
+    Column objects are immutable expression trees; building a large one
+    costs hundreds of Python-to-JVM calls, so formats and renderings that
+    never change are built once.  Keyed by the gateway so a new JVM gets
+    fresh objects.
+    """
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        from pyspark import SparkContext
+
+        sc = SparkContext._active_spark_context
+        key = (id(sc._gateway) if sc is not None else None, args)
+        if key not in cache:
+            cache[key] = fn(*args)
+        out = cache[key]
+        return list(out) if isinstance(out, list) else out
+
+    return wrapper
+
+
 def pin_time_zone(spark: SparkSession, tz: str = UTC) -> None:
     """Pin ``spark.sql.session.timeZone`` before any plan is built.
 

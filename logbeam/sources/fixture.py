@@ -14,21 +14,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import memo_columns
+
 FLAVORS = ("common", "combined", "nginx")
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .files import spread
-
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select(*EVENT_COLUMNS))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select(*EVENT_COLUMNS)
 
 
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+@memo_columns
 def log_line(flavor: str = "combined") -> Column:
     if flavor not in FLAVORS:
         raise ValueError(f"flavor must be one of {FLAVORS}")
@@ -70,4 +71,9 @@ def access_log_lines(events: DataFrame, flavor: str = "combined") -> DataFrame:
 
 
 def lines_from_tables(spark: SparkSession, sf_dir: str, flavor: str = "combined") -> DataFrame:
-    return access_log_lines(read_events(spark, sf_dir), flavor)
+    """Rendered lines, spread over the cores when the scan is one split (as a
+    text scan of one .gz file would be); downstream operators then see a
+    plain ``value`` column, exactly as after ``spark.read.text``."""
+    from .files import spread
+
+    return spread(access_log_lines(read_events(spark, sf_dir), flavor))
