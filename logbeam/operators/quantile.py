@@ -1,12 +1,19 @@
-"""Exact percentile of an integer column without a single-task value map.
+"""Exact statistics and percentiles of an INT column without a single-task value map.
 
 Spark's ``percentile`` keeps a value->count map per group and merges all
 maps in one final task; for a global median that task holds every distinct
-value.  Here the rank is found by value-range bisection instead: each pass
-is one distributed ``groupBy(bucket).count()`` over at most ``buckets``
-buckets (map-side combined, so each task ships <= ``buckets`` rows), and
-only those <= ``buckets`` counts reach the driver.  A 32-bit range needs at
-most three passes at the default 1024 buckets; typical response sizes two.
+value.  Here the rank is found by value-range bisection instead.  Every
+pass is one distributed ``groupBy(bucket)`` with at most ``buckets`` groups
+(map-side combined, so each task ships at most ``buckets`` rows) and only
+those rows reach the driver:
+
+1. buckets of width 2^32 / ``buckets`` over the whole INT range, with
+   count, sum, min and max per bucket -- this also yields the column's
+   count/sum/min/max, so no separate statistics pass is needed;
+2. inside the bucket holding the wanted rank, narrowed to that bucket's
+   actual [min, max], more bucket passes while the range is wider than
+   ``buckets`` (at most one more for 32-bit values at the default 1024);
+3. ``groupBy(value)`` over the final range, at most ``buckets`` values.
 
 Interpolation matches ``percentile``: position = (n - 1) * p, linear between
 the values at floor(position) and ceil(position).
@@ -15,63 +22,95 @@ the values at floor(position) and ceil(position).
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 1024
+INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
 
-def _value_at_rank(df: DataFrame, x: Column, rank: int, lo: int, hi: int, buckets: int) -> tuple[int, int]:
-    """Value at 0-based ``rank`` among non-NULL ``x`` in [lo, hi] (all values
-    in range, none below ``lo`` counted yet).  Returns (value, rows <= value)."""
-    below = 0  # rows with x < lo
-    while hi - lo + 1 > buckets:
-        width = -(-(hi - lo + 1) // buckets)  # ceil division
-        b = F.floor((x.cast("bigint") - F.lit(lo)) / F.lit(width)).cast("int")
-        counts = dict(
-            df.where(x.between(lo, hi)).groupBy(b.alias("b")).count().collect()
-        )
-        seen = below
-        for idx in sorted(counts):
-            if seen + counts[idx] > rank:
-                lo, hi = lo + idx * width, min(hi, lo + idx * width + width - 1)
-                below = seen
-                break
-            seen += counts[idx]
-        else:  # pragma: no cover - rank beyond data; cannot happen for rank < n
-            raise RuntimeError("rank not found")
+@dataclass
+class IntSummary:
+    count: int
+    total: int | None
+    minimum: int | None
+    maximum: int | None
+    percentiles: dict[float, float | None] = field(default_factory=dict)
+
+    @property
+    def mean(self) -> float | None:
+        # Same value as Spark's avg of an INT column (double sum / count) as
+        # long as the sum is below 2^53.
+        return None if not self.count else float(self.total) / self.count
+
+
+def _bucket_pass(df: DataFrame, x: Column, lo: int, hi: int, buckets: int, with_sums: bool = False) -> tuple[int, list]:
+    """Counts (and min/max[/sum]) per equal-width bucket of [lo, hi]."""
+    width = -(-(hi - lo + 1) // buckets)  # ceil division
+    # Exact: both operands are integers below 2^34, far from double rounding.
+    b = F.floor((x.cast("bigint") - F.lit(lo)) / F.lit(width)).cast("int").alias("b")
+    aggs = [F.count(F.lit(1)).alias("n"), F.min(x).alias("mn"), F.max(x).alias("mx")]
+    if with_sums:
+        aggs.append(F.sum(x).alias("s"))
+    rows = df.where(x.between(lo, hi)).groupBy(b).agg(*aggs).collect()
+    return width, sorted(rows, key=lambda r: r["b"])
+
+
+def _pick(rows: list, rank: int, below: int) -> tuple[object, int]:
+    """The bucket row holding 0-based ``rank`` and the rows before it."""
     seen = below
+    for r in rows:
+        if seen + r["n"] > rank:
+            return r, seen
+        seen += r["n"]
+    raise RuntimeError("rank beyond the data")  # pragma: no cover
+
+
+def _value_at_rank(df: DataFrame, x: Column, rank: int, first_pass: list, buckets: int) -> tuple[int, int, int | None]:
+    """(value at ``rank``, rows <= value, next larger value if known)."""
+    row, below = _pick(first_pass, rank, 0)
+    lo, hi = row["mn"], row["mx"]
+    while hi - lo + 1 > buckets:
+        _, rows = _bucket_pass(df, x, lo, hi, buckets)
+        row, below = _pick(rows, rank, below)
+        lo, hi = row["mn"], row["mx"]
     hist = sorted(df.where(x.between(lo, hi)).groupBy(x.alias("v")).count().collect())
-    for v, c in hist:
+    seen = below
+    for i, (v, c) in enumerate(hist):
         if seen + c > rank:
-            return int(v), seen + c
+            nxt = hist[i + 1][0] if i + 1 < len(hist) else None
+            return int(v), seen + c, nxt
         seen += c
-    raise RuntimeError("rank not found")  # pragma: no cover
+    raise RuntimeError("rank beyond the data")  # pragma: no cover
 
 
-def exact_percentile(df: DataFrame, column: str | Column, p: float = 0.5, buckets: int = DEFAULT_BUCKETS,
-                     stats: tuple[int, int | None, int | None] | None = None) -> float | None:
-    """Exact ``percentile(column, p)`` of an integer column; NULLs ignored.
-
-    ``stats`` = (non-NULL count, min, max) when the caller already has them.
-    """
-    if not 0.0 <= p <= 1.0:
-        raise ValueError("p must be in [0, 1]")
+def int_summary(df: DataFrame, column: str | Column, percentiles: tuple[float, ...] = (0.5,),
+                buckets: int = DEFAULT_BUCKETS) -> IntSummary:
+    """Exact count/sum/min/max and percentiles of an INT column (NULLs ignored)."""
+    if any(not 0.0 <= p <= 1.0 for p in percentiles):
+        raise ValueError("percentiles must be in [0, 1]")
     x = F.col(column) if isinstance(column, str) else column
-    if stats is None:
-        row = df.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
-        stats = (row["n"], row["lo"], row["hi"])
-    n, lo, hi = stats
+    _, first = _bucket_pass(df, x, INT_MIN, INT_MAX, buckets, with_sums=True)
+    n = sum(r["n"] for r in first)
     if not n:
-        return None
-    pos = (n - 1) * p
-    k1, k2 = math.floor(pos), math.ceil(pos)
-    v1, le1 = _value_at_rank(df, x, k1, int(lo), int(hi), buckets)
-    if k2 == k1 or le1 > k2:
-        v2 = v1
-    else:  # the next rank holds the smallest value above v1
-        v2 = df.where(x > v1).agg(F.min(x)).first()[0]
-    if v1 == v2 or k1 == k2:
-        return float(v1)
-    return (k2 - pos) * float(v1) + (pos - k1) * float(v2)
+        return IntSummary(0, None, None, None, {p: None for p in percentiles})
+    out = IntSummary(n, sum(r["s"] for r in first), min(r["mn"] for r in first), max(r["mx"] for r in first))
+    for p in percentiles:
+        pos = (n - 1) * p
+        k1, k2 = math.floor(pos), math.ceil(pos)
+        v1, le1, nxt = _value_at_rank(df, x, k1, first, buckets)
+        if k2 == k1 or le1 > k2:
+            v2 = v1
+        elif nxt is not None:
+            v2 = nxt
+        else:  # the next value lies outside the final range: one small pass
+            v2 = df.where(x > v1).agg(F.min(x)).first()[0]
+        out.percentiles[p] = float(v1) if v1 == v2 else (k2 - pos) * float(v1) + (pos - k1) * float(v2)
+    return out
+
+
+def exact_percentile(df: DataFrame, column: str | Column, p: float = 0.5, buckets: int = DEFAULT_BUCKETS) -> float | None:
+    """Exact ``percentile(column, p)`` of an INT column; NULLs ignored."""
+    return int_summary(df, column, (p,), buckets).percentiles[p]

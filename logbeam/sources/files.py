@@ -2,9 +2,10 @@
 
 Thin by design: the work (pushdown, pruning, parallel scan, partitioned
 write) is Spark's.  What these add is the layout decisions -- Silver is
-repartitioned by its partition column before a ``partitionBy`` write so each
-date is written by a bounded number of tasks instead of every task -- and
-the type fix on read-back (a STRING partition column is inferred as DATE).
+rebalanced by its partition column before a ``partitionBy`` write so each
+date is written by a few tasks instead of every task, and unsplittable input
+is spread before parsing -- and the type fix on read-back (a STRING
+partition column is inferred as DATE).
 """
 
 from __future__ import annotations
@@ -31,25 +32,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a DataFrame over the cluster's cores when its scan yields
-    fewer partitions than that (one Parquet row group, one unsplittable .gz
-    text file), so the CPU-heavy regex parse runs on every core.
+    """Round-robin a DataFrame over the cluster's cores when its scan would
+    keep at most a quarter of them busy -- the signature of unsplittable
+    input (one Parquet row group, a few large .gz text files) -- so the
+    CPU-heavy regex parse runs on every core.
 
     The spread rows are checkpointed to the shared ``spark.checkpoint.dir``:
     without that boundary Catalyst pushes downstream filters (on parsed
-    fields) below the round-robin exchange, back into the single reading
-    task, and the whole parse runs there.  The checkpoint also cuts lineage,
-    so a lost executor does not re-read the unsplittable source.
+    fields) below the round-robin exchange, back into the few reading
+    tasks, and the whole parse runs there.  The checkpoint also cuts
+    lineage, so a lost executor does not re-read the unsplittable source.
 
-    Large inputs already have thousands of splits and pass through
-    untouched -- no shuffle and no checkpoint at scale.
+    Splittable inputs have enough splits and pass through untouched -- no
+    shuffle and no checkpoint.
     """
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    cores = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 4 > cores:
         return df
     checkpoint_root(spark)  # make sure the reliable checkpoint folder is set
-    return df.repartition(want).checkpoint(eager=True)
+    return df.repartition(cores).checkpoint(eager=True)
 
 
 # ----------------------------------------------------------------- readers

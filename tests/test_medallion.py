@@ -76,3 +76,12 @@ def test_write_gold_skips_failing_jdbc(spark, sample_silver):
     # no JDBC driver for this url: every table fails, is logged and skipped
     failures = medallion.write_gold({"summary": gold.summary(sample_silver)}, None, "jdbc:nosuchdb://x", {"driver": "no.such.Driver"})
     assert set(failures) == {"summary"}
+
+
+def test_spread_only_when_few_splits(spark):
+    one = spark.range(0, 1000, 1, numPartitions=1)
+    spread_df = files.spread(one, min_partitions=8)
+    assert spread_df.rdd.getNumPartitions() == 8
+    assert sorted(r[0] for r in spread_df.collect()) == list(range(1000))
+    many = spark.range(0, 1000, 1, numPartitions=4)
+    assert files.spread(many, min_partitions=8) is many

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from logbeam.operators import gold, questions
-from logbeam.operators.quantile import exact_percentile
+from logbeam.operators.quantile import exact_percentile, int_summary
 from logbeam.plans import catalog
 
 from .conftest import SF_SMALL
@@ -58,6 +58,10 @@ def test_exact_percentile_matches_spark(spark, values, p):
     df = spark.createDataFrame([(v,) for v in values], "x int")
     want = df.agg(F.percentile("x", p)).first()[0]
     got = exact_percentile(df, "x", p, buckets=16)
+    st = int_summary(df, "x", (p,), buckets=16)
+    nn = [v for v in values if v is not None]
+    assert (st.count, st.total, st.minimum, st.maximum) == (
+        len(nn), sum(nn) if nn else None, min(nn) if nn else None, max(nn) if nn else None)
     if want is None:
         assert got is None
     else:
@@ -66,7 +70,7 @@ def test_exact_percentile_matches_spark(spark, values, p):
 
 def test_exact_percentile_skewed(spark):
     rnd = random.Random(7)
-    vals = [5] * 3000 + [rnd.randint(0, 10**6) for _ in range(6000)]
+    vals = [5] * 3000 + [rnd.randint(0, 10**6) for _ in range(6000)] + [-(2**31), 2**31 - 1]
     df = spark.createDataFrame([(v,) for v in vals], "x int")
     for p in (0.25, 0.5, 0.75):
         assert exact_percentile(df, "x", p, buckets=32) == pytest.approx(df.agg(F.percentile("x", p)).first()[0])
