@@ -6,11 +6,12 @@ date) -> Gold aggregates and traffic questions, batch or streaming.
 
 from .functions.formats import LogFormat, get_format, register_format
 from .operators.layers import detect_format, extract_logs, to_bronze, to_silver, transform_logs
-from .plans.medallion import gold_or_recompute, run_medallion
+from .plans.medallion import analyze_logs, gold_or_recompute, run_medallion
 from .session import checkpoint_root, pin_time_zone, scratch_path
 
 __all__ = [
     "LogFormat",
+    "analyze_logs",
     "checkpoint_root",
     "detect_format",
     "extract_logs",

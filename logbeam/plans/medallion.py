@@ -73,6 +73,27 @@ def write_gold(tables: Mapping[str, DataFrame], gold_path: str | None = None, jd
     return {name: err for name, err in outcomes.items() if err is not None}
 
 
+def analyze_logs(silver: DataFrame, output_path: str | None = None, jdbc_url: str | None = None,
+                 jdbc_properties: Mapping[str, str] | None = None, top_n: int = gold.TOP_N,
+                 view_name: str | None = "logs") -> dict[str, DataFrame]:
+    """L2: register Silver as a temp view for ad-hoc SQL (Q1), build the Gold
+    tables, and write them when ``output_path`` / ``jdbc_url`` is given.
+
+    Returns name -> DataFrame (lazy when nothing is written; read back from
+    the written Parquet otherwise, so later use does not recompute).
+    """
+    if view_name:
+        silver.createOrReplaceTempView(view_name)
+    tables = gold.gold_tables(silver, top_n)
+    if not output_path and not jdbc_url:
+        return tables
+    write_gold(tables, output_path, jdbc_url, jdbc_properties)
+    if not output_path:
+        return tables
+    spark = silver.sparkSession
+    return {name: files.read_parquet(spark, f"{output_path.rstrip('/')}/{name}") for name in tables}
+
+
 def run_medallion(spark: SparkSession, input_path: str, output_path: str, log_format: str | None = None,
                   jdbc_url: str | None = None, jdbc_properties: Mapping[str, str] | None = None,
                   top_n: int = gold.TOP_N) -> dict[str, Any]:
@@ -94,7 +115,9 @@ def run_medallion(spark: SparkSession, input_path: str, output_path: str, log_fo
         silver_obs = Observation("silver")
         files.write_silver(silver.observe(silver_obs, F.count(F.lit(1)).alias("rows")), paths["silver"])
 
-        tables = gold.gold_tables(files.read_silver(spark, paths["silver"]), top_n)
+        silver_back = files.read_silver(spark, paths["silver"])
+        silver_back.createOrReplaceTempView("logs")
+        tables = gold.gold_tables(silver_back, top_n)
         failures = write_gold(tables, paths["gold"], jdbc_url, jdbc_properties)
         metrics = {name: files.read_parquet(spark, f"{paths['gold']}/{name}") for name in tables}
         return {

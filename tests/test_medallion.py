@@ -85,3 +85,13 @@ def test_spread_only_when_few_splits(spark):
     assert sorted(r[0] for r in spread_df.collect()) == list(range(1000))
     many = spark.range(0, 1000, 1, numPartitions=4)
     assert files.spread(many, min_partitions=8) is many
+
+
+def test_analyze_logs_registers_view_and_writes(spark, sample_silver):
+    tables = medallion.analyze_logs(sample_silver)
+    assert set(tables) == {"summary", "top_ips", "top_endpoints", "error_analysis", "peak_traffic", "peak_error"}
+    assert spark.sql("SELECT count(*) FROM logs").first()[0] == 6
+    out = scratch_path(spark, "t-analyze")
+    written = medallion.analyze_logs(sample_silver, output_path=out)
+    assert files.path_exists(spark, f"{out}/peak_traffic")
+    assert written["peak_traffic"].collect()[0]["requests"] == 6
