@@ -52,21 +52,20 @@ def pin_time_zone(spark: SparkSession, tz: str = UTC) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this is set by the operator and is visible to every
-    executor.  Only when it is unset (a test session) do we create one and
-    register it, so later ``checkpoint()`` calls land in the same place.
+    """The shared folder for checkpoints and scratch output.
+
+    On a cluster this is ``spark.checkpoint.dir`` (a static setting, chosen
+    by whoever starts the cluster, visible to every executor); a context
+    whose checkpoint folder was already set with ``setCheckpointDir`` uses
+    that.  Only when neither exists (a local test session) is a folder
+    created and registered with ``setCheckpointDir`` -- the setting itself
+    cannot change at run time.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="logbeam-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="logbeam-ckpt-"))
+    return (root or sc.getCheckpointDir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

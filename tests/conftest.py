@@ -36,8 +36,8 @@ def spark() -> SparkSession:
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="logbeam-test-ckpt-"))
+    # spark.checkpoint.dir is read from the session; logbeam registers its
+    # own folder only when the session has none (checkpoint_root).
     yield s
 
 
