@@ -123,20 +123,28 @@ def write(df: DataFrame, path: str, file_format: str, mode: str = "overwrite",
     writer.save(str(path))
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None) -> None:
-    """K2: Parquet sink (snappy, Spark's default codec); modes overwrite/append."""
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None,
+                  dynamic_overwrite: bool = False) -> None:
+    """K2: Parquet sink (snappy, Spark's default codec); modes overwrite/append.
+
+    ``dynamic_overwrite`` (with ``partition_by`` and mode overwrite) replaces
+    only the partitions present in ``df`` -- a daily load rewrites its own
+    dates and leaves the rest of the table alone.
+    """
+    options = {"partitionOverwriteMode": "dynamic"} if dynamic_overwrite else None
     if partition_by:
         # Cluster rows of one partition value into few tasks: one file per
         # (date, task) instead of one per (date, every task).  REBALANCE (not
         # repartition) lets AQE split a hot date across several tasks, so a
         # date holding a third of all rows is not written by one task.
         df = df.hint("rebalance", *partition_by)
-    write(df, path, "parquet", mode=mode, partition_by=partition_by)
+    write(df, path, "parquet", mode=mode, partition_by=partition_by, options=options)
 
 
-def write_silver(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K3: Silver partitioned by ``date``."""
-    write_parquet(df, path, mode=mode, partition_by=[SILVER_PARTITION])
+def write_silver(df: DataFrame, path: str, mode: str = "overwrite", dynamic_overwrite: bool = False) -> None:
+    """K3: Silver partitioned by ``date`` (optionally replacing only the dates
+    present in ``df``)."""
+    write_parquet(df, path, mode=mode, partition_by=[SILVER_PARTITION], dynamic_overwrite=dynamic_overwrite)
 
 
 def write_jdbc(df: DataFrame, url: str | None, table: str, mode: str = "overwrite",

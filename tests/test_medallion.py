@@ -95,3 +95,18 @@ def test_analyze_logs_registers_view_and_writes(spark, sample_silver):
     written = medallion.analyze_logs(sample_silver, output_path=out)
     assert files.path_exists(spark, f"{out}/peak_traffic")
     assert written["peak_traffic"].collect()[0]["requests"] == 6
+
+
+def test_silver_dynamic_partition_overwrite(spark, lines_df):
+    from logbeam.operators.layers import to_bronze, to_silver
+
+    day = '10.0.0.1 - - [{d}/Jun/2025:10:00:00 +0000] "GET /x HTTP/1.1" 200 {n} "-" "c"'
+    first = to_silver(to_bronze(lines_df([day.format(d="27", n=1), day.format(d="28", n=2)]), "combined"))
+    again = to_silver(to_bronze(lines_df([day.format(d="28", n=5)]), "combined"))
+    path = scratch_path(spark, "t-dyn")
+    files.write_silver(first, path)
+    files.write_silver(again, path, dynamic_overwrite=True)
+    got = sorted((r["date"], r["bytes_sent_int"]) for r in files.read_silver(spark, path).collect())
+    assert got == [("2025-06-27", 1), ("2025-06-28", 5)]
+    files.write_silver(again, path)  # static overwrite replaces the whole table
+    assert files.read_silver(spark, path).count() == 1
