@@ -23,6 +23,10 @@ class LogFormat:
     columns: tuple[str, ...]
     timestamp_format: str | None = None
 
+    def __post_init__(self) -> None:
+        # Accept any sequence of names; keep the format hashable.
+        object.__setattr__(self, "columns", tuple(self.columns))
+
     def has_timestamp(self) -> bool:
         return bool(self.timestamp_format) and "timestamp_str" in self.columns
 

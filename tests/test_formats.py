@@ -40,7 +40,8 @@ def test_extract_logs_auto(spark, text_dir):
 
 
 def test_custom_format(lines_df):
-    fmt = LogFormat("ip_status", r"^(\S+) .* (\d{3}) \S+ \"", ("ip", "status"))
+    fmt = LogFormat("ip_status", r"^(\S+) .* (\d{3}) \S+ \"", ["ip", "status"])
+    assert fmt.columns == ("ip", "status") and hash(fmt)
     register_format(fmt, detectable=False)
     r = to_bronze(lines_df(SAMPLE_LINES[:1]), "ip_status").first()
     assert (r["ip"], r["status"]) == ("192.168.1.1", "200")
