@@ -83,17 +83,20 @@ def extract_logs(spark: SparkSession, path: str, log_format: str | LogFormat | N
 def to_silver(bronze: DataFrame) -> DataFrame:
     """E1-E6 in one projection: types, extension/static flag, time parts.
 
-    Time parts are skipped when there is no ``parsed_timestamp`` (a format
-    without a timestamp).
+    Each enrichment is added when its input column exists, so a custom
+    format without (say) a size still gets the others; time parts need
+    ``parsed_timestamp``.
     """
-    ext = enrich.file_extension("url")
-    cols = [F.col(c) for c in bronze.columns] + [
-        enrich.status_int("status").alias("status_int"),
-        enrich.bytes_sent_int("size").alias("bytes_sent_int"),
-        ext.alias("file_extension"),
-        enrich.is_static_asset(ext).alias("is_static_asset"),
-    ]
-    if "parsed_timestamp" in bronze.columns:
+    have = set(bronze.columns)
+    cols = [F.col(c) for c in bronze.columns]
+    if "status" in have:
+        cols.append(enrich.status_int("status").alias("status_int"))
+    if "size" in have:
+        cols.append(enrich.bytes_sent_int("size").alias("bytes_sent_int"))
+    if "url" in have:
+        ext = enrich.file_extension("url")
+        cols += [ext.alias("file_extension"), enrich.is_static_asset(ext).alias("is_static_asset")]
+    if "parsed_timestamp" in have:
         cols += enrich.time_dimensions("parsed_timestamp")
     return bronze.select(*cols)
 

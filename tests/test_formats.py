@@ -74,3 +74,13 @@ def test_single_match_equals_per_field_extract(spark, fmt_name):
     want = df.select("value", *field_columns(fmt))
     got = to_bronze(df, fmt).select(want.columns)
     assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+
+
+def test_silver_of_partial_format(lines_df):
+    from logbeam.operators.layers import to_silver
+
+    fmt = LogFormat("request_only", r'"(\S+) (\S+) (\S+)"', ("method", "url", "protocol"))
+    register_format(fmt, detectable=False)
+    r = to_silver(to_bronze(lines_df(SAMPLE_LINES[4:5]), "request_only")).first()
+    assert r["file_extension"] == "css" and r["is_static_asset"] is True
+    assert "status_int" not in r.asDict() and "date" not in r.asDict()
