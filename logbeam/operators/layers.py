@@ -29,13 +29,16 @@ from ..sources import files
 def to_bronze(lines: DataFrame, log_format: str | LogFormat = DEFAULT_FORMAT, value: str = "value") -> DataFrame:
     """Raw ``value`` + STRING field per capture group (+ parsed_timestamp).
 
-    Two stacked projections inside one codegen stage: the first runs the
-    regex once per line (``single_match``), the second slices the fields out
-    of the match (Catalyst keeps them apart because the match is used by
-    every field, so it is computed once).
+    The regex runs once per line (``single_match``) and the fields are
+    array lookups into that match.  The match is emitted through a one-row
+    generator (``inline`` of a one-element array): Catalyst pushes a filter
+    through projections by copying the aliased expressions into it, so a
+    filter on a parsed field (``status_int >= 400``, ``NOT is_static_asset``)
+    would otherwise run the regex a second time; it never pushes a filter on
+    generator output below the generator, so the match is computed once.
     """
     fmt = get_format(log_format)
-    matched = lines.select(F.col(value).alias("value"), *single_match(fmt, "value"))
+    matched = lines.select(F.col(value).alias("value"), F.inline(F.array(F.struct(*single_match(fmt, "value")))))
     bronze = matched.select("value", *fields_from_match(fmt, "value"))
     if fmt.has_timestamp():
         bronze = bronze.select("*", parsed_timestamp(fmt, "timestamp_str"))

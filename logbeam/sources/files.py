@@ -38,10 +38,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     CPU-heavy regex parse runs on every core.
 
     The spread rows are checkpointed to the shared ``spark.checkpoint.dir``:
-    without that boundary Catalyst pushes downstream filters (on parsed
-    fields) below the round-robin exchange, back into the few reading
-    tasks, and the whole parse runs there.  The checkpoint also cuts
-    lineage, so a lost executor does not re-read the unsplittable source.
+    the unsplittable read happens once, a lost executor recomputes from the
+    checkpoint instead of re-reading (re-decompressing) the source in one
+    task, and nothing downstream is pushed back into the reading tasks.
 
     Splittable inputs have enough splits and pass through untouched -- no
     shuffle and no checkpoint.
