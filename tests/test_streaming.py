@@ -1,6 +1,5 @@
 """Streaming results equal batch results."""
 
-from pyspark.sql import functions as F
 
 from logbeam.operators.layers import to_bronze, to_silver
 from logbeam.session import scratch_path
