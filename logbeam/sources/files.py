@@ -123,15 +123,17 @@ def write(df: DataFrame, path: str, file_format: str, mode: str = "overwrite",
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None,
-                  dynamic_overwrite: bool = False) -> None:
+                  dynamic_overwrite: bool = False, rebalance: bool = True) -> None:
     """K2: Parquet sink (snappy, Spark's default codec); modes overwrite/append.
 
     ``dynamic_overwrite`` (with ``partition_by`` and mode overwrite) replaces
     only the partitions present in ``df`` -- a daily load rewrites its own
-    dates and leaves the rest of the table alone.
+    dates and leaves the rest of the table alone.  ``rebalance=False`` skips
+    the shuffle by partition value when the input is already clustered by it
+    (time-ordered log files, each task touching a few dates).
     """
     options = {"partitionOverwriteMode": "dynamic"} if dynamic_overwrite else None
-    if partition_by:
+    if partition_by and rebalance:
         # Cluster rows of one partition value into few tasks: one file per
         # (date, task) instead of one per (date, every task).  REBALANCE (not
         # repartition) lets AQE split a hot date across several tasks, so a
@@ -140,10 +142,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     write(df, path, "parquet", mode=mode, partition_by=partition_by, options=options)
 
 
-def write_silver(df: DataFrame, path: str, mode: str = "overwrite", dynamic_overwrite: bool = False) -> None:
+def write_silver(df: DataFrame, path: str, mode: str = "overwrite", dynamic_overwrite: bool = False,
+                 rebalance: bool = True) -> None:
     """K3: Silver partitioned by ``date`` (optionally replacing only the dates
-    present in ``df``)."""
-    write_parquet(df, path, mode=mode, partition_by=[SILVER_PARTITION], dynamic_overwrite=dynamic_overwrite)
+    present in ``df``; ``rebalance`` as in ``write_parquet``)."""
+    write_parquet(df, path, mode=mode, partition_by=[SILVER_PARTITION], dynamic_overwrite=dynamic_overwrite,
+                  rebalance=rebalance)
 
 
 def write_jdbc(df: DataFrame, url: str | None, table: str, mode: str = "overwrite",

@@ -110,3 +110,13 @@ def test_silver_dynamic_partition_overwrite(spark, lines_df):
     assert got == [("2025-06-27", 1), ("2025-06-28", 5)]
     files.write_silver(again, path)  # static overwrite replaces the whole table
     assert files.read_silver(spark, path).count() == 1
+
+
+def test_silver_write_rebalance_flag(spark, sample_silver):
+    def plan_for(rebalance):
+        path = scratch_path(spark, "t-reb")
+        df = sample_silver
+        files.write_silver(df, path, rebalance=rebalance)
+        return files.read_silver(spark, path).count()
+
+    assert plan_for(True) == plan_for(False) == 6
