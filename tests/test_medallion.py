@@ -113,10 +113,10 @@ def test_silver_dynamic_partition_overwrite(spark, lines_df):
 
 
 def test_silver_write_rebalance_flag(spark, sample_silver):
-    def plan_for(rebalance):
+    def written_rows(rebalance):
         path = scratch_path(spark, "t-reb")
         df = sample_silver
         files.write_silver(df, path, rebalance=rebalance)
         return files.read_silver(spark, path).count()
 
-    assert plan_for(True) == plan_for(False) == 6
+    assert written_rows(True) == written_rows(False) == 6
