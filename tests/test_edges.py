@@ -101,3 +101,20 @@ def test_nginx_dash_size_is_malformed(ansi, lines_df):
 def test_unknown_format_raises(lines_df):
     with pytest.raises(ValueError):
         to_bronze(lines_df(["x"]), "no_such_format")
+
+
+def test_top_k_ties_break_on_key(ansi, lines_df):
+    s = silver_of(lines_df, [line().replace("10.0.0.1", ip) for ip in ("10.0.0.9", "10.0.0.2", "10.0.0.5")])
+    assert [r["ip"] for r in gold.top_ips(s, limit=2).collect()] == ["10.0.0.2", "10.0.0.5"]
+    assert [r["ip"] for r in questions.top_ips_by_count(s, limit=1).collect()] == ["10.0.0.2"]
+
+
+def test_avg_response_size_counts_dash_as_zero_and_skips_junk(ansi, lines_df):
+    r = one(gold.summary(silver_of(lines_df, [line(size="10"), line(size="-"), "junk"])))
+    assert r["avg_response_size"] == 5.0 and r["total_requests"] == 3
+    assert abs(r["error_rate"]) < 1e-12 and r["total_errors"] == 0
+
+
+def test_unparsed_url_is_kept_as_an_endpoint(ansi, lines_df):
+    got = {r["url"]: r["requests"] for r in gold.top_endpoints(silver_of(lines_df, ["junk", "junk", line()])).collect()}
+    assert got == {"": 2, "/x": 1}
