@@ -76,30 +76,29 @@ def size_histogram(silver: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width histogram of the numeric size over [min, max].
 
     Bin i (1-based) holds lo + (i-1)w <= x < lo + iw, the maximum goes to the
-    last bin.  ``min``/``max`` are scalar subqueries (Spark merges the two
-    into one job), so the whole histogram is one lazy plan: a partial/final
-    count by bin, then a left join of the ``bins`` bin numbers (broadcast,
-    size fixed by the parameter) to zero-fill empty bins.  Output:
-    ``bin, bin_lo, bin_hi, count``.
+    last bin.  Two passes: one partial/final aggregate for min/max (a single
+    row to the driver), then a partial/final count by bin, left-joined to
+    the ``bins`` bin numbers (broadcast, size fixed by the parameter) so
+    empty bins show 0.  Output: ``bin, bin_lo, bin_hi, count``.
     """
     spark = silver.sparkSession
     sized = silver.select(enrich.size_bytes("size").alias("_size")).where(F.col("_size").isNotNull())
-    lo = sized.select(F.min("_size")).scalar()
-    hi = sized.select(F.max("_size")).scalar()
-    width = (hi.cast("bigint") - lo).cast("double")
-    offset = F.col("_size").cast("bigint") - lo  # 64-bit: no overflow over the full INT range
-    raw_bin = F.when(hi == lo, F.lit(1)).otherwise(
-        F.least(F.floor(offset * F.lit(float(bins)) / width) + 1, F.lit(bins))
-    ).cast("int")
-    counts = sized.groupBy(raw_bin.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    lo, hi = sized.agg(F.min("_size"), F.max("_size")).first()
     all_bins = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    if lo is None:  # no numeric size at all: every bin empty, no edges
+        none = F.lit(None).cast("double")
+        return all_bins.select("bin", none.alias("bin_lo"), none.alias("bin_hi"), F.lit(0).cast("bigint").alias("count"))
+    width = float(hi - lo)
+    offset = F.col("_size").cast("bigint") - F.lit(lo)  # 64-bit: no overflow over the full INT range
+    raw_bin = F.lit(1) if hi == lo else F.least(F.floor(offset * F.lit(float(bins)) / F.lit(width)) + 1, F.lit(bins))
+    counts = sized.groupBy(raw_bin.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     edges = F.col("bin").cast("double")
     return (
         all_bins.join(F.broadcast(counts), "bin", "left")
         .select(
             "bin",
-            (lo + width * (edges - 1) / bins).alias("bin_lo"),
-            (lo + width * edges / bins).alias("bin_hi"),
+            (F.lit(lo) + F.lit(width) * (edges - 1) / bins).alias("bin_lo"),
+            (F.lit(lo) + F.lit(width) * edges / bins).alias("bin_hi"),
             F.coalesce(F.col("count"), F.lit(0).cast("bigint")).alias("count"),
         )
         .orderBy("bin")

@@ -118,3 +118,13 @@ def test_avg_response_size_counts_dash_as_zero_and_skips_junk(ansi, lines_df):
 def test_unparsed_url_is_kept_as_an_endpoint(ansi, lines_df):
     got = {r["url"]: r["requests"] for r in gold.top_endpoints(silver_of(lines_df, ["junk", "junk", line()])).collect()}
     assert got == {"": 2, "/x": 1}
+
+
+def test_histogram_without_numeric_sizes(ansi, lines_df):
+    rows = questions.size_histogram(silver_of(lines_df, ["junk", line(size="-")])).collect()
+    assert len(rows) == 50 and all(r["count"] == 0 and r["bin_lo"] is None for r in rows)
+
+
+def test_histogram_single_value(ansi, lines_df):
+    rows = questions.size_histogram(silver_of(lines_df, [line(size="7"), line(size="7")])).collect()
+    assert rows[0]["count"] == 2 and rows[0]["bin_lo"] == 7.0 and sum(r["count"] for r in rows) == 2
