@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import enrich
 from ..session import scratch_path
+from ..sources import files
 from .quantile import int_summary
 
 TOP_N = 10
@@ -114,7 +115,10 @@ def size_stats(silver: DataFrame, size_col: str = "size") -> DataFrame:
     spark = silver.sparkSession
     path = scratch_path(spark, "sizes")
     silver.select(enrich.size_bytes(size_col).alias("_size")).where(F.col("_size").isNotNull()).write.parquet(path)
-    st = int_summary(spark.read.parquet(path), "_size", (0.5,))
+    try:
+        st = int_summary(spark.read.parquet(path), "_size", (0.5,))
+    finally:
+        files.delete_path(spark, path)  # the result below is five numbers; the column is scratch
     return spark.createDataFrame(
         [(st.total, st.maximum, st.minimum, st.mean, st.percentiles[0.5])],
         "total_bytes bigint, max_bytes int, min_bytes int, avg_bytes double, median_bytes double",

@@ -88,6 +88,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", UTC)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.serializer", os.environ.get("LOGBEAM_SERIALIZER", "org.apache.spark.serializer.KryoSerializer"))
         .config("spark.driver.memory", os.environ.get("LOGBEAM_DRIVER_MEMORY", "8g"))
     )

@@ -31,6 +31,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete a scratch location through its Hadoop FileSystem
+    (local, HDFS or object store)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(str(path))
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a DataFrame over the cluster's cores when its scan would
     keep at most a quarter of them busy -- the signature of unsplittable

@@ -87,3 +87,13 @@ def test_questions(sample_silver):
     assert len(rows(questions.top_urls(sample_silver))) == 5
     # the css file is excluded by the wider file rule too
     assert "/static/css/main.css" not in [r[0] for r in rows(questions.top_endpoints_excluding_files(sample_silver))]
+
+
+def test_size_stats_removes_its_scratch_column(spark, sample_silver, monkeypatch):
+    from logbeam.session import scratch_path
+    from logbeam.sources import files
+
+    path = scratch_path(spark, "t-sizes")
+    monkeypatch.setattr(gold, "scratch_path", lambda s, name: path)
+    assert gold.size_stats(sample_silver).first()["median_bytes"] == 1024.0
+    assert not files.path_exists(spark, path)
