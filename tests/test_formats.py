@@ -84,3 +84,18 @@ def test_silver_of_partial_format(lines_df):
     r = to_silver(to_bronze(lines_df(SAMPLE_LINES[4:5]), "request_only")).first()
     assert r["file_extension"] == "css" and r["is_static_asset"] is True
     assert "status_int" not in r.asDict() and "date" not in r.asDict()
+
+
+def test_extract_logs_spreads_a_single_gzip_file(spark):
+    import gzip
+    import tempfile
+    from pathlib import Path
+
+    from .conftest import SAMPLE_LINES
+
+    d = Path(tempfile.mkdtemp(prefix="logbeam-gz-"))
+    with gzip.open(d / "access.log.gz", "wt") as fh:
+        fh.write("\n".join(SAMPLE_LINES * 50) + "\n")
+    bronze = extract_logs(spark, str(d / "access.log.gz"), "combined")
+    assert bronze.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert bronze.count() == 300 and bronze.where("ip = ''").count() == 0
