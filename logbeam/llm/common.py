@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
@@ -57,3 +58,12 @@ def scratch_name(wanted: str, taken: Sequence[str]) -> str:
     while name.lower() in used:
         name += "_"
     return name
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null equal to null; the right side's keys go."""
+    renamed = {k: f"__right_{k}" for k in keys}
+    on = F.lit(True)
+    for k, r in renamed.items():
+        on = on & F.col(k).eqNullSafe(F.col(r))
+    return left.join(right.withColumnsRenamed(renamed), on, how).drop(*renamed.values())

@@ -5,19 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import op8_minhash
+from . import op4_decontaminate, op5_mix, op6_line_dedup, op8_minhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = op5_mix.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", F.size("blocks").alias("n_blocks"))
+
+
+def op6_line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = op6_line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return report.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_spaced_seed_decontamination": op4_spaced_seed_decontamination,
+        "op5_source_mix": op5_source_mix,
+        "op6_line_dedup": op6_line_dedup_query,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
     }
 
