@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op4_decontaminate, op5_mix, op6_line_dedup, op8_minhash
+from . import op1_quality, op4_decontaminate, op5_mix, op6_line_dedup, op8_minhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -33,6 +37,7 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality_classifier": op1_quality_classifier,
         "op4_spaced_seed_decontamination": op4_spaced_seed_decontamination,
         "op5_source_mix": op5_source_mix,
         "op6_line_dedup": op6_line_dedup_query,
