@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_quality, op4_decontaminate, op5_mix, op6_line_dedup, op8_minhash
+from . import op1_quality, op2_token_counts, op4_decontaminate, op5_mix, op6_line_dedup, op8_minhash, op9_fingerprint
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_token_counts.token_counts(table(spark, sf_dir, "documents"), ("text",), "most")
+
+
 def op4_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,13 +39,19 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
+        "op2_token_counts": op2_token_counts_query,
         "op4_spaced_seed_decontamination": op4_spaced_seed_decontamination,
         "op5_source_mix": op5_source_mix,
         "op6_line_dedup": op6_line_dedup_query,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
+        "op9_document_fingerprints": op9_document_fingerprints,
     }
 
 
