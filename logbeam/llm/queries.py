@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_quality, op2_token_counts, op4_decontaminate, op5_mix, op6_line_dedup, op8_minhash, op9_fingerprint
+from . import op1_quality, op2_token_counts, op3_pii, op4_decontaminate, op5_mix, op6_line_dedup, op8_minhash, op9_fingerprint
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_token_counts.token_counts(table(spark, sf_dir, "documents"), ("text",), "most")
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_pii.digest(op3_pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op4_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,6 +51,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
         "op2_token_counts": op2_token_counts_query,
+        "op3_personal_data": op3_personal_data,
         "op4_spaced_seed_decontamination": op4_spaced_seed_decontamination,
         "op5_source_mix": op5_source_mix,
         "op6_line_dedup": op6_line_dedup_query,
