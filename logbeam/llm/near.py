@@ -5,11 +5,16 @@ band keys; this module turns them into verified links and components:
 
 * documents with one set digest form a class, known by its smallest id, and
   only classes meet in bands, so copies never pair with each other;
-* in a band bucket every class is first verified against one hub (linear in
-  the bucket's size), and the verified links are contracted;
-* what a bucket then still holds in different components is verified pair by
-  pair, so no candidate pair is left out.  A bucket of near copies is one
-  component by then; its members are not expanded into all pairs.
+* in a band bucket every class is compared with one hub (linear in the
+  bucket's size), the class that meets most others in all its buckets, as the
+  original of a group of copies does; the links are contracted;
+* what then still lies in different components is settled exactly without
+  pairing the bucket.  For any hub h, |x & y| is at most min(|x & h|, |y & h|)
+  plus what x and y share outside h.  So a similar pair either has its whole
+  overlap possible inside h ("core" pairs, listed by the sizes), or shares
+  shingles outside h, at least as many as x lacks inside: it meets on one of
+  the first of those in hash order (prefix filtering).  Only pairs that meet
+  this way and lie in different components are compared.
 """
 
 from __future__ import annotations
@@ -37,33 +42,52 @@ def shingle_set(text: str | None, k: int, lower: bool) -> np.ndarray:
     return np.unique(words.shingles(hashes, rows, k)[0])
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether 100 * intersection >= percent * union, in integers."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both) and both > 0
+def _compare(batches: Iterator[pa.RecordBatch], k: int, lower: bool, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (hub, b, least size under the hub, hub's text, b's text), sorted
+    by hub, to (hub, b, linked, n, inside, core, outside).
 
-
-def _verify(batches: Iterator[pa.RecordBatch], k: int, lower: bool, percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows (a, b, text_a, text_b) to the pairs (a, b) that hold.  Rows come
-    sorted by ``a``; the last hub's set is kept."""
+    ``inside``: b's shingles in the hub.  ``outside``: b's other shingles, all
+    of them, or the first in order when any similar partner of b must share
+    more than one of them.  ``core``: the overlap with a partner of the least
+    possible size could lie inside the hub.
+    """
     hub, hub_set = None, None
     for batch in batches:
-        keep = np.zeros(batch.num_rows, bool)
-        ids = batch.column(0)
-        for i in range(batch.num_rows):
-            a = ids[i].as_py()
+        linked, core = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, bool)
+        sizes, inside, outside = [], [], []
+        for i, (a, least) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
             if hub_set is None or a != hub:
-                hub, hub_set = a, shingle_set(batch.column(2)[i].as_py(), k, lower)
-            keep[i] = similar(hub_set, shingle_set(batch.column(3)[i].as_py(), k, lower), percent)
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in (0, 1)], names=["a", "b"]).filter(pa.array(keep))
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
+                hub, hub_set = a, shingle_set(batch.column(3)[i].as_py(), k, lower)
+            own = shingle_set(batch.column(4)[i].as_py(), k, lower)
+            rest = np.setdiff1d(own, hub_set, assume_unique=True)
+            n, both = len(own), len(own) - len(rest)
+            linked[i] = both > 0 and (100 + percent) * both >= percent * (n + len(hub_set))
+            partner = max(least, -(-percent * n // 100))
+            short = -(-percent * (n + partner) // (100 + percent)) - both
+            core[i] = short <= 0
+            sizes.append(n)
+            inside.append(both)
+            outside.append((rest if short <= 0 else rest[: max(0, len(rest) - short + 1)]).view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(linked), pa.array(sizes, pa.int64()), pa.array(inside, pa.int64()),
+             pa.array(core), _long_lists(outside)],
+            names=["a", "b", "linked", "n", "inside", "core", "outside"])
+
+
+def _long_lists(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum([len(r) for r in rows], out=offsets[1:])
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*rows, np.zeros(0, np.int64)])))
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: int) -> DataFrame:
+    """The pairs (a, b, least) compared on their full shingle sets."""
     with_b = pairs.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
-    rows = both.select("a", "b", "text_a", "text_b")
-    return arrow_map(rows, partial(_verify, k=k, lower=lower, percent=percent), "a long, b long")
+    rows = both.select("a", "b", "least", "text_a", "text_b")
+    return arrow_map(
+        rows, partial(_compare, k=k, lower=lower, percent=percent),
+        "a long, b long, linked boolean, n long, inside long, core boolean, outside array<long>")
 
 
 def _propagate(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -99,32 +123,26 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _size_fits(percent: int):
-    """Two sets can only reach the threshold when their sizes are near."""
-    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    return small * 100 >= large * percent
-
-
 def linked_classes(classes: DataFrame, docs: DataFrame, k: int, lower: bool, percent: int) -> DataFrame:
     """Verified links (a, b) between classes (rep, n, bands array<long>);
     ``docs`` (doc_id, text) holds the representatives' texts.  The links span
-    every component: each pair of classes that shares a band is verified or
-    already joined by verified links."""
+    every component: each pair of classes that shares a band is verified,
+    joined by verified links, or cannot be similar."""
     members = classes.select("rep", "n", F.explode("bands").alias("key"))
-    # the hub: a different pseudo-random member in each bucket
-    order = F.struct(F.xxhash64("key", "rep").alias("h"), "rep", "n")
-    buckets = (
-        members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(order).alias("hub"))
-        .where("size > 1").select("key", F.col("hub.rep").alias("a"), F.col("hub.n").alias("n_a"))
-    )
-    shared = saved(members.withColumnsRenamed({"rep": "b", "n": "n_b"}).join(buckets, "key"))
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = saved(members.join(sizes, "key"))
+    popular = shared.groupBy("rep").agg(F.sum("size").alias("met"))
+    hub = F.min(F.struct(-F.col("met"), F.xxhash64("rep"), "rep"))
+    hubs = shared.join(popular, "rep").groupBy("key").agg(hub.alias("hub")).select("key", F.col("hub.rep").alias("a"))
+    tried = shared.join(hubs, "key").where("rep != a").select("a", F.col("rep").alias("b"), "n").distinct()
+    least = tried.groupBy("a").agg(F.min("n").alias("least"))
+    tried = saved(tried.drop("n").join(least, "a"))
+    wanted = tried.select(F.col("a").alias("rep")).union(tried.select("b")).distinct()
     texts = saved(
-        docs.select(F.col("doc_id").alias("rep"), "text")
-        .join(shared.select(F.col("b").alias("rep")).distinct(), "rep", "left_semi")
-        .dropDuplicates(["rep"])
+        docs.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
     )
-    tried = saved(shared.where((F.col("a") != F.col("b")) & _size_fits(percent)).select("a", "b").distinct())
-    links = saved(_verified(tried, texts, k, lower, percent))
+    compared = saved(_compared(tried, texts, k, lower, percent))
+    links = compared.where("linked").select("a", "b")
 
     both = _both_ways(links)
     labels = _first_labels(both)
@@ -132,29 +150,39 @@ def linked_classes(classes: DataFrame, docs: DataFrame, k: int, lower: bool, per
         labels = _propagate(labels, both).select("id", "label")
     labels = saved(labels)
 
-    placed = (
-        shared.select("key", F.col("b").alias("rep"), F.col("n_b").alias("n"))
-        .join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-        .withColumn("label", F.coalesce("label", "rep"))
+    # classes under a hub that lie in different components, met inside or outside it
+    under = (
+        compared.join(labels.select(F.col("id").alias("b"), F.col("label").alias("label_b")), "b", "left")
+        .join(labels.select(F.col("id").alias("a"), F.col("label").alias("label_a")), "a", "left")
+        .select("a", "b", "n", "inside", "core", "outside",
+                F.coalesce("label_a", "a").alias("label_a"), F.coalesce("label_b", "b").alias("label"))
+    )
+    open_hubs = (
+        under.groupBy("a").agg(F.count(F.lit(1)).alias("c"), F.max(F.col("label") != F.col("label_a")).alias("apart"))
+        .where("c > 1 and apart").select("a")
     )
-    by_label = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
-    open_buckets = (
+    under = under.join(open_hubs, "a")
+    member = [F.col("b").alias("rep"), "label", "n"]
+    outside = under.select(*member, F.lit(None).cast("long").alias("inside"), "a", F.explode("outside").alias("met"))
+    inside = under.where("core").select(*member, "inside", "a", F.lit(None).cast("long").alias("met"))
+    met = saved(outside.union(inside).withColumn("key", F.xxhash64("a", "met")).drop("a", "met").distinct())
+    by_label = met.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
+    apart = (
         by_label.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("size", "label")).alias("main"))
         .where("labels > 1").select("key", "main")
     )
-    placed = saved(placed.join(open_buckets, "key"))
-    others = placed.where("label != main").select(
-        "key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-    all_members = placed.select(
-        "key", "main", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
+    met = met.join(apart, "key")
+    x = met.where("label != main").select("key", *(F.col(c).alias(f"{c}_x") for c in ("rep", "label", "n", "inside")))
+    y = met.select("key", "main", *(F.col(c).alias(f"{c}_y") for c in ("rep", "label", "n", "inside")))
+    possible = (100 + percent) * F.least("inside_x", "inside_y") >= percent * (F.col("n_x") + F.col("n_y"))
+    near_size = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
     rest = (
-        others.join(all_members, "key")
-        .where("label_a != label_b and (label_b = main or a < b)")
-        .where(_size_fits(percent))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        x.join(y, "key").where("label_x != label_y and (label_y = main or rep_x < rep_y)")
+        .where(near_size & (F.col("inside_x").isNull() | F.col("inside_y").isNull() | possible))
+        .select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
     )
-    return saved(links.union(_verified(rest, texts, k, lower, percent)))
+    found = _compared(rest.withColumn("least", F.lit(0).cast("long")), texts, k, lower, percent)
+    return saved(links.union(found.where("linked").select("a", "b")))
 
 
 def near_components(signed: DataFrame, docs: DataFrame, k: int, lower: bool, percent: int) -> DataFrame:

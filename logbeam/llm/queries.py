@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_quality, op2_token_counts, op3_pii, op4_decontaminate, op5_mix, op6_line_dedup, op8_minhash, op9_fingerprint
+from . import op1_quality, op10_html, op2_token_counts, op3_pii, op4_decontaminate, op5_mix, op6_line_dedup, op8_minhash, op9_fingerprint
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_html.main_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -57,6 +61,7 @@ def queries() -> dict[str, Query]:
         "op6_line_dedup": op6_line_dedup_query,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_document_fingerprints": op9_document_fingerprints,
+        "op10_html_extraction": op10_html_extraction,
     }
 
 
