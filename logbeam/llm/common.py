@@ -60,6 +60,16 @@ def scratch_name(wanted: str, taken: Sequence[str]) -> str:
     return name
 
 
+#: Rows of ids and small values that are broadcast at most (some 50 MB).
+SMALL_ROWS = 500_000
+
+
+def small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """``df`` (saved, narrow rows) marked for broadcast if it has at most
+    ``limit`` rows; a larger one is joined by shuffle, with the same result."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on equal keys, null equal to null; the right side's keys go."""
     renamed = {k: f"__right_{k}" for k in keys}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_quality, op10_html, op2_token_counts, op3_pii, op4_decontaminate, op5_mix, op6_line_dedup, op8_minhash, op9_fingerprint
+from . import op1_quality, op10_html, op2_token_counts, op3_pii, op4_decontaminate, op5_mix, op6_line_dedup, op7_suffix_dedup, op8_minhash, op9_fingerprint
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op6_line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
@@ -59,6 +63,7 @@ def queries() -> dict[str, Query]:
         "op4_spaced_seed_decontamination": op4_spaced_seed_decontamination,
         "op5_source_mix": op5_source_mix,
         "op6_line_dedup": op6_line_dedup_query,
+        "op7_suffix_array_dedup": op7_suffix_array_dedup,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_document_fingerprints": op9_document_fingerprints,
         "op10_html_extraction": op10_html_extraction,
