@@ -5,9 +5,9 @@ date) -> Gold aggregates and traffic questions, batch or streaming.
 """
 
 from .functions.formats import LogFormat, get_format, register_format
-from .operators.layers import detect_format, extract_logs, to_bronze, to_silver, transform_logs
+from .operators.layers import detect_format, extract_logs, to_bronze, to_silver
 from .plans.medallion import analyze_logs, gold_or_recompute, run_medallion
-from .session import checkpoint_root, pin_time_zone, scratch_path
+from .session import checkpoint_root, scratch_path, time_zone
 
 __all__ = [
     "LogFormat",
@@ -17,11 +17,10 @@ __all__ = [
     "extract_logs",
     "get_format",
     "gold_or_recompute",
-    "pin_time_zone",
     "register_format",
     "run_medallion",
     "scratch_path",
     "to_bronze",
     "to_silver",
-    "transform_logs",
+    "time_zone",
 ]

@@ -26,19 +26,27 @@ STATUS_CLASSES = ["1xx", "2xx", "3xx", "4xx", "5xx"]
 UNPARSED = "unparsed"
 
 
+def whole_number(column: str) -> Column:
+    """Text as INT: digits after a decimal point are cut off ('1.5' is 1, as a
+    plain cast gives); anything else that is not a number is NULL."""
+    text = F.col(column)
+    cut = F.when(F.instr(text, ".") > 0, F.regexp_replace(text, r"^([+-]?\d+)\.\d*$", "$1")).otherwise(text)
+    return cut.try_cast("int")
+
+
 def status_int(status: str = "status") -> Column:
     """Status as INT; '' (unparsed line) becomes NULL."""
-    return F.col(status).try_cast("int")
+    return whole_number(status)
 
 
 def bytes_sent_int(size: str = "size") -> Column:
     """E2: '-' means no body (0 bytes); anything else is an INT or NULL."""
-    return F.when(F.col(size) == "-", F.lit(0)).otherwise(F.col(size).try_cast("int"))
+    return F.when(F.col(size) == "-", F.lit(0)).otherwise(whole_number(size))
 
 
 def size_bytes(size: str = "size") -> Column:
     """Response size for size statistics: '-' and garbage are NULL (excluded)."""
-    return F.col(size).try_cast("int")
+    return whole_number(size)
 
 
 def file_extension(url: str = "url") -> Column:

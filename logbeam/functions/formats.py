@@ -13,8 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..session import memo_columns
-
 
 @dataclass(frozen=True)
 class LogFormat:
@@ -56,9 +54,10 @@ NGINX = LogFormat(
 _REGISTRY: dict[str, LogFormat] = {f.name: f for f in (APACHE_COMMON, APACHE_COMBINED, NGINX)}
 # Short names used by command lines and job files.
 _ALIASES = {"common": "apache_common", "combined": "apache_combined"}
-# Auto-detection order: the stricter combined pattern first, because the
-# common pattern is a prefix match and also accepts combined lines.  nginx is
-# explicit-only (its pattern accepts combined lines too).
+# Formats that auto-detection tries.  A shorter pattern is a prefix match and
+# also accepts the lines of a longer one, so of the formats that fit the one
+# with most columns wins, ties by this order.  nginx is explicit-only (its
+# pattern accepts combined lines too).
 _DETECT_ORDER = ["apache_combined", "apache_common"]
 DEFAULT_FORMAT = "apache_common"
 
@@ -70,6 +69,13 @@ def register_format(fmt: LogFormat, detectable: bool = True) -> None:
         _DETECT_ORDER.append(fmt.name)
 
 
+def unregister_format(name: str) -> None:
+    """Forget a caller-defined format."""
+    _REGISTRY.pop(name, None)
+    if name in _DETECT_ORDER:
+        _DETECT_ORDER.remove(name)
+
+
 def get_format(name: str | LogFormat) -> LogFormat:
     if isinstance(name, LogFormat):
         return name
@@ -80,7 +86,9 @@ def get_format(name: str | LogFormat) -> LogFormat:
 
 
 def detection_order() -> list[LogFormat]:
-    return [_REGISTRY[n] for n in _DETECT_ORDER if n in _REGISTRY]
+    """Detectable formats, the most specific (most columns) first."""
+    found = [_REGISTRY[n] for n in _DETECT_ORDER if n in _REGISTRY]
+    return sorted(found, key=lambda f: -len(f.columns))  # stable: ties keep registry order
 
 
 def field_columns(fmt: LogFormat, value: str = "value") -> list[Column]:
@@ -98,7 +106,6 @@ def field_columns(fmt: LogFormat, value: str = "value") -> list[Column]:
 FIELD_SEP = "\u0001"
 
 
-@memo_columns
 def single_match(fmt: LogFormat, value: str = "value") -> list[Column]:
     """``_groups`` = ``['', g1, ..., gn]`` from ONE regex match per line, and
     ``_has_sep`` for the rare line that contains the separator itself.
@@ -123,7 +130,6 @@ def single_match(fmt: LogFormat, value: str = "value") -> list[Column]:
     ]
 
 
-@memo_columns
 def fields_from_match(fmt: LogFormat, value: str = "value") -> list[Column]:
     """Fields from ``single_match``, equal to ``field_columns``: NULL line ->
     NULL, no match -> ''.  Lines containing the separator take one

@@ -13,9 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import enrich
-from ..session import scratch_path
-from ..sources import files
-from .quantile import int_summary
+from .quantile import median, statistics, value_counts
 
 TOP_N = 10
 
@@ -101,28 +99,19 @@ def peak_error(silver: DataFrame) -> DataFrame:
     )
 
 
+def sizes(silver: DataFrame, size_col: str = "size") -> DataFrame:
+    """(value, n): how often each numeric size occurs ('-' excluded)."""
+    return value_counts(silver, enrich.size_bytes(size_col))
+
+
 def size_stats(silver: DataFrame, size_col: str = "size") -> DataFrame:
     """``total_bytes, max_bytes, min_bytes, avg_bytes, median_bytes`` on
-    the numeric size ('-' excluded).
-
-    All five come from ``int_summary`` (quantile.py): its first bucket pass
-    also yields count/sum/min/max, and the exact median takes one or two
-    more narrow passes.  Because of those passes the sizes are first written
-    once, as a single INT Parquet column in the shared checkpoint folder:
-    on Silver Parquet that is one narrow extra write, on lines parsed on the
-    fly it saves re-running the regex per pass (and cuts the lineage).
-    """
-    spark = silver.sparkSession
-    path = scratch_path(spark, "sizes")
-    silver.select(enrich.size_bytes(size_col).alias("_size")).where(F.col("_size").isNotNull()).write.parquet(path)
-    try:
-        st = int_summary(spark.read.parquet(path), "_size", (0.5,))
-    finally:
-        files.delete_path(spark, path)  # the result below is five numbers; the column is scratch
-    return spark.createDataFrame(
-        [(st.total, st.maximum, st.minimum, st.mean, st.percentiles[0.5])],
-        "total_bytes bigint, max_bytes int, min_bytes int, avg_bytes double, median_bytes double",
-    )
+    the numeric size ('-' excluded), all from one count by size."""
+    counts = sizes(silver, size_col)
+    st = statistics(counts)
+    return st.select(
+        F.col("total").alias("total_bytes"), F.col("maximum").alias("max_bytes"), F.col("minimum").alias("min_bytes"),
+        F.col("mean").alias("avg_bytes"), median(counts).scalar().alias("median_bytes"))
 
 
 # Metric names of the key-value summary, as read by consumers.
@@ -141,30 +130,59 @@ SUMMARY_METRICS = [
 ]
 
 
+# What each metric is made of: an aggregate of Silver, or of the count by size.
+_TRAFFIC = {
+    "total_requests": lambda: F.count(F.lit(1)),
+    "unique_visitors": lambda: F.count_distinct("ip"),
+    "distinct_client_ips": lambda: F.count_distinct("ip"),
+    "days_span": lambda: F.count_distinct("date"),
+    "avg_response_size": lambda: F.avg("bytes_sent_int"),
+    "total_errors": _errors,
+    "error_rate": lambda: _errors() / F.count(F.lit(1)) * 100,
+}
+_SIZES = {"total_data_volume_bytes": "total", "max_bytes": "maximum", "min_bytes": "minimum"}
+
+
+def _as_rows(wide: DataFrame) -> DataFrame:
+    """One wide row as ``metric_name, metric_value`` rows."""
+    doubles = wide.select(*(F.col(c).cast("double").alias(c) for c in wide.columns))
+    return doubles.unpivot([], doubles.columns, "metric_name", "metric_value")
+
+
+def summary_metric(silver: DataFrame, metric: str) -> DataFrame:
+    """One metric of the key-value summary, computing nothing else."""
+    if metric in _TRAFFIC:
+        return _as_rows(silver.agg(_TRAFFIC[metric]().alias(metric)))
+    if metric in _SIZES:
+        return _as_rows(statistics(sizes(silver)).select(F.col(_SIZES[metric]).alias(metric)))
+    if metric == "median_bytes":
+        return _as_rows(median(sizes(silver)).withColumnRenamed("median", metric))
+    raise ValueError(f"unknown metric {metric!r}; known: {SUMMARY_METRICS}")
+
+
 def summary_kv(silver: DataFrame) -> DataFrame:
-    """A1 + A12 as ``metric_name STRING, metric_value DOUBLE`` rows."""
-    wide = summary(silver).withColumn("distinct_client_ips", F.col("unique_visitors"))
-    sizes = size_stats(silver).withColumnRenamed("total_bytes", "total_data_volume_bytes")
-    row = {**wide.first().asDict(), **sizes.first().asDict()}
-    one = silver.sparkSession.createDataFrame(
-        [tuple(None if row[m] is None else float(row[m]) for m in SUMMARY_METRICS)],
-        ", ".join(f"{m} double" for m in SUMMARY_METRICS),
-    )
-    return one.unpivot([], SUMMARY_METRICS, "metric_name", "metric_value")
+    """A1 + A12 as ``metric_name STRING, metric_value DOUBLE`` rows: one
+    aggregate of Silver and the count by size."""
+    counts = sizes(silver)
+    traffic = _as_rows(silver.agg(*(make().alias(m) for m, make in _TRAFFIC.items())))
+    volume = _as_rows(statistics(counts).select(*(F.col(c).alias(m) for m, c in _SIZES.items())))
+    middle = _as_rows(median(counts).withColumnRenamed("median", "median_bytes"))
+    return traffic.union(volume).union(middle)
 
 
-def metric_lookup(summary_kv_df: DataFrame, name: str) -> DataFrame:
-    """one metric of the key-value summary."""
-    return summary_kv_df.where(F.col("metric_name") == name)
+def metric_lookup(kv: DataFrame, metric: str) -> DataFrame:
+    """one metric by name from the (stored) key-value summary."""
+    return kv.where(F.col("metric_name") == metric)
 
 
-def gold_tables(silver: DataFrame, limit: int = TOP_N) -> dict[str, DataFrame]:
-    """L2: the five gold tables plus ``peak_error``."""
+def gold_tables(silver: DataFrame, top_n: int = TOP_N) -> dict[str, DataFrame]:
+    """L2: the Gold tables by name."""
     return {
         "summary": summary(silver),
-        "top_ips": top_ips(silver, limit),
-        "top_endpoints": top_endpoints(silver, limit),
+        "top_ips": top_ips(silver, top_n),
+        "top_endpoints": top_endpoints(silver, top_n),
         "error_analysis": error_analysis(silver),
         "peak_traffic": peak_traffic(silver),
         "peak_error": peak_error(silver),
+        "summary_kv": summary_kv(silver),
     }

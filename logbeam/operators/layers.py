@@ -8,6 +8,8 @@ both layers are map-only and run at scan speed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ from ..functions.formats import (
     parsed_timestamp,
     single_match,
 )
-from ..session import pin_time_zone
+from ..session import UTC, time_zone
 from ..sources import files
 
 
@@ -45,16 +47,18 @@ def to_bronze(lines: DataFrame, log_format: str | LogFormat = DEFAULT_FORMAT, va
     return bronze
 
 
-def detect_format(lines: DataFrame, sample_size: int | None = 10, value: str = "value") -> DataFrame:
-    """Pick the first format (in detection order) that matches at least
-    half of the sampled lines; fall back to ``apache_common``.
+def detect_format(lines: DataFrame, sample_size: int | None = None, value: str = "value",
+                  formats: Sequence[LogFormat] | None = None) -> DataFrame:
+    """Of the formats that match at least half of the lines the one with
+    most columns; ``apache_common`` if none does.
 
-    One job for all formats (a single aggregate of ``count_if(rlike)``), not
-    one job per line per format.  ``sample_size=None`` scores every line --
-    a full scan, but deterministic and still one pass.  Returns one row:
-    ``detected_format, sampled_lines, matched_lines``.
+    One job for all formats (a single aggregate of ``count_if(rlike)``) over
+    every line; ``sample_size`` restricts it to the first lines, at the risk
+    that a header decides for the whole input.  ``formats`` replaces the
+    registered ones.  Returns one row: ``detected_format, sampled_lines,
+    matched_lines``.
     """
-    fmts = detection_order()
+    fmts = sorted(formats, key=lambda f: -len(f.columns)) if formats else detection_order()
     sample = lines.limit(sample_size) if sample_size else lines
     counts = sample.agg(
         F.count(F.lit(1)).alias("sampled_lines"),
@@ -64,7 +68,7 @@ def detect_format(lines: DataFrame, sample_size: int | None = 10, value: str = "
     names = [f.name for f in fmts]
     chosen = F.lit(DEFAULT_FORMAT)
     matched = F.col(f"m{names.index(DEFAULT_FORMAT)}") if DEFAULT_FORMAT in names else F.lit(0).cast("bigint")
-    # Build the CASE from last to first so the earliest format wins.
+    # Build the CASE from last to first so the most specific format wins.
     for i in reversed(range(len(fmts))):
         ok = (n > 0) & (F.col(f"m{i}") * 2 >= n)
         chosen = F.when(ok, F.lit(fmts[i].name)).otherwise(chosen)
@@ -72,15 +76,19 @@ def detect_format(lines: DataFrame, sample_size: int | None = 10, value: str = "
     return counts.select(chosen.alias("detected_format"), n, matched.alias("matched_lines"))
 
 
-def extract_logs(spark: SparkSession, path: str, log_format: str | LogFormat | None = None) -> DataFrame:
-    """Read raw text and parse it; ``None``/``'auto'`` runs detection first
-    (a 10-line sample, one small job)."""
-    pin_time_zone(spark)
-    lines = files.read_text(spark, path)
-    if log_format in (None, "auto"):
-        row = detect_format(lines).first()
-        log_format = row["detected_format"] if row else DEFAULT_FORMAT
-    return to_bronze(files.spread(lines), log_format)
+def extract_logs(spark: SparkSession, path: str, log_format: str | LogFormat | None = None,
+                 sample_size: int | None = None, spread_partitions: int | None = None,
+                 tz: str | None = UTC) -> DataFrame:
+    """Read raw text and parse it; ``None``/``'auto'`` runs detection first,
+    over every line unless ``sample_size`` is given.  ``spread_partitions``
+    deals unsplittable input to so many tasks before the parse; ``tz`` is the
+    zone of the plan (None: the session's)."""
+    with time_zone(spark, tz):
+        lines = files.read_text(spark, path)
+        if log_format in (None, "auto"):
+            row = detect_format(lines, sample_size).first()
+            log_format = row["detected_format"] if row else DEFAULT_FORMAT
+        return to_bronze(files.spread(lines, spread_partitions), log_format)
 
 
 def to_silver(bronze: DataFrame) -> DataFrame:
@@ -102,8 +110,3 @@ def to_silver(bronze: DataFrame) -> DataFrame:
     if "parsed_timestamp" in have:
         cols += enrich.time_dimensions("parsed_timestamp")
     return bronze.select(*cols)
-
-
-def transform_logs(bronze: DataFrame) -> DataFrame:
-    """Alias kept for callers used to the extract/transform/analyze naming."""
-    return to_silver(bronze)

@@ -1,116 +1,69 @@
-"""Exact statistics and percentiles of an INT column without a single-task value map.
-
-Spark's ``percentile`` keeps a value->count map per group and merges all
-maps in one final task; for a global median that task holds every distinct
-value.  Here the rank is found by value-range bisection instead.  Every
-pass is one distributed ``groupBy(bucket)`` with at most ``buckets`` groups
-(map-side combined, so each task ships at most ``buckets`` rows) and only
-those rows reach the driver:
-
-1. buckets of width 2^32 / ``buckets`` over the whole INT range, with
-   count, sum, min and max per bucket -- this also yields the column's
-   count/sum/min/max, so no separate statistics pass is needed;
-2. inside the bucket holding the wanted rank, narrowed to that bucket's
-   actual [min, max], more bucket passes while the range is wider than
-   ``buckets`` (at most one more for 32-bit values at the default 1024);
-3. ``groupBy(value)`` over the final range, at most ``buckets`` values.
-
-Interpolation matches ``percentile``: position = (n - 1) * p, linear between
-the values at floor(position) and ceil(position).
+"""Exact median and statistics of an INT column in one lazy plan.
+
+Spark's ``percentile`` keeps a value->count map per group and merges all maps
+in one final task; for a global median that task holds every distinct value.
+Here the values are counted first (``groupBy(value).count()``, map-side
+combined), and the middle rank is found in three levels of buckets of that
+table: the top 11 bits, the next 11, the last 10.  Each level is a grouped sum
+of at most 2,048 rows per wanted bucket, a running sum over those rows, and the
+one or two buckets that hold the middle go on to the next level as a broadcast
+of at most two rows.  Nothing is collected and nothing runs until the result
+is asked for.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, field
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1024
-INT_MIN, INT_MAX = -(2**31), 2**31 - 1
-
-
-@dataclass
-class IntSummary:
-    count: int
-    total: int | None
-    minimum: int | None
-    maximum: int | None
-    percentiles: dict[float, float | None] = field(default_factory=dict)
-
-    @property
-    def mean(self) -> float | None:
-        # Same value as Spark's avg of an INT column (double sum / count) as
-        # long as the sum is below 2^53.
-        return None if not self.count else float(self.total) / self.count
-
-
-def _bucket_pass(df: DataFrame, x: Column, lo: int, hi: int, buckets: int, with_sums: bool = False) -> tuple[int, list]:
-    """Counts (and min/max[/sum]) per equal-width bucket of [lo, hi]."""
-    width = -(-(hi - lo + 1) // buckets)  # ceil division
-    # Exact: both operands are integers below 2^34, far from double rounding.
-    b = F.floor((x.cast("bigint") - F.lit(lo)) / F.lit(width)).cast("int").alias("b")
-    aggs = [F.count(F.lit(1)).alias("n"), F.min(x).alias("mn"), F.max(x).alias("mx")]
-    if with_sums:
-        aggs.append(F.sum(x).alias("s"))
-    rows = df.where(x.between(lo, hi)).groupBy(b).agg(*aggs).collect()
-    return width, sorted(rows, key=lambda r: r["b"])
-
-
-def _pick(rows: list, rank: int, below: int) -> tuple[object, int]:
-    """The bucket row holding 0-based ``rank`` and the rows before it."""
-    seen = below
-    for r in rows:
-        if seen + r["n"] > rank:
-            return r, seen
-        seen += r["n"]
-    raise RuntimeError("rank beyond the data")  # pragma: no cover
-
-
-def _value_at_rank(df: DataFrame, x: Column, rank: int, first_pass: list, buckets: int) -> tuple[int, int, int | None]:
-    """(value at ``rank``, rows <= value, next larger value if known)."""
-    row, below = _pick(first_pass, rank, 0)
-    lo, hi = row["mn"], row["mx"]
-    while hi - lo + 1 > buckets:
-        _, rows = _bucket_pass(df, x, lo, hi, buckets)
-        row, below = _pick(rows, rank, below)
-        lo, hi = row["mn"], row["mx"]
-    hist = sorted(df.where(x.between(lo, hi)).groupBy(x.alias("v")).count().collect())
-    seen = below
-    for i, (v, c) in enumerate(hist):
-        if seen + c > rank:
-            nxt = hist[i + 1][0] if i + 1 < len(hist) else None
-            return int(v), seen + c, nxt
-        seen += c
-    raise RuntimeError("rank beyond the data")  # pragma: no cover
-
-
-def int_summary(df: DataFrame, column: str | Column, percentiles: tuple[float, ...] = (0.5,),
-                buckets: int = DEFAULT_BUCKETS) -> IntSummary:
-    """Exact count/sum/min/max and percentiles of an INT column (NULLs ignored)."""
-    if any(not 0.0 <= p <= 1.0 for p in percentiles):
-        raise ValueError("percentiles must be in [0, 1]")
-    x = F.col(column) if isinstance(column, str) else column
-    _, first = _bucket_pass(df, x, INT_MIN, INT_MAX, buckets, with_sums=True)
-    n = sum(r["n"] for r in first)
-    if not n:
-        return IntSummary(0, None, None, None, {p: None for p in percentiles})
-    out = IntSummary(n, sum(r["s"] for r in first), min(r["mn"] for r in first), max(r["mx"] for r in first))
-    for p in percentiles:
-        pos = (n - 1) * p
-        k1, k2 = math.floor(pos), math.ceil(pos)
-        v1, le1, nxt = _value_at_rank(df, x, k1, first, buckets)
-        if k2 == k1 or le1 > k2:
-            v2 = v1
-        elif nxt is not None:
-            v2 = nxt
-        else:  # the next value lies outside the final range: one small pass
-            v2 = df.where(x > v1).agg(F.min(x)).first()[0]
-        out.percentiles[p] = float(v1) if v1 == v2 else (k2 - pos) * float(v1) + (pos - k1) * float(v2)
-    return out
-
-
-def exact_percentile(df: DataFrame, column: str | Column, p: float = 0.5, buckets: int = DEFAULT_BUCKETS) -> float | None:
-    """Exact ``percentile(column, p)`` of an INT column; NULLs ignored."""
-    return int_summary(df, column, (p,), buckets).percentiles[p]
+#: Low bits left after each level of the 32-bit range.
+LEVELS = (21, 10, 0)
+INT_MIN = -(2**31)
+
+
+def value_counts(df: DataFrame, value: Column) -> DataFrame:
+    """(value int, n bigint) of the values that are not NULL."""
+    return df.select(value.alias("value")).where(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def middle_values(counts: DataFrame) -> DataFrame:
+    """The one or two rows (value, first, last) of ``counts`` that hold the
+    lower and the upper middle rank; none for an empty table.  ``first`` says
+    that the row holds the lower, ``last`` that it holds the upper."""
+    placed = counts.select((F.col("value").cast("bigint") - F.lit(INT_MIN)).alias("place"), "n")
+    total = counts.agg(F.sum("n")).scalar()
+    lower, upper = F.floor((total - 1) / 2), F.ceil((total - 1) / 2)
+    held = None
+    for bits in LEVELS:
+        bucket = F.shiftright("place", bits)
+        if held is None:
+            level = placed.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n")).withColumn("before", F.lit(0).cast("bigint"))
+            running = Window.orderBy("bucket")
+        else:
+            inside = placed.withColumn("parent", F.shiftright("place", above)).join(F.broadcast(held), "parent")
+            level = inside.groupBy("parent", "before", bucket.alias("bucket")).agg(F.sum("n").alias("n"))
+            running = Window.partitionBy("parent").orderBy("bucket")
+        upto = F.col("before") + F.sum("n").over(running)
+        marked = level.withColumn("upto", upto).withColumn("start", F.col("upto") - F.col("n"))
+        has_lower = (F.col("start") <= lower) & (lower < F.col("upto"))
+        has_upper = (F.col("start") <= upper) & (upper < F.col("upto"))
+        kept = marked.withColumn("first", has_lower).withColumn("last", has_upper).where("first or last")
+        held = kept.select(F.col("bucket").alias("parent"), F.col("start").alias("before"))
+        above = bits
+    return kept.select((F.col("bucket") + F.lit(INT_MIN)).cast("int").alias("value"), "first", "last")
+
+
+def median(counts: DataFrame) -> DataFrame:
+    """One row: the exact median of the counted values as DOUBLE, the mean of
+    the two middle values; NULL without values."""
+    low = F.min(F.when(F.col("first"), F.col("value").cast("double")))
+    high = F.max(F.when(F.col("last"), F.col("value").cast("double")))
+    return middle_values(counts).agg((low + (high - low) * 0.5).alias("median"))
+
+
+def statistics(counts: DataFrame) -> DataFrame:
+    """One row: total, maximum, minimum and mean of the counted values."""
+    total = F.sum(F.col("value").cast("bigint") * F.col("n"))
+    return counts.agg(
+        total.alias("total"), F.max("value").alias("maximum"), F.min("value").alias("minimum"),
+        (total.cast("double") / F.sum("n")).alias("mean"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import enrich
-from .gold import client_errors_by_weekday
+from .gold import client_errors_by_weekday, sizes
 
 HISTOGRAM_BINS = 50
 
@@ -52,7 +52,8 @@ def day_count(silver: DataFrame) -> DataFrame:
 
 
 def days_list(silver: DataFrame) -> DataFrame:
-    """The distinct days, ascending (unparsed lines have no day)."""
+    """The distinct days, ascending; the missing day of unparsed lines is
+    left out."""
     return silver.select("date").where(F.col("date").isNotNull()).distinct().orderBy("date")
 
 
@@ -76,29 +77,28 @@ def size_histogram(silver: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width histogram of the numeric size over [min, max].
 
     Bin i (1-based) holds lo + (i-1)w <= x < lo + iw, the maximum goes to the
-    last bin.  Two passes: one partial/final aggregate for min/max (a single
-    row to the driver), then a partial/final count by bin, left-joined to
-    the ``bins`` bin numbers (broadcast, size fixed by the parameter) so
-    empty bins show 0.  Output: ``bin, bin_lo, bin_hi, count``.
+    last bin.  One count by size gives both the ends (scalar subqueries) and
+    the counts by bin, left-joined to the ``bins`` bin numbers (broadcast, size
+    fixed by the parameter) so empty bins show 0.  Output: ``bin, bin_lo,
+    bin_hi, count``; without sizes every bin is empty and has no edges.
     """
     spark = silver.sparkSession
-    sized = silver.select(enrich.size_bytes("size").alias("_size")).where(F.col("_size").isNotNull())
-    lo, hi = sized.agg(F.min("_size"), F.max("_size")).first()
+    counted = sizes(silver)
+    ends = counted.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    lo = ends.select(F.col("lo").cast("bigint")).scalar()
+    width = ends.select((F.col("hi").cast("bigint") - F.col("lo")).cast("double")).scalar()
+    offset = F.col("value").cast("bigint") - lo  # 64-bit: no overflow over the full INT range
+    raw_bin = F.when(width == 0, F.lit(1)).otherwise(
+        F.least(F.floor(F.try_divide(offset * F.lit(float(bins)), width)) + 1, F.lit(bins)))
+    counts = counted.groupBy(raw_bin.cast("int").alias("bin")).agg(F.sum("n").alias("count"))
     all_bins = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    if lo is None:  # no numeric size at all: every bin empty, no edges
-        none = F.lit(None).cast("double")
-        return all_bins.select("bin", none.alias("bin_lo"), none.alias("bin_hi"), F.lit(0).cast("bigint").alias("count"))
-    width = float(hi - lo)
-    offset = F.col("_size").cast("bigint") - F.lit(lo)  # 64-bit: no overflow over the full INT range
-    raw_bin = F.lit(1) if hi == lo else F.least(F.floor(offset * F.lit(float(bins)) / F.lit(width)) + 1, F.lit(bins))
-    counts = sized.groupBy(raw_bin.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     edges = F.col("bin").cast("double")
     return (
         all_bins.join(F.broadcast(counts), "bin", "left")
         .select(
             "bin",
-            (F.lit(lo) + F.lit(width) * (edges - 1) / bins).alias("bin_lo"),
-            (F.lit(lo) + F.lit(width) * edges / bins).alias("bin_hi"),
+            (lo + width * (edges - 1) / bins).alias("bin_lo"),
+            (lo + width * edges / bins).alias("bin_hi"),
             F.coalesce(F.col("count"), F.lit(0).cast("bigint")).alias("count"),
         )
         .orderBy("bin")
@@ -132,15 +132,11 @@ def total_errors(silver: DataFrame) -> DataFrame:
     return silver.agg(F.sum(enrich.is_error("status_int")).alias("total_errors"))
 
 
-def layer_counts(silver: DataFrame) -> DataFrame:
-    """Rows per layer from one aggregate (Bronze and Silver are
-    projections of the raw lines, so one pass counts all of them), plus the
-    lines the pattern did not match and those without a timestamp.
-    Output: ``layer, rows``."""
-    wide = silver.agg(
-        F.count(F.lit(1)).alias("bronze"),
-        F.count(F.lit(1)).alias("silver"),
-        F.count_if(F.col("ip") == "").alias("unparsed"),
-        F.count_if(F.col("parsed_timestamp").isNull()).alias("no_timestamp"),
-    )
-    return wide.unpivot([], ["bronze", "silver", "unparsed", "no_timestamp"], "layer", "rows")
+def layer_counts(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """Rows of the stored Bronze and Silver layers, the Bronze lines the
+    pattern did not match, and the Silver rows without a timestamp.  Output:
+    ``layer, rows``."""
+    raw = bronze.agg(F.count(F.lit(1)).alias("bronze"), F.count_if(F.col("ip") == "").alias("unparsed"))
+    typed = silver.agg(F.count(F.lit(1)).alias("silver"), F.count_if(F.col("parsed_timestamp").isNull()).alias("no_timestamp"))
+    parts = [wide.unpivot([], wide.columns, "layer", "rows") for wide in (raw, typed)]
+    return parts[0].unionByName(parts[1])

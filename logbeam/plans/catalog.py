@@ -3,21 +3,31 @@
 Every query starts from the ``events`` table of ``sf_dir``, renders it as
 access-log lines (one projection), parses and enriches them, and runs one
 operator over the whole input.  Queries that exercise a sink write under the
-shared ``spark.checkpoint.dir`` (fresh folder per call) and read back.
+shared ``spark.checkpoint.dir`` (a fresh folder per call, deleted when the
+driver ends) and read back; the others start no job until their result is
+asked for.  Plans are built in UTC and the session keeps its own zone.
 Timestamps are returned as ``yyyy-MM-dd HH:mm:ss`` strings (UTC) so results
 compare across engines.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.formats import APACHE_COMBINED, APACHE_COMMON, NGINX, LogFormat, register_format
+from ..functions.formats import (
+    APACHE_COMBINED,
+    APACHE_COMMON,
+    CLF_TIMESTAMP,
+    NGINX,
+    LogFormat,
+    register_format,
+    unregister_format,
+)
 from ..operators import gold, layers, questions
-from ..session import pin_time_zone, scratch_path
+from ..session import in_utc, temporary_path
 from ..sources import files
 from ..sources.fixture import lines_from_tables
 from ..streaming import traffic
@@ -27,9 +37,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # A caller-defined format (P3) -- just the quoted request line.
 REQUEST_LINE = LogFormat("request_line", r'"(\S+) (\S+) (\S+)"', ("method", "url", "protocol"))
+# A caller-defined format longer than the combined one it starts with.
+TIMED = LogFormat("combined_timed", APACHE_COMBINED.pattern + r" (\d+)$", (*APACHE_COMBINED.columns, "millis"), CLF_TIMESTAMP)
+HEADER_LINES = 20
 # Date range read by the partition-pruning query.
 PRUNE_FROM, PRUNE_TO = "2024-01-10", "2024-01-12"
 ROUNDTRIP_FORMATS = ["csv", "json", "orc", "parquet"]
+STREAM_FILES = 6
 
 
 def render_ts(df: DataFrame, column: str = "parsed_timestamp") -> DataFrame:
@@ -39,7 +53,6 @@ def render_ts(df: DataFrame, column: str = "parsed_timestamp") -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str, flavor: str = "combined") -> DataFrame:
-    pin_time_zone(spark)
     return lines_from_tables(spark, sf_dir, flavor)
 
 
@@ -55,11 +68,14 @@ def _on_silver(op: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: op(silver(spark, sf_dir))
 
 
-def _stage_text(spark: SparkSession, sf_dir: str, name: str, flavor: str = "combined", compression: str | None = None) -> str:
-    """Write the rendered lines as text files in the shared scratch folder."""
-    path = scratch_path(spark, name)
+def _stage_text(spark: SparkSession, sf_dir: str, name: str, flavor: str = "combined", compression: str | None = None,
+                parts: int | None = None) -> str:
+    """Write the rendered lines as text files in the shared scratch folder;
+    ``parts`` deals them to so many files, in no order of time."""
+    path = temporary_path(spark, name)
     opts = {"compression": compression} if compression else None
-    files.write(lines(spark, sf_dir, flavor), path, "text", options=opts)
+    rendered = lines(spark, sf_dir, flavor)
+    files.write(rendered.repartition(parts, F.xxhash64("value")) if parts else rendered, path, "text", options=opts)
     return path
 
 
@@ -86,7 +102,15 @@ def q_silver_logs(spark, sf_dir):
 
 # ------------------------------------------------------------- phase 3
 def q_summary_metric_lookup(spark, sf_dir):
-    return gold.metric_lookup(gold.summary_kv(silver(spark, sf_dir)), "distinct_client_ips")
+    return gold.summary_metric(silver(spark, sf_dir), "distinct_client_ips")
+
+
+def q_layer_counts(spark, sf_dir):
+    base = temporary_path(spark, "layers")
+    files.write_parquet(bronze(spark, sf_dir), f"{base}/bronze")
+    stored = files.read_parquet(spark, f"{base}/bronze")
+    files.write_silver(layers.to_silver(stored), f"{base}/silver")
+    return questions.layer_counts(stored, files.read_silver(spark, f"{base}/silver"))
 
 
 # ------------------------------------------------------------- phase 5
@@ -104,7 +128,18 @@ def q_parse_custom(spark, sf_dir):
 
 
 def q_detect_format(spark, sf_dir):
-    return layers.detect_format(lines(spark, sf_dir, "combined"), sample_size=None)
+    return layers.detect_format(lines(spark, sf_dir, "combined"))
+
+
+def q_detect_longer_format(spark, sf_dir):
+    """Header lines first, then lines of a registered format that starts with
+    a shorter one."""
+    header = spark.range(HEADER_LINES).select(F.concat(F.lit("# header "), F.col("id").cast("string")).alias("value"))
+    register_format(TIMED)
+    try:
+        return layers.detect_format(header.union(lines(spark, sf_dir, "timed")))
+    finally:
+        unregister_format(TIMED.name)
 
 
 # ------------------------------------------------------------- phase 6
@@ -116,21 +151,14 @@ def q_src_text(spark, sf_dir):
 def q_src_formats_roundtrip(spark, sf_dir):
     df = silver(spark, sf_dir).select("ip", "url", "status_int", "bytes_sent_int", "date")
     schema = "ip string, url string, status_int int, bytes_sent_int int, date string"
-    base = scratch_path(spark, "formats")
+    base = temporary_path(spark, "formats")
     parts = []
     for fmt in ROUNDTRIP_FORMATS:
         # CSV: a distinct NULL marker keeps '' and NULL apart on the way back.
         opts = {"header": "true", "nullValue": "\\N"} if fmt == "csv" else None
         files.write(df, f"{base}/{fmt}", fmt, options=opts)
         back = files.read(spark, f"{base}/{fmt}", fmt, options=opts, schema=schema)
-        parts.append(
-            back.agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.sum("bytes_sent_int").alias("total_bytes"),
-                F.count_distinct("ip").alias("distinct_ips"),
-                F.count_distinct("date").alias("days"),
-            ).select(F.lit(fmt).alias("format"), "*")
-        )
+        parts.append(back.select(F.lit(fmt).alias("format"), *df.columns))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -138,13 +166,13 @@ def q_src_formats_roundtrip(spark, sf_dir):
 
 
 def q_bronze_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "bronze")
+    path = temporary_path(spark, "bronze")
     files.write_parquet(bronze(spark, sf_dir), path)
     return render_ts(files.read_parquet(spark, path))
 
 
 def q_append_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "append")
+    path = temporary_path(spark, "append")
     b = bronze(spark, sf_dir)
     files.write_parquet(b, path, mode="overwrite")
     files.write_parquet(b, path, mode="append")
@@ -152,7 +180,7 @@ def q_append_roundtrip(spark, sf_dir):
 
 
 def q_silver_partition_pruned(spark, sf_dir):
-    path = scratch_path(spark, "silver")
+    path = temporary_path(spark, "silver")
     files.write_silver(silver(spark, sf_dir), path)
     s = files.read_silver(spark, path).where(F.col("date").between(PRUNE_FROM, PRUNE_TO))
     return s.groupBy("date", "hour").agg(
@@ -169,36 +197,88 @@ def q_sql_view_logs(spark, sf_dir):
 
 
 # ------------------------------------------------------------- phase 7
+# How each Gold table fits the tagged union: keys, whole numbers, doubles.
+GOLD_SHAPES: dict[str, tuple[list[str], list[str], list[str]]] = {
+    "summary": ([], ["total_requests", "unique_visitors", "days_span", "total_errors"], ["avg_response_size", "error_rate"]),
+    "top_ips": (["ip"], ["requests", "total_bytes", "errors"], []),
+    "top_endpoints": (["url"], ["requests", "errors"], ["avg_size"]),
+    "error_analysis": (["status"], ["status_int", "count", "affected_users", "affected_days"], []),
+    "peak_traffic": (["date", "hour"], ["requests", "total_bytes", "errors"], []),
+    "peak_error": (["day_name"], ["error_count"], []),
+    "summary_kv": (["metric_name"], [], ["metric_value"]),
+}
+GOLD_WIDTHS = (("k", 2, "string"), ("n", 4, "bigint"), ("x", 2, "double"))
+
+
+def tagged_union(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All Gold tables as rows ``gold_table, k1-k2, n1-n4, x1-x2``."""
+    out = None
+    for name, shape in GOLD_SHAPES.items():
+        columns = [F.lit(name).alias("gold_table")]
+        for (letter, width, kind), own in zip(GOLD_WIDTHS, shape, strict=True):
+            for i in range(width):
+                value = F.col(own[i]) if i < len(own) else F.lit(None)
+                columns.append(value.cast(kind).alias(f"{letter}{i + 1}"))
+        rows = tables[name].select(*columns)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def q_medallion_gold(spark, sf_dir):
     src = _stage_text(spark, sf_dir, "medallion-in")
-    result = medallion.run_medallion(spark, src, scratch_path(spark, "medallion-out"), log_format="auto")
+    result = medallion.run_medallion(spark, src, temporary_path(spark, "medallion-out"), log_format="auto")
     if result["status"] != "success":
         raise RuntimeError(result["error"])
-    return result["metrics"]["summary"]
+    return tagged_union(result["metrics"])
 
 
 def q_gold_or_recompute(spark, sf_dir):
-    missing = scratch_path(spark, "gold-missing")
+    missing = temporary_path(spark, "gold-missing")
     return medallion.gold_or_recompute(spark, "top_ips", missing, silver(spark, sf_dir))
 
 
+def _stored_gold(spark, sf_dir) -> tuple[str, DataFrame]:
+    s = silver(spark, sf_dir)
+    path = temporary_path(spark, "gold-stored")
+    tables = gold.gold_tables(s)
+    medallion.write_gold({name: tables[name] for name in ("top_ips", "summary_kv")}, path)
+    return path, s
+
+
+def q_top_ips_from_gold(spark, sf_dir):
+    path, s = _stored_gold(spark, sf_dir)
+    return medallion.top_ips_answer(spark, path, s, 7)
+
+
+def q_top_ips_beyond_gold(spark, sf_dir):
+    """More rows than stored Gold holds: recomputed."""
+    path, s = _stored_gold(spark, sf_dir)
+    return medallion.top_ips_answer(spark, path, s, 25)
+
+
+def q_metric_from_gold(spark, sf_dir):
+    path, s = _stored_gold(spark, sf_dir)
+    return medallion.summary_metric_answer(spark, path, s, "median_bytes")
+
+
 # ------------------------------------------------------------- phase 8
 def q_stream_silver(spark, sf_dir):
     src = _stage_text(spark, sf_dir, "stream-in")
-    out = scratch_path(spark, "stream-silver")
-    traffic.stream_silver(spark, src, out, scratch_path(spark, "stream-silver-ckpt"), APACHE_COMBINED)
+    out = temporary_path(spark, "stream-silver")
+    traffic.stream_silver(spark, src, out, temporary_path(spark, "stream-silver-ckpt"), APACHE_COMBINED)
     return render_ts(files.read_silver(spark, out))
 
 
 def q_windowed_traffic_stream(spark, sf_dir):
-    src = _stage_text(spark, sf_dir, "stream-win-in")
-    out = scratch_path(spark, "stream-win")
-    traffic.stream_windowed_traffic(spark, src, out, scratch_path(spark, "stream-win-ckpt"), APACHE_COMBINED)
+    """Several micro-batches, one file each, over files in no order of time."""
+    src = _stage_text(spark, sf_dir, "stream-win-in", parts=STREAM_FILES)
+    out = temporary_path(spark, "stream-win")
+    traffic.stream_windowed_traffic(spark, src, out, temporary_path(spark, "stream-win-ckpt"), APACHE_COMBINED, max_files_per_trigger=1)
     return traffic.read_windowed_traffic(spark, out)
 
 
 def queries() -> dict[str, Query]:
-    return {
+    found = {
         # phase 1-2: parse + Silver
         "parse_common": q_parse_common,
         "silver_types": q_silver_types,
@@ -227,12 +307,13 @@ def queries() -> dict[str, Query]:
         "client_errors_by_weekday": _on_silver(gold.client_errors_by_weekday),
         "client_errors_all_weekdays": _on_silver(questions.client_errors_all_weekdays),
         "status_distribution": _on_silver(questions.status_distribution),
-        "layer_counts": _on_silver(questions.layer_counts),
+        "layer_counts": q_layer_counts,
         "total_errors": _on_silver(questions.total_errors),
         # phase 5: formats
         "parse_combined": q_parse_combined,
         "parse_custom": q_parse_custom,
         "detect_format": q_detect_format,
+        "detect_longer_format": q_detect_longer_format,
         "parse_nginx": q_parse_nginx,
         # phase 6: sources, sinks, SQL
         "src_text": q_src_text,
@@ -244,9 +325,13 @@ def queries() -> dict[str, Query]:
         # phase 7: the Bronze -> Silver -> Gold job
         "medallion_gold": q_medallion_gold,
         "gold_or_recompute": q_gold_or_recompute,
+        "top_ips_from_gold": q_top_ips_from_gold,
+        "top_ips_beyond_gold": q_top_ips_beyond_gold,
+        "metric_from_gold": q_metric_from_gold,
         # phase 8: streaming and windows
         "stream_silver": q_stream_silver,
         "windowed_traffic": _on_silver(traffic.windowed_traffic),
         "error_threshold_windows": _on_silver(traffic.error_threshold_windows),
         "windowed_traffic_stream": q_windowed_traffic_stream,
     }
+    return {name: in_utc(build) for name, build in found.items()}

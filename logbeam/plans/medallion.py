@@ -15,11 +15,12 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, layers
-from ..session import pin_time_zone
+from ..session import UTC, time_zone
 from ..sources import files
 
 log = logging.getLogger(__name__)
@@ -48,16 +49,17 @@ def write_gold(tables: Mapping[str, DataFrame], gold_path: str | None = None, jd
 
     The tables are independent jobs over the same Silver, so they are
     submitted concurrently (Spark runs jobs from several threads side by
-    side) instead of queueing behind each other.  A JDBC table that fails is
-    logged and skipped; a Parquet failure raises.  Returns ``name -> error``
-    for the skipped JDBC tables.
+    side) instead of queueing behind each other.  With both targets JDBC is
+    filled from the written Parquet, so each aggregate is computed once.  A
+    JDBC table that fails is logged and skipped; a Parquet failure raises.
+    Returns ``name -> error`` for the skipped JDBC tables.
     """
 
     def one(name: str, df: DataFrame) -> str | None:
         if gold_path:
-            # Gold tables are small (bounded by top-k or by the group count):
-            # one file each.
-            files.write_parquet(df.coalesce(1), f"{gold_path.rstrip('/')}/{name}")
+            target = f"{gold_path.rstrip('/')}/{name}"
+            files.write_parquet(df, target)
+            df = files.read_parquet(df.sparkSession, target)
         if jdbc_url:
             table = GOLD_JDBC_TABLES.get(name, f"gold_{name}")
             try:
@@ -67,12 +69,31 @@ def write_gold(tables: Mapping[str, DataFrame], gold_path: str | None = None, jd
                 return str(exc)
         return None
 
-    with ThreadPoolExecutor(max_workers=parallel or max(1, len(tables))) as pool:
-        futures = {name: pool.submit(one, name, df) for name, df in tables.items()}
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    # threads that carry the caller's job group and local properties
+    carried = inheritable_thread_target(spark)(one)
+    with ThreadPoolExecutor(max_workers=parallel or len(tables)) as pool:
+        futures = {name: pool.submit(carried, name, df) for name, df in tables.items()}
         outcomes = {name: f.result() for name, f in futures.items()}
     return {name: err for name, err in outcomes.items() if err is not None}
 
 
+def jdbc_driver_available(spark: SparkSession, properties: Mapping[str, str] | None = None) -> bool:
+    """Whether the JDBC driver class named in ``properties`` can be loaded
+    (no class named: left to the url, so assumed there)."""
+    name = dict(properties or {}).get("driver")
+    if not name:
+        return True
+    try:
+        loader = spark.sparkContext._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        spark.sparkContext._jvm.java.lang.Class.forName(name, False, loader)
+        return True
+    except Exception:  # noqa: BLE001 - whatever the loader says, it is not there
+        return False
+
+
 def analyze_logs(silver: DataFrame, output_path: str | None = None, jdbc_url: str | None = None,
                  jdbc_properties: Mapping[str, str] | None = None, top_n: int = gold.TOP_N,
                  view_name: str | None = "logs") -> dict[str, DataFrame]:
@@ -96,37 +117,48 @@ def analyze_logs(silver: DataFrame, output_path: str | None = None, jdbc_url: st
 
 def run_medallion(spark: SparkSession, input_path: str, output_path: str, log_format: str | None = None,
                   jdbc_url: str | None = None, jdbc_properties: Mapping[str, str] | None = None,
-                  top_n: int = gold.TOP_N) -> dict[str, Any]:
+                  top_n: int = gold.TOP_N, sample_size: int | None = None, spread_partitions: int | None = None,
+                  rebalance: bool = True, tz: str | None = UTC) -> dict[str, Any]:
     """L1: parse ``input_path`` (text), write Bronze, Silver (by date) and Gold.
 
+    ``sample_size`` limits format detection to the first lines,
+    ``spread_partitions`` deals unsplittable input, ``rebalance=False`` skips
+    the shuffle by date for time-ordered logs, ``tz`` is the zone of dates and
+    hours (None: the session's).  A JDBC driver that cannot be loaded is found
+    out once, before the tables are tried.
+
     Returns ``status, bronze_output, silver_output, gold_output,
-    metrics_count, db_save_attempted, db_failures, rows, metrics`` (metrics:
-    name -> DataFrame over the written Gold Parquet), or ``status='error'``
-    with ``error``.
+    metrics_count, db_available, db_save_attempted, db_failures, rows,
+    metrics`` (metrics: name -> DataFrame over the written Gold Parquet), or
+    ``status='error'`` with ``error``.
     """
-    pin_time_zone(spark)
     paths = layer_paths(output_path)
     try:
-        bronze = layers.extract_logs(spark, input_path, log_format)
-        bronze_obs = Observation("bronze")
-        files.write_parquet(bronze.observe(bronze_obs, F.count(F.lit(1)).alias("rows")), paths["bronze"])
-
-        silver = layers.to_silver(files.read_parquet(spark, paths["bronze"]))
-        silver_obs = Observation("silver")
-        files.write_silver(silver.observe(silver_obs, F.count(F.lit(1)).alias("rows")), paths["silver"])
-
-        silver_back = files.read_silver(spark, paths["silver"])
-        silver_back.createOrReplaceTempView("logs")
-        tables = gold.gold_tables(silver_back, top_n)
-        failures = write_gold(tables, paths["gold"], jdbc_url, jdbc_properties)
-        metrics = {name: files.read_parquet(spark, f"{paths['gold']}/{name}") for name in tables}
+        with time_zone(spark, tz):
+            bronze = layers.extract_logs(spark, input_path, log_format, sample_size, spread_partitions, tz=None)
+            bronze_obs = Observation("bronze")
+            files.write_parquet(bronze.observe(bronze_obs, F.count(F.lit(1)).alias("rows")), paths["bronze"])
+
+            silver = layers.to_silver(files.read_parquet(spark, paths["bronze"]))
+            silver_obs = Observation("silver")
+            files.write_silver(silver.observe(silver_obs, F.count(F.lit(1)).alias("rows")), paths["silver"], rebalance=rebalance)
+
+            silver_back = files.read_silver(spark, paths["silver"])
+            silver_back.createOrReplaceTempView("logs")
+            available = bool(jdbc_url) and jdbc_driver_available(spark, jdbc_properties)
+            if jdbc_url and not available:
+                log.warning("JDBC driver %r cannot be loaded; Gold goes to Parquet only", dict(jdbc_properties or {}).get("driver"))
+            tables = gold.gold_tables(silver_back, top_n)
+            failures = write_gold(tables, paths["gold"], jdbc_url if available else None, jdbc_properties)
+            metrics = {name: files.read_parquet(spark, f"{paths['gold']}/{name}") for name in tables}
         return {
             "status": "success",
             "bronze_output": paths["bronze"],
             "silver_output": paths["silver"],
             "gold_output": paths["gold"],
             "metrics_count": len(metrics),
-            "db_save_attempted": bool(jdbc_url),
+            "db_available": available,
+            "db_save_attempted": available,
             "db_failures": failures,
             "rows": {"bronze": bronze_obs.get["rows"], "silver": silver_obs.get["rows"]},
             "metrics": metrics,
@@ -136,12 +168,18 @@ def run_medallion(spark: SparkSession, input_path: str, output_path: str, log_fo
         return {"status": "error", "error": str(exc)}
 
 
+#: Gold tables cut to the first rows, and their order.
+RANKED = {"top_ips": ("requests", "ip"), "top_endpoints": ("requests", "url")}
+
+
 def gold_or_recompute(spark: SparkSession, name: str, gold_path: str | None, silver: DataFrame,
                       top_n: int = gold.TOP_N) -> DataFrame:
-    """L3: the written Gold table when it exists, else the same aggregate
-    recomputed from Silver."""
-    if gold_path and files.path_exists(spark, f"{gold_path.rstrip('/')}/{name}"):
-        return files.read_parquet(spark, f"{gold_path.rstrip('/')}/{name}")
+    """L3: the written Gold table when its write is finished, else the same
+    aggregate recomputed from Silver.
+
+    A ranked table answers for any ``top_n`` up to its own rows; when more are
+    asked than it holds, it may have been cut shorter, so it is recomputed.
+    """
     builders = {
         "summary": gold.summary,
         "top_ips": lambda s: gold.top_ips(s, top_n),
@@ -149,7 +187,31 @@ def gold_or_recompute(spark: SparkSession, name: str, gold_path: str | None, sil
         "error_analysis": gold.error_analysis,
         "peak_traffic": gold.peak_traffic,
         "peak_error": gold.peak_error,
+        "summary_kv": gold.summary_kv,
     }
     if name not in builders:
         raise ValueError(f"unknown gold table {name!r}")
+    path = f"{gold_path.rstrip('/')}/{name}" if gold_path else None
+    if path and files.finished(spark, path):
+        stored = files.read_parquet(spark, path)
+        if name not in RANKED:
+            return stored
+        count, key = RANKED[name]
+        if stored.limit(top_n).count() >= top_n:
+            return stored.orderBy(F.desc(count), F.asc(key)).limit(top_n)
     return builders[name](silver)
+
+
+def top_ips_answer(spark: SparkSession, gold_path: str | None, silver: DataFrame, top_n: int = gold.TOP_N) -> DataFrame:
+    """R2: the top clients in the consumers' shape (``ip, count``): stored
+    Gold with ``requests`` renamed, else recomputed."""
+    table = gold_or_recompute(spark, "top_ips", gold_path, silver, top_n)
+    return table.select("ip", F.col("requests").alias("count"))
+
+
+def summary_metric_answer(spark: SparkSession, gold_path: str | None, silver: DataFrame, metric: str) -> DataFrame:
+    """one metric from the stored key-value summary, else computed alone."""
+    path = f"{gold_path.rstrip('/')}/summary_kv" if gold_path else None
+    if path and files.finished(spark, path):
+        return gold.metric_lookup(files.read_parquet(spark, path), metric)
+    return gold.summary_metric(silver, metric)

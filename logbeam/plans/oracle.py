@@ -2,17 +2,37 @@
 
 Three CTEs mirror the layers -- ``lines`` (events rendered as log lines),
 ``bronze`` (regex fields), ``silver`` (typed/enriched) -- and each query adds
-its final SELECT.  Type notes: DuckDB ``sum`` of INTEGER is HUGEINT and
-``hour``/``dayofweek`` are BIGINT, so both are cast to Spark's types;
-DuckDB's Sunday is 0 where Spark's is 1.  The offset of every rendered
-timestamp is +0000, so the oracle parses the first 20 characters.
+its final SELECT.  Patterns, lists, names and ranges are written out here, not
+taken from the code they check, so a wrong constant there shows.  Type notes:
+DuckDB ``sum`` of INTEGER is HUGEINT and ``hour``/``dayofweek`` are BIGINT, so
+both are cast to Spark's types; DuckDB's Sunday is 0 where Spark's is 1.
+Timestamps are parsed from their first 20 characters and moved by their
+offset.
 """
 
 from __future__ import annotations
 
-from ..functions import enrich
-from ..functions.formats import APACHE_COMBINED, APACHE_COMMON, NGINX, LogFormat, detection_order, DEFAULT_FORMAT
-from . import catalog
+from dataclasses import dataclass
+
+
+@dataclass(frozen=True)
+class LineFormat:
+    pattern: str
+    columns: tuple[str, ...]
+    timestamp: bool = True
+
+
+# The access-log patterns and column lists.
+REQUEST = r'"(\S+) (\S+) (\S+)"'
+COMMON = LineFormat(
+    r'^(\S+) \S+ \S+ \[([^\]]+)\] ' + REQUEST + r' (\d+) (\S+)',
+    ("ip", "timestamp_str", "method", "url", "protocol", "status", "size"))
+COMBINED = LineFormat(COMMON.pattern + r' "([^"]*)" "([^"]*)"', (*COMMON.columns, "referer", "user_agent"))
+NGINX = LineFormat(
+    r'^(\S+) - (\S+) \[(.*?)\] ' + REQUEST + r' (\d+) (\d+) "([^"]*)" "([^"]*)"',
+    ("ip", "user", "timestamp_str", "method", "url", "protocol", "status", "size", "referer", "user_agent"))
+REQUEST_LINE = LineFormat(REQUEST, ("method", "url", "protocol"), timestamp=False)
+TIMED_PATTERN = COMBINED.pattern + r" (\d+)$"
 
 TS_SQL = "'%Y-%m-%d %H:%M:%S'"
 
@@ -21,6 +41,15 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _whole(column: str) -> str:
+    """Text as INTEGER, the digits after a decimal point cut off."""
+    decimal = rf"regexp_matches({column}, '^[+-]?\d+\.\d*$')"
+    return f"CASE WHEN {decimal} THEN TRY_CAST(split_part({column}, '.', 1) AS INTEGER) ELSE TRY_CAST({column} AS INTEGER) END"
+
+
+SIZE = f"({_whole('size')})"
+
+
 def lines_sql(flavor: str = "combined") -> str:
     url = (
         "CASE event_id % 8 WHEN 0 THEN '/home' WHEN 1 THEN '/static/app.js' "
@@ -32,37 +61,46 @@ def lines_sql(flavor: str = "combined") -> str:
         "CASE WHEN event_type = 'error' THEN CASE event_id % 4 WHEN 0 THEN '404' WHEN 1 THEN '403' "
         "WHEN 2 THEN '500' ELSE '404' END WHEN event_type = 'signup' THEN '302' ELSE '200' END"
     )
-    size = "CASE WHEN event_id % 13 = 0 THEN '-' ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END"
+    whole = "CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR)"
+    size = f"CASE WHEN event_id % 13 = 0 THEN '-' WHEN event_id % 17 = 3 THEN {whole} || '.5' ELSE {whole} END"
+    zone = "CASE event_id % 4 WHEN 1 THEN '+0200' WHEN 2 THEN '-0530' WHEN 3 THEN '+0545' ELSE '+0000' END"
+    ahead = "CASE event_id % 4 WHEN 1 THEN 120 WHEN 2 THEN -330 WHEN 3 THEN 345 ELSE 0 END"
     user = "' - alice ['" if flavor == "nginx" else "' - - ['"
     body = (
         f"'10.0.' || CAST(user_id % 4 AS VARCHAR) || '.' || CAST(user_id AS VARCHAR) || {user} || "
-        "strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000] \"' || "
+        f"strftime(ts + to_minutes({ahead}), '%d/%b/%Y:%H:%M:%S') || ' ' || {zone} || '] \"' || "
         "CASE WHEN event_type IN ('signup', 'purchase') THEN 'POST' ELSE 'GET' END || ' ' || "
         f"{url} || ' HTTP/1.1\" ' || {status} || ' ' || {size}"
     )
     if flavor != "common":
         body += " || CASE WHEN event_id % 2 = 0 THEN ' \"https://example.com\" \"Mozilla/5.0\"' ELSE ' \"-\" \"curl/8.0\"' END"
+    if flavor == "timed":
+        body += " || ' ' || CAST(event_id % 997 AS VARCHAR)"
     return (
         "SELECT CASE WHEN event_id % 101 = 7 THEN 'malformed entry ' || CAST(event_id AS VARCHAR) "
         f"ELSE {body} END AS value FROM events"
     )
 
 
-def bronze_sql(fmt: LogFormat, src: str = "lines") -> str:
+def bronze_sql(fmt: LineFormat, src: str = "lines") -> str:
     # The struct form of regexp_extract matches once and has no 9-group limit.
     names = "[" + ", ".join(_q(c) for c in fmt.columns) + "]"
     cols = ["value"] + [f"m.{c} AS {c}" for c in fmt.columns]
-    if fmt.has_timestamp():
-        cols.append("try_strptime(substr(m.timestamp_str, 1, 20), '%d/%b/%Y:%H:%M:%S') AS parsed_timestamp")
+    if fmt.timestamp:
+        t = "m.timestamp_str"
+        minutes = f"(60 * TRY_CAST(substr({t}, 23, 2) AS INTEGER) + TRY_CAST(substr({t}, 25, 2) AS INTEGER))"
+        cols.append(
+            f"try_strptime(substr({t}, 1, 20), '%d/%b/%Y:%H:%M:%S') "
+            f"- to_minutes(CASE substr({t}, 22, 1) WHEN '-' THEN -1 ELSE 1 END * {minutes}) AS parsed_timestamp")
     return f"SELECT {', '.join(cols)} FROM (SELECT value, regexp_extract(value, {_q(fmt.pattern)}, {names}) AS m FROM {src})"
 
 
 def silver_sql(src: str = "bronze") -> str:
-    ext = f"regexp_extract(url, {_q(enrich.EXTENSION_PATTERN)}, 1)"
-    static = ", ".join(_q(e) for e in enrich.STATIC_EXTENSIONS)
+    ext = r"regexp_extract(url, '\.([a-zA-Z0-9]+)$', 1)"
+    static = "'css', 'js', 'png', 'jpg', 'jpeg', 'gif', 'ico'"
     return (
-        f"SELECT *, TRY_CAST(status AS INTEGER) AS status_int, "
-        f"CASE WHEN size = '-' THEN 0 ELSE TRY_CAST(size AS INTEGER) END AS bytes_sent_int, "
+        f"SELECT *, {_whole('status')} AS status_int, "
+        f"CASE WHEN size = '-' THEN 0 ELSE {SIZE} END AS bytes_sent_int, "
         f"{ext} AS file_extension, {ext} IN ({static}) AS is_static_asset, "
         "CAST(dayofweek(parsed_timestamp) + 1 AS INTEGER) AS day_of_week, "
         "strftime(parsed_timestamp, '%Y-%m-%d') AS date, "
@@ -71,7 +109,7 @@ def silver_sql(src: str = "bronze") -> str:
     )
 
 
-def with_layers(select: str, flavor: str = "combined", fmt: LogFormat = APACHE_COMBINED, silver: bool = True) -> str:
+def with_layers(select: str, flavor: str = "combined", fmt: LineFormat = COMBINED, silver: bool = True) -> str:
     ctes = [f"lines AS ({lines_sql(flavor)})", f"bronze AS ({bronze_sql(fmt)})"]
     if silver:
         ctes.append(f"silver AS ({silver_sql()})")
@@ -84,15 +122,15 @@ def _render(cols: list[str]) -> str:
 
 ERR = "CAST(status_int >= 400 AS INTEGER)"
 SUM_ERR = f"CAST(sum({ERR}) AS BIGINT)"
-SIZE = "TRY_CAST(size AS INTEGER)"
-WEEKDAY_CASE = "CASE day_of_week " + " ".join(
-    f"WHEN {i} THEN {_q(n)}" for i, n in enumerate(enrich.WEEKDAY_NAMES, 1)
-) + " END"
+WEEKDAY_CASE = (
+    "CASE day_of_week WHEN 1 THEN 'Sunday' WHEN 2 THEN 'Monday' WHEN 3 THEN 'Tuesday' WHEN 4 THEN 'Wednesday' "
+    "WHEN 5 THEN 'Thursday' WHEN 6 THEN 'Friday' WHEN 7 THEN 'Saturday' END"
+)
 CLASS_CASE = (
     "CASE WHEN status_int IS NULL THEN 'unparsed' WHEN status_int < 200 THEN '1xx' WHEN status_int < 300 THEN '2xx' "
     "WHEN status_int < 400 THEN '3xx' WHEN status_int < 500 THEN '4xx' ELSE '5xx' END"
 )
-BRONZE_COLS = ["value", *APACHE_COMBINED.columns, "parsed_timestamp"]
+BRONZE_COLS = ["value", *COMBINED.columns, "parsed_timestamp"]
 SILVER_COLS = BRONZE_COLS + ["status_int", "bytes_sent_int", "file_extension", "is_static_asset",
                              "day_of_week", "date", "hour", "minute"]
 
@@ -131,10 +169,8 @@ def _summary_kv() -> str:
         "min_bytes": f"min({SIZE})",
         "median_bytes": f"quantile_cont({SIZE}, 0.5)",
     }
-    from ..operators.gold import SUMMARY_METRICS
-
     return " UNION ALL ".join(
-        f"SELECT {_q(m)} AS metric_name, CAST({metric[m]} AS DOUBLE) AS metric_value FROM silver" for m in SUMMARY_METRICS
+        f"SELECT {_q(m)} AS metric_name, CAST({value} AS DOUBLE) AS metric_value FROM silver" for m, value in metric.items()
     )
 
 
@@ -152,21 +188,47 @@ def _histogram(bins: int = 50) -> str:
     )
 
 
-def _detect() -> str:
-    fmts = detection_order()
-    names = [f.name for f in fmts]
-    counts = ", ".join(f"count(*) FILTER (WHERE regexp_matches(value, {_q(f.pattern)})) AS m{i}" for i, f in enumerate(fmts))
-    chosen = "CASE " + " ".join(f"WHEN n > 0 AND m{i} * 2 >= n THEN {_q(f.name)}" for i, f in enumerate(fmts))
-    chosen += f" ELSE {_q(DEFAULT_FORMAT)} END"
-    default_m = f"m{names.index(DEFAULT_FORMAT)}" if DEFAULT_FORMAT in names else "0"
-    matched = "CASE " + " ".join(f"WHEN n > 0 AND m{i} * 2 >= n THEN m{i}" for i, _ in enumerate(fmts))
-    matched += f" ELSE {default_m} END"
+def _detect(lines: str, formats: dict[str, str]) -> str:
+    """The first of the formats (most columns first) that fits half the lines."""
+    counts = ", ".join(f"count(*) FILTER (WHERE regexp_matches(value, {_q(p)})) AS {name}" for name, p in formats.items())
+    chosen = "CASE " + " ".join(f"WHEN n > 0 AND {f} * 2 >= n THEN {_q(f)}" for f in formats) + " ELSE 'apache_common' END"
+    matched = "CASE " + " ".join(f"WHEN n > 0 AND {f} * 2 >= n THEN {f}" for f in formats) + " ELSE apache_common END"
     return (
-        f"WITH lines AS ({lines_sql('combined')}), m AS (SELECT count(*) AS n, {counts} FROM lines) "
+        f"WITH lines AS ({lines}), m AS (SELECT count(*) AS n, {counts} FROM lines) "
         f"SELECT {chosen} AS detected_format, n AS sampled_lines, {matched} AS matched_lines FROM m"
     )
 
 
+def _tagged() -> str:
+    """The seven Gold tables in one shape."""
+
+    def row(name: str, select: str) -> str:
+        return f"SELECT {_q(name)} AS gold_table, {select}"
+
+    def cols(k: list[str], n: list[str], x: list[str]) -> str:
+        out = []
+        for letter, width, kind, own in (("k", 2, "VARCHAR", k), ("n", 4, "BIGINT", n), ("x", 2, "DOUBLE", x)):
+            out += [f"CAST({own[i] if i < len(own) else 'NULL'} AS {kind}) AS {letter}{i + 1}" for i in range(width)]
+        return ", ".join(out)
+
+    bytes_sum = "CAST(sum(bytes_sent_int) AS BIGINT)"
+    parts = [
+        row("summary", cols([], ["count(*)", "count(DISTINCT ip)", "count(DISTINCT date)", SUM_ERR],
+                            ["avg(bytes_sent_int)", f"sum({ERR}) / count(*) * 100"]) + " FROM silver"),
+        "SELECT * FROM (" + row("top_ips", cols(["ip"], ["count(*)", bytes_sum, SUM_ERR], []))
+        + " FROM silver GROUP BY ip ORDER BY n1 DESC, k1 LIMIT 10)",
+        "SELECT * FROM (" + row("top_endpoints", cols(["url"], ["count(*)", SUM_ERR], ["avg(bytes_sent_int)"]))
+        + " FROM silver WHERE NOT is_static_asset GROUP BY url ORDER BY n1 DESC, k1 LIMIT 10)",
+        row("error_analysis", cols(["status"], ["status_int", "count(*)", "count(DISTINCT ip)", "count(DISTINCT date)"], []))
+        + " FROM silver WHERE status_int >= 400 GROUP BY status, status_int",
+        row("peak_traffic", cols(["date", "hour"], ["count(*)", bytes_sum, SUM_ERR], [])) + " FROM silver GROUP BY date, hour",
+        "SELECT * FROM (" + row("peak_error", cols([WEEKDAY_CASE], ["cnt"], []))
+        + f" FROM ({CLIENT_ERRORS}) WHERE day_of_week IS NOT NULL ORDER BY cnt DESC, day_of_week LIMIT 1)",
+        row("summary_kv", cols(["metric_name"], [], ["metric_value"])) + f" FROM ({_summary_kv()})",
+    ]
+    return " UNION ALL ".join(parts)
+
+
 def _top(key: str, limit: int, name: str = "count", where: str = "") -> str:
     return f"SELECT {key}, count(*) AS {name} FROM silver {where} GROUP BY {key} ORDER BY {name} DESC, {key} LIMIT {limit}"
 
@@ -175,14 +237,13 @@ def oracle_sql() -> dict[str, str]:
     L = with_layers
     ts_cols = ["value", "parsed_timestamp", "day_of_week", "date", "hour", "minute"]
     window = _window_sql(60)
-    rt = ", ".join(
-        f"SELECT {_q(f)} AS format, count(*) AS rows, CAST(sum(bytes_sent_int) AS BIGINT) AS total_bytes, "
-        "count(DISTINCT ip) AS distinct_ips, count(DISTINCT date) AS days FROM silver"
-        for f in catalog.ROUNDTRIP_FORMATS
-    ).replace(", SELECT", " UNION ALL SELECT")
+    rt = " UNION ALL ".join(
+        f"SELECT {_q(f)} AS format, ip, url, status_int, bytes_sent_int, date FROM silver" for f in ("csv", "json", "orc", "parquet"))
+    shorter = {"apache_combined": COMBINED.pattern, "apache_common": COMMON.pattern}
+    header = "SELECT '# header ' || CAST(range AS VARCHAR) AS value FROM range(20)"
     out = {
-        "parse_common": L(f"SELECT {_render(['value', *APACHE_COMMON.columns, 'parsed_timestamp'])} FROM bronze",
-                          "common", APACHE_COMMON, silver=False),
+        "parse_common": L(f"SELECT {_render(['value', *COMMON.columns, 'parsed_timestamp'])} FROM bronze",
+                          "common", COMMON, silver=False),
         "silver_types": L("SELECT value, status, size, status_int, bytes_sent_int FROM silver"),
         "silver_static": L("SELECT value, url, file_extension, is_static_asset FROM silver"),
         "silver_time": L(f"SELECT {_render(ts_cols)} FROM silver"),
@@ -215,7 +276,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT * FROM ({_summary_kv()}) WHERE metric_name = 'distinct_client_ips'"
         ),
         "top10_ips": L(_top("ip", 10)),
-        "top6_endpoints": L(_top("url", 6, where=f"WHERE NOT regexp_matches(url, {_q(enrich.FILE_URL_PATTERN)})")),
+        "top6_endpoints": L(_top("url", 6, where=f"WHERE NOT regexp_matches(url, '\\.(css|js|png|jpg|jpeg|gif|ico|svg|woff|woff2|ttf|eot)(\\?.*)?$')")),
         "top5_urls": L(_top("url", 5, "requests")),
         "distinct_ips": L("SELECT count(DISTINCT ip) AS distinct_ips FROM silver"),
         "day_count": L("SELECT count(DISTINCT date) AS day_count FROM silver"),
@@ -239,15 +300,17 @@ def oracle_sql() -> dict[str, str]:
         ),
         "status_distribution": L('SELECT status_int, count(*) AS "count" FROM silver GROUP BY status_int'),
         "layer_counts": L(
-            "SELECT 'bronze' AS layer, count(*) AS rows FROM silver UNION ALL "
+            "SELECT 'bronze' AS layer, count(*) AS rows FROM lines UNION ALL "
             "SELECT 'silver', count(*) FROM silver UNION ALL "
-            "SELECT 'unparsed', count(*) FILTER (WHERE ip = '') FROM silver UNION ALL "
+            "SELECT 'unparsed', count(*) FILTER (WHERE ip = '') FROM bronze UNION ALL "
             "SELECT 'no_timestamp', count(*) FILTER (WHERE parsed_timestamp IS NULL) FROM silver"
         ),
         "total_errors": L(f"SELECT {SUM_ERR} AS total_errors FROM silver"),
         "parse_combined": L(f"SELECT {_render(BRONZE_COLS)} FROM bronze", silver=False),
-        "parse_custom": L("SELECT * FROM bronze", "combined", catalog.REQUEST_LINE, silver=False),
-        "detect_format": _detect(),
+        "parse_custom": L("SELECT * FROM bronze", "combined", REQUEST_LINE, silver=False),
+        "detect_format": _detect(lines_sql("combined"), shorter),
+        "detect_longer_format": _detect(
+            f"{header} UNION ALL {lines_sql('timed')}", {"combined_timed": TIMED_PATTERN, **shorter}),
         "parse_nginx": L(f"SELECT {_render(['value', *NGINX.columns, 'parsed_timestamp'])} FROM bronze",
                          "nginx", NGINX, silver=False),
         "src_text": f"WITH lines AS ({lines_sql('combined')}) SELECT value FROM lines",
@@ -256,17 +319,20 @@ def oracle_sql() -> dict[str, str]:
         "append_roundtrip": L("SELECT status, 2 * count(*) AS rows FROM bronze GROUP BY status", silver=False),
         "silver_partition_pruned": L(
             "SELECT date, hour, count(*) AS requests, CAST(sum(bytes_sent_int) AS BIGINT) AS total_bytes FROM silver "
-            f"WHERE date BETWEEN {_q(catalog.PRUNE_FROM)} AND {_q(catalog.PRUNE_TO)} GROUP BY date, hour"
+            "WHERE date BETWEEN '2024-01-10' AND '2024-01-12' GROUP BY date, hour"
         ),
         "sql_view_logs": L(
             "SELECT method, count(*) AS requests, CAST(sum(bytes_sent_int) AS BIGINT) AS total_bytes, "
             "count(DISTINCT ip) AS clients FROM silver GROUP BY method"
         ),
-        "medallion_gold": L(SUMMARY),
+        "medallion_gold": L(_tagged()),
         "gold_or_recompute": L(
             "SELECT ip, count(*) AS requests, CAST(sum(bytes_sent_int) AS BIGINT) AS total_bytes, "
             f"{SUM_ERR} AS errors FROM silver GROUP BY ip ORDER BY requests DESC, ip LIMIT 10"
         ),
+        "top_ips_from_gold": L(_top("ip", 7)),
+        "top_ips_beyond_gold": L(_top("ip", 25)),
+        "metric_from_gold": L(f"SELECT * FROM ({_summary_kv()}) WHERE metric_name = 'median_bytes'"),
         "stream_silver": L(f"SELECT {_render(SILVER_COLS)} FROM silver"),
         "windowed_traffic": L(window),
         "error_threshold_windows": L(f"SELECT * FROM ({window}) WHERE error_ratio > 0.05"),

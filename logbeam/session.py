@@ -1,4 +1,4 @@
-"""Session helpers: time-zone pinning, shared scratch locations, test sessions.
+"""Session helpers: time-zone scope, shared scratch locations, test sessions.
 
 Nothing here builds its own SparkSession for library calls: every operator
 takes the caller's session.  ``local_session`` exists for tests and bench.
@@ -6,51 +6,50 @@ takes the caller's session.  ``local_session`` exists for tests and bench.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 UTC = "UTC"
 
 
-def memo_columns(fn):
-    """Build a Column expression once per JVM and reuse it.
+@contextlib.contextmanager
+def time_zone(spark: SparkSession, tz: str | None = UTC) -> Iterator[None]:
+    """Build plans in time zone ``tz`` (None: the session's own), then give
+    the session its setting back.
 
-    Column objects are immutable expression trees; building a large one
-    costs hundreds of Python-to-JVM calls, so formats and renderings that
-    never change are built once.  Keyed by the gateway so a new JVM gets
-    fresh objects.
+    ``date``/``hour``/``minute``/``day_of_week`` follow the session time zone,
+    which Spark writes into the expressions when a plan is built, so a
+    DataFrame built in the scope keeps its zone outside it.
     """
-    cache: dict = {}
-
-    @functools.wraps(fn)
-    def wrapper(*args):
-        from pyspark import SparkContext
-
-        sc = SparkContext._active_spark_context
-        key = (id(sc._gateway) if sc is not None else None, args)
-        if key not in cache:
-            cache[key] = fn(*args)
-        out = cache[key]
-        return list(out) if isinstance(out, list) else out
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    if tz is None or tz == before:
+        yield
+        return
+    spark.conf.set(key, tz)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def in_utc(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query function whose plan is built in UTC."""
+
+    @functools.wraps(build)
+    def wrapper(spark: SparkSession, *args, **kwargs) -> DataFrame:
+        with time_zone(spark):
+            return build(spark, *args, **kwargs)
 
     return wrapper
 
 
-def pin_time_zone(spark: SparkSession, tz: str = UTC) -> None:
-    """Pin ``spark.sql.session.timeZone`` before any plan is built.
-
-    ``date``/``hour``/``minute``/``day_of_week`` follow the session time zone,
-    so the same log line must not land in a different hour depending on the
-    machine that runs the job.
-    """
-    if spark.conf.get("spark.sql.session.timeZone", None) != tz:
-        spark.conf.set("spark.sql.session.timeZone", tz)
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch output.
 
@@ -76,6 +75,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/logbeam/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def temporary_path(spark: SparkSession, name: str) -> str:
+    """A scratch location that its file system deletes when the driver ends."""
+    path = scratch_path(spark, name)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "logbeam") -> SparkSession:
     """Local session for tests and the benchmark (UI off, UTC, AQE on)."""
     builder = (

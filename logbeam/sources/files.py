@@ -2,10 +2,9 @@
 
 Thin by design: the work (pushdown, pruning, parallel scan, partitioned
 write) is Spark's.  What these add is the layout decisions -- Silver is
-rebalanced by its partition column before a ``partitionBy`` write so each
-date is written by a few tasks instead of every task, and unsplittable input
-is spread before parsing -- and the type fix on read-back (a STRING
-partition column is inferred as DATE).
+clustered by its partition column before a ``partitionBy`` write so each date
+is written by a few tasks instead of every task -- and the type fix on
+read-back (a STRING partition column is inferred as DATE).
 """
 
 from __future__ import annotations
@@ -16,11 +15,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
-
 log = logging.getLogger(__name__)
 
 SILVER_PARTITION = "date"
+#: Tasks, and so files, per date of a clustered write at most.
+DATE_SPLITS = 4
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -31,6 +30,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds a finished write (its success marker)."""
+    return path_exists(spark, f"{str(path).rstrip('/')}/_SUCCESS")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Recursively delete a scratch location through its Hadoop FileSystem
     (local, HDFS or object store)."""
@@ -39,26 +43,29 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a DataFrame over the cluster's cores when its scan would
-    keep at most a quarter of them busy -- the signature of unsplittable
-    input (one Parquet row group, a few large .gz text files) -- so the
-    CPU-heavy regex parse runs on every core.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal unsplittable input (a few large .gz files) to ``partitions`` tasks
+    before the CPU-heavy parse.  Off unless the caller asks for it: splittable
+    input is parsed where it is read, without a shuffle."""
+    return df.repartition(partitions) if partitions else df
 
-    The spread rows are checkpointed to the shared ``spark.checkpoint.dir``:
-    the unsplittable read happens once, a lost executor recomputes from the
-    checkpoint instead of re-reading (re-decompressing) the source in one
-    task, and nothing downstream is pushed back into the reading tasks.
 
-    Splittable inputs have enough splits and pass through untouched -- no
-    shuffle and no checkpoint.
-    """
-    spark = df.sparkSession
-    cores = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 4 > cores:
-        return df
-    checkpoint_root(spark)  # make sure the reliable checkpoint folder is set
-    return df.repartition(cores).checkpoint(eager=True)
+def children(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Paths of the folder's entries whose names start with ``prefix``."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(path))
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(hpath)]
+    return sorted(p.toString() for p in found if p.getName().startswith(prefix))
+
+
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Put ``source`` in the place of ``target``."""
+    jvm = spark.sparkContext._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(str(source)), jvm.org.apache.hadoop.fs.Path(str(target))
+    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {source} to {target}")
 
 
 # ----------------------------------------------------------------- readers
@@ -130,32 +137,38 @@ def write(df: DataFrame, path: str, file_format: str, mode: str = "overwrite",
     writer.save(str(path))
 
 
+def cluster(df: DataFrame, columns: Sequence[str], splits: int = DATE_SPLITS) -> DataFrame:
+    """Bring the rows of one partition value together in at most ``splits``
+    tasks: a hot value (a date with a third of all rows) is dealt over that
+    many by a salt, whether AQE is on or not."""
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(splits))
+    return df.repartition(*columns, salt)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None,
-                  dynamic_overwrite: bool = False, rebalance: bool = True) -> None:
+                  dynamic_overwrite: bool = False, rebalance: bool = True, splits: int = DATE_SPLITS) -> None:
     """K2: Parquet sink (snappy, Spark's default codec); modes overwrite/append.
 
     ``dynamic_overwrite`` (with ``partition_by`` and mode overwrite) replaces
     only the partitions present in ``df`` -- a daily load rewrites its own
-    dates and leaves the rest of the table alone.  ``rebalance=False`` skips
-    the shuffle by partition value when the input is already clustered by it
-    (time-ordered log files, each task touching a few dates).
+    dates and leaves the rest of the table alone.  With ``partition_by`` the
+    rows are clustered by partition value first, at most ``splits`` files per
+    value instead of one per task; ``rebalance=False`` skips that shuffle when
+    the input is already clustered (time-ordered log files, each task touching
+    a few dates).
     """
     options = {"partitionOverwriteMode": "dynamic"} if dynamic_overwrite else None
     if partition_by and rebalance:
-        # Cluster rows of one partition value into few tasks: one file per
-        # (date, task) instead of one per (date, every task).  REBALANCE (not
-        # repartition) lets AQE split a hot date across several tasks, so a
-        # date holding a third of all rows is not written by one task.
-        df = df.hint("rebalance", *partition_by)
+        df = cluster(df, partition_by, splits)
     write(df, path, "parquet", mode=mode, partition_by=partition_by, options=options)
 
 
 def write_silver(df: DataFrame, path: str, mode: str = "overwrite", dynamic_overwrite: bool = False,
-                 rebalance: bool = True) -> None:
+                 rebalance: bool = True, splits: int = DATE_SPLITS) -> None:
     """K3: Silver partitioned by ``date`` (optionally replacing only the dates
-    present in ``df``; ``rebalance`` as in ``write_parquet``)."""
+    present in ``df``; ``rebalance`` and ``splits`` as in ``write_parquet``)."""
     write_parquet(df, path, mode=mode, partition_by=[SILVER_PARTITION], dynamic_overwrite=dynamic_overwrite,
-                  rebalance=rebalance)
+                  rebalance=rebalance, splits=splits)
 
 
 def write_jdbc(df: DataFrame, url: str | None, table: str, mode: str = "overwrite",

@@ -9,13 +9,13 @@ restarted driver resumes instead of double-counting.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import enrich
 from ..functions.formats import DEFAULT_FORMAT, LogFormat
 from ..operators.layers import to_bronze, to_silver
-from ..session import pin_time_zone
+from ..session import UTC, time_zone
 from ..sources import files
 
 # Analysis defaults (window length and error-ratio threshold).
@@ -59,67 +59,123 @@ def error_threshold_windows(silver: DataFrame, threshold: float = ERROR_THRESHOL
 
 def stream_silver(spark: SparkSession, input_dir: str, output_path: str, checkpoint: str,
                   log_format: str | LogFormat = DEFAULT_FORMAT, max_files_per_trigger: int | None = None,
-                  wait: bool = True):
+                  wait: bool = True, splits: int = files.DATE_SPLITS, tz: str | None = UTC):
     """S2 -> P -> E -> Parquet (partitioned by date), ``availableNow``: process
-    every file present, then stop.  The file sink's metadata log makes the
-    output exactly-once.  Returns the ``StreamingQuery``."""
-    pin_time_zone(spark)
-    lines = files.read_text(spark, input_dir, streaming=True, max_files_per_trigger=max_files_per_trigger)
-    silver = to_silver(to_bronze(lines, log_format))
-    query = (
-        silver.writeStream.format("parquet")
-        .option("path", output_path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(files.SILVER_PARTITION)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    every file present, then stop.  Each micro-batch is clustered by date, at
+    most ``splits`` files per date and batch.  The file sink's metadata log
+    makes the output exactly-once.  Returns the ``StreamingQuery``."""
+    with time_zone(spark, tz):
+        lines = files.read_text(spark, input_dir, streaming=True, max_files_per_trigger=max_files_per_trigger)
+        silver = files.cluster(to_silver(to_bronze(lines, log_format)), [files.SILVER_PARTITION], splits)
+        query = (
+            silver.writeStream.format("parquet")
+            .option("path", output_path)
+            .option("checkpointLocation", checkpoint)
+            .partitionBy(files.SILVER_PARTITION)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
     if wait:
         query.awaitTermination()
     return query
 
 
+class WindowStream:
+    """A running windowed-traffic query and the rows its watermark dropped."""
+
+    def __init__(self) -> None:
+        self.query = None
+        self._dropped: dict[int, int] = {}
+
+    def note(self) -> None:
+        """Take in the progress reports so far (the query keeps only the last
+        hundred, so every micro-batch calls this)."""
+        for p in self.query.recentProgress if self.query is not None else ():
+            self._dropped[p["batchId"]] = sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"])
+
+    def dropped_rows(self) -> int:
+        """Rows that came too late for the watermark and are in no window;
+        always 0 without a watermark."""
+        self.note()
+        return sum(self._dropped.values())
+
+
 def stream_windowed_traffic(spark: SparkSession, input_dir: str, output_path: str, checkpoint: str,
                             log_format: str | LogFormat = DEFAULT_FORMAT, minutes: int = WINDOW_MINUTES,
-                            watermark: str = "2 hours", max_files_per_trigger: int | None = None,
-                            wait: bool = True):
+                            watermark: str | None = None, max_files_per_trigger: int | None = None,
+                            wait: bool = True, tz: str | None = UTC) -> WindowStream:
     """D1 as a stateful streaming aggregation.
 
-    Event-time watermark bounds the state; ``update`` mode emits every
-    window touched by a micro-batch, and ``foreachBatch`` overwrites
-    ``{output_path}/batch_id=N`` so a retried batch replaces its own output.
-    ``read_windowed_traffic`` then keeps the newest version of each window.
+    By default nothing is ever too late: the state is one row per window, so
+    it grows with the time span of the logs, not with their rows, and files
+    may come in any order.  A caller whose stream never ends may pass a
+    ``watermark`` to let old windows go; rows later than that are left out, and
+    ``dropped_rows()`` of the result counts them.
+
+    ``update`` mode emits every window touched by a micro-batch, and
+    ``foreachBatch`` overwrites ``{output_path}/batch_id=N`` so a retried batch
+    replaces its own output.  ``read_windowed_traffic`` keeps the newest
+    version of each window, ``compact_windowed_traffic`` rewrites the batches
+    as one.
     """
-    pin_time_zone(spark)
-    lines = files.read_text(spark, input_dir, streaming=True, max_files_per_trigger=max_files_per_trigger)
-    silver = to_silver(to_bronze(lines, log_format))
-    w = F.window("parsed_timestamp", f"{minutes} minutes").alias("w")
-    agg = _window_select(silver.withWatermark("parsed_timestamp", watermark).groupBy(w).agg(*_window_aggs()))
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/batch_id={batch_id}")
-
-    query = (
-        agg.writeStream.outputMode("update")
-        .foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    out = WindowStream()
+    with time_zone(spark, tz):
+        lines = files.read_text(spark, input_dir, streaming=True, max_files_per_trigger=max_files_per_trigger)
+        silver = to_silver(to_bronze(lines, log_format))
+        if watermark:
+            silver = silver.withWatermark("parsed_timestamp", watermark)
+        w = F.window("parsed_timestamp", f"{minutes} minutes").alias("w")
+        timed = silver.where(F.col("parsed_timestamp").isNotNull())
+        agg = timed.groupBy(w).agg(*_window_aggs()).select("w.start", "w.end", "requests", "errors", "total_bytes")
+
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            out.note()
+            batch.write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/batch_id={batch_id}")
+
+        out.query = (
+            agg.writeStream.outputMode("update")
+            .foreachBatch(sink)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
     if wait:
-        query.awaitTermination()
-    return query
-
-
-def read_windowed_traffic(spark: SparkSession, output_path: str) -> DataFrame:
-    """Latest emitted version of every window (partitioned by window, so the
-    dedup shuffles by window key and never gathers all windows in one task)."""
-    emitted = spark.read.parquet(output_path)
-    latest = Window.partitionBy("window_start").orderBy(F.desc("batch_id"))
-    return (
-        emitted.withColumn("_rn", F.row_number().over(latest))
-        .where(F.col("_rn") == 1)
-        .drop("_rn", "batch_id")
-        .orderBy("window_start")
-    )
+        out.query.awaitTermination()
+        out.note()
+    return out
+
+
+def _latest(emitted: DataFrame) -> DataFrame:
+    """Newest version of each window, by its instant (a clock that is set back
+    gives two windows one wall-clock time)."""
+    values = F.struct("end", "requests", "errors", "total_bytes")
+    newest = emitted.groupBy("start").agg(F.max_by(values, "batch_id").alias("v"), F.max("batch_id").alias("batch_id"))
+    return newest.select("start", "v.*", "batch_id")
+
+
+def read_windowed_traffic(spark: SparkSession, output_path: str, tz: str | None = UTC) -> DataFrame:
+    """Latest emitted version of every window, as ``windowed_traffic``
+    returns it (partially aggregated by window: no task gathers them all)."""
+    with time_zone(spark, tz):
+        latest = _latest(spark.read.parquet(output_path))
+        return _window_select(latest.withColumn("w", F.struct("start", "end"))).orderBy("window_start")
+
+
+def compact_windowed_traffic(spark: SparkSession, output_path: str) -> None:
+    """Rewrite the batches of a stopped stream as the last of them: readers
+    then open one version of each window.  The merged batch is written aside
+    (``_merged``) before any batch is touched; a run that breaks off can be
+    finished from there."""
+    base = output_path.rstrip("/")
+    emitted = spark.read.parquet(base)
+    last = emitted.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return
+    merged = f"{base}/_merged"
+    _latest(emitted).drop("batch_id").write.mode("overwrite").parquet(merged)
+    batches = files.children(spark, base, "batch_id=")
+    files.replace_path(spark, merged, f"{base}/batch_id={last}")
+    for path in batches:
+        if not path.endswith(f"/batch_id={last}"):
+            files.delete_path(spark, path)

@@ -28,10 +28,30 @@ def test_detect_fallback_on_junk_and_empty(lines_df):
     assert detect_format(lines_df([])).first()["detected_format"] == "apache_common"
 
 
-def test_detect_samples_only_ten_lines(lines_df):
-    mixed = SAMPLE_LINES * 2 + ["junk"] * 30
-    r = detect_format(lines_df(mixed), sample_size=10).first()
-    assert r["sampled_lines"] == 10
+def test_detect_scores_every_line_unless_a_sample_is_asked_for(lines_df):
+    mixed = ["# header"] * 6 + SAMPLE_LINES * 2 + ["junk"] * 3
+    assert detect_format(lines_df(mixed)).first().asDict() == {
+        "detected_format": "apache_combined", "sampled_lines": 21, "matched_lines": 12}
+    assert detect_format(lines_df(["# header"] * 30 + SAMPLE_LINES), sample_size=10).first()["sampled_lines"] == 10
+
+
+def test_header_lines_do_not_decide_the_format(spark, text_dir):
+    df = extract_logs(spark, text_dir(["# header"] * 6 + SAMPLE_LINES * 4))
+    assert "user_agent" in df.columns and df.where("referer = 'https://example.com'").count() == 24
+
+
+def test_the_longest_registered_format_wins(lines_df):
+    from logbeam.functions.formats import APACHE_COMBINED, unregister_format
+
+    timed = LogFormat("t_timed", APACHE_COMBINED.pattern + r" (\d+)$", (*APACHE_COMBINED.columns, "millis"), APACHE_COMBINED.timestamp_format)
+    register_format(timed)
+    try:
+        lines = lines_df([line + " 15" for line in SAMPLE_LINES])
+        assert detect_format(lines).first()["detected_format"] == "t_timed"
+        assert detect_format(lines_df(SAMPLE_LINES)).first()["detected_format"] == "apache_combined"
+    finally:
+        unregister_format("t_timed")
+    assert detect_format(lines).first()["detected_format"] == "apache_combined"
 
 
 def test_extract_logs_auto(spark, text_dir):
@@ -44,7 +64,7 @@ def test_custom_format(lines_df):
     assert fmt.columns == ("ip", "status") and hash(fmt)
     register_format(fmt, detectable=False)
     r = to_bronze(lines_df(SAMPLE_LINES[:1]), "ip_status").first()
-    assert (r["ip"], r["status"]) == ("192.168.1.1", "200")
+    assert (r["ip"], r["status"]) == ("10.7.3.1", "200")
     assert "parsed_timestamp" not in r.asDict()
     with pytest.raises(ValueError):
         get_format("nope")
@@ -53,7 +73,7 @@ def test_custom_format(lines_df):
 # Lines built from pieces that exercise the patterns: separators, quotes,
 # brackets, dashes, digits, line terminators inside a line, prefixes.
 _PIECES = ["1.2.3.4", " ", "-", "[", "]", '"', "GET", "/a.png?v=2", "HTTP/1.1", "200", "99999999999",
-           "27/Jun/2025:10:00:00 +0000", "\u0001", "\r", "x y", "alice", "(", "$1", "\\"]
+           "14/Mar/2025:10:00:00 +0000", "\u0001", "\r", "x y", "alice", "(", "$1", "\\"]
 
 
 @pytest.mark.parametrize("fmt_name", ["apache_common", "apache_combined", "nginx"])
@@ -86,16 +106,37 @@ def test_silver_of_partial_format(lines_df):
     assert "status_int" not in r.asDict() and "date" not in r.asDict()
 
 
-def test_extract_logs_spreads_a_single_gzip_file(spark):
+def test_extract_logs_spreads_only_when_asked(spark):
     import gzip
     import tempfile
     from pathlib import Path
 
-    from .conftest import SAMPLE_LINES
-
     d = Path(tempfile.mkdtemp(prefix="logbeam-gz-"))
     with gzip.open(d / "access.log.gz", "wt") as fh:
         fh.write("\n".join(SAMPLE_LINES * 50) + "\n")
-    bronze = extract_logs(spark, str(d / "access.log.gz"), "combined")
-    assert bronze.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert bronze.count() == 300 and bronze.where("ip = ''").count() == 0
+    plain = extract_logs(spark, str(d / "access.log.gz"), "combined")
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    dealt = extract_logs(spark, str(d / "access.log.gz"), "combined", spread_partitions=5)
+    assert dealt.rdd.getNumPartitions() == 5
+    assert plain.count() == dealt.count() == 300 and dealt.where("ip = ''").count() == 0
+
+
+def test_time_zone_is_a_parameter_and_the_session_keeps_its_own(spark, text_dir):
+    from logbeam.operators.layers import to_silver
+    from logbeam.session import time_zone
+
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "America/Sao_Paulo")
+    try:
+        src = text_dir(SAMPLE_LINES)
+        bronze = extract_logs(spark, src, "combined")
+        hours = {}
+        for tz in ("UTC", "Asia/Kolkata", None):
+            with time_zone(spark, tz):
+                silver = to_silver(bronze)
+            hours[tz] = silver.first()["hour"]  # run outside the scope
+            assert spark.conf.get(key) == "America/Sao_Paulo"
+        assert hours == {"UTC": 10, "Asia/Kolkata": 15, None: 7}
+    finally:
+        spark.conf.set(key, before)

@@ -16,14 +16,14 @@ def test_run_medallion(spark, text_dir):
     res = medallion.run_medallion(spark, text_dir(SAMPLE_LINES + ["junk"]), out, log_format="combined")
     assert res["status"] == "success", res
     assert res["rows"] == {"bronze": 7, "silver": 7}
-    assert res["metrics_count"] == 6
+    assert res["metrics_count"] == 7
     assert res["metrics"]["summary"].first()["total_requests"] == 7
     assert res["metrics"]["peak_error"].collect()[0]["day_name"] == "Friday"
     silver = files.read_silver(spark, res["silver_output"])
     assert dict(silver.dtypes)["date"] == "string"
     # the unparsed line lands in the NULL-date partition and reads back as NULL
     assert silver.where("date IS NULL").count() == 1
-    assert sorted(os.listdir(res["silver_output"].replace("file:", ""))).count("date=2025-06-27") == 1
+    assert sorted(os.listdir(res["silver_output"].replace("file:", ""))).count("date=2025-03-14") == 1
 
 
 def test_run_medallion_error_dict(spark, text_dir):
@@ -44,7 +44,7 @@ def test_gold_or_recompute(spark, sample_silver, text_dir):
 def test_silver_partition_pruning_in_plan(spark, sample_silver):
     path = scratch_path(spark, "t-prune")
     files.write_silver(sample_silver, path)
-    plan = files.read_silver(spark, path).where("date = '2025-06-27'")._jdf.queryExecution().executedPlan().toString()
+    plan = files.read_silver(spark, path).where("date = '2025-03-14'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
@@ -78,18 +78,65 @@ def test_write_gold_skips_failing_jdbc(spark, sample_silver):
     assert set(failures) == {"summary"}
 
 
-def test_spread_only_when_few_splits(spark):
-    one = spark.range(0, 1000, 1, numPartitions=1)
-    spread_df = files.spread(one, min_partitions=8)
-    assert spread_df.rdd.getNumPartitions() == 8
-    assert sorted(r[0] for r in spread_df.collect()) == list(range(1000))
-    many = spark.range(0, 1000, 1, numPartitions=4)
-    assert files.spread(many, min_partitions=8) is many
+def test_write_gold_fills_jdbc_from_the_written_table(spark, sample_silver, monkeypatch):
+    from logbeam.operators import gold
+
+    seen = []
+    monkeypatch.setattr(files, "write_jdbc", lambda df, url, table, **_: seen.append((table, df.inputFiles() != [])))
+    assert medallion.write_gold({"summary": gold.summary(sample_silver)}, scratch_path(spark, "t-jdbc"), "jdbc:x") == {}
+    assert seen == [("gold_summary_metrics", True)]
+
+
+def test_missing_driver_is_found_out_once(spark, text_dir):
+    res = medallion.run_medallion(spark, text_dir(SAMPLE_LINES), scratch_path(spark, "t-drv"), "combined", jdbc_url="jdbc:nosuchdb://x",
+                                  jdbc_properties={"driver": "no.such.Driver"})
+    assert res["status"] == "success" and res["db_available"] is False
+    assert res["db_save_attempted"] is False and res["db_failures"] == {}
+    assert medallion.jdbc_driver_available(spark, {"driver": "java.lang.String"}) and medallion.jdbc_driver_available(spark)
+
+
+def test_gold_answers_honour_top_n_and_need_a_finished_write(spark, sample_silver):
+    import shutil
+
+    from logbeam.operators import gold
+
+    out = scratch_path(spark, "t-ans")
+    medallion.write_gold(gold.gold_tables(sample_silver, top_n=2), out)
+    rows = medallion.top_ips_answer(spark, out, sample_silver, 2).collect()
+    assert [r.asDict() for r in rows] == [{"ip": "10.7.3.1", "count": 2}, {"ip": "10.7.3.2", "count": 1}]
+    assert medallion.top_ips_answer(spark, out, sample_silver, 1).count() == 1
+    assert medallion.top_ips_answer(spark, out, sample_silver, 4).count() == 4  # more than stored: recomputed
+    assert medallion.summary_metric_answer(spark, out, sample_silver, "median_bytes").first()["metric_value"] == 1024.0
+    assert medallion.summary_metric_answer(spark, None, sample_silver, "max_bytes").first()["metric_value"] == 4096.0
+    # a folder without a finished write does not count
+    shutil.copytree(f"{out}/top_ips", f"{out}/top_endpoints", dirs_exist_ok=True)
+    unfinished = scratch_path(spark, "t-unf")
+    sample_silver.limit(0).write.parquet(f"{unfinished}/top_ips")
+    files.delete_path(spark, f"{unfinished}/top_ips/_SUCCESS")
+    assert medallion.top_ips_answer(spark, unfinished, sample_silver, 3).count() == 3
+
+
+def test_files_per_date_are_bounded_without_adaptive_execution(spark, sample_silver):
+    from pathlib import Path
+
+    many = sample_silver.crossJoin(spark.range(200).withColumnRenamed("id", "n")).repartition(16)
+    for adaptive in ("true", "false"):
+        before = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        try:
+            path = scratch_path(spark, "t-split")
+            files.write_silver(many, path, splits=3)
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", before)
+        parts = list(Path(path.removeprefix("file:")).glob("date=2025-03-14/*.parquet"))
+        assert 1 <= len(parts) <= 3, adaptive
+        assert adaptive == "true" or len(parts) > 1  # a hot date is dealt over several tasks
+        assert files.read_silver(spark, path).count() == 1200
 
 
 def test_analyze_logs_registers_view_and_writes(spark, sample_silver):
     tables = medallion.analyze_logs(sample_silver)
-    assert set(tables) == {"summary", "top_ips", "top_endpoints", "error_analysis", "peak_traffic", "peak_error"}
+    assert set(tables) == {"summary", "top_ips", "top_endpoints", "error_analysis", "peak_traffic", "peak_error", "summary_kv"}
     assert spark.sql("SELECT count(*) FROM logs").first()[0] == 6
     out = scratch_path(spark, "t-analyze")
     written = medallion.analyze_logs(sample_silver, output_path=out)
@@ -100,14 +147,14 @@ def test_analyze_logs_registers_view_and_writes(spark, sample_silver):
 def test_silver_dynamic_partition_overwrite(spark, lines_df):
     from logbeam.operators.layers import to_bronze, to_silver
 
-    day = '10.0.0.1 - - [{d}/Jun/2025:10:00:00 +0000] "GET /x HTTP/1.1" 200 {n} "-" "c"'
-    first = to_silver(to_bronze(lines_df([day.format(d="27", n=1), day.format(d="28", n=2)]), "combined"))
-    again = to_silver(to_bronze(lines_df([day.format(d="28", n=5)]), "combined"))
+    day = '10.0.0.1 - - [{d}/Mar/2025:10:00:00 +0000] "GET /x HTTP/1.1" 200 {n} "-" "c"'
+    first = to_silver(to_bronze(lines_df([day.format(d="14", n=1), day.format(d="15", n=2)]), "combined"))
+    again = to_silver(to_bronze(lines_df([day.format(d="15", n=5)]), "combined"))
     path = scratch_path(spark, "t-dyn")
     files.write_silver(first, path)
     files.write_silver(again, path, dynamic_overwrite=True)
     got = sorted((r["date"], r["bytes_sent_int"]) for r in files.read_silver(spark, path).collect())
-    assert got == [("2025-06-27", 1), ("2025-06-28", 5)]
+    assert got == [("2025-03-14", 1), ("2025-03-15", 5)]
     files.write_silver(again, path)  # static overwrite replaces the whole table
     assert files.read_silver(spark, path).count() == 1
 

@@ -10,17 +10,18 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from logbeam.plans import catalog
 
 from .conftest import SF_SMALL
 
 TOP_K = {"gold_top_ips", "gold_top_endpoints", "gold_peak_error", "top10_ips", "top6_endpoints", "top5_urls",
-         "gold_or_recompute"}
-BOUNDED_JOINS = {"client_errors_all_weekdays", "size_histogram"}
-# Queries whose result is read back from a sink (their plan is a file scan).
-SINK_BACKED = {"src_text", "bronze_roundtrip", "append_roundtrip", "silver_partition_pruned", "medallion_gold",
-               "stream_silver", "windowed_traffic_stream", "src_formats_roundtrip", "size_stats", "summary_kv",
-               "summary_metric_lookup"}
+         "gold_or_recompute", "top_ips_from_gold", "top_ips_beyond_gold"}
+# At most two rows of a bucket level, seven weekdays, or the bins are broadcast.
+BOUNDED_JOINS = {"client_errors_all_weekdays", "size_histogram", "size_stats", "summary_kv"}
+# Queries that write first (their plan, or part of it, is a scan of what was written).
+SINK_BACKED = {"src_text", "bronze_roundtrip", "append_roundtrip", "silver_partition_pruned", "medallion_gold", "layer_counts",
+               "stream_silver", "windowed_traffic_stream", "src_formats_roundtrip", "top_ips_from_gold", "top_ips_beyond_gold",
+               "metric_from_gold"}
 
 
 def plan_of(df) -> str:
@@ -29,11 +30,28 @@ def plan_of(df) -> str:
 
 
 @pytest.fixture(scope="module")
-def plans(spark):
-    return {k: plan_of(fn(spark, SF_SMALL)) for k, fn in E.queries().items()}
+def built(spark):
+    """Each query's DataFrame and the jobs that building it started."""
+    sc = spark.sparkContext
+    out = {}
+    for key, fn in catalog.queries().items():
+        sc.setJobGroup(f"plan-{key}", key)
+        out[key] = fn(spark, SF_SMALL), len(sc.statusTracker().getJobIdsForGroup(f"plan-{key}"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    return out
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.fixture(scope="module")
+def plans(built):
+    return {key: plan_of(df) for key, (df, _) in built.items()}
+
+
+@pytest.mark.parametrize("key", sorted(set(catalog.queries()) - SINK_BACKED))
+def test_building_a_query_starts_no_job(built, key):
+    assert built[key][1] == 0
+
+
+@pytest.mark.parametrize("key", sorted(catalog.queries()))
 def test_no_cartesian_no_python(plans, key):
     p = plans[key]
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -41,11 +59,8 @@ def test_no_cartesian_no_python(plans, key):
         assert bad not in p, f"{key}: {bad}"
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - SINK_BACKED))
+@pytest.mark.parametrize("key", sorted(set(catalog.queries()) - SINK_BACKED))
 def test_events_scan_is_pruned(plans, key):
-    # With a single-row-group input the scan sits before the spread
-    # checkpoint (see test_rendering_reads_only_used_columns); when a scan
-    # is in the plan it must not read unused columns.
     for s in re.findall(r"ReadSchema: struct<([^>]*)>", plans[key]):
         assert "props" not in s, f"{key} reads props: {s}"
 
@@ -78,15 +93,38 @@ def test_top_k_is_take_ordered(plans, key):
     assert "TakeOrderedAndProject" in plans[key]
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - SINK_BACKED))
-def test_aggregates_are_partial_before_shuffle(plans, key):
-    physical = plans[key]
-    if "HashAggregate" in physical and "hashpartitioning" in physical:
-        # every final HashAggregate has its map-side partner below the shuffle
-        assert physical.count("HashAggregate") >= 2, key
+def node_tree(plan: str) -> list[tuple[int, str]]:
+    """(depth, text) of each node of a physical plan."""
+    nodes = []
+    for line in plan.splitlines():
+        m = re.match(r"^([ :|+-]*)((?:\*\(\d+\) )?[A-Z]\w+.*)$", line)
+        if m:
+            nodes.append((len(m[1]), m[2]))
+    return nodes
+
+
+def below_each_exchange(plan: str) -> list[str]:
+    """For every exchange by key: the node that feeds it."""
+    nodes = node_tree(plan)
+    return [nodes[i + 1][1] for i, (_, text) in enumerate(nodes[:-1]) if "Exchange hashpartitioning" in text and "ENSURE_REQUIREMENTS" in text]
+
+
+@pytest.mark.parametrize("key", sorted(set(catalog.queries()) - SINK_BACKED))
+def test_aggregates_are_partial_before_shuffle(built, key):
+    """Every exchange by key is fed by an aggregate, the partial step of a
+    grouped one or the result that a window runs over; nothing is shuffled row
+    by row, and a final step stands above its partial one."""
+    physical = built[key][0]._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[-1]
+    for feed in below_each_exchange(physical):
+        assert re.search(r"HashAggregate\(keys=", feed), (key, feed)
+    for (_, text), (_, below) in zip(node_tree(physical), node_tree(physical)[1:]):
+        if "HashAggregate(keys=[" in text and "HashAggregate(keys=[]" not in text and "Exchange hashpartitioning" in below:
+            assert "partial_" not in text, (key, text)
+    if "Exchange hashpartitioning" in physical:
+        assert re.search(r"functions=\[(partial_|merge_|\])", physical), key
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(catalog.queries()))
 def test_only_bounded_broadcast_joins(plans, key):
     p = plans[key]
     joins = re.findall(r"(\w*Join)\b", p.split("\n")[0] + "\n" + p)

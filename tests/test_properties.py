@@ -7,8 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from logbeam.operators import gold, questions
-from logbeam.operators.quantile import exact_percentile, int_summary
+from logbeam.functions import enrich
+from logbeam.operators import gold, quantile, questions
 from logbeam.plans import catalog
 
 from .conftest import SF_SMALL
@@ -30,16 +30,17 @@ def test_weekday_errors_sum_to_client_errors(silver):
 
 
 def test_histogram_bins_sum_to_sized_rows(silver):
-    n = silver.where(F.col("size").try_cast("int").isNotNull()).count()
+    n = silver.where(enrich.size_bytes("size").isNotNull()).count()
     h = questions.size_histogram(silver)
     assert h.count() == 50
     assert h.agg(F.sum("count")).first()[0] == n
 
 
-def test_layer_counts_consistent(silver):
-    got = dict(questions.layer_counts(silver).collect())
-    assert got["bronze"] == got["silver"] == silver.count()
-    assert got["unparsed"] <= got["no_timestamp"]
+def test_layer_counts_are_those_of_the_layers(silver):
+    bronze = silver.select("ip", "url")
+    got = dict(questions.layer_counts(bronze, silver.limit(100)).collect())
+    assert got["bronze"] == silver.count() and got["silver"] == 100
+    assert 0 < got["unparsed"] < got["bronze"] and got["no_timestamp"] <= 100
 
 
 def test_windows_sum_to_timestamped_rows(silver):
@@ -50,27 +51,30 @@ def test_windows_sum_to_timestamped_rows(silver):
 
 
 @settings(max_examples=15, deadline=None)
-@given(
-    values=st.lists(st.one_of(st.none(), st.integers(-(2**31), 2**31 - 1)), min_size=0, max_size=60),
-    p=st.sampled_from([0.0, 0.1, 0.5, 0.9, 1.0]),
-)
-def test_exact_percentile_matches_spark(spark, values, p):
+@given(values=st.lists(st.one_of(st.none(), st.integers(-(2**31), 2**31 - 1), st.integers(-3, 3)), min_size=0, max_size=60))
+def test_median_and_statistics_match_spark(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x int")
-    want = df.agg(F.percentile("x", p)).first()[0]
-    got = exact_percentile(df, "x", p, buckets=16)
-    st = int_summary(df, "x", (p,), buckets=16)
+    counts = quantile.value_counts(df, F.col("x"))
+    (got,) = quantile.median(counts).first()
+    want = df.agg(F.percentile("x", 0.5)).first()[0]
+    assert got == want if want is None else got == pytest.approx(want, rel=1e-12, abs=1e-9)
     nn = [v for v in values if v is not None]
-    assert (st.count, st.total, st.minimum, st.maximum) == (
-        len(nn), sum(nn) if nn else None, min(nn) if nn else None, max(nn) if nn else None)
-    if want is None:
-        assert got is None
-    else:
-        assert got == pytest.approx(want, rel=1e-12, abs=1e-9)
+    st_row = quantile.statistics(counts).first()
+    assert tuple(st_row)[:3] == ((sum(nn), max(nn), min(nn)) if nn else (None, None, None))
 
 
-def test_exact_percentile_skewed(spark):
+def test_median_of_skewed_values(spark):
     rnd = random.Random(7)
     vals = [5] * 3000 + [rnd.randint(0, 10**6) for _ in range(6000)] + [-(2**31), 2**31 - 1]
     df = spark.createDataFrame([(v,) for v in vals], "x int")
-    for p in (0.25, 0.5, 0.75):
-        assert exact_percentile(df, "x", p, buckets=32) == pytest.approx(df.agg(F.percentile("x", p)).first()[0])
+    want = df.agg(F.percentile("x", 0.5)).first()[0]
+    assert quantile.median(quantile.value_counts(df, F.col("x"))).first()[0] == pytest.approx(want)
+
+
+def test_metric_lookup_equals_the_whole_summary(silver):
+    kv = {r["metric_name"]: r["metric_value"] for r in gold.summary_kv(silver).collect()}
+    assert list(kv) == gold.SUMMARY_METRICS
+    for name in gold.SUMMARY_METRICS:
+        assert gold.summary_metric(silver, name).collect() == [(name, kv[name])]
+    with pytest.raises(ValueError):
+        gold.summary_metric(silver, "nope")

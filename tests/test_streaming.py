@@ -9,8 +9,8 @@ from logbeam.streaming import traffic
 from .conftest import SAMPLE_LINES
 
 LATE = [
-    '10.0.0.9 - - [27/Jun/2025:12:10:00 +0000] "GET /home HTTP/1.1" 500 10 "-" "curl/8.0"',
-    '10.0.0.9 - - [27/Jun/2025:12:20:00 +0000] "GET /home HTTP/1.1" 200 10 "-" "curl/8.0"',
+    '10.0.0.9 - - [14/Mar/2025:12:10:00 +0000] "GET /home HTTP/1.1" 500 10 "-" "curl/8.0"',
+    '10.0.0.9 - - [14/Mar/2025:12:20:00 +0000] "GET /home HTTP/1.1" 200 10 "-" "curl/8.0"',
 ]
 
 
@@ -37,7 +37,7 @@ def test_stream_windows_equal_batch_over_several_batches(spark, lines_df):
     got = traffic.read_windowed_traffic(spark, out).collect()
     batch = traffic.windowed_traffic(to_silver(to_bronze(lines_df(SAMPLE_LINES + LATE), "apache_combined"))).collect()
     assert sorted(got) == sorted(batch)
-    assert [r["window_start"] for r in got] == ["2025-06-27 10:00:00", "2025-06-27 12:00:00"]
+    assert [r["window_start"] for r in got] == ["2025-03-14 10:00:00", "2025-03-14 12:00:00"]
 
 
 def test_error_threshold(sample_silver):
@@ -50,29 +50,68 @@ def test_error_threshold(sample_silver):
 def test_window_length_parameter(sample_silver):
     rows = traffic.windowed_traffic(sample_silver, minutes=2).collect()
     assert [r["requests"] for r in rows] == [2, 2, 2]
-    assert rows[0]["window_end"] == "2025-06-27 10:02:00"
+    assert rows[0]["window_end"] == "2025-03-14 10:02:00"
 
 
-def test_stream_windows_count_data_within_the_watermark(spark):
-    """A row behind the newest event time by less than the watermark delay,
-    arriving in a later micro-batch, still updates its window.  (Rows later
-    than the delay may or may not be dropped -- Spark guarantees only this
-    direction -- so their window is allowed but not required.)"""
+def _unordered(spark, n=6):
+    """Files whose lines jump to and fro over two days."""
     import tempfile
     from pathlib import Path
 
-    d = Path(tempfile.mkdtemp(prefix="logbeam-late-"))
-    (d / "a.txt").write_text("\n".join(SAMPLE_LINES + LATE) + "\n")  # max event time 12:20
-    too_late = SAMPLE_LINES[0].replace("10:00:00", "08:00:00")  # 4h20 behind: dropped
-    in_time = SAMPLE_LINES[0].replace("10:00:00", "11:15:00")   # 1h05 behind: kept
-    (d / "b.txt").write_text(too_late + "\n" + in_time + "\n")
+    d = Path(tempfile.mkdtemp(prefix="logbeam-unordered-"))
+    lines = []
+    for k in range(n):
+        hours = [(7 * k + 5 * i) % 48 for i in range(9)]
+        own = [SAMPLE_LINES[i % 6].replace("14/Mar/2025:10", f"{14 + h // 24}/Mar/2025:{h % 24:02d}") for i, h in enumerate(hours)]
+        (d / f"{k}.txt").write_text("\n".join(own) + "\n")
+        lines += own
+    return str(d), lines
+
+
+def test_stream_windows_over_unordered_files_equal_batch(spark, lines_df):
+    src, lines = _unordered(spark)
+    out = scratch_path(spark, "t-unord")
+    run = traffic.stream_windowed_traffic(spark, src, out, scratch_path(spark, "t-unord-ck"), "apache_combined", max_files_per_trigger=1)
+    batch = sorted(traffic.windowed_traffic(to_silver(to_bronze(lines_df(lines), "apache_combined"))).collect())
+    assert sorted(traffic.read_windowed_traffic(spark, out).collect()) == batch
+    assert run.dropped_rows() == 0
+    assert len(files.children(spark, out, "batch_id=")) >= 6
+    traffic.compact_windowed_traffic(spark, out)
+    assert len(files.children(spark, out, "batch_id=")) == 1
+    assert sorted(traffic.read_windowed_traffic(spark, out).collect()) == batch
+
+
+def test_a_watermark_counts_what_it_drops(spark):
+    src, lines = _unordered(spark)
     out = scratch_path(spark, "t-late")
-    traffic.stream_windowed_traffic(spark, str(d), out, scratch_path(spark, "t-late-ck"), "apache_combined",
-                                    watermark="2 hours", max_files_per_trigger=1)
-    got = {r["window_start"]: r["requests"] for r in traffic.read_windowed_traffic(spark, out).collect()}
-    assert {k: got[k] for k in ("2025-06-27 10:00:00", "2025-06-27 11:00:00", "2025-06-27 12:00:00")} == {
-        "2025-06-27 10:00:00": 6, "2025-06-27 11:00:00": 1, "2025-06-27 12:00:00": 2}
-    assert set(got) <= {"2025-06-27 08:00:00", "2025-06-27 10:00:00", "2025-06-27 11:00:00", "2025-06-27 12:00:00"}
+    run = traffic.stream_windowed_traffic(spark, src, out, scratch_path(spark, "t-late-ck"), "apache_combined",
+                                          watermark="2 hours", max_files_per_trigger=1)
+    kept = sum(r["requests"] for r in traffic.read_windowed_traffic(spark, out).collect())
+    assert 0 < run.dropped_rows() and kept + run.dropped_rows() == len(lines)
+
+
+def test_windows_of_a_clock_set_back_stay_apart(spark):
+    """Two instants with one wall-clock time are two windows."""
+    import tempfile
+    from pathlib import Path
+
+    d = Path(tempfile.mkdtemp(prefix="logbeam-dst-"))
+    lines = [SAMPLE_LINES[0].replace("14/Mar/2025:10:00:00 +0000", f"26/Oct/2025:{h}:30:00 +0000") for h in ("00", "01")]
+    (d / "a.txt").write_text("\n".join(lines) + "\n")
+    out = scratch_path(spark, "t-dst")
+    traffic.stream_windowed_traffic(spark, str(d), out, scratch_path(spark, "t-dst-ck"), "apache_combined", tz="Europe/Berlin")
+    got = [(r["window_start"], r["requests"]) for r in traffic.read_windowed_traffic(spark, out, tz="Europe/Berlin").collect()]
+    assert got == [("2025-10-26 02:00:00", 1)] * 2
+
+
+def test_stream_silver_is_clustered_by_date(spark, text_dir):
+    from pathlib import Path
+
+    src, lines = _unordered(spark, 12)
+    out = scratch_path(spark, "t-clus")
+    traffic.stream_silver(spark, src, out, scratch_path(spark, "t-clus-ck"), "apache_combined", splits=1)
+    per_date = {p.name: len(list(p.glob("*.parquet"))) for p in Path(out.removeprefix("file:")).glob("date=*")}
+    assert set(per_date.values()) == {1} and files.read_silver(spark, out).count() == len(lines)
 
 
 def test_stream_silver_restart_from_checkpoint_is_exactly_once(spark):
