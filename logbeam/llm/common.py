@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, temporary_path
 
 PACKAGE = Path(__file__).resolve().parents[1]
 
@@ -60,6 +60,15 @@ def scratch_name(wanted: str, taken: Sequence[str]) -> str:
     return name
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a Parquet table in the shared folder and read back:
+    like ``saved``, but later reads take only the columns they use.  The table
+    goes when the driver ends."""
+    path = temporary_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Rows of ids and small values that are broadcast at most (some 50 MB).
 SMALL_ROWS = 500_000
 

@@ -7,19 +7,21 @@ One suffix array over the corpus would have to live somewhere, so the windows
 of ``length`` bytes are dealt out by their *minimizer*: of the ``GRAM``-byte
 strings inside a window the one with the least hash, which equal windows have
 in common.  Successive windows with one minimizer make a segment of a few
-dozen bytes.  Equal segments are known by hash and reduced to the least and
-greatest doc_id that hold them; the different segments of a minimizer are put
-into a Burrows-Wheeler transform, and threshold-bounded interval expansion
+dozen bytes.  Occurrences of segments are reduced per minimizer to the least
+and greatest doc_id.  Where all segments of a minimizer are the same string,
+that settles all its windows; the segments of the others are put into
+Burrows-Wheeler transforms, and threshold-bounded interval expansion
 (``bwt.py``) finds the classes of windows that are equal.  Each window's least
 doc_id goes back to the segment's occurrences, whose documents drop what they
 cover.
 
 Savings that leave the result as it is: documents with the same text are one
 document with the smallest id, the others lose everything; minimizers that
-stand in one document only are left out by a bitmap of fixed size
-(``FILTER_BITS``; chance hits only cost work, a full bitmap only loses the
-saving).  A minimizer with more than ``MAX_GROUP`` bytes of segments does not
-go into one transform: its windows are hashed and reduced by key instead.
+stand in one document only, and segments of settled minimizers, are left out
+by bitmaps of fixed size (``FILTER_BITS``; chance hits only cost work, a full
+bitmap only loses the saving).  A minimizer with more than ``MAX_GROUP`` bytes
+of segments does not go into one transform: its windows are hashed and
+reduced by key instead.
 
 Edge cases: a null or empty text has no bytes; shorter texts than ``length``
 lose nothing; rows that repeat a doc_id do not remove each other; rows with a
@@ -35,11 +37,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bwt, words
-from .common import arrow_map, saved, shuffle_partitions, small
+from .common import SMALL_ROWS, arrow_map, saved, shuffle_partitions, small, written
 
 LENGTH, GRAM = 50, 20
 FILTER_BITS = 1 << 28  # 32 MB, the bound of what is broadcast
@@ -47,10 +50,13 @@ FILTER_BITS = 1 << 28  # 32 MB, the bound of what is broadcast
 REST_BYTES = 5
 REST_MASK = np.uint64((1 << (8 * REST_BYTES)) - 1)
 #: Bytes of different segments in one transform, and of one minimizer.
-BATCH_BYTES, MAX_GROUP = 1 << 19, 1 << 21
+BATCH_BYTES, MAX_GROUP = 1 << 19, 1 << 19
 PLACE_BITS = np.uint64(20)
 PLACE_MASK = np.uint64((1 << 20) - 1)
 PIECE = (1 << 20) - 2 * LENGTH
+#: A range of bytes in one number: its start, and its size in the low bits.
+SIZE_BITS = 12
+SIZE_MASK = (1 << SIZE_BITS) - 1
 
 
 def _window_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -117,7 +123,7 @@ def _minimizers(batches: Iterator[pa.RecordBatch], parts: int, length: int, gram
             hashes.append(h)
             owners.append(row + i)
         h, row = np.concatenate([*hashes, np.zeros(0, np.uint64)]), np.concatenate([*owners, np.zeros(0, np.int64)])
-        order = np.lexsort((row, h))
+        order = np.argsort(h, kind="stable")  # rows stay in order within a hash
         h, row = h[order], row[order]
         new = np.ones(len(h), bool)
         new[1:] = h[1:] != h[:-1]
@@ -125,19 +131,12 @@ def _minimizers(batches: Iterator[pa.RecordBatch], parts: int, length: int, gram
         again[1:] = ~new[1:] & (row[1:] != row[:-1])
         twice = np.unique(h[again])
         h = np.concatenate([h[new], twice])
-        part, rest = _part_and_rest(h, parts)
-        order = np.argsort(part, kind="stable")
-        part, rest = part[order], rest[order]
-        cuts = np.searchsorted(part, np.arange(parts + 1))
-        raw = rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :REST_BYTES]
-        used = np.flatnonzero(np.diff(cuts))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), pa.array([raw[cuts[p] : cuts[p + 1]].tobytes() for p in used], pa.binary())],
-            names=["part", "hashes"])
+        yield _packed(*_part_and_rest(h, parts), parts)
 
 
-def _shared(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
-    """Packed hashes to the bitmap of those that came twice, per part."""
+def _bitmap(batches: Iterator[pa.RecordBatch], slots: int, times: int) -> Iterator[pa.RecordBatch]:
+    """Packed hashes to the bitmap of those that came at least ``times``
+    (1 or 2) times, per part."""
     got: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for part, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -146,36 +145,65 @@ def _shared(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.Record
             got.setdefault(part, []).append(wide.view("<u8").ravel())
     parts, maps = [], []
     for part, arrays in got.items():
-        h = np.sort(np.concatenate(arrays))
-        twice = h[1:][h[1:] == h[:-1]]
+        h = np.concatenate(arrays)
+        if times > 1:
+            h = np.sort(h)
+            h = h[1:][h[1:] == h[:-1]]
         bits = np.zeros(slots, bool)
-        bits[(twice % np.uint64(slots)).astype(np.int64)] = True
+        bits[(h % np.uint64(slots)).astype(np.int64)] = True
         parts.append(part)
         maps.append(np.packbits(bits).tobytes())
     yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(maps, pa.binary())], names=["part", "bits"])
 
 
-class SharedFilter:
-    """Bitmap of the minimizers that may stand in two documents."""
+def _packed(part: np.ndarray, rest: np.ndarray, parts: int) -> pa.RecordBatch:
+    """One row per part: the hashes' rests, packed."""
+    order = np.argsort(part, kind="stable")
+    part, rest = part[order], rest[order]
+    cuts = np.searchsorted(part, np.arange(parts + 1))
+    raw = rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :REST_BYTES]
+    used = np.flatnonzero(np.diff(cuts))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(used, pa.int32()), pa.array([raw[cuts[p] : cuts[p + 1]].tobytes() for p in used], pa.binary())],
+        names=["part", "hashes"])
+
+
+def _pack_keys(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield _packed(*_part_and_rest(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), parts), parts)
+
 
-    def __init__(self, rows, parts: int, slots: int) -> None:
+class KeyFilter:
+    """Bitmap of 64-bit keys; ``may_hold`` says which keys may be in it."""
+
+    def __init__(self, packed: DataFrame, parts: int, times: int) -> None:
+        slots = max(8, FILTER_BITS // parts // 8 * 8)
         self.parts, self.slots = parts, slots
         self.bits = np.zeros((parts, slots // 8), np.uint8)
-        for row in rows:
+        dealt = packed.repartitionById(parts, "part")
+        for row in arrow_map(dealt, partial(_bitmap, slots=slots, times=times), "part int, bits binary").collect():
             self.bits[row.part] = np.frombuffer(row.bits, np.uint8)
 
-    def may_be_shared(self, h: np.ndarray) -> np.ndarray:
+    def may_hold(self, h: np.ndarray) -> np.ndarray:
         part, rest = _part_and_rest(h, self.parts)
         slot = (rest % np.uint64(self.slots)).astype(np.int64)
         return (self.bits[part, slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
 
 
-def shared_filter(texts: DataFrame, length: int, gram: int) -> SharedFilter:
+PACKED = "part int, hashes binary"
+
+
+def shared_minimizers(texts: DataFrame, length: int, gram: int) -> KeyFilter:
+    """The minimizers that may stand in two documents."""
     parts = shuffle_partitions(texts.sparkSession)
-    slots = max(8, FILTER_BITS // parts // 8 * 8)
-    packed = arrow_map(texts.select("text"), partial(_minimizers, parts=parts, length=length, gram=gram), "part int, hashes binary")
-    dealt = packed.repartitionById(parts, "part")
-    return SharedFilter(arrow_map(dealt, partial(_shared, slots=slots), "part int, bits binary").collect(), parts, slots)
+    packed = arrow_map(texts.select("text"), partial(_minimizers, parts=parts, length=length, gram=gram), PACKED)
+    return KeyFilter(packed, parts, 2)
+
+
+def key_filter(keys: DataFrame) -> KeyFilter:
+    """The filter of a column of 64-bit keys."""
+    parts = shuffle_partitions(keys.sparkSession)
+    return KeyFilter(arrow_map(keys, partial(_pack_keys, parts=parts), PACKED), parts, 1)
 
 
 def _segment_hashes(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -187,210 +215,302 @@ def _segment_hashes(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np
     return words.mix(h + size.astype(np.uint64) * words.ROLL)
 
 
-def _segments(batches: Iterator[pa.RecordBatch], shared, length: int, gram: int, texts: bool) -> Iterator[pa.RecordBatch]:
-    """(doc_id, tkey, text) to segments that may be shared.
+def _found(batch: pa.RecordBatch, wanted: KeyFilter, length: int, gram: int):
+    """The segments of a batch (doc_id, tkey, text) whose minimizers may be
+    wanted: bytes of the piece, place of the piece, rows, and per segment its
+    first byte, size, minimizer, hash and row."""
+    for data, rows, i, at in _pieces(*words.column_bytes(batch.column(2)), length):
+        first, count, m, row = segments(data, rows, length, gram)
+        some = np.flatnonzero(wanted.may_hold(m))
+        first, size, m, row = first[some], count[some] + length - 1, m[some], row[some]
+        yield data, at, rows, i, first, size, m, _segment_hashes(data, first, size), row
+
 
-    ``texts``: (m, s, segment, low, high), the different segments of the batch
-    with the least and greatest doc_id; else (m, s, doc_id, tkey, start), every
-    occurrence.  m is the minimizer's hash, s the segment's.
-    """
+def _places(batches: Iterator[pa.RecordBatch], wanted, length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Every occurrence of a shared segment: (m, s, doc_id, tkey, place); m is
+    the minimizer's hash, s the segment's, ``place`` its first byte and size in
+    one number."""
     for batch in batches:
-        ids, keys = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-        found: list[tuple] = []
-        strings: list[bytes] = []
-        for data, rows, i, at in _pieces(*words.column_bytes(batch.column(2)), length):
-            first, count, m, row = segments(data, rows, length, gram)
-            some = np.flatnonzero(shared.value.may_be_shared(m))
-            first, size, m, row = first[some], count[some] + length - 1, m[some], row[some]
-            s = _segment_hashes(data, first, size)
-            if texts:
-                s_new, index, inverse = np.unique(np.stack([m, s], 1), axis=0, return_index=True, return_inverse=True)
-                inverse = inverse.ravel()
-                low = np.full(len(index), np.iinfo(np.int64).max)
-                high = np.full(len(index), np.iinfo(np.int64).min)
-                np.minimum.at(low, inverse, ids[i + row])
-                np.maximum.at(high, inverse, ids[i + row])
-                raw = data.tobytes()
-                strings += [raw[a : a + b] for a, b in zip(first[index].tolist(), size[index].tolist(), strict=True)]
-                found.append((s_new[:, 0], s_new[:, 1], low, high))
-            else:
-                found.append((m, s, ids[i + row], keys[i + row], at + first - rows[row]))
-        if not found:
-            continue
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)]
-        m, s = columns[0].view(np.int64), columns[1].view(np.int64)
-        if texts:
+        ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+        for _, at, rows, i, first, size, m, s, row in _found(batch, wanted.value, length, gram):
+            place = ((at + first - rows[row]) << SIZE_BITS) | size
             yield pa.RecordBatch.from_arrays(
-                [pa.array(m), pa.array(s), pa.array(strings, pa.binary()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())],
-                names=["m", "s", "segment", "low", "high"])
-        else:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(m), pa.array(s), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int64())],
-                names=["m", "s", "doc_id", "tkey", "start"])
-
+                [pa.array(m.view(np.int64)), pa.array(s.view(np.int64)), pa.array(ids[i + row]), pa.array(keys[i + row]), pa.array(place)],
+                names=["m", "s", "doc_id", "tkey", "place"])
 
-RESOLVED = "m long, s long, lo int, hi int, least long, segment binary, low long, high long"
 
-
-def _resolved(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 8
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-    names = ["m", "s", "lo", "hi", "least", "segment", "low", "high"]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-
-
-def _transform(group: list[tuple], length: int) -> Iterator[tuple]:
-    """Segments (m, s, segment, low, high) to runs of windows (first, past
-    the last) and the least doc_id that holds them, where a document of the
-    segment has a greater one."""
-    if not group:
-        return
-    classes, first, lengths = bwt.prefix_classes([g[2] for g in group], length)
-    low = np.array([g[3] for g in group], np.int64)
-    owner = np.repeat(np.arange(len(group)), lengths + 1)
-    real = classes >= 0
-    least = np.full(int(classes.max(initial=-1)) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(least, classes[real], low[owner[real]])
-    for k, (m, s, text, _, high) in enumerate(group):
-        mins = least[classes[first[k] : first[k] + len(text) - length + 1]]
-        cuts = np.flatnonzero(np.diff(mins)) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(mins)], strict=True):
-            if mins[a] < high:
-                yield m, s, a, b, int(mins[a]), None, None, None
+def _strings(batches: Iterator[pa.RecordBatch], wanted, length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """The different segments of a batch of texts: (m, s, segment, low) with
+    the least doc_id."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        pieces, columns = [], []
+        at = 0
+        for data, _, _, i, first, size, m, s, row in _found(batch, wanted.value, length, gram):
+            pieces.append(data)
+            columns.append((at + first, size, m, s, ids[i + row]))
+            at += len(data)
+        if not columns:
+            continue
+        first, size, m, s, owner = (np.concatenate(c) for c in zip(*columns, strict=True))
+        order = np.lexsort((s, m))
+        first, size, m, s, owner = first[order], size[order], m[order], s[order], owner[order]
+        new = np.ones(len(m), bool)
+        new[1:] = (m[1:] != m[:-1]) | (s[1:] != s[:-1])
+        starts = np.flatnonzero(new)
+        if not len(starts):
+            continue
+        text, offsets = _gathered(np.concatenate(pieces), first[starts], size[starts])
+        segment = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(text)])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(m[starts].view(np.int64)), pa.array(s[starts].view(np.int64)), segment, pa.array(np.minimum.reduceat(owner, starts))],
+            names=["m", "s", "segment", "low"])
+
+
+def _gathered(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges one after the other, and where each starts."""
+    offsets = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=offsets[1:])
+    return data[np.repeat(first - offsets[:-1], size) + np.arange(offsets[-1])], offsets
+
+
+RESOLVED = "m long, s long, lo int, hi int, least long, segment binary"
+
+
+def _resolved(m, s, lo=None, hi=None, least=None, segment=None) -> pa.RecordBatch:
+    n = len(m)
+    columns = [(m, pa.int64()), (s, pa.int64()), (lo, pa.int32()), (hi, pa.int32()), (least, pa.int64()), (segment, pa.binary())]
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(n, t) if c is None else pa.array(c, t) if not isinstance(c, pa.Array) else c for c, t in columns],
+        names=["m", "s", "lo", "hi", "least", "segment"])
+
+
+def _transform(m, s, segment: pa.Array, low: np.ndarray, length: int) -> pa.RecordBatch:
+    """Different segments (of whole minimizers) to their runs of windows,
+    first and past the last, with the least doc_id that holds them."""
+    data, offsets = words.column_bytes(segment)
+    lengths = np.diff(offsets)
+    # each string with one byte behind it for its end
+    first = np.zeros(len(lengths), np.int64)
+    np.cumsum(lengths[:-1] + 1, out=first[1:])
+    joined = np.zeros(int((lengths + 1).sum()), np.uint8)
+    text, _ = _gathered(data, offsets[:-1], lengths)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    joined[np.arange(len(text)) + owner] = text
+    classes = bwt.prefix_classes(joined, first, lengths, length)
+    counts = lengths - length + 1
+    owner = np.repeat(np.arange(len(lengths)), counts)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    own = classes[first[owner] + offset]
+    by_class = np.argsort(own, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(own[by_class]) != 0]))
+    least = np.empty(len(own), np.int64)
+    least[by_class] = np.repeat(np.minimum.reduceat(low[owner[by_class]], starts), np.diff(np.concatenate([starts, [len(own)]])))
+    new = np.ones(len(own), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])
+    runs = np.flatnonzero(new)
+    sizes = np.diff(np.concatenate([runs, [len(own)]]))
+    return _resolved(m[owner[runs]], s[owner[runs]], offset[runs], offset[runs] + sizes, least[runs])
+
+
+def _distinct(table: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Rows sorted by (m, s), one per (m, s), with the least doc_id."""
+    m, s, low = (table.column(c).to_numpy() for c in ("m", "s", "low"))
+    new = np.ones(len(m), bool)
+    new[1:] = (m[1:] != m[:-1]) | (s[1:] != s[:-1])
+    starts = np.flatnonzero(new)
+    segment = table.column("segment").combine_chunks().take(pa.array(starts))
+    return m[starts], s[starts], segment, np.minimum.reduceat(low, starts)
 
 
 def _resolve(batches: Iterator[pa.RecordBatch], length: int, batch_bytes: int, max_group: int) -> Iterator[pa.RecordBatch]:
-    """Segments sorted by (m, s) to runs of windows (see ``_transform``);
-    segments of an oversized minimizer are passed on instead."""
-    batch_rows: list[tuple] = []
-    group: list[tuple] = []
-    group_bytes = waiting = 0
-    big = False
-
-    def end_group() -> Iterator[tuple]:
-        nonlocal group, group_bytes, waiting
-        if len(group) == 1:
-            m, s, text, low, high = group[0]
-            if low < high:
-                yield m, s, 0, len(text) - length + 1, low, None, None, None
-        else:
-            batch_rows.extend(group)
-            waiting += group_bytes
-        group, group_bytes = [], 0
-        if waiting >= batch_bytes:
-            yield from _transform(batch_rows, length)
-            batch_rows.clear()
-            waiting = 0
-
-    current = None
+    """Segments (m, s, segment, low) sorted by (m, s) to runs of windows (see
+    ``_transform``); the segments of an oversized minimizer are passed on as
+    they are."""
+    waiting: list[pa.RecordBatch] = []
+    size, big = 0, None
+
+    def settle(rows: list[pa.RecordBatch], last: bool) -> tuple[list[pa.RecordBatch], list[pa.RecordBatch]]:
+        """Results of the whole minimizers among the rows, and the rows of the
+        last one, which may go on."""
+        nonlocal big
+        table = pa.Table.from_batches(rows)
+        m = table.column("m").to_numpy()
+        edge = len(m) if last else int(np.searchsorted(m == m[-1], True))
+        out, rest = [], table.slice(edge)
+        if edge:
+            m, s, segment, low = _distinct(table.slice(0, edge))
+            starts = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
+            count = np.diff(np.concatenate([starts, [len(m)]]))
+            group_bytes = np.add.reduceat(pc.binary_length(segment).to_numpy(zero_copy_only=False).astype(np.int64), starts)
+            # one segment alone is settled without a transform
+            whole = np.repeat((count > 1) & (group_bytes <= max_group), count)
+            over = np.repeat((count > 1) & (group_bytes > max_group), count)
+            for rows_of in _chunks(np.flatnonzero(whole), m, pc.binary_length(segment).to_numpy(zero_copy_only=False), max(batch_bytes, 1)):
+                out.append(_transform(m[rows_of], s[rows_of], segment.take(pa.array(rows_of)), low[rows_of], length))
+            at = np.flatnonzero(over)
+            if len(at):
+                out.append(_resolved(m[at], s[at], least=low[at], segment=segment.take(pa.array(at))))
+        return out, rest.to_batches()
+
     for batch in batches:
-        out: list[tuple] = []
-        for m, s, text, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if m != current:
-                out += end_group()
-                current, big = m, False
-            if big:
-                out.append((m, s, None, None, None, text, low, high))
-            elif group and group[-1][1] == s and group[-1][2] == text:
-                g = group[-1]
-                group[-1] = (m, s, text, min(g[3], low), max(g[4], high))
-            else:
-                group.append((m, s, text, low, high))
-                group_bytes += len(text)
-                if group_bytes > max_group:
-                    out += [(g[0], g[1], None, None, None, *g[2:]) for g in group]
-                    group, group_bytes, big = [], 0, True
-        yield _resolved(out)
-    yield _resolved([*end_group(), *_transform(batch_rows, length)])
+        if big is not None:  # the rows of an oversized minimizer pass through
+            m = batch.column(0).to_numpy()
+            n = int(np.searchsorted(m != big, True)) if (m != big).any() else len(m)
+            if n:
+                yield _resolved(m[:n], batch.column(1).to_numpy()[:n], least=batch.column(3).to_numpy()[:n], segment=batch.column(2).slice(0, n))
+            batch = batch.slice(n)
+            if batch.num_rows:
+                big = None
+        if not batch.num_rows:
+            continue
+        waiting.append(batch)
+        size += batch.column(2).nbytes
+        if size >= batch_bytes:
+            out, waiting = settle(waiting, False)
+            yield from out
+            size = sum(b.column(2).nbytes for b in waiting)
+            if size > 2 * max_group + batch_bytes:  # what waits is one minimizer's
+                m, s, segment, low = _distinct(pa.Table.from_batches(waiting))
+                if pc.sum(pc.binary_length(segment)).as_py() > max_group:
+                    yield _resolved(m, s, least=low, segment=segment)
+                    big = m[0]
+                    waiting, size = [], 0
+                else:
+                    names = ["m", "s", "segment", "low"]
+                    waiting = [pa.RecordBatch.from_arrays([pa.array(m), pa.array(s), segment, pa.array(low)], names=names)]
+                    size = waiting[0].column(2).nbytes
+    if waiting:
+        yield from settle(waiting, True)[0]
+
+
+def _chunks(rows: np.ndarray, m: np.ndarray, size: np.ndarray, batch_bytes: int) -> Iterator[np.ndarray]:
+    """Rows of whole minimizers, about ``batch_bytes`` at a time."""
+    if not len(rows):
+        return
+    group = np.cumsum(np.concatenate([[0], m[rows][1:] != m[rows][:-1]]))
+    upto = np.cumsum(size[rows])
+    first_of = np.flatnonzero(np.concatenate([[True], np.diff(group) != 0]))
+    part = (upto[first_of] // batch_bytes)[group]
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    yield from np.split(rows, cuts)
 
 
 def _windows_by_key(big: DataFrame, length: int) -> DataFrame:
     """The runs of windows of oversized minimizers, one window a row, reduced
     by the window's bytes."""
     at = F.explode(F.sequence(F.lit(0), F.octet_length("segment") - length))
-    windows = big.select("m", "s", at.alias("lo"), "segment", "low", "high")
+    windows = big.select("m", "s", F.col("least").alias("low"), "segment", at.alias("lo"))
     window = F.sha2(F.expr(f"substring(segment, lo + 1, {length})"), 256)
-    windows = windows.select("m", "s", "lo", "low", "high", window.alias("w"))
+    windows = windows.select("m", "s", "lo", "low", window.alias("w"))
     least = windows.groupBy("w").agg(F.min("low").alias("least"))
-    per_segment = windows.groupBy("w", "m", "s", "lo").agg(F.max("high").alias("high"))
-    hit = per_segment.join(least, "w").where("least < high")
-    return hit.select("m", "s", "lo", (F.col("lo") + 1).alias("hi"), "least")
+    return windows.select("w", "m", "s", "lo").distinct().join(least, "w").select("m", "s", "lo", (F.col("lo") + 1).alias("hi"), "least")
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, tkey, ranges packed as start and size) to maximal runs."""
+    for batch in batches:
+        cuts, packed = batch.column(2).offsets.to_numpy(), batch.column(2).values.to_numpy(zero_copy_only=False)
+        lo, hi = packed >> SIZE_BITS, (packed >> SIZE_BITS) + (packed & SIZE_MASK)
+        out = [merged(lo[a:b], hi[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x, _ in out])]).astype(np.int32))
+        parts = [np.concatenate([*(x[k] for x in out), np.zeros(0, np.int64)]) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), *(pa.ListArray.from_arrays(offsets, pa.array(p, pa.int64())) for p in parts)],
+            names=["doc_id", "tkey", "starts", "ends"])
+
+
+def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges as the maximal runs they cover."""
+    order = np.argsort(lo, kind="stable")
+    lo, reach = lo[order], np.maximum.accumulate(hi[order])
+    starts = np.flatnonzero(np.concatenate([[True], lo[1:] > reach[:-1]]))
+    return lo[starts], np.concatenate([reach[starts[1:] - 1], reach[-1:]])
 
 
 def removed_ranges(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes: int = BATCH_BYTES, max_group: int = MAX_GROUP
 ) -> DataFrame:
-    """(doc_id, tkey, ranges): byte ranges (start, end; they may overlap) that
-    go, for the documents that lose any.  ``docs`` (doc_id, tkey, text)."""
+    """(doc_id, tkey, starts, ends): the maximal byte runs that go, for the
+    documents that lose any.  ``docs`` (doc_id, tkey, text)."""
     texts = docs.where("doc_id is not null")
     ids = saved(texts.select("doc_id", "tkey", F.md5("text").alias("digest"), F.octet_length("text").cast("long").alias("n")))
     firsts = ids.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
     copies = saved(ids.join(firsts, "digest").where("doc_id != first").select("doc_id", "tkey", "n").distinct())
     single = texts.join(small(copies.select("doc_id", "tkey")), ["doc_id", "tkey"], "left_anti").where(F.octet_length("text") >= length)
 
-    shared = docs.sparkSession.sparkContext.broadcast(shared_filter(single, length, gram))
+    spark = docs.sparkSession
+    rows = single.select("doc_id", "tkey", "text")
 
-    def cut(with_texts: bool):
-        return lambda batches: _segments(batches, shared, length, gram, with_texts)
+    def cut(work, wanted: KeyFilter, schema: str) -> DataFrame:
+        sent = spark.sparkContext.broadcast(wanted)
+        return arrow_map(rows, lambda batches: work(batches, sent, length, gram), schema)
 
-    rows = single.select("doc_id", "tkey", "text")
-    strings = arrow_map(rows, cut(True), "m long, s long, segment binary, low long, high long")
-    ordered = strings.repartition(shuffle_partitions(docs.sparkSession), "m").sortWithinPartitions("m", "s", "segment")
+    places = written(cut(_places, shared_minimizers(single, length, gram), "m long, s long, doc_id long, tkey long, place long"), "places")
+    per_m = written(
+        places.groupBy("m").agg(F.min("s").alias("s"), F.max("s").alias("other"), F.min("doc_id").alias("least")), "minimizers")
+    # windows 0 to 0 stand for all of the segment
+    whole_segment = F.lit(0).alias("lo"), F.lit(0).alias("hi")
+    settled = per_m.where("s = other").select("m", "s", *whole_segment, "least")
+
+    strings = cut(_strings, key_filter(per_m.where("s != other").select("m")), "m long, s long, segment binary, low long")
+    ordered = strings.repartition(shuffle_partitions(spark), "m").sortWithinPartitions("m", "s")
     resolved = saved(arrow_map(ordered, partial(_resolve, length=length, batch_bytes=batch_bytes, max_group=max_group), RESOLVED))
     runs = resolved.where("segment is null").select("m", "s", "lo", "hi", "least").union(
-        _windows_by_key(resolved.where("segment is not null"), length))
+        _windows_by_key(resolved.where("segment is not null"), length)).union(settled)
 
-    places = arrow_map(rows, cut(False), "m long, s long, doc_id long, tkey long, start long")
-    gone = places.join(runs, ["m", "s"]).where("least < doc_id").select(
-        "doc_id", "tkey", F.struct((F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi") + length - 1).alias("hi")).alias("range"))
+    start, size = F.shiftright("place", SIZE_BITS), F.col("place").bitwiseAND(SIZE_MASK)
+    part = F.shiftleft(start + F.col("lo"), SIZE_BITS) + F.when(F.col("hi") == 0, size).otherwise(F.col("hi") - F.col("lo") + length - 1)
+    gone = places.join(runs, ["m", "s"]).where("least < doc_id").select("doc_id", "tkey", part.alias("range"))
+    gathered = gone.groupBy("doc_id", "tkey").agg(F.collect_list("range").alias("ranges"))
+    ranges = arrow_map(gathered, _merge, "doc_id long, tkey long, starts array<long>, ends array<long>")
     whole = copies.where(F.col("n") >= length).select(
-        "doc_id", "tkey", F.struct(F.lit(0).cast("long").alias("lo"), F.col("n").alias("hi")).alias("range"))
-    return saved(gone.union(whole).groupBy("doc_id", "tkey").agg(F.collect_list("range").alias("ranges")))
+        "doc_id", "tkey", F.array(F.lit(0).cast("long")).alias("starts"), F.array("n").alias("ends"))
+    return written(ranges.union(whole), "ranges")
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _remove(text: bytes, ranges: list[dict]) -> tuple[int, int, bytes]:
-    """Removed bytes, maximal removed runs, and the bytes that stay."""
-    gone = kept_from = n_spans = 0
-    kept = []
-    for r in sorted((r["lo"], r["hi"]) for r in ranges):
-        if r[0] > kept_from or n_spans == 0:
-            kept.append(text[kept_from : r[0]])
-            n_spans += 1
-            gone += r[1] - r[0]
-            kept_from = r[1]
-        elif r[1] > kept_from:
-            gone += r[1] - kept_from
-            kept_from = r[1]
-    kept.append(text[kept_from:])
-    return gone, n_spans, b"".join(kept)
-
-
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for doc_id, text, ranges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            raw = text.encode("utf-8")
-            gone, spans, kept = _remove(raw, ranges)
-            out.append((doc_id, len(raw), gone, spans, hashlib.sha256(kept).hexdigest()))
-        columns = list(zip(*out, strict=True)) if out else [[]] * 5
-        types = [pa.int64()] * 4 + [pa.string()]
+        data, offsets = words.column_bytes(batch.column(1))
+        cuts = batch.column(2).offsets.to_numpy()
+        all_lo, all_hi = (batch.column(c).values.to_numpy(zero_copy_only=False) for c in (2, 3))
+        gone, digests = [], []
+        for r in range(batch.num_rows):
+            lo, hi = all_lo[cuts[r] : cuts[r + 1]], all_hi[cuts[r] : cuts[r + 1]]
+            text = data[offsets[r] : offsets[r + 1]].tobytes()
+            digest = hashlib.sha256()
+            for a, b in zip([0, *hi.tolist()], [*lo.tolist(), len(text)], strict=True):
+                digest.update(text[a:b])
+            gone.append(int((hi - lo).sum()))
+            digests.append(digest.hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+            [batch.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(gone, pa.int64()),
+             pa.array(np.diff(cuts), pa.int64()), pa.array(digests, pa.string())],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
     """One row per document, see ``RESULT``."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64(text).alias("tkey"), text.alias("text"))
+    rows = docs.select("doc_id", text.alias("text"))
+    # rows of one id are told apart by their texts
+    often = saved(rows.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id", "c"))
+    keyed = rows.join(small(often), "doc_id", "left")
+    rows = keyed.select("doc_id", F.when(F.col("c") > 1, F.xxhash64("text")).otherwise(F.lit(0)).alias("tkey"), "text")
     ranges = removed_ranges(rows, length, **options)
-    ids = small(ranges.select("doc_id", "tkey"))
-    touched = rows.join(ids, ["doc_id", "tkey"], "left_semi").join(ranges, ["doc_id", "tkey"])
+    key = ["doc_id", "tkey"]
     none = F.lit(0).cast("long")
-    clean = rows.join(ids, ["doc_id", "tkey"], "left_anti").select(
+    if (ranges.agg(F.sum(F.size("starts"))).first()[0] or 0) <= SMALL_ROWS:  # few runs: the texts stay where they are
+        joined = rows.join(F.broadcast(ranges), key, "left")
+        touched, clean = joined.where("starts is not null"), joined.where("starts is null")
+    else:
+        ids = small(ranges.select(*key))
+        touched = rows.join(ids, key, "left_semi").join(ranges, key)
+        clean = rows.join(ids, key, "left_anti")
+    unchanged = clean.select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),
         F.sha2("text", 256).alias("kept_sha256"))
-    return clean.union(arrow_map(touched.select("doc_id", "text", "ranges"), _removed, RESULT))
+    return unchanged.union(arrow_map(touched.select("doc_id", "text", "starts", "ends"), _removed, RESULT))

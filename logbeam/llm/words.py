@@ -54,12 +54,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def column_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a string column and each row's offsets into them."""
+    """The bytes of a string (UTF-8) or binary column and each row's offsets
+    into them."""
     if isinstance(col, pa.ChunkedArray):
         col = pa.concat_arrays(col.chunks) if col.num_chunks != 1 else col.chunk(0)
+    binary = pa.types.is_binary(col.type)
     if col.null_count:
-        col = pc.fill_null(col, "")
-    col = col.cast(pa.large_string())
+        col = pc.fill_null(col, b"" if binary else "")
+    col = col.cast(pa.large_binary() if binary else pa.large_string())
     if len(col) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = col.buffers()

@@ -73,7 +73,9 @@ def test_prefix_classes():
     for _ in range(150):
         strings = ["".join(rng.choice("aab\0") for _ in range(rng.randrange(25))).encode() for _ in range(rng.randrange(1, 9))]
         depth = rng.randrange(1, 9)
-        group, first, _ = bwt.prefix_classes(strings, depth)
+        lengths = np.array([len(s) for s in strings])
+        first = np.concatenate([[0], np.cumsum(lengths[:-1] + 1)])
+        group = bwt.prefix_classes(np.frombuffer(b"\0".join(strings) + b"\0", np.uint8), first, lengths, depth)
         seen: dict = {}
         for k, s in enumerate(strings):
             for p in range(len(s) + 1):
