@@ -68,7 +68,3 @@ def queries() -> dict[str, Query]:
         "op9_document_fingerprints": op9_document_fingerprints,
         "op10_html_extraction": op10_html_extraction,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
