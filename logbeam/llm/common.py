@@ -73,10 +73,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 SMALL_ROWS = 500_000
 
 
-def small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """``df`` (saved, narrow rows) marked for broadcast if it has at most
-    ``limit`` rows; a larger one is joined by shuffle, with the same result."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def few(df: DataFrame, limit: int = SMALL_ROWS) -> bool:
+    """Whether ``df`` (saved, narrow rows) is small enough to broadcast."""
+    return df.count() <= limit
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it has few rows; a larger one is joined
+    by shuffle, with the same result."""
+    return F.broadcast(df) if few(df) else df
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import arrow_map, saved
+from .common import arrow_map, saved, small
 
 #: Labels are propagated this often before the remaining pairs are listed;
 #: any number gives the same result, more rounds leave fewer pairs.
@@ -137,9 +137,9 @@ def linked_classes(classes: DataFrame, docs: DataFrame, k: int, lower: bool, per
     tried = shared.join(hubs, "key").where("rep != a").select("a", F.col("rep").alias("b"), "n").distinct()
     least = tried.groupBy("a").agg(F.min("n").alias("least"))
     tried = saved(tried.drop("n").join(least, "a"))
-    wanted = tried.select(F.col("a").alias("rep")).union(tried.select("b")).distinct()
+    wanted = saved(tried.select(F.col("a").alias("rep")).union(tried.select("b")).distinct())
     texts = saved(
-        docs.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
+        docs.select(F.col("doc_id").alias("rep"), "text").join(small(wanted), "rep", "left_semi").dropDuplicates(["rep"])
     )
     compared = saved(_compared(tried, texts, k, lower, percent))
     links = compared.where("linked").select("a", "b")

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import arrow_map, saved, scratch_name, shuffle_partitions
+from .common import arrow_map, saved, scratch_name, shuffle_partitions, small
 
 VOCABULARY, DIM, NONZERO, WINDOW = 1 << 13, 64, 4, 2
 SHAPES = 64
@@ -287,5 +287,5 @@ def scores(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents scored below the threshold."""
     mark = scratch_name("rejected_id", docs.columns)
-    bad = scores(docs, labels, **options).where("predicted = 0").select(F.col("doc_id").alias(mark)).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col(mark), "left_anti")
+    bad = saved(scores(docs, labels, **options).where("predicted = 0").select(F.col("doc_id").alias(mark)).distinct())
+    return docs.join(small(bad), F.col("doc_id") == F.col(mark), "left_anti")

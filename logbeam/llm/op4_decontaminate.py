@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import arrow_map, scratch_name
+from .common import arrow_map, saved, scratch_name, small
 
 #: The masks, 1 for a position that counts.
 MASKS = ("111011010111", "110101101111", "111101100111")
@@ -248,5 +248,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, max_seeds: int = MAX_SE
     """``docs`` without the documents that hold a benchmark item, all their
     columns kept.  Rows without a doc_id are reported by no id and stay."""
     mark = scratch_name("contaminated", docs.columns)
-    bad = contamination(docs, benchmark, max_seeds).select(F.col("doc_id").alias(mark)).distinct()
-    return docs.join(bad, docs["doc_id"] == bad[mark], "left_anti")
+    bad = saved(contamination(docs, benchmark, max_seeds).select(F.col("doc_id").alias(mark)).distinct())
+    return docs.join(small(bad), F.col("doc_id") == F.col(mark), "left_anti")

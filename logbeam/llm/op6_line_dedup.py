@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import saved, scratch_name
+from .common import few, saved, scratch_name
 from .keyfilter import may_hold
 
 GAP = r"[\x20\x09-\x0D]+"
@@ -184,8 +184,10 @@ def _with_kept(docs: DataFrame) -> tuple[DataFrame, str, str]:
     id_name = scratch_name("gone_doc_id", docs.columns)
     lines_name = scratch_name("all_lines", docs.columns)
     kept_name = scratch_name("kept_lines", docs.columns)
-    removed = repeated_lines(docs.select("doc_id", "text"))
+    removed = saved(repeated_lines(docs.select("doc_id", "text")))
     per_doc = removed.groupBy(F.col("doc_id").alias(id_name)).agg(F.collect_set("pos").alias(gone_name))
+    if few(removed):
+        per_doc = F.broadcast(per_doc)
     joined = docs.join(per_doc, F.col("doc_id") == F.col(id_name), "left").drop(id_name)
     cut = joined.select(*docs.columns, gone_name, F.inline(F.array(F.struct(F.split("text", "\n").alias(lines_name)))))
     places = F.array_except(F.sequence(F.lit(0), F.size(lines_name) - 1), F.col(gone_name))

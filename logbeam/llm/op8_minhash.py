@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import near, words
-from .common import saved
+from .common import saved, scratch_name, small
 
 #: Shift of the two permutations; fixed so signatures agree between runs.
 FIRST, SECOND = 0x5BD1E9955BD1E995, 0x27D4EB2F
@@ -78,5 +78,6 @@ def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> Data
     """``docs`` without its near duplicates: one document of each component
     stays, with all its columns.  Rows without a doc_id stay."""
     found = near_duplicates(docs, shingle_words, percent)
-    gone = found.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    mark = scratch_name("gone_id", docs.columns)
+    gone = saved(found.where("not kept").select(F.col("doc_id").alias(mark)).distinct())
+    return docs.join(small(gone), F.col("doc_id") == F.col(mark), "left_anti")
