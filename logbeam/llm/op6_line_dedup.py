@@ -9,12 +9,13 @@ hashed keys; equal variants are joined, the word edit distance of the pair is
 verified, and of every such pair the line that stands first, by doc_id and
 place in the document, stays.
 
-Two savings leave the result as it is: same lines are grouped first, so only
+Two savings leave the result as it is: same lines are settled first, so only
 distinct lines emit variants; and by the pigeonhole principle near lines
 share their first or second half, so distinct lines whose halves stand alone
 in the corpus emit none.  Variants are formed from running sums of position
-hashes, so a line of any length costs one row a word.  Every group is reduced
-to its first line before anything is joined: a hot line or variant never
+hashes, so a line of any length costs one row a word.  Keys are counted first
+and only rows whose key occurs again go on (``keyfilter.py``); every group is
+reduced to its first line before it is joined, so a hot line or variant never
 expands into pairs.
 
 Edge cases: blank lines and null or empty texts are never touched; rows with
@@ -30,21 +31,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import few, saved, scratch_name
+from .common import few, scratch_name, written
 from .keyfilter import may_hold
 
+SPACE = " \t\n\x0b\f\r"
 GAP = r"[\x20\x09-\x0D]+"
 EDITS = 1
 MIN_WORDS = 10
 KEY = ["h1", "h2"]
+LINE = ["doc_id", "pos", "h1"]
+#: Removed lines that are broadcast at most (some 40 MB); more are joined by shuffle.
+FEW_LINES = 2_000_000
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, pos, words) per line with words."""
     lines = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    cut = F.filter(F.split("line", GAP), lambda w: w != "")
+    bare = lines.withColumn("line", F.btrim("line", F.lit(SPACE))).where("line != ''")
     # through a generator, so the words are cut once and not in every use
-    return lines.select("doc_id", "pos", F.inline(F.array(F.struct(cut.alias("words"))))).where(F.size("words") > 0)
+    return bare.select("doc_id", "pos", F.inline(F.array(F.struct(F.split("line", GAP).alias("words")))))
 
 
 def _half_keys(words: Column, n: Column) -> list[Column]:
@@ -71,41 +76,57 @@ def line_keys(docs: DataFrame) -> DataFrame:
         "doc_id", "pos", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(6), "words").alias("h2"), halves.alias("halves"))
 
 
-def _near_candidates(firsts: DataFrame) -> DataFrame:
-    """Distinct lines that share a half with another: (h1, h2, doc_id, pos)."""
-    halves = firsts.where("halves is not null").select(*KEY, "doc_id", "pos", F.explode("halves").alias("half"))
-    shared = saved(halves.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half"))
-    return may_hold(halves, F.col("half"), shared).join(shared, "half", "left_semi").drop("half").distinct()
+def _again(rows: DataFrame, key: list[str], filtered: Column) -> DataFrame:
+    """The rows whose ``key`` occurs more than once; ``filtered`` is a 64-bit
+    part of the key."""
+    many = written(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*key), "repeated-keys")
+    part = many.select(filtered.alias("part"))
+    return may_hold(rows, filtered, part).join(many, key, "left_semi")
+
+
+def _same(keys: DataFrame) -> DataFrame:
+    """(doc_id, pos) of the lines that are the same as an earlier one."""
+    rows = _again(keys.select("doc_id", "pos", *KEY), KEY, F.col("h1"))
+    rows = written(rows, "same-lines")
+    firsts = rows.groupBy(*KEY).agg(F.min(F.struct("doc_id", "pos")).alias("first"))
+    later = rows.join(firsts, KEY).where("doc_id != first.doc_id or pos != first.pos")
+    return written(later.select("doc_id", "pos").distinct(), "later-lines")
+
+
+def _near_candidates(distinct: DataFrame) -> DataFrame:
+    """Distinct lines that share a half with another: (doc_id, pos, h1)."""
+    halves = distinct.where("halves is not null").select("doc_id", "pos", "h1", F.explode("halves").alias("half"))
+    return written(_again(halves, ["half"], F.col("half")).select("doc_id", "pos", "h1").distinct(), "near-candidates")
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """(line columns, len, k1, k2, gone): the line itself (gone -1) and the
-    line without its word ``gone``, as keys of what is left.
+    """(doc_id, pos, h1, gap, rest, whole): one row for each word that goes,
+    with the key of what is left by length (``rest``) and also by the gap's
+    place (``gap``), and a row with ``whole`` for the line itself.
 
-    A key is the sum over the words of a hash of word and position; without
-    word ``gone`` the later words stand one place earlier.
+    A key is made of the sums over the words of two hashes of word and place;
+    without a word the later ones stand one place earlier.
     """
-    ident = [*KEY, "doc_id", "pos"]
-    words = lines.select(*ident, F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
+    words = lines.select(*LINE, F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
 
     def h(salt: int, place: Column) -> Column:
         return F.shiftrightunsigned(F.xxhash64(F.lit(salt), "w", place.cast("int")), 24)
 
-    line = W.partitionBy(*ident)
+    line = W.partitionBy(*LINE)
     upto = line.orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
     out = words
     for s in (1, 2):
         out = out.withColumn(f"here{s}", h(s, F.col("i"))).withColumn(f"back{s}", h(s, F.col("i") - 1))
-    for s in (1, 2):
-        out = (
-            out.withColumn(f"k{s}", F.sum(f"here{s}").over(upto) - F.col(f"here{s}")
-                           + F.sum(f"back{s}").over(line) - F.sum(f"back{s}").over(upto))
-            .withColumn(f"whole{s}", F.sum(f"here{s}").over(line))
-        )
-    one_gone = F.struct((F.col("n") - 1).alias("len"), F.col("k1").alias("k1"), F.col("k2").alias("k2"), F.col("i").alias("gone"))
-    itself = F.struct(F.col("n").alias("len"), F.col("whole1").alias("k1"), F.col("whole2").alias("k2"), F.lit(-1).alias("gone"))
-    both = F.when(F.col("i") == 0, F.array(one_gone, itself)).otherwise(F.array(one_gone))
-    return out.select(*ident, F.inline(both))
+    sums = [F.sum(f"here{s}").over(upto).alias(f"upto{s}") for s in (1, 2)]
+    sums += [F.sum(f"back{s}").over(upto).alias(f"past{s}") for s in (1, 2)]
+    sums += [F.sum(f"{c}{s}").over(line).alias(f"all_{c}{s}") for c in ("here", "back") for s in (1, 2)]
+    out = out.select("*", *sums)
+    left = [F.col(f"upto{s}") - F.col(f"here{s}") + F.col(f"all_back{s}") - F.col(f"past{s}") for s in (1, 2)]
+    key = F.xxhash64(F.col("n") - 1, *left)
+    one_gone = F.struct(F.xxhash64(key, "i").alias("gap"), key.alias("rest"), F.lit(False).alias("whole"))
+    itself = F.xxhash64("n", "all_here1", "all_here2")
+    all_of_it = F.struct(itself.alias("gap"), itself.alias("rest"), F.lit(True).alias("whole"))
+    return out.select(*LINE, F.inline(F.when(F.col("i") == 0, F.array(one_gone, all_of_it)).otherwise(F.array(one_gone))))
 
 
 def one_edit(a: Column, b: Column) -> Column:
@@ -126,34 +147,29 @@ def one_edit(a: Column, b: Column) -> Column:
     )
 
 
-def _near_gone(candidates: DataFrame, docs: DataFrame) -> DataFrame:
-    """(h1, h2, doc_id, pos) of the distinct lines with a near line before
-    them."""
+def _near(candidates: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, pos, h1) of the distinct lines with a near line before them."""
     ident = F.xxhash64("doc_id", "pos")
     texts = may_hold(_lines(docs), ident, candidates.select(ident.alias("id")))
-    texts = saved(
-        texts.withColumn("h1", F.xxhash64("words")).join(candidates, ["doc_id", "pos", "h1"])
-        .dropDuplicates(["doc_id", "pos", "h1"])
-    )
-    variants = saved(_variants(texts))
-    first = F.min(F.struct("doc_id", "pos", *KEY))
-    line = F.struct("doc_id", "pos", *KEY)
-
-    # replaced words: the same variant by the same gap
-    gap = ["len", "k1", "k2", "gone"]
-    replaced = variants.where("gone >= 0").groupBy(*gap).agg(first.alias("early"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    links = variants.join(replaced, gap).select(line.alias("line"), "early")
-    # inserted words: a line equal to another's variant, each way
-    key = ["len", "k1", "k2"]
-    whole = variants.where("gone < 0").select(*key, line.alias("whole"))
-    shortened = variants.where("gone >= 0").select(*key, line.alias("short"))
-    inserted = shortened.join(whole, key)
+    texts = texts.withColumn("h1", F.xxhash64("words")).join(candidates, LINE, "left_semi").dropDuplicates(LINE)
+    texts = written(texts, "candidate-lines")
+    variants = written(_variants(texts), "variants")
+    line = F.struct(*LINE)
+
+    # replaced words: the same rest by the same gap
+    shared = written(_again(variants.where("not whole").select(*LINE, "gap"), ["gap"], F.col("gap")), "shared-gaps")
+    first = shared.groupBy("gap").agg(F.min(line).alias("early"))
+    links = shared.join(first, "gap").select(line.alias("line"), "early")
+    # inserted words: a line equal to another's rest, each way
+    whole = variants.where("whole").select("rest", line.alias("long"))
+    shorter = may_hold(variants.where("not whole").select(*LINE, "rest"), F.col("rest"), whole.select("rest"))
+    inserted = written(shorter.select("rest", line.alias("short")).join(whole.withColumnRenamed("long", "whole"), "rest"), "insertions")
     links = links.union(inserted.select(F.col("short").alias("line"), F.col("whole").alias("early")))
     links = links.union(
         inserted.groupBy("whole").agg(F.min("short").alias("early")).select(F.col("whole").alias("line"), "early"))
     links = links.where("early.doc_id < line.doc_id or (early.doc_id = line.doc_id and early.pos < line.pos)").distinct()
 
-    words = texts.select(F.struct("doc_id", "pos", *KEY).alias("line"), "words")
+    words = texts.select(line.alias("line"), "words")
     compared = (
         links.join(words, "line")
         .join(words.select(F.col("line").alias("early"), F.col("words").alias("early_words")), "early")
@@ -164,16 +180,11 @@ def _near_gone(candidates: DataFrame, docs: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, pos) of every line that goes: it is the same as, or near, a
     line that stands before it."""
-    keys = saved(line_keys(docs))
-    grouped = keys.groupBy(*KEY).agg(
-        F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("c"), F.first("halves").alias("halves"))
-    firsts = saved(grouped.select(*KEY, "first.doc_id", "first.pos", "c", "halves"))
-    many = firsts.where("c > 1").select(*KEY, F.col("doc_id").alias("first_doc"), F.col("pos").alias("first_pos"))
-    same = (
-        may_hold(keys.select("doc_id", "pos", *KEY), F.col("h1"), many.select("h1")).join(many, KEY)
-        .where("doc_id != first_doc or pos != first_pos").select("doc_id", "pos")
-    )
-    near = _near_gone(saved(_near_candidates(firsts)), docs).select("doc_id", "pos")
+    keys = written(line_keys(docs), "line-keys")
+    same = _same(keys)
+    later = F.broadcast(same) if few(same, FEW_LINES) else same
+    distinct = keys.join(later, ["doc_id", "pos"], "left_anti")
+    near = _near(_near_candidates(distinct), docs).select("doc_id", "pos")
     return same.union(near).distinct()
 
 
@@ -184,9 +195,9 @@ def _with_kept(docs: DataFrame) -> tuple[DataFrame, str, str]:
     id_name = scratch_name("gone_doc_id", docs.columns)
     lines_name = scratch_name("all_lines", docs.columns)
     kept_name = scratch_name("kept_lines", docs.columns)
-    removed = saved(repeated_lines(docs.select("doc_id", "text")))
+    removed = written(repeated_lines(docs.select("doc_id", "text")), "removed-lines")
     per_doc = removed.groupBy(F.col("doc_id").alias(id_name)).agg(F.collect_set("pos").alias(gone_name))
-    if few(removed):
+    if few(removed, FEW_LINES):
         per_doc = F.broadcast(per_doc)
     joined = docs.join(per_doc, F.col("doc_id") == F.col(id_name), "left").drop(id_name)
     cut = joined.select(*docs.columns, gone_name, F.inline(F.array(F.struct(F.split("text", "\n").alias(lines_name)))))
