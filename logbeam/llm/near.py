@@ -200,7 +200,8 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, lower: bool, per
     )
     return (
         signed.join(of_class, "digest", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        .select("doc_id", "n_shingles",
+                F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     )
 
 

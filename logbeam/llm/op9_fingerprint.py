@@ -154,7 +154,8 @@ def _range_of(doc_id: Column, cuts: list[int]) -> Column:
 
     whole = F.size(F.filter(longs([g[-1] for g in groups if g]), lambda c: c > doc_id))
     inside = F.size(F.filter(F.get(F.array(*map(longs, groups)), whole), lambda c: c > doc_id))
-    return F.when(doc_id.isNull(), len(cuts) + 1).otherwise(whole * step + F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0))).cast("int")
+    return F.when(doc_id.isNull(), len(cuts) + 1).otherwise(
+        F.least(whole * step, F.lit(len(cuts))) + F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0))).cast("int")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -55,11 +55,11 @@ def test_matching_keeps_order_and_skips():
 
 def test_wrapper_tells_template_from_content(spark):
     rows = [(i, f"http://h.example/{i}", f"<body><div>Site name</div><h2>Head {i}</h2><p>text {i}</p><div><b>All rights</b> kept</div>"
-             + ("<span>odd</span><h3>Extra</h3>" if i % 3 == 0 else "")) for i in range(12)]
+             + ("<span>odd</span><h3>Extra</h3>" if i % 3 == 0 else "")) for i in range(30)]
     rows += [(100 + i, "http://few.example/", f"<body><div>Kept</div><p>t{i}</p>") for i in range(2)]
     got = {r.page_id: r for r in op10.main_text(page(spark, rows)).collect()}
     assert got[1].text == "Head 1 text 1" and got[4].text == "Head 4 text 4"
-    assert got[3].text in ("Head 3 text 3", "Head 3 text 3 odd")  # aligned across shapes; 4 pages of the odd parts
+    assert got[3].text == "Head 3 text 3"  # aligned across shapes; the odd parts are constant among themselves
     assert got[100].text == "Kept t0"
 
 

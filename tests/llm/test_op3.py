@@ -59,15 +59,15 @@ def test_base_spans_on_adversarial_text(docs):
 
 
 def test_method_adds_spans_and_leaves_clean_text(docs):
-    texts = [f'some words token = "{i:040x}" and more' for i in range(1, 30)]
-    texts += ["plain words without anything"] * 40 + [f"order {i} 4111111111111112 x" for i in range(10)]
+    texts = [f'some words token = "{hashlib.md5(b"%d" % i).hexdigest()}" and more' for i in range(1, 30)]
+    texts += ["plain words without anything"] * 40 + [f"order {chr(97 + i)} 4111111111111112 x" for i in range(10)]
     texts += [f"write to a{i}@mail.example.com or call +1 (555) 555-01{i:02d}" for i in range(10, 30)]
     got = rows_by_id(op3.digest(op3.personal_data(docs(texts))))
     assert all("credential" in got[i].spans for i in range(29))
     assert all(got[i].spans == "" for i in range(29, 79))
     assert all("email" in got[i].spans and "phone" in got[i].spans for i in range(79, 99))
     s = got[0].spans.split(":")
-    assert texts[0][int(s[1]) : int(s[2])].startswith('token = "0000')
+    assert texts[0][int(s[1]) : int(s[2])].startswith('token = "')
 
 
 def test_em_learns_reliabilities():
@@ -79,7 +79,7 @@ def test_em_learns_reliabilities():
         votes = tuple((1 if (rng.random() < p) == z else -1) for p in (0.95, 0.8, 0.55))
         counts[votes] = counts.get(votes, 0) + 1
         real.append((votes, z))
-    patterns = [("email", (1, 1, 1), 1, 300)] + [("ssn", v, 1, n) for v, n in sorted(counts.items())]
+    patterns = [("email", (1, 1, 1), 1, 30)] + [("ssn", v, 1, n) for v, n in sorted(counts.items())]
     post = dict(zip([p[1] for p in patterns[1:]], op3.posteriors(patterns)[1:]))
     right = sum((post[v] > 0.5) == z for v, z in real) / len(real)
     majority = sum((sum(v) > 0) == z for v, z in real) / len(real)
