@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import dom
-from .common import arrow_map, join_null_safe, saved
+from .common import arrow_map, join_null_safe, saved, small
 
 MIN_PAGES = 5
 
@@ -192,7 +192,7 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
         pages.select("page_id", "url", key.alias("key"), host.alias("host"), "html"), _shapes,
         "page_id long, key long, host string, shape string, hashes array<long>"))
     verdicts = shaped.select("page_id", "key", "host", "shape").join(wrappers(shaped, min_pages), ["host", "shape"])
-    of_page = verdicts.select("page_id", "key", "template").dropDuplicates(["page_id", "key"])
-    judged = join_null_safe(pages.withColumn("key", key), of_page, ["page_id", "key"], "left")
+    of_page = saved(verdicts.select("page_id", "key", "template").dropDuplicates(["page_id", "key"]))
+    judged = join_null_safe(pages.withColumn("key", key), small(of_page), ["page_id", "key"], "left")
     return arrow_map(
         judged.select("page_id", "url", "html", "template"), _extracted, "page_id long, url string, text string, n_chars long")

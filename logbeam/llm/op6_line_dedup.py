@@ -45,16 +45,21 @@ FEW_LINES = 2_000_000
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos, words) per line with words."""
+    """(doc_id, pos, line) per line, without white space at the ends."""
     lines = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    bare = lines.withColumn("line", F.btrim("line", F.lit(SPACE))).where("line != ''")
+    return lines.withColumn("line", F.btrim("line", F.lit(SPACE)))
+
+
+def _words(lines: DataFrame) -> DataFrame:
+    """(doc_id, pos, words) per line with words."""
     # through a generator, so the words are cut once and not in every use
-    return bare.select("doc_id", "pos", F.inline(F.array(F.struct(F.split("line", GAP).alias("words")))))
+    return lines.where("line != ''").select("doc_id", "pos", F.inline(F.array(F.struct(F.split("line", GAP).alias("words")))))
 
 
-def _half_keys(words: Column, n: Column) -> list[Column]:
+def _half_keys(words: Column, n: Column) -> Column:
     """Keys of the halves by which a line meets a near line, as the shorter
-    (or equally long) line of the pair and as the longer one."""
+    (or equally long) line of the pair and as the longer one; null for lines
+    too short to be near any."""
 
     def keys(short: Column) -> list[Column]:
         first = F.floor(short / 2).cast("int")
@@ -64,15 +69,15 @@ def _half_keys(words: Column, n: Column) -> list[Column]:
             F.xxhash64(F.lit("last"), short, F.slice(words, n - rest + 1, rest)),
         ]
 
-    return keys(n) + [F.when(n > MIN_WORDS, k) for k in keys(n - 1)]
+    shorter, longer = keys(n), keys(n - 1)
+    return F.when(n > MIN_WORDS, F.array(*shorter, *longer)).when(n == MIN_WORDS, F.array(*shorter))
 
 
 def line_keys(docs: DataFrame) -> DataFrame:
     """(doc_id, pos, h1, h2, halves): a 128-bit key of each line's words and
     its half keys (null for short lines)."""
-    n = F.size("words")
-    halves = F.when(n >= MIN_WORDS, F.filter(F.array(*_half_keys(F.col("words"), n)), lambda k: k.isNotNull()))
-    return _lines(docs).select(
+    halves = _half_keys(F.col("words"), F.size("words"))
+    return _words(_lines(docs)).select(
         "doc_id", "pos", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(6), "words").alias("h2"), halves.alias("halves"))
 
 
@@ -150,7 +155,7 @@ def one_edit(a: Column, b: Column) -> Column:
 def _near(candidates: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc_id, pos, h1) of the distinct lines with a near line before them."""
     ident = F.xxhash64("doc_id", "pos")
-    texts = may_hold(_lines(docs), ident, candidates.select(ident.alias("id")))
+    texts = _words(may_hold(_lines(docs), ident, candidates.select(ident.alias("id"))))
     texts = texts.withColumn("h1", F.xxhash64("words")).join(candidates, LINE, "left_semi").dropDuplicates(LINE)
     texts = written(texts, "candidate-lines")
     variants = written(_variants(texts), "variants")
