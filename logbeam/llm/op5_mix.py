@@ -35,7 +35,7 @@ from .common import join_null_safe, saved, scratch_name
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
-BLOCK_WORDS = 64
+BLOCK_WORDS = 16
 SHARD_WORDS = 1 << 20
 SEED = 11
 

@@ -53,9 +53,9 @@ placed AS (
   FROM spread),
 shard_sizes AS (
   SELECT source, shard, CAST(sum(size) AS BIGINT) AS shard_size, any_value(target) AS target, any_value(total) AS total,
-    CAST(ceil(sum(size) / 64.0) AS BIGINT) AS blocks FROM spread GROUP BY source, shard),
+    CAST(ceil(sum(size) / 16.0) AS BIGINT) AS blocks FROM spread GROUP BY source, shard),
 source_votes AS (
-  SELECT source, any_value(target) AS vote, CAST(round(any_value(total) / 64.0) AS BIGINT) AS seats, sum(blocks) * 3 AS most
+  SELECT source, any_value(target) AS vote, CAST(round(any_value(total) / 16.0) AS BIGINT) AS seats, sum(blocks) * 3 AS most
   FROM shard_sizes GROUP BY source),
 {_apportioned('source_quota', 'source_votes', '', 'source')},
 shard_votes AS (
@@ -67,9 +67,9 @@ cut AS (
     {_seeded(13, 'p.source', 'p.shard')} % greatest(q.blocks, 1) AS turn
   FROM placed p JOIN shard_quota q ON p.source IS NOT DISTINCT FROM q.source AND p.shard = q.shard),
 pieces AS (
-  SELECT *, unnest(CASE WHEN size > 0 THEN range(first // 64, (first + size - 1) // 64 + 1) ELSE [] END) AS j FROM cut),
+  SELECT *, unnest(CASE WHEN size > 0 THEN range(first // 16, (first + size - 1) // 16 + 1) ELSE [] END) AS j FROM cut),
 copied AS (
-  SELECT *, least((j + 1) * 64, first + size) - greatest(j * 64, first) AS words,
+  SELECT *, least((j + 1) * 16, first + size) - greatest(j * 16, first) AS words,
     every + (((j + turn) % blocks + 1) * rest) // blocks - (((j + turn) % blocks) * rest) // blocks AS copies FROM pieces),
 taken AS (
   SELECT doc_id, source, size, first, CAST(sum(words * copies) AS BIGINT) AS taken, CAST(count(*) FILTER (WHERE copies > 0) AS INTEGER) AS n_blocks

@@ -5,7 +5,7 @@ import re
 import pytest
 
 import corpus_pipeline as cp
-from logbeam.llm import op1_quality
+from logbeam.llm import op1_quality, op5_mix
 from logbeam.llm.common import table
 from logbeam.session import scratch_path
 
@@ -80,7 +80,7 @@ def test_mix(stages):
     assert abs(sum(taken.values()) - total) < 0.02 * total
     for s, n in taken.items():
         target = next(r.target for r in after.values() if r.source == s)
-        assert abs(n - target) < 64 * 3
+        assert abs(n - target) < 3 * op5_mix.BLOCK_WORDS + op5_mix.BLOCK_WORDS
 
 
 def test_run_gives_the_last_stage(spark, stages):
