@@ -12,7 +12,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 HEADLINE = ["gold_summary", "gold_top_endpoints", "gold_error_analysis", "client_errors_all_weekdays",
-            "size_stats", "size_histogram", "windowed_traffic", "detect_format"]
+            "windowed_traffic", "detect_format"]
 
 
 def outline(df, width: int = 160) -> str:
@@ -43,7 +43,7 @@ def main() -> None:
     path = temporary_path(spark, "plans")
     files.write_silver(catalog.silver(spark, sf), path)
     stored = files.read_silver(spark, path)
-    for op in (gold.top_endpoints, gold.error_analysis, gold.size_stats, questions.top_endpoints_excluding_files):
+    for op in (gold.top_endpoints, gold.error_analysis, questions.top_endpoints_excluding_files):
         print(f"## `{op.__name__}` on stored Silver\n\n```\n{outline(op(stored))}\n```\n")
 
 
