@@ -9,6 +9,7 @@ from __future__ import annotations
 import contextlib
 import functools
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -63,8 +64,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        if not root and not sc.master.startswith("local"):
-            # A machine-local folder would not survive a lost executor.
+        if not root and not re.match(r"local(\[|$)", sc.master):
+            # A machine-local folder would not survive a lost executor
+            # (local-cluster runs executors of its own, so it counts as a cluster).
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (HDFS, object store)")
         sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="logbeam-ckpt-"))
     return (root or sc.getCheckpointDir()).rstrip("/")

@@ -26,8 +26,9 @@ def _spark(master, conf=None, current=None):
     return SimpleNamespace(sparkContext=sc), calls
 
 
-def test_cluster_without_shared_folder_is_an_error():
-    spark, _ = _spark("yarn")
+@pytest.mark.parametrize("master", ["yarn", "spark://h:7077", "local-cluster[2,1,1024]"])
+def test_cluster_without_shared_folder_is_an_error(master):
+    spark, _ = _spark(master)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(spark)
 
