@@ -13,8 +13,9 @@ band keys; this module turns them into verified links and components:
   plus what x and y share outside h.  So a similar pair either has its whole
   overlap possible inside h ("core" pairs, listed by the sizes), or shares
   shingles outside h, at least as many as x lacks inside: it meets on one of
-  the first of those in hash order (prefix filtering).  Only pairs that meet
-  this way and lie in different components are compared.
+  the rarest of those (prefix filtering, rarity counted among the classes
+  under h).  Only pairs that meet this way and lie in different components
+  are compared.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words
@@ -44,17 +45,17 @@ def shingle_set(text: str | None, k: int, lower: bool) -> np.ndarray:
 
 def _compare(batches: Iterator[pa.RecordBatch], k: int, lower: bool, percent: int) -> Iterator[pa.RecordBatch]:
     """Rows (hub, b, least size under the hub, hub's text, b's text), sorted
-    by hub, to (hub, b, linked, n, inside, core, outside).
+    by hub, to (hub, b, linked, n, inside, short, outside).
 
-    ``inside``: b's shingles in the hub.  ``outside``: b's other shingles, all
-    of them, or the first in order when any similar partner of b must share
-    more than one of them.  ``core``: the overlap with a partner of the least
-    possible size could lie inside the hub.
+    ``inside``: b's shingles in the hub; ``outside``: b's other shingles, and
+    ``short``: how many of them any similar partner of b must share at least.
+    With ``short`` <= 0 the overlap with a partner of the least possible size
+    could lie inside the hub.
     """
     hub, hub_set = None, None
     for batch in batches:
-        linked, core = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, bool)
-        sizes, inside, outside = [], [], []
+        linked = np.zeros(batch.num_rows, bool)
+        sizes, inside, short, outside = [], [], [], []
         for i, (a, least) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
             if hub_set is None or a != hub:
                 hub, hub_set = a, shingle_set(batch.column(3)[i].as_py(), k, lower)
@@ -63,15 +64,14 @@ def _compare(batches: Iterator[pa.RecordBatch], k: int, lower: bool, percent: in
             n, both = len(own), len(own) - len(rest)
             linked[i] = both > 0 and (100 + percent) * both >= percent * (n + len(hub_set))
             partner = max(least, -(-percent * n // 100))
-            short = -(-percent * (n + partner) // (100 + percent)) - both
-            core[i] = short <= 0
+            short.append(-(-percent * (n + partner) // (100 + percent)) - both)
             sizes.append(n)
             inside.append(both)
-            outside.append((rest if short <= 0 else rest[: max(0, len(rest) - short + 1)]).view(np.int64))
+            outside.append(rest.view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(linked), pa.array(sizes, pa.int64()), pa.array(inside, pa.int64()),
-             pa.array(core), _long_lists(outside)],
-            names=["a", "b", "linked", "n", "inside", "core", "outside"])
+             pa.array(short, pa.int64()), _long_lists(outside)],
+            names=["a", "b", "linked", "n", "inside", "short", "outside"])
 
 
 def _long_lists(rows: list[np.ndarray]) -> pa.ListArray:
@@ -87,7 +87,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent:
     rows = both.select("a", "b", "least", "text_a", "text_b")
     return arrow_map(
         rows, partial(_compare, k=k, lower=lower, percent=percent),
-        "a long, b long, linked boolean, n long, inside long, core boolean, outside array<long>")
+        "a long, b long, linked boolean, n long, inside long, short long, outside array<long>")
 
 
 def _propagate(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -154,7 +154,7 @@ def linked_classes(classes: DataFrame, docs: DataFrame, k: int, lower: bool, per
     under = (
         compared.join(labels.select(F.col("id").alias("b"), F.col("label").alias("label_b")), "b", "left")
         .join(labels.select(F.col("id").alias("a"), F.col("label").alias("label_a")), "a", "left")
-        .select("a", "b", "n", "inside", "core", "outside",
+        .select("a", "b", "n", "inside", "short", "outside",
                 F.coalesce("label_a", "a").alias("label_a"), F.coalesce("label_b", "b").alias("label"))
     )
     open_hubs = (
@@ -163,9 +163,18 @@ def linked_classes(classes: DataFrame, docs: DataFrame, k: int, lower: bool, per
     )
     under = under.join(open_hubs, "a")
     member = [F.col("b").alias("rep"), "label", "n"]
-    outside = under.select(*member, F.lit(None).cast("long").alias("inside"), "a", F.explode("outside").alias("met"))
-    inside = under.where("core").select(*member, "inside", "a", F.lit(None).cast("long").alias("met"))
-    met = saved(outside.union(inside).withColumn("key", F.xxhash64("a", "met")).drop("a", "met").distinct())
+    outside = under.select(*member, "short", "a", F.explode("outside").alias("met"))
+    often = outside.groupBy("a", "met").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    own = Window.partitionBy("a", "rep")
+    # a shingle that no other class under the hub has comes first in order and meets nobody
+    rarest = (
+        outside.join(often, ["a", "met"])
+        .withColumn("place", F.row_number().over(own.orderBy("times", "met"))).withColumn("shared", F.count(F.lit(1)).over(own))
+        .where("place <= shared - greatest(short, 1) + 1")
+        .select("rep", "label", "n", F.lit(None).cast("long").alias("inside"), "a", "met")
+    )
+    inside = under.where("short <= 0").select(*member, "inside", "a", F.lit(None).cast("long").alias("met"))
+    met = saved(rarest.union(inside).withColumn("key", F.xxhash64("a", "met")).drop("a", "met").distinct())
     by_label = met.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
     apart = (
         by_label.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("size", "label")).alias("main"))
