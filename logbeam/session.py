@@ -78,11 +78,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def temporary_path(spark: SparkSession, name: str) -> str:
-    """A scratch location that its file system deletes when the driver ends."""
-    path = scratch_path(spark, name)
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return path
+    """A scratch location, not there yet, in a folder that its file system
+    deletes when the driver ends."""
+    folder = scratch_path(spark, name)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop_path)  # only what exists can be marked
+    fs.deleteOnExit(hadoop_path)
+    return f"{folder}/data"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "logbeam") -> SparkSession:

@@ -48,3 +48,19 @@ def test_local_session_gets_its_own_folder():
     spark, calls = _spark("local[2]")
     root = checkpoint_root(spark)
     assert calls and root == calls[0].rstrip("/") and "logbeam-ckpt-" in root
+
+
+def test_temporary_paths_go_when_the_driver_ends(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    code = (
+        "from pyspark.sql import SparkSession; from logbeam.session import temporary_path;"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+        f".config('spark.checkpoint.dir', '{tmp_path}').getOrCreate();"
+        "p = temporary_path(s, 't'); s.range(3).write.parquet(p); assert s.read.parquet(p).count() == 3; s.stop()"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, capture_output=True, timeout=120)
+    assert not any(p.suffix == ".parquet" for p in tmp_path.rglob("*"))
