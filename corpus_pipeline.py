@@ -2,7 +2,7 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and returns a DataFrame, which ``run`` writes as Parquet in the shared folder
-and rereads as the next stage's ``docs``.  All but the last return the columns
+(deleted when the driver ends) and rereads as the next stage's ``docs``.  All but the last return the columns
 of ``documents``; the last adds what the mix takes of each document.
 
 ``ORACLE_SQL`` is None: a trained classifier cannot be written as SQL.  The
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logbeam.llm import op1_quality, op4_decontaminate, op5_mix, op6_line_dedup, op8_minhash
 from logbeam.llm.common import table
-from logbeam.session import scratch_path
+from logbeam.session import temporary_path
 
 ORACLE_SQL = None
 
@@ -58,7 +58,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``, each written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
+        path = temporary_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
