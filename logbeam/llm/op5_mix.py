@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import join_null_safe, saved, scratch_name
+from .common import join_null_safe, saved, scratch_name, small
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -98,20 +98,11 @@ def apportion(votes: DataFrame, group: list[str], name: str, seats: str, most: s
     return counted.select(*votes.columns, (F.col("_low") + F.coalesce("_won", F.lit(0))).alias("quota"))
 
 
-def mix(
-    docs: DataFrame,
-    weights: tuple[int, ...] = WEIGHTS,
-    max_repeats: int = MAX_REPEATS,
-    block_words: int = BLOCK_WORDS,
-    shard_words: int = SHARD_WORDS,
-    seed: int = SEED,
-) -> DataFrame:
-    """(doc_id, source, size, source_size, target, blocks, taken) per row.
-
-    ``blocks`` lists the word ranges of the document that the mix takes, as
-    (start, end, copies); ``taken`` is their words, copies counted.
-    """
-    sizes = saved(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+def _chosen(docs: DataFrame, weights, max_repeats: int, block_words: int, shard_words: int, seed: int) -> DataFrame:
+    """(doc_id, source, size, source_size, target, shard, first, blocks, quota)
+    per row: where the document stands in its shard's stream of words, and
+    how many of the shard's blocks are given."""
+    sizes = saved(docs.select("doc_id", "source", word_count().alias("size")))
     per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     aimed = targets(per_source, weights, max_repeats).withColumn(
         "shards", F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)).cast("long"))
@@ -138,55 +129,86 @@ def mix(
         "source", "shard", "blocks", "source_quota", F.col("shard_size").cast("double").alias("vote"),
         (F.col("blocks") * max_repeats).alias("most"))
     shard_quota = apportion(voted, ["source"], "shard", "source_quota", "most").select("source", "shard", "blocks", "quota")
-    chosen = join_null_safe(placed, shard_quota, ["source", "shard"])
-    return _taken(chosen, block_words, seed)
+    return join_null_safe(placed, shard_quota, ["source", "shard"]).select(
+        "doc_id", "source", "size", "source_size", "target", "shard", "first", "blocks", "quota")
+
 
+def word_count() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
 
-def _taken(chosen: DataFrame, block_words: int, seed: int) -> DataFrame:
-    """Cut each document's range by its shard's blocks and their copies.
+
+def _blocks(of: dict[str, Column], block_words: int, seed: int) -> Column:
+    """The document's range cut by its shard's blocks, those with copies.
 
     The ``quota % blocks`` blocks that are given once more are every
     blocks / rest-th one from a seeded start: as documents stand in seeded
     order, a systematic choice of them is a seeded choice of text.
     """
-    b = F.lit(block_words)
-    ranged = (
-        chosen.withColumn("blocks", F.greatest("blocks", F.lit(1)))  # a shard of empty texts has none
-        .withColumn("_rest", F.col("quota") % F.col("blocks"))
-        .withColumn("_every", F.floor(F.col("quota") / F.col("blocks")).cast("long"))
-        .withColumn("_start", F.pmod(seeded(seed + 2, F.col("source"), F.col("shard")), F.col("blocks"))).withColumn("_end", F.col("first") + F.col("size"))
-    )
+    n = F.greatest(of["blocks"], F.lit(1))  # a shard of empty texts has none
+    rest, every = of["quota"] % n, F.floor(of["quota"] / n).cast("long")
+    turn = F.pmod(seeded(seed + 2, of["source"], of["shard"]), n)
+    b, first, end = F.lit(block_words), of["first"], of["first"] + of["size"]
 
     def piece(j: Column) -> Column:
-        turn = F.pmod(j + F.col("_start"), F.col("blocks"))
-        more = F.floor((turn + 1) * F.col("_rest") / F.col("blocks")) - F.floor(turn * F.col("_rest") / F.col("blocks"))
+        place = F.pmod(j + turn, n)
+        more = F.floor((place + 1) * rest / n) - F.floor(place * rest / n)
         return F.struct(
-            (F.greatest(j * b, F.col("first")) - F.col("first")).alias("start"),
-            (F.least((j + 1) * b, F.col("_end")) - F.col("first")).alias("end"),
-            (F.col("_every") + more).cast("long").alias("copies"))
+            (F.greatest(j * b, first) - first).alias("start"),
+            (F.least((j + 1) * b, end) - first).alias("end"),
+            (every + more).cast("long").alias("copies"))
 
-    ids = F.sequence(F.floor(F.col("first") / b), F.floor((F.col("_end") - 1) / b))
-    pieces = F.when(F.col("size") > 0, F.filter(F.transform(ids, piece), lambda p: p["copies"] > 0)).otherwise(
-        F.array().cast("array<struct<start:bigint,end:bigint,copies:bigint>>"))
-    with_blocks = ranged.withColumn("_pieces", pieces)
-    taken = F.aggregate("_pieces", F.lit(0).cast("long"), lambda acc, p: acc + (p["end"] - p["start"]) * p["copies"])
-    return with_blocks.select(
-        "doc_id", "source", "size", "source_size", "target", F.col("_pieces").alias("blocks"), taken.alias("taken"))
+    ids = F.sequence(F.floor(first / b), F.floor((end - 1) / b))
+    none = F.array().cast("array<struct<start:bigint,end:bigint,copies:bigint>>")
+    return F.when(of["size"] > 0, F.filter(F.transform(ids, piece), lambda p: p["copies"] > 0)).otherwise(none)
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def _words_of(blocks: str) -> Column:
+    return F.aggregate(blocks, F.lit(0).cast("long"), lambda acc, p: acc + (p["end"] - p["start"]) * p["copies"])
+
+
+def mix(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    max_repeats: int = MAX_REPEATS,
+    block_words: int = BLOCK_WORDS,
+    shard_words: int = SHARD_WORDS,
+    seed: int = SEED,
+) -> DataFrame:
+    """(doc_id, source, size, source_size, target, blocks, taken) per row.
+
+    ``blocks`` lists the word ranges of the document that the mix takes, as
+    (start, end, copies); ``taken`` is their words, copies counted.
+    """
+    chosen = _chosen(docs, weights, max_repeats, block_words, shard_words, seed)
+    cut = chosen.withColumn("blocks", _blocks({c: F.col(c) for c in chosen.columns}, block_words, seed))
+    return cut.withColumn("taken", _words_of("blocks")).select(
+        "doc_id", "source", "size", "source_size", "target", "blocks", "taken")
+
+
+def mixed_documents(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    max_repeats: int = MAX_REPEATS,
+    block_words: int = BLOCK_WORDS,
+    shard_words: int = SHARD_WORDS,
+    seed: int = SEED,
+) -> DataFrame:
     """``docs`` rows of which the mix takes something, with ``size``,
     ``source_size``, ``target``, ``blocks`` and ``taken`` beside their columns
-    (input columns of those names are replaced)."""
+    (input columns of those names are replaced).  The texts stay where they
+    are while the documents' places in the shards are few."""
     added = ["size", "source_size", "target", "blocks", "taken"]
-    mixed = mix(docs, **options)
     kept = [c for c in docs.columns if c.lower() not in added]
-    key = scratch_name("mix_id", docs.columns)
-    # a document's mix depends on id, source and size, so equal keys have equal rows
-    per_id = mixed.where("taken > 0").select(
-        F.col("doc_id").alias(key), F.col("source").alias(f"{key}s"), *added).dropDuplicates([key, f"{key}s", "size"])
-    text_size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    on = (
-        F.col("doc_id").eqNullSafe(F.col(key)) & F.col("source").eqNullSafe(F.col(f"{key}s")) & (F.col(f"{key}n") == F.col("size"))
-    )
-    return docs.select(*kept, text_size.alias(f"{key}n")).join(per_id, on).drop(key, f"{key}s", f"{key}n")
+    chosen = _chosen(docs, weights, max_repeats, block_words, shard_words, seed)
+    names = {c: scratch_name(f"mix_{c}", docs.columns) for c in chosen.columns}
+    # rows with equal id, source and size stand for each other
+    places = saved(chosen.dropDuplicates(["doc_id", "source", "size"])).withColumnsRenamed(names)
+    counted = scratch_name("mix_words", docs.columns)
+    on = F.col(counted) == F.col(names["size"])
+    for c in ("doc_id", "source"):
+        on = on & F.col(c).eqNullSafe(F.col(names[c]))
+    joined = docs.withColumn(counted, word_count()).join(small(places), on)
+    of = {c: F.col(n) for c, n in names.items()}
+    out = joined.select(
+        *kept, *(of[c].alias(c) for c in ("size", "source_size", "target")), _blocks(of, block_words, seed).alias("blocks"))
+    return out.withColumn("taken", _words_of("blocks")).where("taken > 0")
