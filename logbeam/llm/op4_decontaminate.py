@@ -1,15 +1,21 @@
 """Operator 4: benchmark decontamination by spaced-seed hashing.
 
 Texts are lower-cased and cut into words (runs of letters and digits).  Fixed
-masks of ``SPAN`` positions select ``weight`` of them; the hash of the words
-at the selected positions ignores the others, so a passage whose words were
-replaced here and there still shares a hash with its benchmark item.  Test and
-training hashes are joined, and around each hit the item is laid over the
-document on the hit's diagonal and compared word by word; the best-scoring
-run of the comparison (a match counts 1, a mismatch ``-MISMATCH``) must hold
-enough matching words.  Items shorter than the masks are joined and compared
-whole; items of fewer than ``MIN_ITEM`` words are phrases, not passages, and
-are not searched.
+masks (``SEEDS``) select words; the hash of the words at the selected
+positions ignores the others, so a passage whose words were replaced here and
+there still shares a hash with its benchmark item.  Test and training hashes
+are joined, and around each hit the item is laid over the document on the
+hit's diagonal and compared word by word; the best-scoring run of the
+comparison (a match counts 1, a mismatch ``-MISMATCH``) must hold enough
+matching words.  Items of fewer than ``MIN_ITEM`` words are phrases, not
+passages, and are not searched.
+
+No run that is accepted goes without a seed.  It holds four matches or more
+and its score ends above every earlier one.  Without four matches in a row no
+stretch of matches exceeds three, and if of any two stretches around a single
+mismatch one is a single word (no ``11011``), the score never rises above the
+first stretch again (3 - 2 + 1 - 2 + 3 = 3), nor after two mismatches in a
+row, so the run would be that stretch of at most three words.
 
 The benchmark side is broadcast while its seeds are within ``MAX_SEEDS``
 (their number is counted first); beyond that both sides' seeds meet in a
@@ -37,6 +43,9 @@ from . import words
 from .common import arrow_map, saved, scratch_name, small
 
 #: The masks, 1 for a position that counts.
+SEEDS = ("1111", "11011")
+#: Heavier masks: each holds one of SEEDS, so these hit wherever they do; not
+#: searched, the tests compare with them.
 MASKS = ("111011010111", "110101101111", "111101100111")
 SPAN = 12
 #: A mismatch costs so many matches when the run around a hit is chosen.
@@ -79,8 +88,8 @@ def hash_salt(mask: str) -> np.uint64:
 
 
 def item_masks(n: int) -> tuple[str, ...]:
-    """The masks for an item of ``n`` words: shorter items count whole."""
-    return MASKS if n >= SPAN else ("1" * n,) if n >= MIN_ITEM else ()
+    """The masks for an item of ``n`` words."""
+    return SEEDS if n >= MIN_ITEM else ()
 
 
 def best_run(same: np.ndarray) -> tuple[int, int, int]:
@@ -209,8 +218,7 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _shuffled(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The join of seeds as a shuffle, for a benchmark of any size."""
     own = arrow_map(items, partial(_seed_rows, masks=None), "seed long, id long, place long")
-    short = [m for m in ("1" * n for n in range(MIN_ITEM, SPAN))]
-    theirs = arrow_map(docs, partial(_seed_rows, masks=(*MASKS, *short)), "seed long, id long, place long")
+    theirs = arrow_map(docs, partial(_seed_rows, masks=SEEDS), "seed long, id long, place long")
     hits = (
         theirs.withColumnsRenamed({"id": "doc_id", "place": "at"})
         .join(own.withColumnRenamed("id", "item_id"), "seed")
@@ -230,7 +238,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_seeds: int = MAX_SE
     items = benchmark.select("item_id", "text").where("text is not null")
     n_words = F.regexp_count("text", F.lit(r"[\p{L}\p{N}]+"))
     size = items.agg(F.sum(n_words + 1), F.sum(F.length("text"))).first()
-    if len(MASKS) * (size[0] or 0) > max_seeds or (size[1] or 0) > 16 * max_seeds:
+    if len(SEEDS) * (size[0] or 0) > max_seeds or (size[1] or 0) > 16 * max_seeds:
         return _shuffled(docs, items)
     rows = items.collect()  # within max_seeds, checked above
     data, offsets = _words(pa.array([r.text for r in rows], pa.string()))

@@ -70,3 +70,55 @@ def test_masks_tolerate_substitutions():
         rows = np.array([0, 30])
         found += any(np.isin(op4.seed_hashes(w, rows, m)[0], op4.seed_hashes(other, rows, m)[0]).any() for m in op4.MASKS)
     assert found > 195
+
+
+def seeded(same):
+    """Whether a run of equal words leaves a hit of the searched masks."""
+    w = np.arange(len(same), dtype=np.uint64) * np.uint64(7919)
+    other = np.where(same, w, w + np.uint64(1))
+    rows = np.array([0, len(w)])
+    return any((op4.seed_hashes(w, rows, m)[0] == op4.seed_hashes(other, rows, m)[0]).any() for m in op4.item_masks(len(w)))
+
+
+def accepted(same):
+    w = np.arange(1, len(same) + 1, dtype=np.uint64)
+    return op4.verify(np.where(same, w, 0), w, 0) is not None
+
+
+def test_every_accepted_short_item_has_a_seed():
+    n_accepted = 0
+    for n in range(op4.MIN_ITEM, 14):
+        for bits in range(1 << n):
+            same = np.array([bits >> k & 1 for k in range(n)], bool)
+            if accepted(same):
+                n_accepted += 1
+                assert seeded(same), (n, bits)
+    assert n_accepted > 300
+
+
+@pytest.mark.parametrize(("n", "changed"), [(12, 1), (13, 1), (16, 3), (20, 4), (20, 5), (30, 3), (30, 7), (40, 10), (60, 15)])
+def test_recall_by_length_and_substitutions(n, changed):
+    rng = random.Random(n * 100 + changed)
+    n_accepted = 0
+    for _ in range(300):
+        same = np.ones(n, bool)
+        same[rng.sample(range(n), changed)] = False
+        if accepted(same):
+            n_accepted += 1
+            assert seeded(same)
+    assert n_accepted > 30
+
+
+def test_heavier_masks_hold_a_searched_one():
+    for heavy in op4.MASKS:
+        assert any(all(heavy[at + k] == "1" for k, bit in enumerate(m) if bit == "1")
+                   for m in op4.SEEDS for at in range(len(heavy) - len(m) + 1))
+
+
+@pytest.mark.parametrize("limit", [op4.MAX_SEEDS, 0])
+def test_changed_words_are_found(docs, bench, limit):
+    w = ITEMS[0][1].split()
+    every_sixth = " ".join("zzz" if k % 6 == 5 else x for k, x in enumerate(w))
+    short = "one two 3 FOUR five six seven"
+    got = op4.contamination(docs([every_sixth, short]), bench, max_seeds=limit).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(0, 0), (1, 2)}
