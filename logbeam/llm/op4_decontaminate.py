@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import arrow_map, saved, scratch_name, small
+from .common import arrow_map, saved, scratch_name, small, written
 
 #: The masks, 1 for a position that counts.
 SEEDS = ("1111", "11011")
@@ -200,7 +200,7 @@ def _seed_rows(batches: Iterator[pa.RecordBatch], masks: tuple[str, ...] | None)
 
 
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, item_id, diagonal, text, item) to verified reports."""
+    """(document, item, diagonal, text, item text) to verified reports."""
     for batch in batches:
         docs, items = _words(batch.column(3)), _words(batch.column(4))
         keep, got, lengths = [], [], []
@@ -216,19 +216,24 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shuffled(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The join of seeds as a shuffle, for a benchmark of any size."""
-    own = arrow_map(items, partial(_seed_rows, masks=None), "seed long, id long, place long")
-    theirs = arrow_map(docs, partial(_seed_rows, masks=SEEDS), "seed long, id long, place long")
+    """The join of seeds as a shuffle, for a benchmark of any size.  Rows meet
+    by row numbers of their own, as ids may be null or repeated."""
+    docs = written(docs.withColumn("doc_row", F.monotonically_increasing_id()), "op4_docs")
+    items = written(items.withColumn("item_row", F.monotonically_increasing_id()), "op4_items")
+    own = arrow_map(items.select("item_row", "text"), partial(_seed_rows, masks=None), "seed long, id long, place long")
+    theirs = arrow_map(docs.select("doc_row", "text"), partial(_seed_rows, masks=SEEDS), "seed long, id long, place long")
     hits = (
-        theirs.withColumnsRenamed({"id": "doc_id", "place": "at"})
-        .join(own.withColumnRenamed("id", "item_id"), "seed")
-        .select("doc_id", "item_id", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
+        theirs.withColumnsRenamed({"id": "doc_row", "place": "at"})
+        .join(own.withColumnRenamed("id", "item_row"), "seed")
+        .select("doc_row", "item_row", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
     )
-    texts = hits.join(docs, "doc_id").join(items.withColumnsRenamed({"text": "item"}), "item_id")
-    found = arrow_map(texts.select("doc_id", "item_id", "diagonal", "text", "item"), _check, SCHEMA)
+    texts = hits.join(docs, "doc_row").join(items.withColumnRenamed("text", "item"), "item_row")
+    found = arrow_map(texts.select("doc_row", "item_row", "diagonal", "text", "item"), _check, SCHEMA)
     best = F.min_by(F.struct("n_match", "n_aligned", "item_words", "start_word"),
                     F.struct(-F.col("n_match"), "n_aligned", "start_word"))
-    return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
+    rows = found.withColumnsRenamed({"doc_id": "doc_row", "item_id": "item_row"}).groupBy("doc_row", "item_row").agg(best.alias("b"))
+    named = rows.join(docs.select("doc_row", "doc_id"), "doc_row").join(items.select("item_row", "item_id"), "item_row")
+    return named.select("doc_id", "item_id", "b.*")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, max_seeds: int = MAX_SEEDS) -> DataFrame:

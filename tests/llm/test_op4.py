@@ -122,3 +122,13 @@ def test_changed_words_are_found(docs, bench, limit):
     short = "one two 3 FOUR five six seven"
     got = op4.contamination(docs([every_sixth, short]), bench, max_seeds=limit).collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(0, 0), (1, 2)}
+
+
+def test_routes_agree_on_null_ids_and_repeated_rows(docs, spark):
+    items = [*ITEMS[:2], (None, ITEMS[2][1]), (0, ITEMS[0][1]), (0, ITEMS[1][1]), (None, sentence(902, 20))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = docs([(None, ITEMS[0][1]), (None, ITEMS[1][1]), (1, ITEMS[2][1]), (2, ITEMS[0][1]), (2, ITEMS[0][1]), (2, "clean"), (3, items[5][1])])
+    both = [sorted(map(repr, op4.contamination(df, bench, max_seeds=n).collect())) for n in (op4.MAX_SEEDS, 0)]
+    assert both[0] == both[1] and len(both[0]) == 2 + 2 + 1 + 2 * 2 + 1
+    kept = [sorted(repr(r.doc_id) for r in op4.decontaminate(df, bench, max_seeds=n).collect()) for n in (op4.MAX_SEEDS, 0)]
+    assert kept[0] == kept[1] == ["None", "None"]
