@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from functools import lru_cache
 
 TAG = re.compile(
@@ -34,7 +35,7 @@ ENDS = {
     "option": ({"option"}, {"select"}),
 }
 P_SCOPE = frozenset("article aside body button div footer form header html li main nav section table td th ul ol dl blockquote".split())
-#: Deeper elements are read as part of the element at this depth.
+#: In a shape, deeper elements are read as text of the element at this depth.
 MAX_DEPTH = 150
 #: More runs of siblings than this are merged by label.
 MAX_RUNS = 16
@@ -62,19 +63,36 @@ def attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def _close(stack: list[Node], names, scope) -> None:
-    """Close the innermost open element of ``names`` that the scope allows."""
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag in names:
-            del stack[k:]
-            return
-        if stack[k].tag in scope:
-            return
+class _Open:
+    """The open elements, and by tag where in the stack they are."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack, self.places = [root], defaultdict(list)
+
+    def push(self, node: Node) -> None:
+        self.places[node.tag].append(len(self.stack))
+        self.stack.append(node)
+
+    def innermost(self, names) -> int:
+        """Place of the innermost open element of ``names``, 0 without one."""
+        return max((self.places[t][-1] for t in names if self.places.get(t)), default=0)
+
+    def cut(self, at: int) -> None:
+        """Close the element at a place and all inside it; 0 closes none."""
+        while 0 < at < len(self.stack):
+            self.places[self.stack.pop().tag].pop()
+
+    def close(self, names, scope) -> None:
+        """Close the innermost open element of ``names`` that the scope allows."""
+        at = self.innermost(names)
+        if at and at > self.innermost(scope):
+            self.cut(at)
 
 
 def parse(page: str) -> Node:
     root = Node("#root", "")
-    stack = [root]
+    opened = _Open(root)
+    stack = opened.stack
     at, n = 0, len(page)
     while at < n:
         m = TAG.search(page, at)
@@ -89,15 +107,12 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            opened.cut(opened.innermost((tag,)))
             continue
         if tag in ENDS_P:
-            _close(stack, ("p",), P_SCOPE)
+            opened.close(("p",), P_SCOPE)
         if tag in ENDS:
-            _close(stack, *ENDS[tag])
+            opened.close(*ENDS[tag])
         node = Node(tag, attrs)
         stack[-1].kids.append(node)
         if tag in RAW:
@@ -106,8 +121,8 @@ def parse(page: str) -> Node:
             node.kids.append(Text(html.unescape(page[at:stop]) if tag in ("title", "textarea") else page[at:stop]))
             past = page.find(">", stop) if close else -1
             at = past + 1 if past >= 0 else n
-        elif tag not in VOID and not attrs.endswith("/") and len(stack) < MAX_DEPTH:
-            stack.append(node)
+        elif tag not in VOID and not attrs.endswith("/"):
+            opened.push(node)
     return root
 
 
@@ -122,23 +137,36 @@ def label(node: Node) -> str:
 
 def _flat(kids: list) -> list:
     """Children with inline elements replaced by their own children."""
-    out = []
-    for k in kids:
+    out, todo = [], kids[::-1]
+    while todo:
+        k = todo.pop()
         if isinstance(k, Node) and k.tag in INLINE:
-            out += _flat(k.kids)
+            todo += reversed(k.kids)
         elif isinstance(k, Node) or k.text.strip():
             out.append(k)
     return out
 
 
+def _texts(kids: list) -> list[Text]:
+    """All texts below, in page order."""
+    out, todo = [], kids[::-1]
+    while todo:
+        k = todo.pop()
+        if isinstance(k, Node):
+            todo += reversed(k.kids)
+        elif k.text.strip():
+            out.append(k)
+    return out
+
+
 def shape(root: Node) -> tuple[str, list[list[Text]]]:
     """The page's shape as text, and the texts of each slot; each text is
     told its slot."""
     slots: list[list[Text]] = []
 
-    def walk(kids: list) -> str:
+    def walk(kids: list, depth: int) -> str:
         runs: list[tuple[str, list]] = []
-        for k in _flat(kids):
+        for k in _flat(kids) if depth < MAX_DEPTH else _texts(kids):
             name = "#" if isinstance(k, Text) else label(k)
             if runs and runs[-1][0] == name:
                 runs[-1][1].append(k)
@@ -157,11 +185,11 @@ def shape(root: Node) -> tuple[str, list[list[Text]]]:
                 slots.append(members)
                 parts.append("#")
             else:
-                inside = walk([x for m in members for x in m.kids])
+                inside = walk([x for m in members for x in m.kids], depth + 1)
                 parts.append(f"{name}({inside})" if inside else name)
         return ",".join(parts)
 
-    return walk(root.kids), slots
+    return walk(root.kids, 1), slots
 
 
 def read_shape(text: str) -> tuple:

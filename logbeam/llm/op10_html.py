@@ -76,18 +76,20 @@ def _declared(tag: str, attrs: str) -> str:
 
 def _parts(root: dom.Node) -> list[dom.Node]:
     """The parts that hold the article: the outermost article elements, else
-    main, else elements named as content, else the whole page."""
+    main, else elements named as content (all outermost ones of the kind);
+    none: the whole page."""
     found: dict[str, list[dom.Node]] = {"article": [], "main": [], "named": []}
-    todo = [(root, False)]
+    todo: list[tuple[dom.Node, frozenset[str]]] = [(root, frozenset())]
     while todo:
         node, inside = todo.pop()
         kind = _declared(node.tag, node.attrs)
         if kind == "out":
             continue
-        if kind in found and not (inside and kind == "article"):
+        if kind in found and kind not in inside:
             found[kind].append(node)
-        todo += [(k, inside or kind == "article") for k in reversed(node.kids) if isinstance(k, dom.Node)]
-    return found["article"] or found["main"][:1] or found["named"][:1]
+            inside |= {kind}
+        todo += [(k, inside) for k in reversed(node.kids) if isinstance(k, dom.Node)]
+    return found["article"] or found["main"] or found["named"]
 
 
 def _blocks(part: dom.Node, template: frozenset[int]) -> list[str]:

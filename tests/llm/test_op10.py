@@ -75,3 +75,24 @@ def test_edges(spark):
     assert [r.text for r in got if r.page_id is None] == ["x"] and [r.n_chars for r in got if r.page_id == 3] == [99_999]
     assert got[0].asDict().keys() == {"page_id", "url", "text", "n_chars"}
     assert op10.main_text(page(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    ("<div class=content>one</div><p>between</p><div class=content>two<div class=content>three</div></div>", "one two three"),
+    ("<main>one</main><nav>n</nav><div role=main>two</div>", "one two"),
+    ("<div><article>" + "<div>" * 200 + "deep" + "</div>" * 200 + "<p>rest</p></article></div><p>after", "deep rest"),
+    ("<article>" + "<div>" * 200 + "in<nav>n</nav><aside>a</aside>" + "</div>" * 200 + "rest</article>", "in rest"),
+    ("<article>" + "<b>" * 3000 + "x" + "</b>" * 3000 + "<p>y</article>", "x y"),
+])
+def test_all_parts_at_any_depth(html, want):
+    assert op10.extract(html) == want
+    dom.shape(dom.parse(html))
+
+
+def test_depth_costs_no_square():
+    n = 100_000
+    assert op10.extract("<div>" * n + "x" + "</p>" * n + "<p>" * n + "<hr>" * n + "y") == "x y"
+    shape, slots = dom.shape(dom.parse("<div>" * n + "x"))
+    assert shape.count("div") < dom.MAX_DEPTH and len(slots) == 1
+    tree = dom.read_shape(shape)
+    assert dom.match(tree, tree)[1] == [(0, 0)]
