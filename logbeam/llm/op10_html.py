@@ -4,20 +4,23 @@ Each page becomes a tree; its *shape* is the tree of block elements with
 repeated siblings merged, its text leaves are slots (``dom.py``).  Of each
 host the commonest shape is the wrapper, and every other shape of the host is
 aligned with it by simple tree matching, so each slot of a page is a slot of
-the wrapper or one of its own.  Over all pages of the host a slot whose text
-never changes is template, one whose text varies is content.
+the wrapper or one of its own.  A block of text that stands in its slot on
+every page of the host that has the slot is template, everything else content.
 
-On a page, content slots that mark-up declares to be something else (menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader
-comments; by tag, role, class or id) are left out, and where the page marks
-its article or main part only that counts.  Inside that part a constant slot
-stays: pages of one host may be copies of each other, which does not make
-their article a template.  For the same reason a slot is template only from
-``MIN_PAGES`` pages on.
+Mark-up says first what is not the article (menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles, reader comments; by tag, role, class
+or id), and where the page marks its article or main part only that counts.
+What is left is the page's content; template blocks are taken out of it on
+pages that mark no such part.
 
-Pages never meet in one task: shapes and slots are reduced to counts and
-least and greatest text hashes by partial aggregation, the matching runs once
-per distinct (host, shape), and its verdict goes back to the pages by id.
+Pages of one host may be copies of each other, which does not make their text
+a template.  So pages with the same content count once, and a block is
+template only from ``MIN_PAGES`` pages with different contents on; where these
+differ in a few blocks only, the others cannot be told from a template.
+
+Pages never meet in one task: shapes and blocks are reduced to counts by
+partial aggregation, the matching runs once per distinct (host, shape), and
+its verdict goes back to the pages by id.
 
 Edge cases: null or empty html gives an empty text; a url that is null or has
 no host belongs to the host ``""``; repeated rows are repeated in the result; a
@@ -92,33 +95,38 @@ def _parts(root: dom.Node) -> list[dom.Node]:
     return found["article"] or found["main"] or found["named"]
 
 
-def _blocks(part: dom.Node, template: frozenset[int]) -> list[str]:
-    """Texts of the part's blocks in page order."""
-    blocks: list[list[str]] = [[]]
+def _blocks(part: dom.Node) -> list[tuple[int, str]]:
+    """The part's blocks in page order: slot and text."""
+    blocks: list[list[dom.Text]] = [[]]
     todo: list = [part]
     while todo:
         x = todo.pop()
         if x is None:
             blocks.append([])
         elif isinstance(x, dom.Text):
-            if x.slot not in template:
-                blocks[-1].append(x.text)
+            blocks[-1].append(x)
         elif x is part or _declared(x.tag, x.attrs) != "out":
             if x.tag in dom.INLINE:
                 todo += reversed(x.kids)
             else:  # a block of its own, line breaks included
                 todo += [None, *reversed(x.kids), None]
-    return [t for t in (" ".join("".join(b).split()) for b in blocks) if t]
+    texts = [(b, " ".join("".join(t.text for t in b).split())) for b in blocks]
+    return [(next(t.slot for t in b if t.text.strip()), text) for b, text in texts if text]
+
+
+def _units(root: dom.Node) -> list[tuple[int, str]]:
+    """What the page's mark-up leaves: the blocks of the article's parts."""
+    return [u for p in _parts(root) or [root] for u in _blocks(p)]
 
 
-def extract(page: str, template: frozenset[int] = frozenset()) -> str:
-    """Main text of one page; ``template`` are its template slots."""
+def extract(page: str, template: frozenset[tuple[int, int]] = frozenset()) -> str:
+    """Main text of one page; ``template`` are its template blocks as slot and
+    hash of the text."""
     root = dom.parse(page)
-    parts = _parts(root)
-    if parts:
-        return " ".join(t for p in parts for t in _blocks(p, frozenset()))
+    if not template or _parts(root):
+        return " ".join(text for _, text in _units(root))
     dom.shape(root)
-    return " ".join(_blocks(root, template))
+    return " ".join(text for slot, text in _units(root) if (slot, _hash(text)) not in template)
 
 
 def _hash(text: str) -> int:
@@ -126,62 +134,71 @@ def _hash(text: str) -> int:
 
 
 def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(page_id, url, html key, host, html) to the page's shape and the hash
-    of each slot's text."""
+    """(page_id, url, html key, host, html) to the page's shape, the hash of
+    the content its mark-up leaves, and its different blocks."""
+    block = pa.struct([("slot", pa.int32()), ("hash", pa.int64())])
     for batch in batches:
-        shapes, hashes = [], []
+        shapes, contents, blocks = [], [], []
         for page in batch.column(4).to_pylist():
-            text, slots = dom.shape(dom.parse(page or ""))
-            shapes.append(text)
-            hashes.append([_hash(" ".join("".join(t.text + " " for t in s).split())) for s in slots])
+            root = dom.parse(page or "")
+            shapes.append(dom.shape(root)[0])
+            units = _units(root)
+            contents.append(_hash("\n".join(text for _, text in units)))
+            blocks.append([{"slot": n, "hash": h} for n, h in sorted({(n, _hash(text)) for n, text in units})])
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), batch.column(3), pa.array(shapes, pa.string()), pa.array(hashes, pa.list_(pa.int64()))],
-            names=["page_id", "key", "host", "shape", "hashes"])
+            [batch.column(0), batch.column(2), batch.column(3), pa.array(shapes, pa.string()), pa.array(contents, pa.int64()),
+             pa.array(blocks, pa.list_(block))],
+            names=["page_id", "key", "host", "shape", "content", "blocks"])
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, shape, wrapper) to the wrapper's slot of each slot of the shape,
-    -1 without one."""
+    """(host, shape id, pages, shape, wrapper) to the wrapper's slot of each
+    slot of the shape, -1 without one."""
     read = lru_cache(64)(dom.read_shape)
     for batch in batches:
         slots = []
-        for own, wrapper in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        for own, wrapper in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
             places = [-1] * own.replace("(", ",").replace(")", ",").split(",").count("#")
             for a, b in dom.match(read(own), read(wrapper))[1]:
                 places[a] = b
             slots.append(places)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(slots, pa.list_(pa.int32()))], names=["host", "shape", "slots"])
+            [*batch.columns[:3], pa.array(slots, pa.list_(pa.int32()))], names=["host", "shape_id", "pages", "slots"])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         template = batch.column(3).to_pylist()
-        texts = [extract(p or "", frozenset(t or ())) for p, t in zip(batch.column(2).to_pylist(), template, strict=True)]
+        texts = [extract(p or "", frozenset((b["slot"], b["hash"]) for b in t or ()))
+                 for p, t in zip(batch.column(2).to_pylist(), template, strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
             names=["page_id", "url", "text", "n_chars"])
 
 
 def wrappers(shaped: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, shape, template): the template slots of every shape of every
-    host.  ``shaped`` (host, shape, hashes) has a row per page."""
-    counts = shaped.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("pages"))
-    wrapper = counts.groupBy("host").agg(F.max_by("shape", F.struct("pages", "shape")).alias("wrapper"))
-    pairs = counts.join(wrapper, "host").select("host", "shape", "wrapper")
-    aligned = saved(arrow_map(pairs, _align, "host string, shape string, slots array<int>"))
-    per_slot = (
-        shaped.select("host", "shape", F.posexplode("hashes").alias("slot", "hash"))
-        .groupBy("host", "shape", "slot").agg(F.min("hash").alias("low"), F.max("hash").alias("high"), F.count(F.lit(1)).alias("pages"))
-    )
-    placed = per_slot.join(aligned, ["host", "shape"]).withColumn("place", F.get("slots", F.col("slot")))
-    # a slot without a place in the wrapper is compared within its shape
-    own = F.when(F.col("place") < 0, F.concat_ws(" ", "shape", F.col("slot").cast("string")))
-    placed = placed.select("host", "shape", "slot", "place", own.alias("own"), "low", "high", "pages")
-    merged = placed.groupBy("host", "place", "own").agg(
-        F.min("low").alias("l"), F.max("high").alias("h"), F.sum("pages").alias("n")).where((F.col("l") == F.col("h")) & (F.col("n") >= min_pages))
-    constant = join_null_safe(placed, merged, ["host", "place", "own"], "left_semi")
-    return constant.groupBy("host", "shape").agg(F.collect_set("slot").alias("template"))
+    """(shape_id, template): the template blocks of every shape that has some.
+    ``shaped`` (host, shape_id, shape, content, blocks) has a row per page."""
+    # copies count once
+    once = shaped.groupBy("host", "content").agg(F.min(F.struct("shape_id", "blocks")).alias("p")).select("host", "p.*")
+    pages = once.groupBy("shape_id").agg(F.count(F.lit(1)).alias("pages"))
+    shapes = shaped.groupBy("host", "shape_id").agg(F.min("shape").alias("shape")).join(pages, "shape_id", "left").fillna(0, ["pages"])
+    wrapper = shapes.groupBy("host").agg(F.max_by("shape", F.struct("pages", "shape")).alias("wrapper"))
+    pairs = shapes.join(wrapper, "host").select("host", "shape_id", "pages", "shape", "wrapper")
+    aligned = saved(arrow_map(pairs, _align, "host string, shape_id long, pages long, slots array<int>"))
+    # a slot without a place in the wrapper is a place of its shape alone
+    own = -1 - F.shiftrightunsigned(F.xxhash64("shape_id", "slot"), 1)
+    placed = aligned.select("host", "shape_id", "pages", F.posexplode("slots").alias("slot", "at")).select(
+        "host", "shape_id", "pages", "slot", F.when(F.col("at") >= 0, F.col("at").cast("long")).otherwise(own).alias("place"))
+    of_place = placed.groupBy("host", "place").agg(F.sum("pages").alias("pages"))
+    # a block on every page of a place is on every page of each of its shapes
+    blocks = once.select("shape_id", F.inline("blocks")).groupBy("shape_id", "slot", "hash").agg(F.count(F.lit(1)).alias("n"))
+    blocks = blocks.join(small(aligned.select("shape_id", "pages")), "shape_id").where("n = pages").drop("pages")
+    blocks = blocks.join(placed.drop("pages"), ["shape_id", "slot"])
+    blocks = blocks.groupBy("host", "place", "hash").agg(F.sum("n").alias("n")).where(F.col("n") >= min_pages)
+    constant = saved(blocks.join(of_place, ["host", "place"]).where("n = pages").select("host", "place", "hash"))
+    template = placed.join(small(constant), ["host", "place"])
+    return template.groupBy("shape_id").agg(F.collect_list(F.struct("slot", "hash")).alias("template"))
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -192,8 +209,9 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     key = F.xxhash64("url", "html")
     shaped = saved(arrow_map(
         pages.select("page_id", "url", key.alias("key"), host.alias("host"), "html"), _shapes,
-        "page_id long, key long, host string, shape string, hashes array<long>"))
-    verdicts = shaped.select("page_id", "key", "host", "shape").join(wrappers(shaped, min_pages), ["host", "shape"])
+        "page_id long, key long, host string, shape string, content long, blocks array<struct<slot:int,hash:long>>"
+    ).withColumn("shape_id", F.xxhash64("host", "shape")))
+    verdicts = shaped.select("page_id", "key", "shape_id").join(small(saved(wrappers(shaped, min_pages))), "shape_id")
     of_page = saved(verdicts.select("page_id", "key", "template").dropDuplicates(["page_id", "key"]))
     judged = join_null_safe(pages.withColumn("key", key), small(of_page), ["page_id", "key"], "left")
     return arrow_map(

@@ -96,3 +96,22 @@ def test_depth_costs_no_square():
     assert shape.count("div") < dom.MAX_DEPTH and len(slots) == 1
     tree = dom.read_shape(shape)
     assert dom.match(tree, tree)[1] == [(0, 0)]
+
+
+def texts(spark, bodies, host="h.example"):
+    got = op10.main_text(page(spark, [(i, f"http://{host}/{i}", b) for i, b in enumerate(bodies)])).collect()
+    return [r.text for r in sorted(got, key=lambda r: r.page_id)]
+
+
+def test_copies_without_mark_up_are_no_template(spark):
+    assert texts(spark, ["<div>Site</div><p>the same"] * 8) == ["Site the same"] * 8
+    # a group of copies with a shape of its own, among different pages
+    own = "<div>Site</div><h2>Own</h2><ul><li>copied</ul><p>copied too"
+    bodies = [f"<div>Site</div><p>text {i}" for i in range(8)] + [own] * 7
+    assert texts(spark, bodies) == [f"text {i}" for i in range(8)] + ["Own copied copied too"] * 7
+
+
+def test_copies_in_different_frames_are_no_template(spark):
+    frames = ["<nav>n</nav>", "<aside>a</aside>", "<header>h</header>", "<footer>f</footer>", "<form>x</form>", "<script>s</script>"]
+    assert texts(spark, [f"{f}<div>{i}</div><article><p>the same</article>" for i, f in enumerate(frames)]) == ["the same"] * 6
+    assert texts(spark, [f"{f}<div><p>the same</div>" for f in frames]) == ["the same"] * 6
