@@ -10,8 +10,8 @@ every page of the host that has the slot is template, everything else content.
 Mark-up says first what is not the article (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, reader comments; by tag, role, class
 or id), and where the page marks its article or main part only that counts.
-What is left is the page's content; template blocks are taken out of it on
-pages that mark no such part.
+What is left is the page's content, and template blocks are taken out of it,
+inside the article as elsewhere.
 
 Pages of one host may be copies of each other, which does not make their text
 a template.  So pages with the same content count once, and a block is
@@ -123,7 +123,7 @@ def extract(page: str, template: frozenset[tuple[int, int]] = frozenset()) -> st
     """Main text of one page; ``template`` are its template blocks as slot and
     hash of the text."""
     root = dom.parse(page)
-    if not template or _parts(root):
+    if not template:
         return " ".join(text for _, text in _units(root))
     dom.shape(root)
     return " ".join(text for slot, text in _units(root) if (slot, _hash(text)) not in template)

@@ -115,3 +115,16 @@ def test_copies_in_different_frames_are_no_template(spark):
     frames = ["<nav>n</nav>", "<aside>a</aside>", "<header>h</header>", "<footer>f</footer>", "<form>x</form>", "<script>s</script>"]
     assert texts(spark, [f"{f}<div>{i}</div><article><p>the same</article>" for i, f in enumerate(frames)]) == ["the same"] * 6
     assert texts(spark, [f"{f}<div><p>the same</div>" for f in frames]) == ["the same"] * 6
+
+
+@pytest.mark.parametrize("part", ["article", "main", "div class=content"])
+def test_template_inside_the_article(spark, part):
+    end = part.split()[0]
+    bodies = [f"<{part}><h1>Head {i}</h1><p>text {i}</p><p>more {i}</p><p>Tell <a href=x>your friends</a></p>"
+              f"<div>Printed by us</div></{end}>" + ("<p>outside" if i % 2 else "") for i in range(6)]
+    assert texts(spark, bodies) == [f"Head {i} text {i} more {i}" for i in range(6)]
+    # fewer different pages than MIN_PAGES show no template
+    assert texts(spark, bodies[:4] * 3)[0] == "Head 0 text 0 more 0 Tell your friends Printed by us"
+    # nor does a block that one of the pages lacks
+    some = [b.replace("Printed by us", "Printed by you") if i == 2 else b for i, b in enumerate(bodies)]
+    assert texts(spark, some)[2:4] == ["Head 2 text 2 more 2 Printed by you", "Head 3 text 3 more 3 Printed by us"]
