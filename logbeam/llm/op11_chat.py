@@ -130,9 +130,11 @@ def schema_paths(kind: DataType, value: Column, path: str) -> list[tuple[str, Co
     if isinstance(kind, ArrayType):
         found = [(f"{path}[]", value.isNotNull())]
         if isinstance(kind.elementType, (StructType, ArrayType)):
-            for i, (inner, _) in enumerate(schema_paths(kind.elementType, F.lit(None), f"{path}[]")):
-                filled = F.exists(value, lambda x, i=i: schema_paths(kind.elementType, x, "")[i][1])
-                found.append((inner, F.coalesce(filled, F.lit(False))))
+            def filled(i: int) -> Column:
+                return F.exists(value, lambda x: schema_paths(kind.elementType, x, "")[i][1])
+
+            names = [p for p, _ in schema_paths(kind.elementType, value, f"{path}[]")]
+            found += [(p, F.coalesce(filled(i), F.lit(False))) for i, p in enumerate(names)]
         return found
     return [(path, value.isNotNull())]
 

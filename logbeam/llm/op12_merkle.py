@@ -95,20 +95,17 @@ def _grow(nodes: DataFrame, most: int, start: int, levels: list[DataFrame], name
         nodes, most, height = parents.select("g", "n", "idx", "h"), -(-most // FANOUT), height + 1
 
 
-def _around(field: str = "") -> list[tuple[str, Column]]:
-    """Per slot: the slot and the struct of what stands left and right of it."""
-    held = [F.coalesce(F.col(c + field), F.lit("")) for c in SLOTS]
-    return [
-        (c, F.struct(F.concat(F.lit(""), *held[:k]).alias("left"), F.concat(F.lit(""), *held[k + 1 :]).alias("right")))
-        for k, c in enumerate(SLOTS)
-    ]
+def _around(hashes: Column, k: Column) -> Column:
+    """What stands left and right of slot ``k`` in its run."""
+    return F.struct(
+        F.array_join(F.slice(hashes, 1, k), "").alias("left"), F.array_join(F.slice(hashes, k + 2, FANOUT), "").alias("right"))
 
 
 def _children(parents: DataFrame) -> DataFrame:
     """Parents (g, idx, c0 .., path, subroot, root) to their children (g, idx, path, ...)."""
-    rows = F.array(*(
-        F.struct(F.col(c).alias("h"), (F.col("idx") * FANOUT + k).alias("at"), around.alias("around"))
-        for k, (c, around) in enumerate(_around())))
+    kids = F.array(*SLOTS)
+    rows = F.transform(
+        kids, lambda h, k: F.struct(h.alias("h"), (F.col("idx") * FANOUT + k).alias("at"), _around(kids, k).alias("around")))
     each = parents.select("g", "path", "subroot", "root", F.explode(F.filter(rows, lambda x: x["h"].isNotNull())).alias("x"))
     return each.select("g", F.col("x.at").alias("idx"), F.concat(F.array("x.around"), "path").alias("path"), "subroot", "root")
 
@@ -176,7 +173,8 @@ def proofs(rows: DataFrame, group: str, keep: Sequence[str]) -> DataFrame:
     paths = _descend(tree, given, 1)
 
     under = first.drop("n", "h").join(paths, ["g", "idx"])
-    slots = F.array(*(F.struct(F.col(c).alias("row"), around.alias("around")) for c, around in _around(".leaf")))
+    leaves = F.array(*(F.col(f"{c}.leaf") for c in SLOTS))
+    slots = F.transform(F.array(*SLOTS), lambda row, k: F.struct(row.alias("row"), _around(leaves, k).alias("around")))
     each = under.select("lone", "path", "subroot", "root", F.explode(F.filter(slots, lambda x: x["row"].isNotNull())).alias("x"))
     whole = F.when(F.col("lone"), F.col("path")).otherwise(F.concat(F.array("x.around"), "path"))
     return each.select(*(F.col(f"x.row.{c}").alias(c) for c in (*keep, "leaf")), "subroot", "root", whole.alias("path"))

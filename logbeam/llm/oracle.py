@@ -1,7 +1,7 @@
 """DuckDB SQL for the training-data queries that SQL can express.
 
 Written independently of the Spark code: constants are spelled out.  The other
-queries (1, 2, 3, 4, 8, 9, 10 and the pipeline) are tested against brute force
+queries (1, 2, 3, 4, 8, 9, 10, 13 and the pipeline) are tested against brute force
 or an independent library in ``tests/llm``.
 """
 
@@ -132,5 +132,65 @@ FROM bytes b LEFT JOIN kept k ON b.doc_id = k.doc_id
 """
 
 
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+written AS (
+  SELECT *, regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') AS t,
+    regexp_replace(replace(regexp_replace(role, '<(\\*)n>', '<\1\\n>', 'g'), chr(10), '<n>'), '<(\\*)\|', '<\1\\|', 'g') AS r FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<|im_start|>') + length(r) + 1 + length(t) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
+FROM written GROUP BY conv_id
+"""
+
+
+def _merkle(levels: int = 6, source_levels: int = 3) -> str:
+    """Levels are written out one by one: 16^6 documents a source, 16^3 sources."""
+
+    def leaf(text: str) -> str:
+        values = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    def up(name: str, below: str) -> str:
+        return (
+            f"{name} AS (SELECT g, idx // 16 AS idx, (n + 15) // 16 AS n, n = 1 AS lone, list(h ORDER BY idx) AS kids, "
+            f"CASE WHEN n = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY idx)) END AS h FROM {below} GROUP BY g, idx // 16, n)")
+
+    bits = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ord(c), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))"
+    crc = f"xor(list_reduce(list_concat([4294967295], {bits}), lambda c, x: {step}), 4294967295)"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ctes = [
+        f"base AS (SELECT doc_id, source AS g, {leaf('text')} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {leaf(low)} ELSE {leaf('text')} END AS tried FROM documents)",
+        "l0 AS (SELECT *, leaf AS h, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n FROM base)",
+        *(up(f"l{i + 1}", f"l{i}") for i in range(levels)),
+        f"s0 AS (SELECT 0 AS g, g AS source, h, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM l{levels})",
+        *(up(f"s{i + 1}", f"s{i}") for i in range(source_levels)),
+        f"f0 AS (SELECT l.doc_id, l.leaf, l.g, l.idx, l.tried AS node, '' AS beside, s.h AS subroot, s.idx AS place, r.h AS root "
+        f"FROM l0 l JOIN s0 s ON l.g IS NOT DISTINCT FROM s.source, s{source_levels} r)",
+    ]
+    for i in range(levels + source_levels):
+        inner = i < levels
+        table, width, at = (f"l{i + 1}", 16**i, "f.idx") if inner else (f"s{i + 1 - levels}", 16 ** (i - levels), "f.place")
+        own = f"({at} // {width}) % 16"
+        left = f"array_to_string(list_slice(p.kids, 1, {own}), '')"
+        right = f"array_to_string(list_slice(p.kids, {own} + 2, 16), '')"
+        same = "f.g IS NOT DISTINCT FROM p.g" if inner else "p.g = 0"
+        ctes.append(
+            f"f{i + 1} AS (SELECT f.* EXCLUDE (node, beside), CASE WHEN p.lone THEN node ELSE sha256({left} || node || {right}) END AS node, "
+            f"CASE WHEN p.lone THEN beside ELSE beside || {left} || {right} END AS beside "
+            f"FROM f{i} f JOIN {table} p ON {same} AND {at} // {width * 16} = p.idx)")
+    return (
+        "WITH " + ",\n".join(ctes) + "\nSELECT doc_id, leaf, subroot, root, sha256(beside) AS proof_sha256, node AS folded_root, "
+        f"node = root AS verified FROM f{levels + source_levels}")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_source_mix": MIX, "op6_line_dedup": LINES, "op7_suffix_array_dedup": REPEATS}
+    return {
+        "op5_source_mix": MIX, "op6_line_dedup": LINES, "op7_suffix_array_dedup": REPEATS,
+        "op11_chat_formatting": CHAT, "op12_merkle_manifest": _merkle()}

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_per_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 14))
     assert set(oracle.oracle_sql()) <= set(queries.queries())
 
 
