@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from pathlib import Path
 
@@ -46,6 +46,8 @@ from .common import arrow_map, few, saved, written
 A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 B_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
+#: Fixed value: the split pattern of byte-level files.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Slots of a chunk; a bit field of so many is as long as a list of a sixteenth.
 CHUNK_DOCS = 4096
 FIELD_BYTES = CHUNK_DOCS // 8
@@ -86,47 +88,62 @@ class Vocabulary:
         return self.flat[at]
 
 
-def _decimal(count: int, ends: str) -> list[np.ndarray]:
-    return [np.array([f"{i}{e}" for i in range(count)], object) for e in ends]
-
-
 class Encoders:
     """Both tokenizers and their tables, built once per process."""
 
     def __init__(self, a_json: bytes, b_model: bytes) -> None:
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(a_json.decode("utf-8"))
-        self.a.encode_special_tokens = True
         byte_of = byte_of_char()
         spec = json.loads(a_json)
-        added = {t["id"]: t["content"] for t in spec["added_tokens"]}
-        by_id = {i: t for t, i in spec["model"]["vocab"].items()}
-        size = max([*by_id, *added]) + 1
-        self.a_bytes = Vocabulary([
-            added[i].encode("utf-8") if i in added else bytes(byte_of[c] for c in by_id.get(i, "")) for i in range(size)])
+        by_id = {i: bytes(byte_of[c] for c in t) for t, i in spec["model"]["vocab"].items()}
+        special = {t["id"]: t["content"].encode("utf-8") for t in spec["added_tokens"]}
+        size = max([*by_id, *special]) + 1
+        self.a_bytes = Vocabulary([special.get(i, by_id.get(i, b"")) for i in range(size)])
+        self.a = byte_level_encoder(a_json, spec, {t: i for i, t in by_id.items() if i not in special})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = Vocabulary([
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode("utf-8") for i, p in enumerate(pieces)])
-        self.a_names = _decimal(size, ",|")
-        self.b_names = _decimal(len(pieces), ",;")
+        # decimal ids with what follows them: A within a group, A last, B within, B last
+        self.sizes = size, len(pieces)
+        self.names = Vocabulary([f"{i}{end}".encode() for n, ends in ((size, ",|"), (len(pieces), ",;")) for end in ends for i in range(n)])
 
     def both(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """A and B ids of each text; none where they do not give its bytes."""
-        a_all = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        a_all = [self.a(" " + t) for t in texts]
         b_all = self.b.encode(texts, num_threads=1)
         none = np.zeros(0, np.int64)
         out = []
         for text, a, b in zip(texts, a_all, b_all, strict=True):
-            a, b = np.array(a, np.int64), np.array(b, np.int64)
+            b = np.array(b, np.int64)
             raw = np.frombuffer((" " + text).encode("utf-8"), np.uint8)
             exact = len(text) > 0 and np.array_equal(self.a_bytes.joined(a), raw) and np.array_equal(self.b_bytes.joined(b), raw)
             out.append((a, b) if exact else (none, none))
         return out
 
 
+def byte_level_encoder(a_json: bytes, spec: dict, ranks: dict[bytes, int]) -> Callable[[str], np.ndarray]:
+    """The encoder of a byte-level BPE file.  Where its merges are in the order
+    of its ids, as in the public files, and it splits by the usual pattern, the
+    ids serve as ranks of the faster library; else the file's own library
+    encodes.  The texts of special tokens are ordinary text in both."""
+    import tiktoken
+
+    byte_of, splits = byte_of_char(), spec.get("pre_tokenizer") or {}
+    joined = [bytes(byte_of[c] for c in "".join(m.split(" ") if isinstance(m, str) else m)) for m in spec["model"]["merges"]]
+    whole = len(ranks) == 256 + len(joined) and all(ranks.get(t) == 256 + i for i, t in enumerate(joined))
+    plain = splits.get("type") == "ByteLevel" and splits.get("use_regex") and not splits.get("add_prefix_space") and not spec.get("normalizer")
+    if whole and plain:
+        enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return lambda text: enc.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_str(a_json.decode("utf-8"))
+    own.encode_special_tokens = True
+    return lambda text: np.array(own.encode(text, add_special_tokens=False).ids, np.int64)
+
+
 def encoders(a_json: bytes, b_model: bytes) -> Encoders:
     key = hashlib.md5(a_json).digest() + hashlib.md5(b_model).digest()
     if key not in _loaded:
@@ -140,19 +157,21 @@ def aligned(a: np.ndarray, b: np.ndarray, enc: Encoders) -> tuple[np.ndarray, in
     if not len(a):
         return np.zeros(0, np.int64), 0, ""
     a_ends, b_ends = np.cumsum(enc.a_bytes.lengths[a]), np.cumsum(enc.b_bytes.lengths[b])
-    ends = np.union1d(a_ends, b_ends)
-    links = (a[np.searchsorted(a_ends, ends)] << 32) | b[np.searchsorted(b_ends, ends)]
-    common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-    # tokens in order of their group, A before B; the last of a side ends with another sign
-    a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
-    a_last, b_last = common[a_group] == a_ends, common[b_group] == b_ends
-    names = np.empty(len(a) + len(b), object)
-    # an A token stands behind the tokens before it and the B tokens of earlier groups
-    a_at = np.arange(len(a)) + np.searchsorted(b_group, a_group)
-    b_at = np.arange(len(b)) + np.searchsorted(a_group, b_group, "right")
-    names[a_at] = np.where(a_last, enc.a_names[1][a], enc.a_names[0][a])
-    names[b_at] = np.where(b_last, enc.b_names[1][b], enc.b_names[0][b])
-    return links, len(common), hashlib.sha256("".join(names.tolist())[:-1].encode()).hexdigest()
+    mark = np.zeros(int(a_ends[-1]) + 1, np.uint8)
+    mark[a_ends] = 1
+    mark[b_ends] |= 2
+    kind = mark[np.flatnonzero(mark)]  # of each segment's end: 1 A's, 2 B's, 3 both
+    of_a, of_b, both = kind & 1 == 1, kind & 2 == 2, kind == 3
+    a_upto, b_upto, group = np.cumsum(of_a), np.cumsum(of_b), np.cumsum(both)
+    links = (a[a_upto - of_a] << 32) | b[b_upto - of_b]
+    # tokens in order of their group, A before B: a token stands behind those of the groups before, B also behind its own group's A
+    group -= both
+    a_group, b_group = group[of_a], group[of_b]
+    a_done, b_done = a_upto[both], np.append(0, b_upto[both])
+    order = np.empty(len(a) + len(b), np.int64)
+    order[np.arange(len(a)) + b_done[a_group]] = a + both[of_a] * enc.sizes[0]
+    order[np.arange(len(b)) + a_done[b_group]] = b + (2 * enc.sizes[0] + both[of_b] * enc.sizes[1])
+    return links, len(a_done), hashlib.sha256(enc.names.joined(order)[:-1].tobytes()).hexdigest()
 
 
 def bitmaps(slots: np.ndarray, starts: np.ndarray) -> pa.Array:
