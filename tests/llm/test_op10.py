@@ -54,12 +54,13 @@ def test_matching_keeps_order_and_skips():
 
 
 def test_wrapper_tells_template_from_content(spark):
-    rows = [(i, f"http://h.example/{i}", f"<body><div>Site name</div><h2>Head {i}</h2><p>text {i}</p><div><b>All rights</b> kept</div>"
+    rows = [(i, f"http://h.example/{i}", f"<body><div>Site name</div><h2>Head {i}</h2><p>text {i} and more that is {i}'s alone</p><div><b>All rights</b> kept</div>"
              + ("<span>odd</span><h3>Extra</h3>" if i % 3 == 0 else "")) for i in range(30)]
     rows += [(100 + i, "http://few.example/", f"<body><div>Kept</div><p>t{i}</p>") for i in range(2)]
+    more = " and more that is {}'s alone"
     got = {r.page_id: r for r in op10.main_text(page(spark, rows)).collect()}
-    assert got[1].text == "Head 1 text 1" and got[4].text == "Head 4 text 4"
-    assert got[3].text == "Head 3 text 3"  # aligned across shapes; the odd parts are constant among themselves
+    assert got[1].text == "Head 1 text 1" + more.format(1) and got[4].text == "Head 4 text 4" + more.format(4)
+    assert got[3].text == "Head 3 text 3" + more.format(3)  # aligned across shapes; the odd parts are constant among themselves
     assert got[100].text == "Kept t0"
 
 
@@ -120,11 +121,69 @@ def test_copies_in_different_frames_are_no_template(spark):
 @pytest.mark.parametrize("part", ["article", "main", "div class=content"])
 def test_template_inside_the_article(spark, part):
     end = part.split()[0]
-    bodies = [f"<{part}><h1>Head {i}</h1><p>text {i}</p><p>more {i}</p><p>Tell <a href=x>your friends</a></p>"
+    said = "Head {0} text {0} of this page alone more {0} of the same"
+    bodies = [f"<{part}><h1>Head {i}</h1><p>text {i} of this page alone</p><p>more {i} of the same</p><p>Tell <a href=x>your friends</a></p>"
               f"<div>Printed by us</div></{end}>" + ("<p>outside" if i % 2 else "") for i in range(6)]
-    assert texts(spark, bodies) == [f"Head {i} text {i} more {i}" for i in range(6)]
-    # fewer different pages than MIN_PAGES show no template
-    assert texts(spark, bodies[:4] * 3)[0] == "Head 0 text 0 more 0 Tell your friends Printed by us"
-    # nor does a block that one of the pages lacks
+    assert texts(spark, bodies) == [said.format(i) for i in range(6)]
+    # two different pages show it as well as more, one page and its copies do not
+    assert texts(spark, bodies[:2] * 3) == [said.format(0), said.format(1)] * 3
+    assert texts(spark, bodies[:1] * 3)[0] == said.format(0) + " Tell your friends Printed by us"
+    # nor is template what one of the pages lacks
     some = [b.replace("Printed by us", "Printed by you") if i == 2 else b for i, b in enumerate(bodies)]
-    assert texts(spark, some)[2:4] == ["Head 2 text 2 more 2 Printed by you", "Head 3 text 3 more 3 Printed by us"]
+    assert texts(spark, some)[2:4] == [said.format(2) + " Printed by you", said.format(3) + " Printed by us"]
+
+
+def test_headings_of_articles_stay(spark):
+    bodies = [f"<article><h2>Abstract</h2><p>what {i} is about</p><h2>Results</h2><p>what {i} found</p></article>" for i in range(7)]
+    assert texts(spark, bodies) == [f"Abstract what {i} is about Results what {i} found" for i in range(7)]
+
+
+def test_pages_that_are_mostly_alike_are_no_template(spark):
+    """Near copies of one article: the shared text is most of the host's."""
+    bodies = ["<article>" + "".join(f"<p>paragraph {k} of the copied article</p>" for k in range(6)) + f"<p>read {i} times</p></article>" for i in range(9)]
+    assert all(t.startswith("paragraph 0 of") and f"read {i} times" in t for i, t in enumerate(texts(spark, bodies)))
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    ("<article class='social-science'><p>a</p></article>", "a"),
+    ("<article class='search'><p>a</p></article>", "a"),
+    ("<article><section id='related-work'><h2>Related</h2><p>b</p></section><p>c</p></article>", "Related b c"),
+    ("<article><p class='share-price'>up</p><p class='comment-worthy'>x</p></article>", "up x"),
+    ("<main class=widget>m</main><div class='site-header'>h</div>", "m"),
+    ("<div class='page-widget'><div class='site-menu'>m</div><article>a</article></div>", "a"),
+    ("<div class=widget><p>most of the text of this page</div><p>rest<div class=widget>w</div>", "most of the text of this page rest"),
+    ("<article>a<div class='ad-slot'>x</div><div class='share-buttons'>s</div><div class='reader-comments'>c</div></article>", "a"),
+    ("<div class='comments'>" + "long thread " * 20 + "</div><p>text", "text"),
+    ("<main>m</main><article class='comment'>c</article>", "m"),
+])
+def test_class_words_are_whole_names(html, want):
+    assert op10.extract(html) == want
+
+
+def brute_template(bodies):
+    """(slot, text) on every different page of one shape, if the minor part."""
+    units = []
+    for b in bodies:
+        root = dom.parse(b)
+        dom.shape(root)
+        units.append(op10._units(root))
+    different = {tuple(t for _, t, _ in u): u for u in units}.values()
+    blocks = [{(n, t) for n, t, stays in u if not stays} for u in different]
+    common = set.intersection(*blocks) if len(blocks) > 1 else set()
+    size = sum(len(t) for u in different for n, t, _ in u if (n, t) in common)
+    return common if 2 * size < sum(len(t) for u in different for _, t, _ in u) else set(), units
+
+
+def test_against_brute_force_of_one_shape(spark):
+    """Pages of one shape, blocks from small pools: template by intersection."""
+    import random
+
+    for seed in range(4):
+        rng = random.Random(seed)
+        pools = [["c", "c"], ["same words", "same words"], [f"v{i} and more" for i in range(5)], ["a a", "b b"], [f"text {i} " * 3 for i in range(9)]]
+        bodies = ["<div class=x>{}</div><p>{}</p><ul><li>{}</ul><h2>{}</h2><article>{}<h3>Fixed</h3></article>".format(
+            *(rng.choice(p) for p in pools)) for _ in range(12)]
+        bodies = bodies if seed % 2 else [b.replace("<article>", "<section>").replace("</article>", "</section>") for b in bodies]
+        template, units = brute_template(bodies)
+        want = [" ".join(t for n, t, stays in u if stays or (n, t) not in template) for u in units]
+        assert texts(spark, bodies) == want, seed
