@@ -1,21 +1,25 @@
 """Operator 4: benchmark decontamination by spaced-seed hashing.
 
 Texts are lower-cased and cut into words (runs of letters and digits).  Fixed
-masks (``SEEDS``) select words; the hash of the words at the selected
-positions ignores the others, so a passage whose words were replaced here and
-there still shares a hash with its benchmark item.  Test and training hashes
-are joined, and around each hit the item is laid over the document on the
-hit's diagonal and compared word by word; the best-scoring run of the
-comparison (a match counts 1, a mismatch ``-MISMATCH``) must hold enough
-matching words.  Items of fewer than ``MIN_ITEM`` words are phrases, not
-passages, and are not searched.
-
-No run that is accepted goes without a seed.  It holds four matches or more
-and its score ends above every earlier one.  Without four matches in a row no
-stretch of matches exceeds three, and if of any two stretches around a single
-mismatch one is a single word (no ``11011``), the score never rises above the
-first stretch again (3 - 2 + 1 - 2 + 3 = 3), nor after two mismatches in a
-row, so the run would be that stretch of at most three words.
+masks select words; the hash of the words at the selected positions ignores the
+others, so a passage whose words were replaced here and there still shares a
+hash with its benchmark item.  Test and training hashes are joined, and around
+each hit the item is laid over the document on the hit's diagonal and compared
+word by word; the best-scoring run of the comparison (a match counts 1, a
+mismatch ``-MISMATCH``) must hold enough matching words.
+
+Which masks an item has goes by its words (``item_masks``).  From 16 words on
+eight masks of weight 8: few texts share eight words by chance, so hits stay
+rare however large the corpus is, and of the runs that are accepted 98.5 % or
+more share a seed at every length and number of changed words tried (16 to 60
+words, whole or in part, up to a quarter changed; the tests measure it).  From
+12 words on four masks of weight 6 (all of the tried ones).  From 5 words on,
+too few for the others, ``1111`` and ``11011``, of which every accepted run
+holds one: without four matches in a row no stretch of matches exceeds three,
+and if of any two stretches around a single mismatch one is a single word, the
+score never rises above the first stretch again (3 - 2 + 1 - 2 + 3 = 3), nor
+after two mismatches in a row, so the run would be at most three words.
+Shorter items are phrases and found only as a whole.
 
 The benchmark side is broadcast while its seeds are within ``MAX_SEEDS``
 (their number is counted first); beyond that both sides' seeds meet in a
@@ -42,17 +46,18 @@ from pyspark.sql import functions as F
 from . import words
 from .common import arrow_map, saved, scratch_name, small, written
 
-#: The masks, 1 for a position that counts.
-SEEDS = ("1111", "11011")
-#: Heavier masks: each holds one of SEEDS, so these hit wherever they do; not
-#: searched, the tests compare with them.
-MASKS = ("111011010111", "110101101111", "111101100111")
-SPAN = 12
+#: The masks, 1 for a position that counts, by the least number
+#: of words of the items that have them.
+MASKS = {
+    16: ("111001010111", "1101010001111", "1101001101011", "1101000110111", "11110010111", "111010011011", "10110101111", "1101100011011"),
+    12: ("110100111", "1001010111", "110010111", "1110001101"),
+    5: ("1111", "11011"),
+    **{n: ("1" * n,) for n in (4, 3, 2, 1)},
+}
 #: A mismatch costs so many matches when the run around a hit is chosen.
 MISMATCH = 2
 #: Report a run with so many matching words, or of so much of the item.
 MIN_MATCH, MIN_SHARE = 13, 0.75
-MIN_ITEM = 5
 #: Seeds of the benchmark that are broadcast at most (about 40 bytes each).
 MAX_SEEDS = 2_000_000
 
@@ -89,7 +94,7 @@ def hash_salt(mask: str) -> np.uint64:
 
 def item_masks(n: int) -> tuple[str, ...]:
     """The masks for an item of ``n`` words."""
-    return SEEDS if n >= MIN_ITEM else ()
+    return next((masks for least, masks in MASKS.items() if n >= least), ())
 
 
 def best_run(same: np.ndarray) -> tuple[int, int, int]:
@@ -140,7 +145,7 @@ def verify(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int,
     the item laid over the document at ``diagonal``, if it is contamination."""
     lo, hi = max(0, -diagonal), min(len(item), len(doc) - diagonal)
     n_match, start, end = best_run(doc[lo + diagonal : hi + diagonal] == item[lo:hi])
-    if n_match >= MIN_MATCH or n_match >= MIN_SHARE * len(item):
+    if n_match >= MIN_MATCH or n_match >= (MIN_SHARE if len(item) >= 5 else 1) * len(item):
         return n_match, end - start, lo + diagonal + start
     return None
 
@@ -184,8 +189,8 @@ def _reports(doc_ids: list, item_ids: list, got: list[tuple[int, int, int]], len
 
 
 def _seed_rows(batches: Iterator[pa.RecordBatch], masks: tuple[str, ...] | None) -> Iterator[pa.RecordBatch]:
-    """(id, text) to one row per seed (seed, id, place, words of the text as
-    hashes).  ``masks`` None: the masks of each text's own length."""
+    """(id, text) to one row per seed (seed, id, place).  ``masks`` None: the
+    masks of each text's own length."""
     for batch in batches:
         data, offsets = _words(batch.column(1))
         for r in range(batch.num_rows):
@@ -200,17 +205,22 @@ def _seed_rows(batches: Iterator[pa.RecordBatch], masks: tuple[str, ...] | None)
 
 
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(document, item, diagonal, text, item text) to verified reports."""
+    """(document, item, diagonals, text, item text) to verified reports, the
+    best of each row's diagonals."""
     for batch in batches:
         docs, items = _words(batch.column(3)), _words(batch.column(4))
         keep, got, lengths = [], [], []
-        for r in range(batch.num_rows):
+        for r, diagonals in enumerate(batch.column(2).to_pylist()):
             doc, _ = words.word_hashes(*docs, r, r + 1, words.NOT_ALNUM)
             item, _ = words.word_hashes(*items, r, r + 1, words.NOT_ALNUM)
-            g = verify(doc, item, batch.column(2)[r].as_py())
-            if g:
+            found: dict = {}
+            for diagonal in diagonals:
+                run = verify(doc, item, diagonal)
+                if run:
+                    _best(found, (), run)
+            if found:
                 keep.append(r)
-                got.append(g)
+                got.append(found[()][1])
                 lengths.append(len(item))
         yield _reports([batch.column(0)[r].as_py() for r in keep], [batch.column(1)[r].as_py() for r in keep], got, lengths)
 
@@ -221,19 +231,21 @@ def _shuffled(docs: DataFrame, items: DataFrame) -> DataFrame:
     docs = written(docs.withColumn("doc_row", F.monotonically_increasing_id()), "op4_docs")
     items = written(items.withColumn("item_row", F.monotonically_increasing_id()), "op4_items")
     own = arrow_map(items.select("item_row", "text"), partial(_seed_rows, masks=None), "seed long, id long, place long")
-    theirs = arrow_map(docs.select("doc_row", "text"), partial(_seed_rows, masks=SEEDS), "seed long, id long, place long")
+    n_words = F.regexp_count("text", F.lit(r"[\p{L}\p{N}]+"))
+    lengths = [r[0] for r in items.select(F.least(n_words, F.lit(max(MASKS)))).distinct().collect()]  # at most 17
+    masks = tuple(sorted({m for n in lengths for m in item_masks(n)}))
+    theirs = arrow_map(docs.select("doc_row", "text"), partial(_seed_rows, masks=masks), "seed long, id long, place long")
     hits = (
         theirs.withColumnsRenamed({"id": "doc_row", "place": "at"})
         .join(own.withColumnRenamed("id", "item_row"), "seed")
-        .select("doc_row", "item_row", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
+        .groupBy("doc_row", "item_row").agg(F.collect_set(F.col("at") - F.col("place")).alias("diagonals"))
     )
+    # both texts meet once for each document and item
     texts = hits.join(docs, "doc_row").join(items.withColumnRenamed("text", "item"), "item_row")
-    found = arrow_map(texts.select("doc_row", "item_row", "diagonal", "text", "item"), _check, SCHEMA)
-    best = F.min_by(F.struct("n_match", "n_aligned", "item_words", "start_word"),
-                    F.struct(-F.col("n_match"), "n_aligned", "start_word"))
-    rows = found.withColumnsRenamed({"doc_id": "doc_row", "item_id": "item_row"}).groupBy("doc_row", "item_row").agg(best.alias("b"))
+    found = arrow_map(texts.select("doc_row", "item_row", "diagonals", "text", "item"), _check, SCHEMA)
+    rows = found.withColumnsRenamed({"doc_id": "doc_row", "item_id": "item_row"})
     named = rows.join(docs.select("doc_row", "doc_id"), "doc_row").join(items.select("item_row", "item_id"), "item_row")
-    return named.select("doc_id", "item_id", "b.*")
+    return named.select("doc_id", "item_id", "n_match", "n_aligned", "item_words", "start_word")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, max_seeds: int = MAX_SEEDS) -> DataFrame:
@@ -243,7 +255,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_seeds: int = MAX_SE
     items = benchmark.select("item_id", "text").where("text is not null")
     n_words = F.regexp_count("text", F.lit(r"[\p{L}\p{N}]+"))
     size = items.agg(F.sum(n_words + 1), F.sum(F.length("text"))).first()
-    if len(SEEDS) * (size[0] or 0) > max_seeds or (size[1] or 0) > 16 * max_seeds:
+    if max(map(len, MASKS.values())) * (size[0] or 0) > max_seeds or (size[1] or 0) > 16 * max_seeds:
         return _shuffled(docs, items)
     rows = items.collect()  # within max_seeds, checked above
     data, offsets = _words(pa.array([r.text for r in rows], pa.string()))
