@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import enrich
+from . import states
 from .quantile import median, statistics, value_counts
 
 TOP_N = 10
@@ -24,15 +25,9 @@ def _errors() -> F.Column:
 
 def summary(silver: DataFrame) -> DataFrame:
     """A1: one wide row.  ``error_rate`` is a percentage over all rows,
-    malformed ones included; NULL on empty input."""
-    return silver.agg(
-        F.count(F.lit(1)).alias("total_requests"),
-        F.count_distinct("ip").alias("unique_visitors"),
-        F.count_distinct("date").alias("days_span"),
-        F.avg("bytes_sent_int").alias("avg_response_size"),
-        _errors().alias("total_errors"),
-        (_errors() / F.count(F.lit(1)) * 100).alias("error_rate"),
-    )
+    malformed ones included; NULL on empty input.  Counted per (date, ip)
+    first, so two distinct counts cost no expanded rows."""
+    return states.summary(states.client_days(silver))
 
 
 def top_ips(silver: DataFrame, limit: int = TOP_N) -> DataFrame:
@@ -58,16 +53,7 @@ def top_endpoints(silver: DataFrame, limit: int = TOP_N) -> DataFrame:
 
 def error_analysis(silver: DataFrame) -> DataFrame:
     """A4: per error status, ``count, affected_users, affected_days``."""
-    return (
-        silver.where(F.col("status_int") >= 400)
-        .groupBy("status", "status_int")
-        .agg(
-            F.count(F.lit(1)).alias("count"),
-            F.count_distinct("ip").alias("affected_users"),
-            F.count_distinct("date").alias("affected_days"),
-        )
-        .orderBy(F.desc("count"), F.asc("status"))
-    )
+    return states.error_analysis(states.error_days(silver))
 
 
 def peak_traffic(silver: DataFrame) -> DataFrame:
@@ -104,9 +90,13 @@ def sizes(silver: DataFrame, size_col: str = "size") -> DataFrame:
     return value_counts(silver, enrich.size_bytes(size_col))
 
 
-def size_stats(silver: DataFrame, size_col: str = "size") -> DataFrame:
+def size_stats(silver: DataFrame, size_col: str = "size", approximate: bool = False) -> DataFrame:
     """``total_bytes, max_bytes, min_bytes, avg_bytes, median_bytes`` on
-    the numeric size ('-' excluded), all from one count by size."""
+    the numeric size ('-' excluded), all from one count by size.
+    ``approximate`` takes the median from a sketch (``states.sketch_days``)
+    instead of counting every size."""
+    if approximate:
+        return states.approximate_size_stats(states.sketch_days(silver, size_col))
     counts = sizes(silver, size_col)
     st = statistics(counts)
     return st.select(
@@ -161,10 +151,14 @@ def summary_metric(silver: DataFrame, metric: str) -> DataFrame:
 
 
 def summary_kv(silver: DataFrame) -> DataFrame:
-    """A1 + A12 as ``metric_name STRING, metric_value DOUBLE`` rows: one
-    aggregate of Silver and the count by size."""
-    counts = sizes(silver)
-    traffic = _as_rows(silver.agg(*(make().alias(m) for m, make in _TRAFFIC.items())))
+    """A1 + A12 as ``metric_name STRING, metric_value DOUBLE`` rows: the
+    summary of Silver and the count by size."""
+    return key_values(summary(silver), sizes(silver))
+
+
+def key_values(wide: DataFrame, counts: DataFrame) -> DataFrame:
+    """R1 from the summary row and the count by size."""
+    traffic = _as_rows(wide.withColumn("distinct_client_ips", F.col("unique_visitors")))
     volume = _as_rows(statistics(counts).select(*(F.col(c).alias(m) for m, c in _SIZES.items())))
     middle = _as_rows(median(counts).withColumnRenamed("median", "median_bytes"))
     return traffic.union(volume).union(middle)

@@ -8,9 +8,9 @@ both layers are map-only and run at scan speed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import enrich
@@ -91,6 +91,49 @@ def extract_logs(spark: SparkSession, path: str, log_format: str | LogFormat | N
         return to_bronze(files.spread(lines, spread_partitions), log_format)
 
 
+#: Lines whose format decides what a counted extraction tries first.
+GUESS_LINES = 1000
+
+
+def chosen_format(counts: Mapping[str, int], formats: Sequence[LogFormat]) -> str:
+    """``detect_format``'s choice from the counts ``rows`` and ``m0``, ``m1``, ..."""
+    for i, fmt in enumerate(formats):
+        if counts["rows"] and counts[f"m{i}"] * 2 >= counts["rows"]:
+            return fmt.name
+    return DEFAULT_FORMAT
+
+
+def write_bronze(spark: SparkSession, path: str, bronze_path: str, log_format: str | LogFormat | None = None,
+                 spread_partitions: int | None = None, guess_lines: int = GUESS_LINES, tz: str | None = UTC) -> tuple[str, int]:
+    """P4 + P1 in one scan of the text: returns the format and the rows written.
+
+    With no format given, the format of the first lines is parsed and written
+    while the same pass counts the matches of every detectable format.  If the
+    counts over all lines choose another, Bronze is parsed anew from the lines
+    just written (Parquet), so the text is scanned once either way and the
+    result is that of ``detect_format`` over every line.
+    """
+    with time_zone(spark, tz):
+        lines = files.spread(files.read_text(spark, path), spread_partitions)
+        auto = log_format in (None, "auto")
+        formats = detection_order() if auto else []
+        if auto:
+            row = detect_format(files.read_text(spark, path), guess_lines).first()
+            log_format = row["detected_format"] if row else DEFAULT_FORMAT
+        seen = Observation("lines")
+        counted = lines.observe(
+            seen, F.count(F.lit(1)).alias("rows"), *(F.count_if(matches(f, "value")).alias(f"m{i}") for i, f in enumerate(formats)))
+        files.write_parquet(to_bronze(counted, log_format), bronze_path)
+        if auto:
+            chosen = chosen_format(seen.get, formats)
+            if chosen != get_format(log_format).name:
+                log_format = chosen
+                aside = f"{bronze_path.rstrip('/')}_parsed"
+                files.write_parquet(to_bronze(files.read_parquet(spark, bronze_path).select("value"), chosen), aside)
+                files.replace_path(spark, aside, bronze_path)
+        return get_format(log_format).name, seen.get["rows"]
+
+
 def to_silver(bronze: DataFrame) -> DataFrame:
     """E1-E6 in one projection: types, extension/static flag, time parts.
 

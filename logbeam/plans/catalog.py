@@ -26,12 +26,12 @@ from ..functions.formats import (
     register_format,
     unregister_format,
 )
-from ..operators import gold, layers, questions
+from ..operators import gold, heavy, layers, questions, states
 from ..session import in_utc, temporary_path
 from ..sources import files
-from ..sources.fixture import lines_from_tables
+from ..sources.fixture import access_log_lines, lines_from_tables, read_events
 from ..streaming import traffic
-from . import medallion
+from . import daily, medallion
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,12 @@ HEADER_LINES = 20
 PRUNE_FROM, PRUNE_TO = "2024-01-10", "2024-01-12"
 ROUNDTRIP_FORMATS = ["csv", "json", "orc", "parquet"]
 STREAM_FILES = 6
+# Dates whose Silver is replaced by a second load.
+REPLACED = ("2024-01-05", "2024-01-20")
+PROBABILITIES = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+# Every 40th event comes late; the stream lands in so many parts by time.
+LATE_EVERY, LATE_REST, SLICES = 40, 5, 3
+WATERMARK = "1 hour"
 
 
 def render_ts(df: DataFrame, column: str = "parsed_timestamp") -> DataFrame:
@@ -124,7 +130,10 @@ def q_parse_nginx(spark, sf_dir):
 
 def q_parse_custom(spark, sf_dir):
     register_format(REQUEST_LINE, detectable=False)
-    return bronze(spark, sf_dir, "combined", REQUEST_LINE.name)
+    try:
+        return bronze(spark, sf_dir, "combined", REQUEST_LINE.name)
+    finally:
+        unregister_format(REQUEST_LINE.name)
 
 
 def q_detect_format(spark, sf_dir):
@@ -277,6 +286,116 @@ def q_windowed_traffic_stream(spark, sf_dir):
     return traffic.read_windowed_traffic(spark, out)
 
 
+# ------------------------------------------------------------- phase 9: states by date
+def stored_silver(spark, sf_dir) -> str:
+    path = temporary_path(spark, "silver-by-date")
+    files.write_silver(silver(spark, sf_dir), path)
+    return path
+
+
+def daily_states(spark, sf_dir) -> daily.DailyStates:
+    return daily.DailyStates(spark, stored_silver(spark, sf_dir), temporary_path(spark, "states"))
+
+
+def q_gold_by_date(spark, sf_dir):
+    """Every Gold table, with the states of every second date stored."""
+    kept = daily_states(spark, sf_dir)
+    half = sorted(daily.silver_dates(spark, kept.silver_path))[::2]
+    for state in ("client_days", "endpoint_days", "error_days", "hour_days", "weekday_days", "size_days"):
+        kept.refresh(state, half)
+    return tagged_union({name: kept.answer(name) for name in GOLD_SHAPES})
+
+
+def q_size_quantiles_by_sketch(spark, sf_dir):
+    """Stored size sketches, merged, against the exact counts."""
+    kept = daily_states(spark, sf_dir)
+    kept.refresh("sketch_days")
+    guess = states.approximate_quantiles(kept.table("sketch_days"), PROBABILITIES)
+    off = states.rank_errors(guess, gold.sizes(files.read_silver(spark, kept.silver_path)))
+    return off.select("probability", "values", (F.col("rank_error") <= states.KLL_ERROR).alias("within"))
+
+
+def q_size_stats_by_sketch(spark, sf_dir):
+    """The stored sketches' size statistics: the exact ones as they are."""
+    kept = daily_states(spark, sf_dir)
+    kept.refresh("sketch_days")
+    return kept.answer("approximate_size_stats").select(
+        "total_bytes", "max_bytes", "min_bytes", "avg_bytes", F.col("median_bytes").between(F.col("min_bytes"), F.col("max_bytes")).alias("median_inside"))
+
+
+def q_summary_by_sketch(spark, sf_dir):
+    """The summary from stored sketches; visitors checked against the exact count."""
+    kept = daily_states(spark, sf_dir)
+    kept.refresh("sketch_days")
+    exact = questions.distinct_ips(files.read_silver(spark, kept.silver_path)).scalar()
+    close = F.abs(F.col("unique_visitors") - exact) <= exact * states.HLL_ERROR
+    return kept.answer("approximate_summary").withColumn("visitors_close", close).drop("unique_visitors")
+
+
+def q_silver_dates_replaced(spark, sf_dir):
+    """A second load replaces two dates; the others stay."""
+    path = stored_silver(spark, sf_dir)
+    again = silver(spark, sf_dir).where(F.col("date").isin(*REPLACED) & (F.col("status_int") < 400))
+    files.write_silver(again, path, dynamic_overwrite=True)
+    return files.read_silver(spark, path).groupBy("date", "status_int").agg(
+        F.count(F.lit(1)).alias("requests"), F.sum("bytes_sent_int").alias("total_bytes"))
+
+
+def _pruned_top(key: str, where: str = "true") -> Query:
+    def build(spark, sf_dir):
+        stored = files.read_silver(spark, stored_silver(spark, sf_dir)).where(where)
+        sums = [F.sum("bytes_sent_int").alias("total_bytes"), F.sum((F.col("status_int") >= 400).cast("int")).alias("errors")]
+        return heavy.top(stored, key, gold.TOP_N, sums)
+
+    return build
+
+
+def _land(spark, events: DataFrame, folder: str, name: str) -> None:
+    files.write(access_log_lines(events, "combined"), f"{folder}/{name}", "text")
+
+
+def _slices(spark, events: DataFrame) -> list[DataFrame]:
+    """The events in ``SLICES`` parts by time, one after the other."""
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:
+        return [events]
+    cuts = [first + (last - first) * i / SLICES for i in range(1, SLICES)]
+    place = F.lit(0)
+    for cut in cuts:
+        place = place + (F.col("ts") >= F.lit(cut).cast("timestamp_ntz")).cast("int")
+    return [events.where(place == i) for i in range(SLICES)]
+
+
+def q_final_windows_stream(spark, sf_dir):
+    """Windows emitted once, over runs that go on from one checkpoint, the
+    last of which brings rows that are late for most windows."""
+    events = read_events(spark, sf_dir)
+    late = F.pmod("event_id", F.lit(LATE_EVERY)) == LATE_REST
+    src, out, ckpt = (temporary_path(spark, f"final-{n}") for n in ("in", "out", "ckpt"))
+    runs = []
+    for i, part in enumerate([*_slices(spark, events.where(~late)), events.where(late)]):
+        _land(spark, part, src, f"part-{i}")
+        runs.append(traffic.stream_final_windows(spark, f"{src}/*", out, ckpt, APACHE_COMBINED, watermark=WATERMARK))
+    final, still = traffic.final_windows(spark, out), traffic.open_windows(spark, ckpt)
+    both = final.withColumn("final", F.lit(True)).unionAll(still.withColumn("final", F.lit(False)))
+    return both.withColumn("late_rows", traffic.late_rows(runs, final, still).scalar())
+
+
+def q_threshold_windows_stream(spark, sf_dir):
+    """Alerts decided on finished windows; a last line of a later hour closes
+    the windows before it."""
+    events = read_events(spark, sf_dir)
+    src, out, ckpt = (temporary_path(spark, f"alerts-{n}") for n in ("in", "out", "ckpt"))
+    later = events.agg(F.max("ts").alias("ts")).select(
+        F.lit(0).cast("bigint").alias("event_id"), (F.col("ts") + F.expr("INTERVAL 3 HOURS")).alias("ts"), F.lit(0).cast("bigint").alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(0.0).alias("value"))
+    for i, part in enumerate([*_slices(spark, events), later]):
+        _land(spark, part, src, f"part-{i}")
+        traffic.stream_final_windows(
+            spark, f"{src}/*", out, ckpt, APACHE_COMBINED, watermark=WATERMARK, threshold=traffic.ERROR_THRESHOLD)
+    return traffic.final_windows(spark, out)
+
+
 def queries() -> dict[str, Query]:
     found = {
         # phase 1-2: parse + Silver
@@ -333,5 +452,15 @@ def queries() -> dict[str, Query]:
         "windowed_traffic": _on_silver(traffic.windowed_traffic),
         "error_threshold_windows": _on_silver(traffic.error_threshold_windows),
         "windowed_traffic_stream": q_windowed_traffic_stream,
+        # phase 9: states by date, sketches, heavy keys, windows emitted once
+        "gold_by_date": q_gold_by_date,
+        "size_quantiles_by_sketch": q_size_quantiles_by_sketch,
+        "size_stats_by_sketch": q_size_stats_by_sketch,
+        "summary_by_sketch": q_summary_by_sketch,
+        "silver_dates_replaced": q_silver_dates_replaced,
+        "heavy_top_ips": _pruned_top("ip"),
+        "heavy_top_endpoints": _pruned_top("url", "not is_static_asset"),
+        "final_windows_stream": q_final_windows_stream,
+        "threshold_windows_stream": q_threshold_windows_stream,
     }
     return {name: in_utc(build) for name, build in found.items()}

@@ -19,6 +19,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.formats import DEFAULT_FORMAT
 from ..operators import gold, layers
 from ..session import UTC, time_zone
 from ..sources import files
@@ -135,9 +136,10 @@ def run_medallion(spark: SparkSession, input_path: str, output_path: str, log_fo
     paths = layer_paths(output_path)
     try:
         with time_zone(spark, tz):
-            bronze = layers.extract_logs(spark, input_path, log_format, sample_size, spread_partitions, tz=None)
-            bronze_obs = Observation("bronze")
-            files.write_parquet(bronze.observe(bronze_obs, F.count(F.lit(1)).alias("rows")), paths["bronze"])
+            if sample_size and log_format in (None, "auto"):
+                row = layers.detect_format(files.read_text(spark, input_path), sample_size).first()
+                log_format = row["detected_format"] if row else DEFAULT_FORMAT
+            _, bronze_rows = layers.write_bronze(spark, input_path, paths["bronze"], log_format, spread_partitions, tz=None)
 
             silver = layers.to_silver(files.read_parquet(spark, paths["bronze"]))
             silver_obs = Observation("silver")
@@ -160,7 +162,7 @@ def run_medallion(spark: SparkSession, input_path: str, output_path: str, log_fo
             "db_available": available,
             "db_save_attempted": available,
             "db_failures": failures,
-            "rows": {"bronze": bronze_obs.get["rows"], "silver": silver_obs.get["rows"]},
+            "rows": {"bronze": bronze_rows, "silver": silver_obs.get["rows"]},
             "metrics": metrics,
         }
     except Exception as exc:  # noqa: BLE001 - reported to the caller, by contract

@@ -229,6 +229,28 @@ def _tagged() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _final_windows() -> str:
+    """On-time rows and those late rows whose window is still open; the
+    watermark is the latest time less an hour, of the on-time rows while the
+    late ones come, of all rows in the end."""
+    bucket = "time_bucket(INTERVAL '60 minutes', parsed_timestamp, TIMESTAMP '1970-01-01 00:00:00')"
+    ctes = []
+    for name, where in (("ontime", "event_id % 40 <> 5"), ("late", "event_id % 40 = 5")):
+        ctes += [f"{name}_lines AS ({lines_sql()} WHERE {where})", f"{name}_bronze AS ({bronze_sql(COMBINED, f'{name}_lines')})",
+                 f"{name} AS ({silver_sql(f'{name}_bronze')})"]
+    ctes += [
+        "held AS (SELECT max(parsed_timestamp) - INTERVAL 1 HOUR AS t FROM ontime)",
+        "reached AS (SELECT max(parsed_timestamp) - INTERVAL 1 HOUR AS t FROM (SELECT * FROM ontime UNION ALL SELECT * FROM late))",
+        f"taken AS (SELECT late.* FROM late, held WHERE {bucket} + INTERVAL 60 MINUTES > held.t)",
+        "silver AS (SELECT * FROM ontime UNION ALL SELECT * FROM taken)",
+        "lost AS (SELECT (SELECT count(parsed_timestamp) FROM late) - (SELECT count(*) FROM taken) AS n)",
+        f"windows AS ({_window_sql(60)})",
+    ]
+    return (
+        "WITH " + ",\n".join(ctes) + "\nSELECT windows.*, CAST(window_end AS TIMESTAMP) <= reached.t AS final, lost.n AS late_rows "
+        "FROM windows, reached, lost")
+
+
 def _top(key: str, limit: int, name: str = "count", where: str = "") -> str:
     return f"SELECT {key}, count(*) AS {name} FROM silver {where} GROUP BY {key} ORDER BY {name} DESC, {key} LIMIT {limit}"
 
@@ -337,5 +359,29 @@ def oracle_sql() -> dict[str, str]:
         "windowed_traffic": L(window),
         "error_threshold_windows": L(f"SELECT * FROM ({window}) WHERE error_ratio > 0.05"),
         "windowed_traffic_stream": L(window),
+        "gold_by_date": L(_tagged()),
+        "size_quantiles_by_sketch": L(
+            "SELECT CAST(p AS DOUBLE) AS probability, v AS \"values\", true AS \"within\" FROM "
+            f"(SELECT unnest([0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99]) AS p), (SELECT count({SIZE}) AS v FROM silver)"
+        ),
+        "size_stats_by_sketch": L(
+            f"SELECT CAST(sum({SIZE}) AS BIGINT) AS total_bytes, max({SIZE}) AS max_bytes, min({SIZE}) AS min_bytes, "
+            f"avg({SIZE}) AS avg_bytes, quantile_cont({SIZE}, 0.5) BETWEEN min({SIZE}) AND max({SIZE}) AS median_inside FROM silver"
+        ),
+        "summary_by_sketch": L(f"SELECT * EXCLUDE (unique_visitors), true AS visitors_close FROM ({SUMMARY})"),
+        "silver_dates_replaced": L(
+            "SELECT date, status_int, count(*) AS requests, CAST(sum(bytes_sent_int) AS BIGINT) AS total_bytes FROM silver "
+            "WHERE date IS NULL OR date NOT IN ('2024-01-05', '2024-01-20') OR status_int < 400 GROUP BY date, status_int"
+        ),
+        "heavy_top_ips": L(
+            f"SELECT ip, count(*) AS requests, CAST(sum(bytes_sent_int) AS BIGINT) AS total_bytes, {SUM_ERR} AS errors "
+            "FROM silver GROUP BY ip ORDER BY requests DESC, ip LIMIT 10"
+        ),
+        "heavy_top_endpoints": L(
+            f"SELECT url, count(*) AS requests, CAST(sum(bytes_sent_int) AS BIGINT) AS total_bytes, {SUM_ERR} AS errors "
+            "FROM silver WHERE NOT is_static_asset GROUP BY url ORDER BY requests DESC, url LIMIT 10"
+        ),
+        "final_windows_stream": _final_windows(),
+        "threshold_windows_stream": L(f"SELECT * FROM ({window}) WHERE error_ratio > 0.05"),
     }
     return out

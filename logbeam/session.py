@@ -40,6 +40,19 @@ def time_zone(spark: SparkSession, tz: str | None = UTC) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for what is started in the scope, then as before."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def in_utc(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """A query function whose plan is built in UTC."""
 

@@ -43,6 +43,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, as a marker."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(path))
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hpath, True).close()
+
+
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Deal unsplittable input (a few large .gz files) to ``partitions`` tasks
     before the CPU-heavy parse.  Off unless the caller asks for it: splittable
@@ -96,10 +102,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(str(path))
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
+def read_silver(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Silver read-back with ``date`` kept as STRING (partition discovery would
-    infer DATE and put NULL dates under the Hive default partition)."""
-    df = spark.read.option("basePath", str(path)).parquet(str(path))
+    infer DATE and put NULL dates under the Hive default partition).  With a
+    ``schema`` a table without rows, and so without files, can be read too."""
+    reader = spark.read.option("basePath", str(path))
+    df = (reader.schema(schema) if schema is not None else reader).parquet(str(path))
     if SILVER_PARTITION in df.columns:
         df = df.withColumn(SILVER_PARTITION, F.col(SILVER_PARTITION).cast("string"))
     return df

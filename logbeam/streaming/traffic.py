@@ -15,13 +15,19 @@ from pyspark.sql import functions as F
 from ..functions import enrich
 from ..functions.formats import DEFAULT_FORMAT, LogFormat
 from ..operators.layers import to_bronze, to_silver
-from ..session import UTC, time_zone
+from ..session import UTC, settings, time_zone
 from ..sources import files
 
 # Analysis defaults (window length and error-ratio threshold).
 WINDOW_MINUTES = 60
 ERROR_THRESHOLD = 0.05
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# A state store on the executors' disks: state larger than their memory, and
+# only changes are written to the checkpoint.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _window_aggs() -> list:
@@ -179,3 +185,91 @@ def compact_windowed_traffic(spark: SparkSession, output_path: str) -> None:
     for path in batches:
         if not path.endswith(f"/batch_id={last}"):
             files.delete_path(spark, path)
+
+
+# ------------------------------------------------------- windows emitted once
+class FinalWindows:
+    """A running query that emits each window once, when it is final."""
+
+    def __init__(self) -> None:
+        self.query = None
+        self._seen: dict[int, int] = {}
+
+    def note(self) -> None:
+        """Take in the progress reports so far (see ``WindowStream.note``)."""
+        for p in self.query.recentProgress if self.query is not None else ():
+            metrics = p["observedMetrics"]
+            if "timed" in metrics:
+                self._seen[p["batchId"]] = metrics["timed"]["rows"] or 0
+
+    def timed_rows(self) -> int:
+        """Rows with a timestamp that this run has read."""
+        self.note()
+        return sum(self._seen.values())
+
+
+def stream_final_windows(spark: SparkSession, input_dir: str, output_path: str, checkpoint: str,
+                         log_format: str | LogFormat = DEFAULT_FORMAT, minutes: int = WINDOW_MINUTES,
+                         watermark: str = "1 hour", threshold: float | None = None,
+                         max_files_per_trigger: int | None = None, wait: bool = True, tz: str | None = UTC) -> FinalWindows:
+    """D1 in append mode: a window is emitted once, when the watermark (the
+    latest timestamp less ``watermark``) has passed its end, and its state is
+    let go; the state is the open windows only, kept in RocksDB.  Rows whose
+    window is closed already are late and are in no window (``late_rows``).
+    With ``threshold`` only windows whose error ratio exceeds it are emitted
+    (D2): decided on finished windows, so an alert is never taken back.
+
+    Processes the files present, then stops; the next run with the same
+    checkpoint goes on from there.  Batches overwrite their own folder, so a
+    retried batch emits nothing twice.
+    """
+    out = FinalWindows()
+    with time_zone(spark, tz), settings(spark, ROCKSDB):
+        lines = files.read_text(spark, input_dir, streaming=True, max_files_per_trigger=max_files_per_trigger)
+        silver = to_silver(to_bronze(lines, log_format)).where(F.col("parsed_timestamp").isNotNull())
+        timed = silver.observe("timed", F.count(F.lit(1)).alias("rows")).withWatermark("parsed_timestamp", watermark)
+        w = F.window("parsed_timestamp", f"{minutes} minutes").alias("w")
+        agg = timed.groupBy(w).agg(*_window_aggs()).select("w.start", "w.end", "requests", "errors", "total_bytes")
+        if threshold is not None:
+            agg = agg.where(F.col("errors") / F.col("requests") > F.lit(threshold))
+
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            out.note()
+            batch.write.mode("overwrite").parquet(f"{output_path.rstrip('/')}/batch_id={batch_id}")
+
+        out.query = (
+            agg.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+    if wait:
+        out.query.awaitTermination()
+        out.note()
+    return out
+
+
+WINDOW_STATE = "struct<requests:bigint,errors:bigint,total_bytes:bigint>"
+
+
+def final_windows(spark: SparkSession, output_path: str, tz: str | None = UTC) -> DataFrame:
+    """The windows emitted so far, as ``windowed_traffic`` returns them."""
+    with time_zone(spark, tz):
+        emitted = spark.read.parquet(output_path)
+        return _window_select(emitted.withColumn("w", F.struct("start", "end"))).orderBy("window_start")
+
+
+def open_windows(spark: SparkSession, checkpoint: str, tz: str | None = UTC) -> DataFrame:
+    """The windows a stopped stream still holds in its state, with what they
+    have counted so far (not final), read from the state store."""
+    with time_zone(spark, tz):
+        state = spark.read.format("statestore").load(checkpoint)
+        held = state.select(F.col("key.*"), F.col("value").cast(WINDOW_STATE).alias("v"))
+        return _window_select(held.select(F.col(held.columns[0]).alias("w"), "v.*")).orderBy("window_start")
+
+
+def late_rows(runs: list[FinalWindows], final: DataFrame, still_open: DataFrame) -> DataFrame:
+    """One row ``late_rows``: what the runs of a stream read less what its
+    windows count.  (The watermark's own metric counts groups of a partial
+    aggregate, not rows.)"""
+    counted = final.select("requests").unionAll(still_open.select("requests"))
+    seen = sum(r.timed_rows() for r in runs)
+    return counted.agg((F.lit(seen).cast("bigint") - F.coalesce(F.sum("requests"), F.lit(0))).alias("late_rows"))

@@ -21,7 +21,8 @@ BOUNDED_JOINS = {"client_errors_all_weekdays", "size_histogram", "size_stats", "
 # Queries that write first (their plan, or part of it, is a scan of what was written).
 SINK_BACKED = {"src_text", "bronze_roundtrip", "append_roundtrip", "silver_partition_pruned", "medallion_gold", "layer_counts",
                "stream_silver", "windowed_traffic_stream", "src_formats_roundtrip", "top_ips_from_gold", "top_ips_beyond_gold",
-               "metric_from_gold"}
+               "metric_from_gold", "gold_by_date", "size_quantiles_by_sketch", "size_stats_by_sketch", "summary_by_sketch",
+               "silver_dates_replaced", "heavy_top_ips", "heavy_top_endpoints", "final_windows_stream", "threshold_windows_stream"}
 
 
 def plan_of(df) -> str:
