@@ -32,6 +32,7 @@ nothing and adds nothing.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,6 +84,15 @@ EM_ROUNDS, FIT_ROUNDS, RATE = 40, 400, 0.5
 ACCEPT = 0.5
 
 
+#: Matches of a text that are walked together.
+SHARE = 128
+
+
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def located(text: Column, kind: str) -> Column:
     """array<struct<start, end, found>> of a kind's matches in order."""
     pattern = F.lit(PATTERNS[kind])
@@ -97,7 +107,19 @@ def located(text: Column, kind: str) -> Column:
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
             start.alias("start"), end.alias("end"), x["m"].alias("found")))).alias("out"))
 
-    walked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]
+    def walk(share: Column, at: Column) -> Column:
+        return F.aggregate(share, F.struct(at.alias("at"), none.alias("out")), step)["out"]
+
+    def total(values: Column, of: Callable[[Column], Column]) -> Column:
+        return F.aggregate(values, F.lit(0), lambda acc, x: acc + of(x))
+
+    # each step of an aggregate copies what it has gathered, so matches are
+    # walked in shares, each from the sum of the lengths before it
+    last = F.greatest(F.floor((F.size(found) - 1) / SHARE), F.lit(0)).cast("int")
+    shares = _with(pairs, lambda all_: F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(all_, k * SHARE + 1, SHARE)))
+    walked = _with(shares, lambda parts: _with(
+        F.transform(parts, lambda part: total(part, lambda x: x["gap"] + F.length(x["m"]))),
+        lambda sums: F.flatten(F.transform(parts, lambda part, k: walk(part, total(F.slice(sums, 1, k), lambda x: x))))))
     return F.when(text.rlike(NEEDS[kind]), walked).otherwise(none)
 
 

@@ -103,3 +103,17 @@ def test_edges(docs):
 def test_plan_is_native(docs):
     plan = op3.candidates(docs(["a@b.co"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_matches_of_one_text(spark):
+    """Matches cost a share of their number each, not all before them."""
+    import time
+
+    n = 20_000
+    df = spark.createDataFrame([(" ".join(f"m{i}@x.org" for i in range(n)),)], "text string")
+    t0 = time.time()
+    (row,) = df.select(op3.located(df.text, "email").alias("s")).collect()
+    assert len(row.s) == n and (row.s[0].start, row.s[0].found) == (0, "m0@x.org")
+    ends = [s.end for s in row.s]
+    assert all(s.start == e + 1 for s, e in zip(row.s[1:], ends)) and row.s[n - 1].found == f"m{n - 1}@x.org"
+    assert time.time() - t0 < 10
