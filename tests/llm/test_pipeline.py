@@ -54,7 +54,7 @@ def test_lines(stages):
 
 def test_near_duplicates(stages):
     before, after = stages[0][2], stages[0][3]
-    want = components([(d, r.text) for d, r in before.items()], 5, 80)
+    want = components([(d, r.text) for d, r in before.items()], 2, 80)
     assert set(after) == {d for d, (_, c) in want.items() if d == c}
     assert all(after[d] == before[d] for d in after)
 
