@@ -5,6 +5,15 @@ and returns a DataFrame, which ``run`` writes as Parquet in the shared folder
 (deleted when the driver ends) and rereads as the next stage's ``docs``.  All but the last return the columns
 of ``documents``; the last adds what the mix takes of each document.
 
+Edge cases, stage by stage: a null or empty text is scored like any other by the
+quality stage, goes in line dedup as a document left empty (a document that was
+empty before stays as it is there), is near to nothing, holds no benchmark item
+and takes no words of the mix; very long texts are worked on whole; of rows that
+tie (equal lines, equal sets) the least doc_id stays; rows with a null doc_id stay
+in the stages that name documents by their id; repeated rows of one doc_id go or
+stay together; an empty table passes through; columns beyond those of
+``documents`` are kept by the first four stages, whatever their names.
+
 ``ORACLE_SQL`` is None: a trained classifier cannot be written as SQL.  The
 tests compare every stage with brute force on a small table.
 """
@@ -31,8 +40,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return op8_minhash.keep_one(docs)
+    """One document of each group of near duplicates stays: operator 8 with the
+    shingles and the similarity of its contract (two words, 0.8)."""
+    return op8_minhash.keep_one(docs, shingle_words=2, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
