@@ -29,7 +29,9 @@ Pages never meet in one task: shapes and blocks are reduced to counts by
 partial aggregation, the matching runs once per distinct (host, shape), and
 its verdict goes back to the pages by id.
 
-Edge cases: null or empty html gives an empty text; a url that is null or has
+Edge cases: null or empty html gives an empty text; very long pages and deep
+trees are read whole; of shapes with as many pages the greater text is the wrapper;
+an empty table gives no rows; a url that is null or has
 no host belongs to the host ``""``; repeated rows are repeated in the result; a
 null page_id is kept; malformed mark-up is read as far as it goes; other
 columns are ignored, whatever their names.

@@ -19,7 +19,10 @@ source and doc_id are never inputs of a score.
 Edge cases: a null or empty text has the zero vector and a score like any
 other text; a null doc_id is scored, is not held out and never trains;
 labels that are null or not 0/1 do not train; rows that repeat an id in
-``labels`` count by their highest label; without labels of both kinds every
+``labels`` count by their highest label; repeated rows of ``docs`` count again
+in the corpus sums and are scored alike; ties in the choice of training rows go
+by doc_id; a very long text is pooled whole, a slice at a time; an empty table
+gives no scores; without labels of both kinds every
 score is the share of label 1 (0.5 without any); other columns are ignored by
 ``scores`` and kept by ``keep_good``.
 """

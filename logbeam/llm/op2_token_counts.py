@@ -20,8 +20,10 @@ parameter, it is read by the driver and broadcast (under a megabyte).
 
 Edge cases: a null field counts as empty; an empty document has one section
 per field with no tokens; the texts of special tokens are ordinary text;
-repeated rows are repeated in the result; a null doc_id is kept; other columns
-are ignored, whatever their names.
+repeated rows are repeated in the result; a null doc_id is kept; a very long
+text is encoded whole; of sections that hold as much of a token the earlier one
+has it; an empty table gives no rows; other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations

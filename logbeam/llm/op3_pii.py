@@ -26,7 +26,9 @@ Edge cases: a null text counts as empty; documents without spans have empty
 lists (and the digest of the empty string); repeated rows are repeated; a null
 doc_id is kept; other columns are ignored, whatever their names; a candidate
 that overlaps a base span is dropped; a table without candidates trains
-nothing and adds nothing.
+nothing and adds nothing; very long texts are searched whole, at a cost in
+proportion to their length and matches; spans of one place are told apart by
+their kind; an empty table gives no rows.
 """
 
 from __future__ import annotations

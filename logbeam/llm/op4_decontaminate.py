@@ -25,7 +25,8 @@ The benchmark side is broadcast while its seeds are within ``MAX_SEEDS``
 (their number is counted first); beyond that both sides' seeds meet in a
 shuffle join with the same result.
 
-Edge cases: null, empty or word-less texts and items match nothing; a null
+Edge cases: null, empty or word-less texts and items match nothing; very long
+texts are searched whole; an empty table or benchmark gives no reports; a null
 ``doc_id`` is reported as null, a null ``item_id`` likewise; repeated rows give
 repeated reports; of equal hits of one item in one document the longest run,
 then the earliest, is reported; other columns of the input are ignored by

@@ -21,7 +21,8 @@ documents; documents meet only in shards of about ``shard_words`` words.
 Edge cases: a null or empty text has size 0 and nothing is taken of it; a
 null source is a source of its own, last in order; repeated rows count
 each on their own; an empty table gives an empty result; a null doc_id is
-hashed like a value; input columns named like the added ones are replaced.
+hashed like a value; a very long text is cut into blocks like any other; ties in
+the seeded order go by doc_id and size; input columns named like the added ones are replaced.
 """
 
 from __future__ import annotations

@@ -20,7 +20,9 @@ expands into pairs.
 
 Edge cases: blank lines and null or empty texts are never touched; rows with
 a null doc_id are neither compared nor changed; rows that repeat a doc_id
-share the fate of their lines; a document whose last line goes is dropped by
+share the fate of their lines; of equal or near lines the one with the least
+doc_id, then place, stays; very long texts and lines are worked on whole; an
+empty table gives an empty one; a document whose last line goes is dropped by
 ``dedup_lines`` and reported with nothing kept by ``line_report``; other
 columns are kept as they are, whatever their names.
 """

@@ -9,7 +9,9 @@ verifies every candidate on the full shingle sets and links components.
 
 Edge cases: null, empty or white-space texts have an empty set and link with
 nothing; a text shorter than a shingle is one shingle; equal sets are linked
-by their digest; a null ``doc_id`` links with nothing and its component is
+by their digest; a very long text is hashed whole, in blocks; ties among hubs go
+by a hash of the id, with the same components; an empty table gives no rows; a
+null ``doc_id`` links with nothing and its component is
 null; rows that repeat a ``doc_id`` are treated as further rows of that
 document; other columns of the input are ignored, whatever their names.
 """

@@ -20,7 +20,8 @@ on the full shingle sets (``near.py``).
 Edge cases: a null text counts as empty; texts without a word share the
 fingerprint of the empty set, likeness 1 to each other; a text of fewer than
 five words is one shingle; rows that repeat a doc_id follow each other in text
-order; rows with a null doc_id come last; a single row is its own next; other
+order, so ties have one order; rows with a null doc_id come last; a single row is
+its own next; very long texts are hashed whole; an empty table gives no rows; other
 columns of the input are ignored, whatever their names.
 """
 

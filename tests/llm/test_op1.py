@@ -70,3 +70,47 @@ def test_random_vectors_and_tokens():
     text, shape, rows = op1.items(*words.column_bytes(pa.array(["Abc abc!! 12", None, "ABC"])), 0, 3)
     assert rows.tolist() == [0, 4, 4, 5]
     assert text[0] == text[1] == text[4] and len(set(shape[[0, 1, 4]])) == 3
+
+
+def brute_vectors(texts):
+    """Word vectors and pooled features token by token."""
+    import pyarrow as pa
+
+    from logbeam.llm import words
+
+    places, signs = op1.random_vectors()
+    index = np.zeros((op1.VOCABULARY, op1.DIM))
+    for b in range(op1.VOCABULARY):
+        index[b, places[b]] = signs[b]
+    tokens = []
+    for t in texts:
+        text, shape, _ = op1.items(*words.column_bytes(pa.array([t], pa.string())), 0, 1)
+        tokens.append(list(zip(text.tolist(), shape.tolist())))
+    sums = np.zeros((op1.VOCABULARY, op1.DIM))
+    for row in tokens:
+        for p, own in enumerate(row):
+            for q in range(max(0, p - op1.WINDOW), min(len(row), p + op1.WINDOW + 1)):
+                if p != q:
+                    for a in own:
+                        for b in row[q]:
+                            sums[a] += index[b]
+    vectors = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    rows = []
+    for t, row in zip(texts, tokens):
+        n = max(1, len(row))
+        means = [sum((vectors[x[k]] for x in row), np.zeros(op1.DIM)) / n for k in (0, 1)]
+        plain = [np.log1p(len(row)), len({x[0] for x in row}) / n**0.9, len((t or "").encode()) / n / 8]
+        rows.append(np.concatenate([*means, plain]))
+    return vectors, np.array(rows)
+
+
+def test_vectors_and_pooling_against_brute_force(docs):
+    import pyarrow as pa
+
+    from logbeam.llm import words
+
+    texts = ["Fine words, here and THERE!", None, "", "a", "été 12 12 12 -- x", "Fine fine FINE fIne words " * 9, "\n\t "]
+    vectors, rows = brute_vectors(texts)
+    got = op1.word_vectors(docs(texts).repartition(3))
+    assert np.allclose(got, vectors, atol=1e-5)
+    assert np.allclose(op1.pooled(*words.column_bytes(pa.array(texts, pa.string())), vectors.astype(np.float32)), rows, atol=1e-4)
