@@ -6,16 +6,20 @@ band keys; this module turns them into verified links and components:
 * documents with one set digest form a class, known by its smallest id, and
   only classes meet in bands, so copies never pair with each other;
 * in a band bucket every class is compared with one hub (linear in the
-  bucket's size), the class that meets most others in all its buckets, as the
-  original of a group of copies does; the links are contracted;
-* what then still lies in different components is settled exactly without
-  pairing the bucket.  For any hub h, |x & y| is at most min(|x & h|, |y & h|)
-  plus what x and y share outside h.  So a similar pair either has its whole
-  overlap possible inside h ("core" pairs, listed by the sizes), or shares
-  shingles outside h, at least as many as x lacks inside: it meets on one of
-  the rarest of those (prefix filtering, rarity counted among the classes
-  under h).  Only pairs that meet this way and lie in different components
-  are compared.
+  bucket's size), the class that meets most others in all its buckets; the
+  links are contracted, and each class keeps its difference from the hub;
+* what then still lies in different components is settled exactly from the
+  differences, without pairing the bucket.  The shingles that most classes
+  under a hub differ in are moved over to it, which gives their consensus, as
+  good as the original of a group of copies.  With d the number of shingles in
+  which a class of size n differs from the consensus, two classes are similar
+  if and only if E(x) + E(y) <= 2 (100 + percent) * (differences in common),
+  where E = (100 + percent) d - (100 - percent) n.  So all classes with
+  E(x) + E(least) <= 0 are linked with the least one by their sizes alone.  A
+  class beyond that must share differences, as many as the sum of both E says:
+  partners meet on the rarest of the differences the far classes have (prefix
+  filtering, in ``LEVELS`` levels of E, as a partner of a farther class must
+  share more), and only pairs that meet are compared.
 """
 
 from __future__ import annotations
@@ -29,11 +33,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words
-from .common import arrow_map, saved, small
+from .common import SMALL_ROWS, arrow_map, saved, small, written
 
 #: Labels are propagated this often before the remaining pairs are listed;
 #: any number gives the same result, more rounds leave fewer pairs.
 CONTRACT_ROUNDS = 2
+#: Members of a hub compared in one task.
+HUB_SHARE = 512
+#: Levels of far classes under a hub; any number gives the same links.
+LEVELS = 4
 
 
 def shingle_set(text: str | None, k: int, lower: bool) -> np.ndarray:
@@ -44,34 +52,26 @@ def shingle_set(text: str | None, k: int, lower: bool) -> np.ndarray:
 
 
 def _compare(batches: Iterator[pa.RecordBatch], k: int, lower: bool, percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows (hub, b, least size under the hub, hub's text, b's text), sorted
-    by hub, to (hub, b, linked, n, inside, short, outside).
-
-    ``inside``: b's shingles in the hub; ``outside``: b's other shingles, and
-    ``short``: how many of them any similar partner of b must share at least.
-    With ``short`` <= 0 the overlap with a partner of the least possible size
-    could lie inside the hub.
-    """
-    hub, hub_set = None, None
+    """Rows (hub, salt, b, text), a hub's own text (b null) before its members',
+    to (hub, b, linked, n, diff): b's number of shingles and the shingles that
+    only one of the two has."""
+    hub_set = None
     for batch in batches:
-        linked = np.zeros(batch.num_rows, bool)
-        sizes, inside, short, outside = [], [], [], []
-        for i, (a, least) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-            if hub_set is None or a != hub:
-                hub, hub_set = a, shingle_set(batch.column(3)[i].as_py(), k, lower)
-            own = shingle_set(batch.column(4)[i].as_py(), k, lower)
-            rest = np.setdiff1d(own, hub_set, assume_unique=True)
-            n, both = len(own), len(own) - len(rest)
-            linked[i] = both > 0 and (100 + percent) * both >= percent * (n + len(hub_set))
-            partner = max(least, -(-percent * n // 100))
-            short.append(-(-percent * (n + partner) // (100 + percent)) - both)
-            sizes.append(n)
-            inside.append(both)
-            outside.append(rest.view(np.int64))
+        linked, sizes, diffs, member = [], [], [], []
+        for i, b in enumerate(batch.column(2).to_pylist()):
+            own = shingle_set(batch.column(3)[i].as_py(), k, lower)
+            if b is None:
+                hub_set = own
+                continue
+            diff = np.setxor1d(own, hub_set, assume_unique=True)
+            member.append(i)
+            linked.append((100 + percent) * len(diff) <= (100 - percent) * (len(own) + len(hub_set)))
+            sizes.append(len(own))
+            diffs.append(diff.view(np.int64))
+        at = pa.array(member, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(linked), pa.array(sizes, pa.int64()), pa.array(inside, pa.int64()),
-             pa.array(short, pa.int64()), _long_lists(outside)],
-            names=["a", "b", "linked", "n", "inside", "short", "outside"])
+            [batch.column(0).take(at), batch.column(2).take(at), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()), _long_lists(diffs)],
+            names=["a", "b", "linked", "n", "diff"])
 
 
 def _long_lists(rows: list[np.ndarray]) -> pa.ListArray:
@@ -81,13 +81,17 @@ def _long_lists(rows: list[np.ndarray]) -> pa.ListArray:
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: int) -> DataFrame:
-    """The pairs (a, b, least) compared on their full shingle sets."""
-    with_b = pairs.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
-    both = with_b.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
-    rows = both.select("a", "b", "least", "text_a", "text_b")
+    """The pairs (hub a, member b) compared on their full shingle sets.  A hub's
+    members are dealt over tasks by a salt, ``HUB_SHARE`` a task; its text goes
+    once to each."""
+    shares = saved(pairs.groupBy("a").agg(F.floor((F.count(F.lit(1)) - 1) / HUB_SHARE).cast("long").alias("last")))
+    members = pairs.join(small(shares), "a").select("a", F.pmod(F.xxhash64("b"), F.col("last") + 1).alias("salt"), "b")
+    members = members.join(texts.select(F.col("rep").alias("b"), "text"), "b").select("a", "salt", "b", "text")
+    hubs = shares.join(texts.select(F.col("rep").alias("a"), "text"), "a")
+    hubs = hubs.select("a", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("salt"), F.lit(None).cast("long").alias("b"), "text")
+    rows = hubs.union(members).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     return arrow_map(
-        rows, partial(_compare, k=k, lower=lower, percent=percent),
-        "a long, b long, linked boolean, n long, inside long, short long, outside array<long>")
+        rows, partial(_compare, k=k, lower=lower, percent=percent), "a long, b long, linked boolean, n long, diff array<long>")
 
 
 def _propagate(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -128,70 +132,97 @@ def linked_classes(classes: DataFrame, docs: DataFrame, k: int, lower: bool, per
     ``docs`` (doc_id, text) holds the representatives' texts.  The links span
     every component: each pair of classes that shares a band is verified,
     joined by verified links, or cannot be similar."""
-    members = classes.select("rep", "n", F.explode("bands").alias("key"))
+    members = classes.select("rep", F.explode("bands").alias("key"))
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = saved(members.join(sizes, "key"))
     popular = shared.groupBy("rep").agg(F.sum("size").alias("met"))
     hub = F.min(F.struct(-F.col("met"), F.xxhash64("rep"), "rep"))
     hubs = shared.join(popular, "rep").groupBy("key").agg(hub.alias("hub")).select("key", F.col("hub.rep").alias("a"))
-    tried = shared.join(hubs, "key").where("rep != a").select("a", F.col("rep").alias("b"), "n").distinct()
-    least = tried.groupBy("a").agg(F.min("n").alias("least"))
-    tried = saved(tried.drop("n").join(least, "a"))
+    tried = saved(shared.join(hubs, "key").where("rep != a").select("a", F.col("rep").alias("b")).distinct())
     wanted = saved(tried.select(F.col("a").alias("rep")).union(tried.select("b")).distinct())
-    texts = saved(
-        docs.select(F.col("doc_id").alias("rep"), "text").join(small(wanted), "rep", "left_semi").dropDuplicates(["rep"])
-    )
-    compared = saved(_compared(tried, texts, k, lower, percent))
+    texts = written(
+        docs.select(F.col("doc_id").alias("rep"), "text").join(small(wanted), "rep", "left_semi").dropDuplicates(["rep"]), "near-texts")
+    compared = written(_compared(tried, texts, k, lower, percent), "near-compared")
     links = compared.where("linked").select("a", "b")
+    return saved(links.union(_beside_hubs(compared, links, percent)))
 
+
+def _contracted(links: DataFrame) -> DataFrame:
+    """(id, label) after a few rounds: equal labels are in one component."""
     both = _both_ways(links)
     labels = _first_labels(both)
     for _ in range(CONTRACT_ROUNDS):
         labels = _propagate(labels, both).select("id", "label")
-    labels = saved(labels)
-
-    # classes under a hub that lie in different components, met inside or outside it
-    under = (
-        compared.join(labels.select(F.col("id").alias("b"), F.col("label").alias("label_b")), "b", "left")
-        .join(labels.select(F.col("id").alias("a"), F.col("label").alias("label_a")), "a", "left")
-        .select("a", "b", "n", "inside", "short", "outside",
-                F.coalesce("label_a", "a").alias("label_a"), F.coalesce("label_b", "b").alias("label"))
-    )
+    return saved(labels)
+
+
+def _labelled(rows: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """``rows`` with the label of the class in ``column``; its own without one."""
+    named = labels.select(F.col("id").alias(column), F.col("label").alias("known"))
+    return rows.join(named, column, "left").withColumn("label", F.coalesce("known", column)).drop("known")
+
+
+def _beside_hubs(compared: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes under one hub that the links with the hub
+    leave apart; ``compared``: (a, b, linked, n, diff)."""
+    more, less = 100 + percent, 100 - percent
+    named = _labelled(compared.select("a", "b"), _contracted(links), "b")
     open_hubs = (
-        under.groupBy("a").agg(F.count(F.lit(1)).alias("c"), F.max(F.col("label") != F.col("label_a")).alias("apart"))
-        .where("c > 1 and apart").select("a")
-    )
-    under = under.join(open_hubs, "a")
-    member = [F.col("b").alias("rep"), "label", "n"]
-    outside = under.select(*member, "short", "a", F.explode("outside").alias("met"))
-    often = outside.groupBy("a", "met").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    own = Window.partitionBy("a", "rep")
-    # a shingle that no other class under the hub has comes first in order and meets nobody
-    rarest = (
-        outside.join(often, ["a", "met"])
-        .withColumn("place", F.row_number().over(own.orderBy("times", "met"))).withColumn("shared", F.count(F.lit(1)).over(own))
-        .where("place <= shared - greatest(short, 1) + 1")
-        .select("rep", "label", "n", F.lit(None).cast("long").alias("inside"), "a", "met")
-    )
-    inside = under.where("short <= 0").select(*member, "inside", "a", F.lit(None).cast("long").alias("met"))
-    met = saved(rarest.union(inside).withColumn("key", F.xxhash64("a", "met")).drop("a", "met").distinct())
-    by_label = met.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
-    apart = (
-        by_label.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("size", "label")).alias("main"))
-        .where("labels > 1").select("key", "main")
+        named.groupBy("a").agg(F.count(F.lit(1)).alias("c"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("c > 1 and low != high").select("a", "c")
     )
-    met = met.join(apart, "key")
-    x = met.where("label != main").select("key", *(F.col(c).alias(f"{c}_x") for c in ("rep", "label", "n", "inside")))
-    y = met.select("key", "main", *(F.col(c).alias(f"{c}_y") for c in ("rep", "label", "n", "inside")))
-    possible = (100 + percent) * F.least("inside_x", "inside_y") >= percent * (F.col("n_x") + F.col("n_y"))
-    near_size = F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent
-    rest = (
-        x.join(y, "key").where("label_x != label_y and (label_y = main or rep_x < rep_y)")
-        .where(near_size & (F.col("inside_x").isNull() | F.col("inside_y").isNull() | possible))
-        .select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
+    open_hubs = small(saved(open_hubs))
+    under = compared.select("a", "b", "n", "diff").join(open_hubs, "a")
+
+    # the consensus: what more than half of the classes have or lack against the hub
+    often = under.select("a", "c", F.explode("diff").alias("t")).groupBy("a", "c", "t").agg(F.count(F.lit(1)).alias("m")).where("2 * m > c")
+    common = saved(often.groupBy("a").agg(F.collect_list("t").alias("common")))
+    if (common.agg(F.sum(F.size("common"))).first()[0] or 0) <= SMALL_ROWS:
+        common = F.broadcast(common)
+    moved = F.concat(F.array_except("diff", "common"), F.array_except("common", "diff"))
+    under = under.join(common, "a", "left").withColumn("diff", F.when(F.col("common").isNull(), F.col("diff")).otherwise(moved))
+    far = (F.size("diff") * more - F.col("n") * less).alias("e")
+    under = written(under.select("a", "b", "diff", far), "near-differences")
+    core = under.groupBy("a").agg(F.min(F.struct("e", "b")).alias("core"))
+    core = small(saved(core.select("a", F.col("core.e").alias("least"), F.col("core.b").alias("core"))))
+    under = under.join(core, "a")
+    by_size = saved(under.where("e + least <= 0 and b != core").select(F.col("core").alias("a"), "b"))
+
+    # what neither the hub nor the consensus links
+    labels = small(_contracted(links.union(by_size)))
+    main = labels.select(F.col("id").alias("core"), F.col("label").alias("main"))
+    under = _labelled(under, labels, "b").join(main, "core", "left").withColumn("main", F.coalesce("main", "core"))
+    apart = (F.col("label") != F.col("main")) & (F.col("e") + F.col("least") > 0)
+    under = under.select("a", "b", "diff", "e", "label", apart.alias("apart"))
+    pairs = _met(under, more)
+    ours, theirs = (
+        under.select("a", F.col("b").alias(name), F.col("e").alias(f"e_{name}"), F.col("diff").alias(f"diff_{name}")) for name in ("b", "x"))
+    both = pairs.join(ours, ["a", "b"]).join(theirs, ["a", "x"])
+    similar = F.col("e_b") + F.col("e_x") <= 2 * more * F.size(F.array_intersect("diff_b", "diff_x"))
+    return by_size.union(both.where(similar).select(F.col("x").alias("a"), "b"))
+
+
+def _met(under: DataFrame, more: int) -> DataFrame:
+    """Pairs (a, x, b) of a class x apart from its hub's main component and a
+    class b that may be similar, from (a, b, diff, e, label, apart)."""
+    off = under.where("apart")
+    shares = [i / LEVELS for i in range(1, LEVELS)]
+    cuts = small(saved(off.groupBy("a").agg(F.percentile_approx("e", shares, 100).alias("cuts"))))
+    off = written(off.join(cuts, "a").withColumn("level", F.size(F.filter("cuts", lambda c: F.col("e") > c))).drop("cuts"), "near-apart")
+    lows = small(saved(off.groupBy("a", "level").agg(F.min("e").alias("low"))))
+    held = off.select("a", "level", F.col("b").alias("x"), F.col("label").alias("label_x"), F.col("e").alias("e_x"), F.size("diff").alias("d_x"),
+                      F.explode("diff").alias("t"))
+    often = held.groupBy("a", "level", "t").agg(F.count(F.lit(1)).alias("times"))
+    able = under.join(lows, "a").where(F.col("e") + F.col("low") <= 2 * more * F.size("diff"))
+    offered = able.select("a", "level", "low", "b", "label", "e", F.explode("diff").alias("t")).join(often, ["a", "level", "t"])
+    own = Window.partitionBy("a", "level", "b")
+    least = F.greatest(F.ceil((F.col("e") + F.col("low")) / (2 * more)), F.lit(1))
+    offered = (
+        offered.withColumn("place", F.row_number().over(own.orderBy("times", "t"))).withColumn("usable", F.count(F.lit(1)).over(own))
+        .where(F.col("place") <= F.col("usable") - least + 1)
     )
-    found = _compared(rest.withColumn("least", F.lit(0).cast("long")), texts, k, lower, percent)
-    return saved(links.union(found.where("linked").select("a", "b")))
+    able_by_size = F.col("e_x") + F.col("e") <= 2 * more * F.least("usable", "d_x")
+    return offered.join(held, ["a", "level", "t"]).where((F.col("label") != F.col("label_x")) & able_by_size).select("a", "x", "b").distinct()
 
 
 def near_components(signed: DataFrame, docs: DataFrame, k: int, lower: bool, percent: int) -> DataFrame:

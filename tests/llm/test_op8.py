@@ -120,3 +120,37 @@ def test_word_hashes_do_not_depend_on_place():
     h, rows = words.word_hashes(data, offsets, 0, 4)
     assert rows.tolist() == [0, 3, 3, 4, 6]
     assert h[1] == h[3] and h[2] == h[4] and h[0] == h[5] and len(set(h.tolist())) == 3
+
+
+def far_copies(n, seed=0, length=148):
+    """Copies of one text with 0 to 19 words changed, of a small vocabulary:
+    those with few changes are linked, the many others with nothing."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(length)]
+    out = []
+    for _ in range(n):
+        copy = list(base)
+        for i in rng.sample(range(length), rng.randrange(20)):
+            copy[i] = f"w{rng.randrange(300)}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_a_large_group_of_far_copies(docs):
+    check(docs, list(enumerate(far_copies(250))))
+
+
+def test_pairs_of_a_group_grow_with_its_members(docs, monkeypatch):
+    """A group of 400 to 1,600 copies, hundreds of them linked with nothing:
+    what is compared besides the hub stays a few pairs a member."""
+    met, counts = near._met, []
+
+    def counted(under, more):
+        pairs = near.saved(met(under, more))
+        counts.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near, "_met", counted)
+    for n in (400, 800, 1600):
+        op8_minhash.near_duplicates(docs(far_copies(n)), 2).count()
+    assert all(c <= 6 * n for c, n in zip(counts, (400, 800, 1600), strict=True)), counts
