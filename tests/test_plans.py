@@ -16,8 +16,8 @@ from .conftest import SF_SMALL
 
 TOP_K = {"gold_top_ips", "gold_top_endpoints", "gold_peak_error", "top10_ips", "top6_endpoints", "top5_urls",
          "gold_or_recompute", "top_ips_from_gold", "top_ips_beyond_gold"}
-# At most two rows of a bucket level, seven weekdays, or the bins are broadcast.
-BOUNDED_JOINS = {"client_errors_all_weekdays", "size_histogram", "size_stats", "summary_kv"}
+# At most two rows of a bucket level, seven weekdays, the bins, or a fixed number of hash buckets are broadcast.
+BOUNDED_JOINS = {"client_errors_all_weekdays", "size_histogram", "size_stats", "summary_kv", "gold_by_date", "heavy_top_ips", "heavy_top_endpoints"}
 # Queries that write first (their plan, or part of it, is a scan of what was written).
 SINK_BACKED = {"src_text", "bronze_roundtrip", "append_roundtrip", "silver_partition_pruned", "medallion_gold", "layer_counts",
                "stream_silver", "windowed_traffic_stream", "src_formats_roundtrip", "top_ips_from_gold", "top_ips_beyond_gold",
