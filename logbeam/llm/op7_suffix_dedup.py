@@ -7,24 +7,33 @@ One suffix array over the corpus would have to live somewhere, so the windows
 of ``length`` bytes are dealt out by their *minimizer*: of the ``GRAM``-byte
 strings inside a window the one with the least hash, which equal windows have
 in common.  Successive windows with one minimizer make a segment of a few
-dozen bytes.  Occurrences of segments are reduced per minimizer to the least
-and greatest doc_id.  Where all segments of a minimizer are the same string,
-that settles all its windows; the segments of the others are put into
-Burrows-Wheeler transforms, and threshold-bounded interval expansion
-(``bwt.py``) finds the classes of windows that are equal.  Each window's least
-doc_id goes back to the segment's occurrences, whose documents drop what they
-cover.
+dozen bytes, known by its hash.  Equal segments are one string with the
+documents that have it: all but the least lose their occurrences of it.  That
+is decided within a batch first, so a segment that a third of all documents
+have leaves a row per batch and is dealt by its minimizer to one sorted pass.
+What can still go is the least document's occurrence, where a different
+segment of the same minimizer has the window: the different segments are put
+into Burrows-Wheeler transforms, and threshold-bounded interval expansion
+(``bwt.py``) finds the classes of windows that are equal.  Each string carries
+its places in its least document, so the windows that a lesser document has
+go straight back to them.
 
 Savings that leave the result as it is: documents with the same text are one
 document with the smallest id, the others lose everything; minimizers that
-stand in one document only, and segments of settled minimizers, are left out
-by bitmaps of fixed size (``FILTER_BITS``; chance hits only cost work, a full
-bitmap only loses the saving).  A minimizer with more than ``MAX_GROUP`` bytes
-of segments does not go into one transform: its windows are hashed and
-reduced by key instead.
+stand in one document only, and segments that are alone with their minimizer,
+are left out by bitmaps of fixed size (``FILTER_BITS``; chance hits only cost
+work, a full bitmap only loses the saving).  The segments of a minimizer with
+more than ``MAX_GROUP`` bytes of different segments are cut again by the
+minimizers of longer strings, up to the window itself, and go the same way.
+
+Segments are told apart by two 64-bit hashes, the minimizer's and their own;
+two different ones of a corpus of 10^13 segments agree in both by chance with
+a probability of 10^-13.
 
 Edge cases: a null or empty text has no bytes; shorter texts than ``length``
-lose nothing; rows that repeat a doc_id do not remove each other; rows with a
+lose nothing; very long texts are cut in overlapping pieces, no window is lost;
+of documents with the same string the least doc_id keeps it; an empty table gives
+no rows; rows that repeat a doc_id do not remove each other; rows with a
 null doc_id lose nothing and remove nothing; other columns are ignored,
 whatever their names.
 """
@@ -33,7 +42,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +54,9 @@ from . import bwt, words
 from .common import SMALL_ROWS, arrow_map, saved, shuffle_partitions, small, written
 
 LENGTH, GRAM = 50, 20
+#: Strings whose minimizers cut the segments of an oversized minimizer again,
+#: before windows themselves do.
+LONGER_GRAMS = (28, 40)
 FILTER_BITS = 1 << 28  # 32 MB, the bound of what is broadcast
 #: Bytes of hash that a minimizer leaves in its part of the hash space.
 REST_BYTES = 5
@@ -226,45 +238,142 @@ def _found(batch: pa.RecordBatch, wanted: KeyFilter, length: int, gram: int):
         yield data, at, rows, i, first, size, m, _segment_hashes(data, first, size), row
 
 
-def _places(batches: Iterator[pa.RecordBatch], wanted, length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """Every occurrence of a shared segment: (m, s, doc_id, tkey, place); m is
-    the minimizer's hash, s the segment's, ``place`` its first byte and size in
-    one number."""
+OCCURRENCES = "m long, s long, doc_id long, tkey long, place long, gone boolean"
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch], wanted, length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Occurrences of shared segments (``OCCURRENCES``); m is the minimizer's
+    hash, s the segment's, ``place`` its first byte and size in one number.
+    Of the documents of a batch with the same segment the least one's are
+    given; those of the others go, and are given as merged ranges."""
     for batch in batches:
         ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-        for _, at, rows, i, first, size, m, s, row in _found(batch, wanted.value, length, gram):
-            place = ((at + first - rows[row]) << SIZE_BITS) | size
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(m.view(np.int64)), pa.array(s.view(np.int64)), pa.array(ids[i + row]), pa.array(keys[i + row]), pa.array(place)],
-                names=["m", "s", "doc_id", "tkey", "place"])
+        found = [
+            (m, s, i + row, at + first - rows[row], size)
+            for _, at, rows, i, first, size, m, s, row in _found(batch, wanted.value, length, gram)]
+        if not found:
+            continue
+        m, s, row, start, size = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.lexsort((ids[row], s, m))
+        m, s, row, start, size = m[order], s[order], row[order], start[order], size[order]
+        gone = ids[row] != _group_least(_group_starts(m, s), ids[row])
+        at, lo, hi = _merged_by_row(row[gone], start[gone], start[gone] + size[gone])
+        kept = ~gone
+        owner = np.concatenate([row[kept], at])
+        # ranges that go are dealt by their document
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([m[kept], words.mix(ids[at].astype(np.uint64))]).view(np.int64)),
+             pa.array(np.concatenate([s[kept], np.zeros(len(at), np.uint64)]).view(np.int64)), pa.array(ids[owner]), pa.array(keys[owner]),
+             pa.array(np.concatenate([(start[kept] << SIZE_BITS) | size[kept], (lo << SIZE_BITS) | (hi - lo)])),
+             pa.array(np.arange(len(owner)) >= kept.sum())],
+            names=[c.split()[0] for c in OCCURRENCES.split(", ")])
+
+
+def _group_starts(m: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Where a new (m, s) begins."""
+    new = np.ones(len(m), bool)
+    new[1:] = (m[1:] != m[:-1]) | (s[1:] != s[:-1])
+    return new
+
+
+def _group_least(new: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The first, and least, document of each row's group."""
+    return doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+
+
+def _merged_by_row(row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of rows to their maximal runs, in pieces that fit a place."""
+    if not len(row):
+        return row, lo, hi
+    stride = int(hi.max()) + 2
+    a, b = merged(row * stride + lo, row * stride + hi)
+    pieces = -(-(b - a) // SIZE_MASK)
+    number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    a, b = np.repeat(a, pieces) + number * SIZE_MASK, np.repeat(b, pieces)
+    b = np.minimum(b, a + SIZE_MASK)
+    owner = a // stride
+    return owner, a - owner * stride, b - owner * stride
+
+
+SETTLED = "m long, doc_id long, tkey long, place long"
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences sorted by (m, s, doc_id) to the places that go, as a lesser
+    document has the same segment, and to the minimizers with different
+    segments (rows with m alone)."""
+    last = None  # m, s and least document of the group that may go on
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        m, s, doc, tkey, place = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(5))
+        gone = batch.column(5).to_numpy(zero_copy_only=False)
+        new = _group_starts(m, s)
+        same_m = np.concatenate([[last is not None and last[0] == m[0]], m[1:] == m[:-1]])
+        if last is not None and last[:2] == (m[0], s[0]):
+            new[0] = False
+        group = np.cumsum(new)
+        least = np.concatenate([[doc[0] if last is None else last[2]], doc[np.flatnonzero(new)]])[group]
+        last = (m[-1], s[-1], least[-1])
+        removed = gone | (doc > least)
+        many = np.unique(m[new & same_m & ~gone])
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.nulls(int(removed.sum()), pa.int64()), pa.array(many)]),
+             *(pa.concat_arrays([pa.array(c[removed]), pa.nulls(len(many), pa.int64())]) for c in (doc, tkey, place))],
+            names=["m", "doc_id", "tkey", "place"])
+
+
+STRINGS = "m long, s long, segment binary, doc_id long, tkey long, place long"
+
+
+def _strings_of(data, first, size, m, s, doc, tkey, start, every: bool = False) -> pa.RecordBatch | None:
+    """Segments (byte ranges of ``data``) as rows of ``STRINGS``: of each the
+    places in its least document (``every``: in all), the bytes with the first."""
+    order = np.lexsort((doc, s, m))
+    first, size, m, s, doc, tkey, start = (c[order] for c in (first, size, m, s, doc, tkey, start))
+    if not len(m):
+        return None
+    kept = every | (doc == _group_least(_group_starts(m, s), doc))
+    first, size, m, s, doc, tkey, start = (c[kept] for c in (first, size, m, s, doc, tkey, start))
+    new = _group_starts(m, s)
+    text, offsets = _gathered(data, first, np.where(new, size, 0))
+    valid = pa.py_buffer(np.packbits(new, bitorder="little").tobytes())
+    segment = pa.BinaryArray.from_buffers(pa.binary(), len(m), [valid, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(text)])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(m.view(np.int64)), pa.array(s.view(np.int64)), segment, pa.array(doc), pa.array(tkey), pa.array((start << SIZE_BITS) | size)],
+        names=[c.split()[0] for c in STRINGS.split(", ")])
 
 
 def _strings(batches: Iterator[pa.RecordBatch], wanted, length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """The different segments of a batch of texts: (m, s, segment, low) with
-    the least doc_id."""
+    """The different segments of a batch of texts, see ``_strings_of``."""
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        pieces, columns = [], []
-        at = 0
-        for data, _, _, i, first, size, m, s, row in _found(batch, wanted.value, length, gram):
+        ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+        pieces, columns, at = [], [], 0
+        for data, place, rows, i, first, size, m, s, row in _found(batch, wanted.value, length, gram):
             pieces.append(data)
-            columns.append((at + first, size, m, s, ids[i + row]))
+            columns.append((at + first, size, m, s, ids[i + row], keys[i + row], place + first - rows[row]))
             at += len(data)
-        if not columns:
-            continue
-        first, size, m, s, owner = (np.concatenate(c) for c in zip(*columns, strict=True))
-        order = np.lexsort((s, m))
-        first, size, m, s, owner = first[order], size[order], m[order], s[order], owner[order]
-        new = np.ones(len(m), bool)
-        new[1:] = (m[1:] != m[:-1]) | (s[1:] != s[:-1])
-        starts = np.flatnonzero(new)
-        if not len(starts):
-            continue
-        text, offsets = _gathered(np.concatenate(pieces), first[starts], size[starts])
-        segment = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(text)])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(m[starts].view(np.int64)), pa.array(s[starts].view(np.int64)), segment, pa.array(np.minimum.reduceat(owner, starts))],
-            names=["m", "s", "segment", "low"])
+        if columns:
+            out = _strings_of(np.concatenate(pieces), *(np.concatenate(c) for c in zip(*columns, strict=True)))
+            if out is not None:
+                yield out
+
+
+def _recut(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Segments of an oversized minimizer (doc_id, tkey, place, segment) cut
+    again by the minimizers of longer strings."""
+    for batch in batches:
+        ids, keys, places = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+        data, offsets = words.column_bytes(batch.column(3))
+        for i, j in words.slices(offsets, PIECE):
+            part, rows = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            first, count, m, row = segments(part, rows, length, gram)
+            size = count + length - 1
+            out = _strings_of(
+                part, first, size, m, _segment_hashes(part, first, size), ids[i + row], keys[i + row], (places[i + row] >> SIZE_BITS) + first - rows[row],
+                every=True)
+            if out is not None:
+                yield out
 
 
 def _gathered(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -274,20 +383,19 @@ def _gathered(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np
     return data[np.repeat(first - offsets[:-1], size) + np.arange(offsets[-1])], offsets
 
 
-RESOLVED = "m long, s long, lo int, hi int, least long, segment binary"
+RESOLVED = "doc_id long, tkey long, place long, segment binary"
 
 
-def _resolved(m, s, lo=None, hi=None, least=None, segment=None) -> pa.RecordBatch:
-    n = len(m)
-    columns = [(m, pa.int64()), (s, pa.int64()), (lo, pa.int32()), (hi, pa.int32()), (least, pa.int64()), (segment, pa.binary())]
+def _resolved(doc, tkey, place, segment=None) -> pa.RecordBatch:
+    segment = pa.nulls(len(doc), pa.binary()) if segment is None else segment
     return pa.RecordBatch.from_arrays(
-        [pa.nulls(n, t) if c is None else pa.array(c, t) if not isinstance(c, pa.Array) else c for c, t in columns],
-        names=["m", "s", "lo", "hi", "least", "segment"])
+        [pa.array(doc, pa.int64()), pa.array(tkey, pa.int64()), pa.array(place, pa.int64()), segment], names=["doc_id", "tkey", "place", "segment"])
 
 
-def _transform(m, s, segment: pa.Array, low: np.ndarray, length: int) -> pa.RecordBatch:
-    """Different segments (of whole minimizers) to their runs of windows,
-    first and past the last, with the least doc_id that holds them."""
+def _transform(segment: pa.Array, low: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Different segments (of whole minimizers) to the runs of their windows
+    that a lesser document than the segment's own has: segment, first window,
+    windows."""
     data, offsets = words.column_bytes(segment)
     lengths = np.diff(offsets)
     # each string with one byte behind it for its end
@@ -306,82 +414,109 @@ def _transform(m, s, segment: pa.Array, low: np.ndarray, length: int) -> pa.Reco
     starts = np.flatnonzero(np.concatenate([[True], np.diff(own[by_class]) != 0]))
     least = np.empty(len(own), np.int64)
     least[by_class] = np.repeat(np.minimum.reduceat(low[owner[by_class]], starts), np.diff(np.concatenate([starts, [len(own)]])))
-    new = np.ones(len(own), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])
+    goes = least < low[owner]
+    new = goes.copy()
+    new[1:] &= ~goes[:-1] | (owner[1:] != owner[:-1])
     runs = np.flatnonzero(new)
-    sizes = np.diff(np.concatenate([runs, [len(own)]]))
-    return _resolved(m[owner[runs]], s[owner[runs]], offset[runs], offset[runs] + sizes, least[runs])
+    sizes = np.add.reduceat(goes.astype(np.int64), runs) if len(runs) else runs
+    return owner[runs], offset[runs], sizes
 
 
-def _distinct(table: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """Rows sorted by (m, s), one per (m, s), with the least doc_id."""
-    m, s, low = (table.column(c).to_numpy() for c in ("m", "s", "low"))
-    new = np.ones(len(m), bool)
-    new[1:] = (m[1:] != m[:-1]) | (s[1:] != s[:-1])
-    starts = np.flatnonzero(new)
-    segment = table.column("segment").combine_chunks().take(pa.array(starts))
-    return m[starts], s[starts], segment, np.minimum.reduceat(low, starts)
-
-
-def _resolve(batches: Iterator[pa.RecordBatch], length: int, batch_bytes: int, max_group: int) -> Iterator[pa.RecordBatch]:
-    """Segments (m, s, segment, low) sorted by (m, s) to runs of windows (see
-    ``_transform``); the segments of an oversized minimizer are passed on as
-    they are."""
+def _resolve(batches: Iterator[pa.RecordBatch], length: int, batch_bytes: int, max_group: int, equal: bool) -> Iterator[pa.RecordBatch]:
+    """Segments (``STRINGS``) sorted by (m, s, doc_id, bytes first) to the
+    places that go; the segments of an oversized minimizer are passed on as
+    they are, with their bytes.  ``equal``: places in other documents than the
+    segment's least go too (they are not settled yet)."""
     waiting: list[pa.RecordBatch] = []
-    size, big = 0, None
-
-    def settle(rows: list[pa.RecordBatch], last: bool) -> tuple[list[pa.RecordBatch], list[pa.RecordBatch]]:
-        """Results of the whole minimizers among the rows, and the rows of the
-        last one, which may go on."""
-        nonlocal big
-        table = pa.Table.from_batches(rows)
-        m = table.column("m").to_numpy()
-        edge = len(m) if last else int(np.searchsorted(m == m[-1], True))
-        out, rest = [], table.slice(edge)
-        if edge:
-            m, s, segment, low = _distinct(table.slice(0, edge))
-            starts = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
-            count = np.diff(np.concatenate([starts, [len(m)]]))
-            group_bytes = np.add.reduceat(pc.binary_length(segment).to_numpy(zero_copy_only=False).astype(np.int64), starts)
-            # one segment alone is settled without a transform
-            whole = np.repeat((count > 1) & (group_bytes <= max_group), count)
-            over = np.repeat((count > 1) & (group_bytes > max_group), count)
-            for rows_of in _chunks(np.flatnonzero(whole), m, pc.binary_length(segment).to_numpy(zero_copy_only=False), max(batch_bytes, 1)):
-                out.append(_transform(m[rows_of], s[rows_of], segment.take(pa.array(rows_of)), low[rows_of], length))
-            at = np.flatnonzero(over)
-            if len(at):
-                out.append(_resolved(m[at], s[at], least=low[at], segment=segment.take(pa.array(at))))
-        return out, rest.to_batches()
+    size, big, last = 0, None, None
+
+    def least_rows(table: pa.Table, out: list) -> tuple[pa.Table, np.ndarray]:
+        """The rows of each segment's least document, and where segments begin."""
+        m, s, doc, tkey, place = (table.column(c).to_numpy() for c in (0, 1, 3, 4, 5))
+        keep = doc == _group_least(_group_starts(m, s), doc)
+        if equal and not keep.all():
+            out.append(_resolved(doc[~keep], tkey[~keep], place[~keep]))
+        table = table.filter(pa.array(keep))
+        return table, _group_starts(m[keep], s[keep])
+
+    def settle(table: pa.Table, out: list) -> None:
+        table, new = least_rows(table, out)
+        m, doc, tkey, place = (table.column(c).to_numpy() for c in (0, 3, 4, 5))
+        starts = np.flatnonzero(new)
+        segment = table.column(2).combine_chunks().take(pa.array(starts))
+        if isinstance(segment, pa.ChunkedArray):
+            segment = segment.combine_chunks()
+        lengths = pc.binary_length(segment).to_numpy(zero_copy_only=False).astype(np.int64)
+        heads = m[starts]
+        first = np.flatnonzero(np.concatenate([[True], heads[1:] != heads[:-1]]))
+        count = np.diff(np.concatenate([first, [len(heads)]]))
+        group_bytes = np.add.reduceat(lengths, first)
+        # one segment alone has nothing to be compared with
+        whole = np.repeat((count > 1) & (group_bytes <= max_group), count)
+        over = np.repeat((count > 1) & (group_bytes > max_group), count)
+        places = np.diff(np.concatenate([starts, [len(m)]]))
+        for part in _chunks(np.flatnonzero(whole), heads, lengths, batch_bytes):
+            k, lo, n = _transform(segment.take(pa.array(part)), doc[starts[part]], length)
+            k = part[k]
+            run = np.repeat(np.arange(len(k)), places[k])
+            at = np.repeat(starts[k], places[k]) + np.arange(len(run)) - np.repeat(np.cumsum(places[k]) - places[k], places[k])
+            out.append(_resolved(doc[at], tkey[at], (((place[at] >> SIZE_BITS) + lo[run]) << SIZE_BITS) | (n[run] + length - 1)))
+        if over.any():
+            of = np.cumsum(new) - 1
+            at = np.flatnonzero(over[of])
+            out.append(_resolved(doc[at], tkey[at], place[at], segment.take(pa.array(of[at]))))
+
+    def pass_on(batch: pa.RecordBatch, out: list) -> None:
+        """Rows of the oversized minimizer, whose last segment may go on."""
+        nonlocal last
+        s, doc, tkey, place = (batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 3, 4, 5))
+        new = np.ones(len(s), bool)
+        new[1:] = s[1:] != s[:-1]
+        if last is not None and last[0] == s[0]:
+            new[0] = False
+        starts, group = np.flatnonzero(new), np.cumsum(new)
+        lows = np.concatenate([[doc[0] if last is None else last[1]], doc[starts]])
+        texts = pa.concat_arrays([pa.array([None if last is None else last[2]], pa.binary()), batch.column(2).take(pa.array(starts))])
+        keep = doc == lows[group]
+        if equal and not keep.all():
+            out.append(_resolved(doc[~keep], tkey[~keep], place[~keep]))
+        out.append(_resolved(doc[keep], tkey[keep], place[keep], texts.take(pa.array(group[keep]))))
+        last = (s[-1], lows[group[-1]], texts[int(group[-1])].as_py())
 
     for batch in batches:
-        if big is not None:  # the rows of an oversized minimizer pass through
+        out: list[pa.RecordBatch] = []
+        if big is not None and batch.num_rows:
             m = batch.column(0).to_numpy()
             n = int(np.searchsorted(m != big, True)) if (m != big).any() else len(m)
             if n:
-                yield _resolved(m[:n], batch.column(1).to_numpy()[:n], least=batch.column(3).to_numpy()[:n], segment=batch.column(2).slice(0, n))
+                pass_on(batch.slice(0, n), out)
             batch = batch.slice(n)
             if batch.num_rows:
-                big = None
-        if not batch.num_rows:
-            continue
-        waiting.append(batch)
-        size += batch.column(2).nbytes
+                big, last = None, None
+        if batch.num_rows:
+            waiting.append(batch)
+            size += batch.column(2).nbytes
         if size >= batch_bytes:
-            out, waiting = settle(waiting, False)
-            yield from out
+            table = pa.Table.from_batches(waiting)
+            m = table.column(0).to_numpy()
+            edge = int(np.searchsorted(m == m[-1], True))  # the last minimizer may go on
+            if edge:
+                settle(table.slice(0, edge), out)
+            table = table.slice(edge)
+            if table.nbytes > 2 * max_group + batch_bytes:
+                table, new = least_rows(table, out)
+                if pc.sum(pc.binary_length(table.column(2))).as_py() > max_group:
+                    big, last = table.column(0)[0].as_py(), None
+                    for b in table.to_batches():
+                        pass_on(b, out)
+                    table = table.slice(0, 0)
+            waiting = [b for b in table.to_batches() if b.num_rows]
             size = sum(b.column(2).nbytes for b in waiting)
-            if size > 2 * max_group + batch_bytes:  # what waits is one minimizer's
-                m, s, segment, low = _distinct(pa.Table.from_batches(waiting))
-                if pc.sum(pc.binary_length(segment)).as_py() > max_group:
-                    yield _resolved(m, s, least=low, segment=segment)
-                    big = m[0]
-                    waiting, size = [], 0
-                else:
-                    names = ["m", "s", "segment", "low"]
-                    waiting = [pa.RecordBatch.from_arrays([pa.array(m), pa.array(s), segment, pa.array(low)], names=names)]
-                    size = waiting[0].column(2).nbytes
+        yield from out
     if waiting:
-        yield from settle(waiting, True)[0]
+        out = []
+        settle(pa.Table.from_batches(waiting), out)
+        yield from out
 
 
 def _chunks(rows: np.ndarray, m: np.ndarray, size: np.ndarray, batch_bytes: int) -> Iterator[np.ndarray]:
@@ -391,22 +526,11 @@ def _chunks(rows: np.ndarray, m: np.ndarray, size: np.ndarray, batch_bytes: int)
     group = np.cumsum(np.concatenate([[0], m[rows][1:] != m[rows][:-1]]))
     upto = np.cumsum(size[rows])
     first_of = np.flatnonzero(np.concatenate([[True], np.diff(group) != 0]))
-    part = (upto[first_of] // batch_bytes)[group]
+    part = (upto[first_of] // max(batch_bytes, 1))[group]
     cuts = np.flatnonzero(np.diff(part)) + 1
     yield from np.split(rows, cuts)
 
 
-def _windows_by_key(big: DataFrame, length: int) -> DataFrame:
-    """The runs of windows of oversized minimizers, one window a row, reduced
-    by the window's bytes."""
-    at = F.explode(F.sequence(F.lit(0), F.octet_length("segment") - length))
-    windows = big.select("m", "s", F.col("least").alias("low"), "segment", at.alias("lo"))
-    window = F.sha2(F.expr(f"substring(segment, lo + 1, {length})"), 256)
-    windows = windows.select("m", "s", "lo", "low", window.alias("w"))
-    least = windows.groupBy("w").agg(F.min("low").alias("least"))
-    return windows.select("w", "m", "s", "lo").distinct().join(least, "w").select("m", "s", "lo", (F.col("lo") + 1).alias("hi"), "least")
-
-
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, tkey, ranges packed as start and size) to maximal runs."""
     for batch in batches:
@@ -446,22 +570,21 @@ def removed_ranges(
         sent = spark.sparkContext.broadcast(wanted)
         return arrow_map(rows, lambda batches: work(batches, sent, length, gram), schema)
 
-    places = written(cut(_places, shared_minimizers(single, length, gram), "m long, s long, doc_id long, tkey long, place long"), "places")
-    per_m = written(
-        places.groupBy("m").agg(F.min("s").alias("s"), F.max("s").alias("other"), F.min("doc_id").alias("least")), "minimizers")
-    # windows 0 to 0 stand for all of the segment
-    whole_segment = F.lit(0).alias("lo"), F.lit(0).alias("hi")
-    settled = per_m.where("s = other").select("m", "s", *whole_segment, "least")
-
-    strings = cut(_strings, key_filter(per_m.where("s != other").select("m")), "m long, s long, segment binary, low long")
-    ordered = strings.repartition(shuffle_partitions(spark), "m").sortWithinPartitions("m", "s")
-    resolved = saved(arrow_map(ordered, partial(_resolve, length=length, batch_bytes=batch_bytes, max_group=max_group), RESOLVED))
-    runs = resolved.where("segment is null").select("m", "s", "lo", "hi", "least").union(
-        _windows_by_key(resolved.where("segment is not null"), length)).union(settled)
-
-    start, size = F.shiftright("place", SIZE_BITS), F.col("place").bitwiseAND(SIZE_MASK)
-    part = F.shiftleft(start + F.col("lo"), SIZE_BITS) + F.when(F.col("hi") == 0, size).otherwise(F.col("hi") - F.col("lo") + length - 1)
-    gone = places.join(runs, ["m", "s"]).where("least < doc_id").select("doc_id", "tkey", part.alias("range"))
+    parts = shuffle_partitions(spark)
+    occurrences = cut(_occurrences, shared_minimizers(single, length, gram), OCCURRENCES)
+    settled = written(arrow_map(occurrences.repartition(parts, "m").sortWithinPartitions("m", "s", "doc_id"), _settle, SETTLED), "settled")
+    gone = [settled.where("m is null").select("doc_id", "tkey", "place")]
+    strings = cut(_strings, key_filter(settled.where("m is not null").select("m")), STRINGS)
+    for step, longer in enumerate([*(g for g in LONGER_GRAMS if gram < g < length), length, None]):
+        ordered = strings.repartition(parts, "m").sortWithinPartitions("m", "s", "doc_id", F.col("segment").isNull())
+        work = partial(_resolve, length=length, batch_bytes=batch_bytes, max_group=max_group, equal=step > 0)
+        resolved = saved(arrow_map(ordered, work, RESOLVED))
+        gone.append(resolved.where("segment is null").select("doc_id", "tkey", "place"))
+        over = resolved.where("segment is not null")
+        if over.isEmpty():
+            break
+        strings = arrow_map(over.select("doc_id", "tkey", "place", "segment"), partial(_recut, length=length, gram=longer), STRINGS)
+    gone = reduce(DataFrame.union, gone).withColumnRenamed("place", "range")
     gathered = gone.groupBy("doc_id", "tkey").agg(F.collect_list("range").alias("ranges"))
     ranges = arrow_map(gathered, _merge, "doc_id long, tkey long, starts array<long>, ends array<long>")
     whole = copies.where(F.col("n") >= length).select(

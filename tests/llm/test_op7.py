@@ -43,7 +43,7 @@ def pile(seed):
     return list(zip(ids, texts))
 
 
-@pytest.mark.parametrize("options", [{}, {"max_group": 0}, {"max_group": 150, "batch_bytes": 1}])
+@pytest.mark.parametrize("options", [{}, {"max_group": 0, "batch_bytes": 1}, {"max_group": 150, "batch_bytes": 1}])
 def test_against_brute_force(docs, options):
     for seed in range(2):
         pairs = pile(seed)
@@ -95,3 +95,22 @@ def test_segments_partition_the_windows():
     want = [p for a, b in zip(rows, rows[1:]) for p in range(a, b - 49)]
     assert windows == want
     assert (row == np.searchsorted(rows, first, "right") - 1).all()
+
+
+def test_a_batch_cut_small(spark, docs):
+    """Documents, and occurrences of one segment, over many Arrow batches."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        pairs = pile(5) + [(1000 + i, "passage that every one of these documents holds, word for word " + str(i)) for i in range(30)]
+        for options in ({}, {"max_group": 100, "batch_bytes": 1}):
+            assert sorted(map(tuple, op7.remove_repeats(docs(pairs), **options).collect())) == brute(pairs)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_ranges_of_rows_merge_in_pieces_that_fit():
+    row, lo, hi = op7._merged_by_row(np.array([4, 1, 1, 4]), np.array([0, 5, 20, 9000]), np.array([9010, 30, 40, 9020]))
+    assert (hi - lo <= op7.SIZE_MASK).all() and row.tolist() == [1, 4, 4, 4]
+    assert (lo[0], hi[0]) == (5, 40) and lo[1] == 0 and hi[-1] == 9020 and (lo[2:] == hi[1:-1]).all()
