@@ -21,7 +21,7 @@ def outline(df, width: int = 160) -> str:
 
 
 def main() -> None:
-    from logbeam.operators import gold, questions
+    from logbeam.operators import gold, heavy, questions
     from logbeam.plans import catalog
     from logbeam.session import local_session, temporary_path
     from logbeam.sources import files
@@ -43,7 +43,11 @@ def main() -> None:
     path = temporary_path(spark, "plans")
     files.write_silver(catalog.silver(spark, sf), path)
     stored = files.read_silver(spark, path)
-    for op in (gold.top_endpoints, gold.error_analysis, questions.top_endpoints_excluding_files):
+
+    def heavy_top_ips(silver):
+        return heavy.top(silver, "ip", gold.TOP_N, [])
+
+    for op in (gold.summary, gold.top_endpoints, gold.error_analysis, questions.top_endpoints_excluding_files, heavy_top_ips):
         print(f"## `{op.__name__}` on stored Silver\n\n```\n{outline(op(stored))}\n```\n")
 
 
