@@ -19,7 +19,8 @@ band keys; this module turns them into verified links and components:
   class beyond that must share differences, as many as the sum of both E says:
   partners meet on the rarest of the differences the far classes have (prefix
   filtering, in ``LEVELS`` levels of E, as a partner of a farther class must
-  share more), and only pairs that meet are compared.
+  share more, and only where enough is left of both from there on), and only
+  pairs that meet are compared.
 """
 
 from __future__ import annotations
@@ -213,6 +214,8 @@ def _met(under: DataFrame, more: int) -> DataFrame:
     held = off.select("a", "level", F.col("b").alias("x"), F.col("label").alias("label_x"), F.col("e").alias("e_x"), F.size("diff").alias("d_x"),
                       F.explode("diff").alias("t"))
     often = held.groupBy("a", "level", "t").agg(F.count(F.lit(1)).alias("times"))
+    mine = Window.partitionBy("a", "level", "x").orderBy("times", "t")
+    held = held.join(often, ["a", "level", "t"]).withColumn("left_x", F.col("d_x") - F.row_number().over(mine) + 1).drop("times", "d_x")
     able = under.join(lows, "a").where(F.col("e") + F.col("low") <= 2 * more * F.size("diff"))
     offered = able.select("a", "level", "low", "b", "label", "e", F.explode("diff").alias("t")).join(often, ["a", "level", "t"])
     own = Window.partitionBy("a", "level", "b")
@@ -221,7 +224,8 @@ def _met(under: DataFrame, more: int) -> DataFrame:
         offered.withColumn("place", F.row_number().over(own.orderBy("times", "t"))).withColumn("usable", F.count(F.lit(1)).over(own))
         .where(F.col("place") <= F.col("usable") - least + 1)
     )
-    able_by_size = F.col("e_x") + F.col("e") <= 2 * more * F.least("usable", "d_x")
+    # from their first common difference on, no more can be common than what is left of either
+    able_by_size = F.col("e_x") + F.col("e") <= 2 * more * F.least(F.col("usable") - F.col("place") + 1, "left_x")
     return offered.join(held, ["a", "level", "t"]).where((F.col("label") != F.col("label_x")) & able_by_size).select("a", "x", "b").distinct()
 
 
